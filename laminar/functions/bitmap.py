@@ -16,5 +16,5 @@ def month_bitmap(dates: Column, month_start: Column) -> Column:
     in_month = F.filter(dates, lambda d: F.trunc(d, "MM") == month_start)
     bits = F.aggregate(
         in_month, F.lit(0).cast("long"),
-        lambda acc, d: acc.bitwiseOR(F.shiftleft(F.lit(1).cast("long"), F.dayofmonth(d) - 1)))
+        lambda acc, d: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.dayofmonth(d) - 1)))
     return F.coalesce(bits, F.lit(0).cast("long"))

@@ -12,8 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laminar.functions.bands import AS_WRITTEN, SPEC
+from laminar.functions.bands import AS_WRITTEN, QUALITY_CLASSES, SPEC
+from laminar.operators import reports
+from laminar.operators.checks import domain_summary, key_violations
 from laminar.operators.cumulate import cumulate_years
+from laminar.operators.datelist import datelist_backfill, datelist_bitmap, host_activity, user_activity
+from laminar.operators.dedup import dedup
+from laminar.operators.reduced import daily_counts, explode_days, fix_last, reduce_month
 from laminar.operators.scd2 import scd2_backfill
 from laminar.sources import roles
 
@@ -52,9 +57,172 @@ def q_scd2_backfill(spark, sf_dir):
     return scd2_backfill(actors(spark, sf_dir))
 
 
+def q_dedup_details(spark, sf_dir):
+    return dedup(roles.game_details(spark, sf_dir), ["l_orderkey", "l_linenumber"])
+
+
+def dedup_events(spark, sf_dir):
+    ev = roles.events(spark, sf_dir)
+    keyed = ev.withColumn("event_date", F.to_date("event_time"))
+    return dedup(keyed, ["user_id", "device_id", "event_date"]).select(*ev.columns)
+
+
+def q_dedup_events(spark, sf_dir):
+    return dedup_events(spark, sf_dir)
+
+
+def q_dedup_devices(spark, sf_dir):
+    return dedup(roles.device_catalog(spark, sf_dir), ["p_brand", "p_type"])
+
+
+def q_check_domain(spark, sf_dir):
+    return domain_summary(actors(spark, sf_dir, bands=SPEC), "quality_class", QUALITY_CLASSES)
+
+
+def q_check_key(spark, sf_dir):
+    return key_violations(roles.game_details(spark, sf_dir), ["l_orderkey", "l_linenumber"])
+
+
+# ---- date lists -------------------------------------------------------------
+USER_KEYS = ["user_id", "browser_type"]
+
+
+def _last_event_day(ev: DataFrame):
+    return ev.agg(F.max(F.to_date("event_time"))).scalar()
+
+
+def _dates_str(arr: Column) -> Column:
+    return F.array_join(F.transform(arr, lambda d: d.cast("string")), ",")
+
+
+def user_datelist(spark, sf_dir, as_of=None):
+    ev = roles.events(spark, sf_dir)
+    act = user_activity(ev, roles.devices(spark, sf_dir))
+    return datelist_backfill(act, USER_KEYS, roles.EVENTS_FIRST_DAY, _last_event_day(ev),
+                             "device_actives", as_of=as_of)
+
+
+def host_datelist(spark, sf_dir):
+    ev = roles.events(spark, sf_dir)
+    return datelist_backfill(host_activity(ev), ["host"], roles.EVENTS_FIRST_DAY, _last_event_day(ev),
+                             "host_activity_datelist")
+
+
+def q_user_datelist(spark, sf_dir):
+    return user_datelist(spark, sf_dir).select(
+        *USER_KEYS, "date", _dates_str(F.col("device_actives")).alias("device_actives"),
+        F.size("device_actives").cast("long").alias("n_active"))
+
+
+def q_host_datelist(spark, sf_dir):
+    return host_datelist(spark, sf_dir).select(
+        "host", "date", _dates_str(F.col("host_activity_datelist")).alias("host_activity_datelist"),
+        F.size("host_activity_datelist").cast("long").alias("n_active"))
+
+
+def q_datelist_int(spark, sf_dir):
+    snap = user_datelist(spark, sf_dir, as_of=roles.SNAPSHOT_DATE)
+    return datelist_bitmap(snap, USER_KEYS, "device_actives", roles.MONTH_START)
+
+
+# ---- reduced month facts ----------------------------------------------------
+def _counts_str(arr: Column) -> Column:
+    return F.array_join(F.transform(arr, lambda x: x.cast("long").cast("string")), ",")
+
+
+def reduced(spark, sf_dir):
+    ev = roles.events(spark, sf_dir)
+    return reduce_month(daily_counts(ev), roles.MONTH_START, _last_event_day(ev))
+
+
+def q_reduced_hits(spark, sf_dir):
+    return reduced(spark, sf_dir).select("host", "month", _counts_str(F.col("hit_array")).alias("hit_array"),
+                                         F.size("hit_array").cast("long").alias("n_days"))
+
+
+def q_reduced_visitors(spark, sf_dir):
+    return reduced(spark, sf_dir).select(
+        "host", "month", _counts_str(F.col("unique_visitor_array")).alias("unique_visitor_array"),
+        F.size("unique_visitor_array").cast("long").alias("n_days"))
+
+
+def q_reduced_fix_last(spark, sf_dir):
+    """Month hits through the last day, last slot corrected by a recount over deduplicated events."""
+    ev = roles.events(spark, sf_dir)
+    last = _last_event_day(ev)
+    state = reduce_month(daily_counts(ev), roles.MONTH_START, last)
+    recount = daily_counts(dedup_events(spark, sf_dir)).where(F.col("day") == last)
+    as_written = fix_last(state, recount).select("host", "month", F.col("hit_array").alias("_w"))
+    positional = fix_last(state, recount, positional=True).select("host", F.col("hit_array").alias("_p"))
+    return as_written.join(positional, "host").select(
+        "host", "month", _counts_str(F.col("_w")).alias("hits_as_written"),
+        _counts_str(F.col("_p")).alias("hits_positional"))
+
+
+def q_reduced_daily(spark, sf_dir):
+    return explode_days(reduced(spark, sf_dir))
+
+
+# ---- star reports -----------------------------------------------------------
+MEDAL_NAME = roles.MEDAL_NAME
+
+
+def fact(spark, sf_dir):
+    return reports.match_fact(roles.matches(spark, sf_dir), roles.match_details(spark, sf_dir),
+                              roles.medal_matches_players(spark, sf_dir))
+
+
+def player_match(spark, sf_dir):
+    return reports.player_match(fact(spark, sf_dir), roles.maps(spark, sf_dir))
+
+
+def q_match_fact(spark, sf_dir):
+    return fact(spark, sf_dir)
+
+
+def q_player_match(spark, sf_dir):
+    return player_match(spark, sf_dir)
+
+
+def q_top_avg_kills(spark, sf_dir):
+    r = reports.top_avg_kills(player_match(spark, sf_dir))
+    return r.select("player_gamertag", F.round("avg_kill_per_game", 6).alias("avg_kill_per_game"))
+
+
+def q_top_playlist(spark, sf_dir):
+    return reports.top_playlist(player_match(spark, sf_dir))
+
+
+def q_top_map(spark, sf_dir):
+    return reports.top_map(player_match(spark, sf_dir))
+
+
+def q_top_medal_map(spark, sf_dir):
+    return reports.top_medal_map(fact(spark, sf_dir), roles.medals(spark, sf_dir), roles.maps(spark, sf_dir),
+                                 MEDAL_NAME)
+
+
 QUERIES: dict[str, Query] = {
     "scd2_backfill": q_scd2_backfill,
     "actors_cumulative": q_actors_cumulative,
     "actors_cumulative_spec_bands": q_actors_cumulative_spec_bands,
     "actors_cumulative_carry": q_actors_cumulative_carry,
+    "dedup_details": q_dedup_details,
+    "dedup_events": q_dedup_events,
+    "dedup_devices": q_dedup_devices,
+    "check_domain": q_check_domain,
+    "check_key": q_check_key,
+    "user_datelist": q_user_datelist,
+    "host_datelist": q_host_datelist,
+    "datelist_int": q_datelist_int,
+    "reduced_hits": q_reduced_hits,
+    "reduced_visitors": q_reduced_visitors,
+    "reduced_fix_last": q_reduced_fix_last,
+    "reduced_daily": q_reduced_daily,
+    "match_fact": q_match_fact,
+    "player_match": q_player_match,
+    "top_avg_kills": q_top_avg_kills,
+    "top_playlist": q_top_playlist,
+    "top_map": q_top_map,
+    "top_medal_map": q_top_medal_map,
 }
