@@ -20,7 +20,11 @@ from laminar.operators.datelist import datelist_backfill, datelist_bitmap, host_
 from laminar.operators.dedup import dedup
 from laminar.operators.reduced import daily_counts, explode_days, fix_last, reduce_month
 from laminar.operators.scd2 import scd2_backfill
+from laminar.plans import incremental
+from laminar.plans.tables import overwrite_partitions
+from laminar.session import scratch_path
 from laminar.sources import roles
+from laminar.sources.schemas import HOSTS_CUMULATED
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -202,6 +206,47 @@ def q_top_medal_map(spark, sf_dir):
                                  MEDAL_NAME)
 
 
+# ---- serial (incremental) loads: the same tables, one period per job --------
+def q_actors_incremental(spark, sf_dir):
+    facts = roles.actor_films(spark, sf_dir)
+    last_year = facts.agg(F.max("year")).first()[0]
+    runs = int(last_year) - roles.ACTOR_SEED_YEAR + 1  # one run past the end hits the stop guard
+    table = incremental.load_years(spark, facts, scratch_path(spark, "actors"), roles.ACTOR_SEED_YEAR, runs)
+    return _flat_actors(table)
+
+
+def q_scd2_incremental(spark, sf_dir):
+    path = scratch_path(spark, "actors")
+    overwrite_partitions(actors(spark, sf_dir), path, "current_year")
+    state = spark.read.parquet(path)
+    years = [r[0] for r in state.select("current_year").distinct().orderBy("current_year").collect()]
+    return incremental.scd2_load_years(spark, state, years, scratch_path(spark, "actors_scd"))
+
+
+def q_host_datelist_incremental(spark, sf_dir):
+    import datetime as dt
+    ev = roles.events(spark, sf_dir)
+    first = dt.date.fromisoformat(roles.EVENTS_FIRST_DAY)
+    last = ev.agg(F.max(F.to_date("event_time"))).first()[0]
+    table = incremental.datelist_load_days(spark, host_activity(ev), ["host"], scratch_path(spark, "hosts"),
+                                           first, (last - first).days + 1, "host_activity_datelist",
+                                           HOSTS_CUMULATED)
+    return table.select("host", "date",
+                        _dates_str(F.col("host_activity_datelist")).alias("host_activity_datelist"),
+                        F.size("host_activity_datelist").cast("long").alias("n_active"))
+
+
+def q_reduced_incremental(spark, sf_dir):
+    import datetime as dt
+    ev = roles.events(spark, sf_dir)
+    month = dt.date.fromisoformat(roles.MONTH_START)
+    last = ev.agg(F.max(F.to_date("event_time"))).first()[0]
+    table = incremental.reduce_load_days(spark, daily_counts(ev), scratch_path(spark, "reduced"), month,
+                                         (last - month).days + 1)
+    return table.select("host", "month", _counts_str(F.col("hit_array")).alias("hit_array"),
+                        F.size("hit_array").cast("long").alias("n_days"))
+
+
 QUERIES: dict[str, Query] = {
     "scd2_backfill": q_scd2_backfill,
     "actors_cumulative": q_actors_cumulative,
@@ -225,4 +270,8 @@ QUERIES: dict[str, Query] = {
     "top_playlist": q_top_playlist,
     "top_map": q_top_map,
     "top_medal_map": q_top_medal_map,
+    "actors_incremental": q_actors_incremental,
+    "scd2_incremental": q_scd2_incremental,
+    "host_datelist_incremental": q_host_datelist_incremental,
+    "reduced_incremental": q_reduced_incremental,
 }
