@@ -21,6 +21,7 @@ from laminar.operators.dedup import dedup
 from laminar.operators.reduced import daily_counts, explode_days, fix_last, reduce_month
 from laminar.operators.scd2 import scd2_backfill
 from laminar.plans import incremental
+from laminar.plans.load import layout_report, load_bucketed, rewrite_dedup
 from laminar.plans.tables import overwrite_partitions
 from laminar.session import scratch_path
 from laminar.sources import roles
@@ -247,6 +248,32 @@ def q_reduced_incremental(spark, sf_dir):
                         F.size("hit_array").cast("long").alias("n_days"))
 
 
+# ---- loads ------------------------------------------------------------------
+def q_load_sliced(spark, sf_dir):
+    """Matches loaded into a table bucketed by match; rows with no completion date are not loaded."""
+    return load_bucketed(spark, roles.matches(spark, sf_dir), scratch_path(spark, "matches"),
+                         "match_id", 16, drop_null="completion_date")
+
+
+def q_layout_report(spark, sf_dir):
+    return layout_report(spark, fact(spark, sf_dir), list(roles.LAYOUT_COLUMNS), scratch_path(spark, "layout"))
+
+
+def q_dedup_rewrite(spark, sf_dir):
+    """The detail table written as a table, then reloaded with its deduplicated self."""
+    v1 = scratch_path(spark, "game_details")
+    roles.game_details(spark, sf_dir).write.parquet(v1)
+    return rewrite_dedup(spark, v1, scratch_path(spark, "game_details"), ["l_orderkey", "l_linenumber"])
+
+
+def q_match_fact_bucketed(spark, sf_dir):
+    """The star fact over tables bucketed by match (the first join needs no exchange)."""
+    m = load_bucketed(spark, roles.matches(spark, sf_dir), scratch_path(spark, "matches"))
+    d = load_bucketed(spark, roles.match_details(spark, sf_dir), scratch_path(spark, "match_details"))
+    p = load_bucketed(spark, roles.medal_matches_players(spark, sf_dir), scratch_path(spark, "mmp"))
+    return reports.match_fact(m, d, p)
+
+
 QUERIES: dict[str, Query] = {
     "scd2_backfill": q_scd2_backfill,
     "actors_cumulative": q_actors_cumulative,
@@ -274,4 +301,8 @@ QUERIES: dict[str, Query] = {
     "scd2_incremental": q_scd2_incremental,
     "host_datelist_incremental": q_host_datelist_incremental,
     "reduced_incremental": q_reduced_incremental,
+    "load_sliced": q_load_sliced,
+    "layout_report": q_layout_report,
+    "dedup_rewrite": q_dedup_rewrite,
+    "match_fact_bucketed": q_match_fact_bucketed,
 }
