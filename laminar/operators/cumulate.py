@@ -51,13 +51,15 @@ def _load_end(facts: DataFrame, period: str, seed: int):
     """Last period a serial loop starting after ``seed`` would load, as a scalar subquery.
 
     Each run loads period p+1 only if p+1 has facts, so loading stops before the first
-    gap; if ``seed + 1`` itself has no facts nothing is ever loaded (NULL end).
+    gap; if ``seed + 1`` itself has no facts nothing is ever loaded (NULL end).  One
+    scan of the period column: the distinct periods (a handful) are collected into a
+    one-row array and the end is found with array functions inside the subquery.
     """
-    yrs = facts.select(F.col(period).alias("_p")).distinct()
-    has_next = yrs.select((F.col("_p") - 1).alias("_p"))
-    ends = yrs.where(F.col("_p") >= seed + 1).join(has_next, "_p", "left_anti")
-    started = yrs.where(F.col("_p") == seed + 1)
-    return (ends.where(started.exists()).agg(F.min("_p"))).scalar()
+    periods = facts.agg(F.collect_set(F.col(period)).alias("_s"))
+    first = seed + 1
+    ends = F.filter("_s", lambda p: (p >= first) & ~F.array_contains(F.col("_s"), p + 1))
+    end = F.when(F.array_contains(F.col("_s"), F.lit(first)), F.array_min(ends))
+    return periods.select(end.alias("_end")).scalar()
 
 
 def cumulate_years(facts: DataFrame, seed: int = 1969, history: str = "two_period",
@@ -66,10 +68,13 @@ def cumulate_years(facts: DataFrame, seed: int = 1969, history: str = "two_perio
     """Every snapshot a year-by-year loop from an empty table would write (backfill)."""
     end = _load_end(facts, period, seed)
     if history == "two_period":
+        # The same aggregate feeds both join sides (its shuffle is reused); the snapshot
+        # range is applied after the join so that no side-specific filter is pushed
+        # below the aggregate and splits it into two computations.
         agg = period_agg(facts.where(F.col(period).between(F.lit(seed), end)),
                          keys=(entity, name), period=period, bands=bands)
-        cur = agg.where(F.col(period) >= seed + 1).alias("c")
-        prev = agg.where(F.col(period) < end).withColumn(period, F.col(period) + 1).alias("l")
+        cur = agg.alias("c")
+        prev = agg.withColumn(period, F.col(period) + 1).alias("l")
         joined = cur.join(prev, [entity, period], "full_outer")
         return joined.select(
             F.col(entity),
@@ -77,7 +82,8 @@ def cumulate_years(facts: DataFrame, seed: int = 1969, history: str = "two_perio
             concat_nullsafe(F.col("l.films"), F.col("c.films")).alias("films"),
             F.coalesce(F.col("c.quality_class"), F.col("l.quality_class")).alias("quality_class"),
             F.col(period).cast("int").alias(out_period),
-            F.col(f"c.{name}").isNotNull().alias("is_active"))
+            F.col(f"c.{name}").isNotNull().alias("is_active")
+        ).where(F.col(out_period).between(F.lit(seed + 1), end))
     if history == "carry":
         return _carry_years(facts, seed, end, bands, entity, name, period, out_period)
     raise ValueError(f"unknown history mode {history!r}")
