@@ -21,30 +21,37 @@ from pyspark.sql import functions as F
 from laminar.functions.arrays import concat_nullsafe
 from laminar.functions.bitmap import month_bitmap
 from laminar.functions.dates import as_timestamp
-from laminar.operators.joins import bounded_broadcast
+from laminar.operators.joins import MAX_BROADCAST_ROWS, fits_broadcast
 
 
 def user_activity(events: DataFrame, devices: DataFrame, time_col: str = "event_time",
-                  broadcast_devices: bool = True) -> DataFrame:
-    """Distinct (user_id, browser_type, day) for events whose device is known.
-
-    Events are first reduced to distinct (user, device, day) -- a partial aggregate in
-    every map task -- so the device join moves one row per user-device-day instead of
-    one per event.  The device side is broadcast only after a size check.
+                  distinct: bool = True, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """(user_id, browser_type, day) for events whose user and device are known.
+
+    When the device side passes the broadcast size check the join is map-side and
+    the partial aggregate of the final DISTINCT reduces events before the only
+    shuffle.  Otherwise events are first reduced to distinct (user, device, day), so
+    the shuffle into the join moves one row per user-device-day, not one per event.
+    ``distinct=False`` leaves duplicates for a consumer that removes them itself
+    (e.g. a per-key ``collect_set``), saving that shuffle.
     """
     day = F.to_date(as_timestamp(events, time_col))
     ev = (events.where(F.col("device_id").isNotNull() & F.col("user_id").isNotNull())
-          .select("user_id", "device_id", day.alias("day")).distinct())
+          .select("user_id", "device_id", day.alias("day")))
     dev = devices.select("device_id", "browser_type")
-    if broadcast_devices:
-        dev = bounded_broadcast(dev)
-    return ev.join(dev, "device_id").select("user_id", "browser_type", "day").distinct()
+    if fits_broadcast(dev, max_broadcast_rows):
+        dev = F.broadcast(dev)
+    else:
+        ev = ev.distinct()
+    act = ev.join(dev, "device_id").select("user_id", "browser_type", "day")
+    return act.distinct() if distinct else act
 
 
-def host_activity(events: DataFrame, time_col: str = "event_time") -> DataFrame:
-    """Distinct (host, day)."""
+def host_activity(events: DataFrame, time_col: str = "event_time", distinct: bool = True) -> DataFrame:
+    """(host, day), distinct unless the consumer deduplicates itself."""
     day = F.to_date(as_timestamp(events, time_col))
-    return events.select("host", day.alias("day")).distinct()
+    act = events.select("host", day.alias("day"))
+    return act.distinct() if distinct else act
 
 
 def datelist_step(yesterday: DataFrame, activity: DataFrame, keys: Sequence[str], today,
@@ -70,16 +77,19 @@ def datelist_backfill(activity: DataFrame, keys: Sequence[str], first_day, last_
 
     Per key the distinct active days are collected once (at most one per day of the
     range, whatever the raw event skew); each snapshot day keeps those <= its date.
+    ``activity`` may hold duplicate (keys, day) rows.
     ``as_of`` returns only that day's snapshot, without the day expansion.
     """
     keys = list(keys)
     first = F.lit(first_day).cast("date") if not isinstance(first_day, Column) else first_day
     last = F.lit(last_day).cast("date") if not isinstance(last_day, Column) else last_day
     upto = last if as_of is None else (F.lit(as_of).cast("date") if not isinstance(as_of, Column) else as_of)
-    act = activity.where(F.col("day").between(first, upto)).select(*keys, "day").distinct()
+    act = activity.where(F.col("day").between(first, upto)).select(*keys, "day")
     started = act.where(F.col("day") == first).exists()
+    # collect_set has a map-side partial step: duplicates (raw events or activity
+    # rows) collapse before the single shuffle on the keys.
     per_key = (act.groupBy(*keys)
-               .agg(F.sort_array(F.collect_list("day"), asc=False).alias("_days"),
+               .agg(F.sort_array(F.collect_set("day"), asc=False).alias("_days"),
                     F.min("day").alias("_first"))
                .where(started))
     if as_of is not None:

@@ -102,14 +102,14 @@ def _dates_str(arr: Column) -> Column:
 
 def user_datelist(spark, sf_dir, as_of=None):
     ev = roles.events(spark, sf_dir)
-    act = user_activity(ev, roles.devices(spark, sf_dir))
+    act = user_activity(ev, roles.devices(spark, sf_dir), distinct=False)
     return datelist_backfill(act, USER_KEYS, roles.EVENTS_FIRST_DAY, _last_event_day(ev),
                              "device_actives", as_of=as_of)
 
 
 def host_datelist(spark, sf_dir):
     ev = roles.events(spark, sf_dir)
-    return datelist_backfill(host_activity(ev), ["host"], roles.EVENTS_FIRST_DAY, _last_event_day(ev),
+    return datelist_backfill(host_activity(ev, distinct=False), ["host"], roles.EVENTS_FIRST_DAY, _last_event_day(ev),
                              "host_activity_datelist")
 
 
