@@ -274,6 +274,29 @@ def q_match_fact_bucketed(spark, sf_dir):
     return reports.match_fact(m, d, p)
 
 
+# ---- streamed daily loads ----------------------------------------------------
+def _land_events(spark, sf_dir):
+    """The events as files in a landing folder, as an upstream writer leaves them."""
+    src = scratch_path(spark, "events_landing")
+    ev = roles.events(spark, sf_dir)
+    ev.write.parquet(src)
+    return src, ev.schema
+
+
+def q_host_datelist_streamed(spark, sf_dir):
+    import datetime as dt
+
+    from laminar.streaming import host_datelist_load, run_stream
+    src, schema = _land_events(spark, sf_dir)
+    target = scratch_path(spark, "hosts_streamed")
+    model = host_datelist_load(target, dt.date.fromisoformat(roles.EVENTS_FIRST_DAY))
+    run_stream(spark, src, schema, model, scratch_path(spark, "staging"), scratch_path(spark, "stream_ckpt"),
+               finalize=True)
+    return spark.read.parquet(target).select(
+        "host", "date", _dates_str(F.col("host_activity_datelist")).alias("host_activity_datelist"),
+        F.size("host_activity_datelist").cast("long").alias("n_active"))
+
+
 QUERIES: dict[str, Query] = {
     "scd2_backfill": q_scd2_backfill,
     "actors_cumulative": q_actors_cumulative,
@@ -305,4 +328,5 @@ QUERIES: dict[str, Query] = {
     "layout_report": q_layout_report,
     "dedup_rewrite": q_dedup_rewrite,
     "match_fact_bucketed": q_match_fact_bucketed,
+    "host_datelist_streamed": q_host_datelist_streamed,
 }
