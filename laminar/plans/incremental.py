@@ -1,11 +1,12 @@
 """Serial loads: run a model's daily/yearly step period after period.
 
 Each step is one distributed job that reads the previous period's partition of
-the target table and writes the next one, so lineage never grows beyond a step
-and a lost executor only re-runs tasks of the current step.  The loop itself only
-carries the period number on the driver.  These loops are what a scheduler runs
-once per period; the closed forms in ``laminar.operators`` produce the same
-tables in one job for a backfill.
+the target table (by its directory) and writes the next one, so lineage never
+grows beyond a step and a lost executor only re-runs tasks of the current step.
+The loop carries only the last loaded period on the driver; whether a step wrote
+anything is read back from the partition it would have produced.  These loops
+are what a scheduler runs once per period; the closed forms in
+``laminar.operators`` produce the same tables in one job for a backfill.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from laminar.functions.bands import AS_WRITTEN
 from laminar.operators.cumulate import cumulate_year_step
@@ -22,7 +24,7 @@ from laminar.operators.datelist import datelist_step
 from laminar.operators.reduced import reduce_step
 from laminar.operators.scd2 import scd2_increment
 from laminar.operators.upsert import upsert
-from laminar.plans.tables import overwrite_partitions, read_table
+from laminar.plans.tables import conform, has_partition, overwrite_partitions, read_partition, read_table
 from laminar.sources.schemas import ACTORS, ACTORS_HISTORY_SCD, HOST_ACTIVITY_REDUCED
 
 
@@ -30,24 +32,20 @@ def load_years(spark: SparkSession, facts: DataFrame, path: str, seed: int, runs
                history: str = "two_period", bands=AS_WRITTEN) -> DataFrame:
     """Run the yearly cumulative step ``runs`` times into the table at ``path``.
 
-    A run past the last loadable year writes nothing (the stop guard), as in the
-    serial load; the table is partitioned by ``current_year``.
+    The step only needs the latest snapshot (its year, and for ``carry`` its
+    history), so each run reads that one partition.  A run past the last loadable
+    year writes nothing (the stop guard) and the year does not advance.
     """
+    last = None
     for _ in range(runs):
-        state = read_table(spark, path, ACTORS, _has_data(spark, path))
+        state = (read_partition(spark, path, ACTORS, "current_year", last) if last is not None
+                 else spark.createDataFrame([], ACTORS))
         step = cumulate_year_step(state, facts, seed=seed, history=history, bands=bands)
-        overwrite_partitions(step.select(*[F.col(f.name).cast(f.dataType) for f in ACTORS.fields]),
-                             path, "current_year")
-    return read_table(spark, path, ACTORS, _has_data(spark, path))
-
-
-def _has_data(spark: SparkSession, path: str) -> bool:
-    """Whether any data file was written at ``path`` yet (an empty step writes none)."""
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - raises when nothing was written
-        return True
-    except Exception:  # noqa: BLE001
-        return False
+        overwrite_partitions(conform(step, ACTORS), path, "current_year")
+        nxt = (last if last is not None else seed) + 1
+        if has_partition(spark, path, "current_year", nxt):
+            last = nxt
+    return read_table(spark, path, ACTORS, last is not None)
 
 
 def scd2_load_years(spark: SparkSession, state: DataFrame, years: Sequence[int], path: str,
@@ -60,22 +58,19 @@ def scd2_load_years(spark: SparkSession, state: DataFrame, years: Sequence[int],
     """
     open_end = None
     for y in years:
-        if open_end is None:
-            open_slice = spark.createDataFrame([], ACTORS_HISTORY_SCD)
-        else:
-            open_slice = read_table(spark, path, ACTORS_HISTORY_SCD, True).where(F.col("end_date") == open_end)
+        open_slice = (read_partition(spark, path, ACTORS_HISTORY_SCD, "end_date", open_end)
+                      if open_end is not None else spark.createDataFrame([], ACTORS_HISTORY_SCD))
         rows = scd2_increment(open_slice, state.where(F.col("current_year") == y), key=key,
                               null_safe=null_safe)
         merged = upsert(open_slice, rows, keys=[key, "start_date"],
                         update_cols=["quality_class", "is_active", "end_date"])
-        merged = merged.select(*[F.col(f.name).cast(f.dataType) for f in ACTORS_HISTORY_SCD.fields])
-        overwrite_partitions(merged, path, "end_date")
+        overwrite_partitions(conform(merged, ACTORS_HISTORY_SCD), path, "end_date")
         open_end = y
     return read_table(spark, path, ACTORS_HISTORY_SCD, open_end is not None)
 
 
 def datelist_load_days(spark: SparkSession, activity: DataFrame, keys: Sequence[str], path: str,
-                       first_day: dt.date, days: int, list_col: str, schema) -> DataFrame:
+                       first_day: dt.date, days: int, list_col: str, schema: StructType) -> DataFrame:
     """Run the daily date-list step ``days`` times (table partitioned by ``date``).
 
     The clock only advances once something was written: if the first day has no
@@ -84,14 +79,11 @@ def datelist_load_days(spark: SparkSession, activity: DataFrame, keys: Sequence[
     loaded: dt.date | None = None
     for _ in range(days):
         today = first_day if loaded is None else loaded + dt.timedelta(days=1)
-        if loaded is None:
-            yesterday = spark.createDataFrame([], schema)
-        else:
-            yesterday = read_table(spark, path, schema, True).where(F.col("date") == F.lit(loaded))
+        yesterday = (read_partition(spark, path, schema, "date", loaded) if loaded is not None
+                     else spark.createDataFrame([], schema))
         step = datelist_step(yesterday, activity, keys, today, list_col)
-        step = step.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-        overwrite_partitions(step, path, "date")
-        if loaded is not None or _has_data(spark, path):
+        overwrite_partitions(conform(step, schema), path, "date")
+        if loaded is not None or has_partition(spark, path, "date", today):
             loaded = today
     return read_table(spark, path, schema, loaded is not None)
 
@@ -102,13 +94,11 @@ def reduce_load_days(spark: SparkSession, counts: DataFrame, path: str, first_da
 
     Each step reads the month's partition and overwrites it with one more slot.
     """
-    written = False
     for i in range(days):
         day = first_day + dt.timedelta(days=i)
-        month = day.replace(day=1)
-        state = read_table(spark, path, HOST_ACTIVITY_REDUCED, written).where(F.col("month") == F.lit(month))
-        step = reduce_step(state, counts, day, key=key)
-        step = step.select(*[F.col(f.name).cast(f.dataType) for f in HOST_ACTIVITY_REDUCED.fields])
-        overwrite_partitions(step, path, "month")
-        written = written or _has_data(spark, path)
+        state = read_partition(spark, path, HOST_ACTIVITY_REDUCED, "month", day.replace(day=1))
+        overwrite_partitions(conform(reduce_step(state, counts, day, key=key), HOST_ACTIVITY_REDUCED),
+                             path, "month")
+    months = {(first_day + dt.timedelta(days=i)).replace(day=1) for i in range(days)}
+    written = any(has_partition(spark, path, "month", m) for m in months)
     return read_table(spark, path, HOST_ACTIVITY_REDUCED, written)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,17 +40,26 @@ def file_bytes(spark: SparkSession, path: str) -> DataFrame:
 def layout_report(spark: SparkSession, df: DataFrame, columns: Sequence[str], root: str,
                   include_unsorted: bool = True) -> DataFrame:
     """Write ``df`` once per candidate sort column (sorted within partitions) and report
-    the bytes each layout takes: (sort_column, bytes, files, mb)."""
-    parts = []
-    cands = ([None] if include_unsorted else []) + list(columns)
-    for c in cands:
-        path = f"{root.rstrip('/')}/{c or 'unsorted'}"
-        (df if c is None else df.sortWithinPartitions(c)).write.mode("overwrite").parquet(path)
-        parts.append(file_bytes(spark, path).select(F.lit(c or "unsorted").alias("sort_column"), "*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("mb", F.round(F.col("bytes") / (1024 * 1024), 2))
+    the bytes each layout takes: (sort_column, bytes, files, mb).
+
+    ``df`` is computed once (persisted, spilling to disk; a lost block is recomputed
+    from lineage) so every layout writes the same partitions, and the sizes of all
+    layouts are read in one metadata-only job (no data columns are read).
+    """
+    root = root.rstrip("/")
+    cands = (["unsorted"] if include_unsorted else []) + list(columns)
+    data = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for c in cands:
+            (data if c == "unsorted" else data.sortWithinPartitions(c)) \
+                .write.mode("overwrite").parquet(f"{root}/layout={c}")
+    finally:
+        data.unpersist()
+    files = (spark.read.parquet(root)
+             .select("layout", "_metadata.file_path", "_metadata.file_size").distinct())
+    return (files.groupBy(F.col("layout").cast("string").alias("sort_column"))
+            .agg(F.sum("file_size").cast("long").alias("bytes"), F.count(F.lit(1)).alias("files"))
+            .withColumn("mb", F.round(F.col("bytes") / (1024 * 1024), 2)))
 
 
 def rewrite_dedup(spark: SparkSession, path: str, new_path: str, keys: Sequence[str],

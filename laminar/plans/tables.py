@@ -1,29 +1,67 @@
 """Partitioned parquet tables written one period at a time.
 
-A snapshot table is partitioned by its period column.  A load step reads only
-the partitions it needs (partition pruning) and replaces only the partitions it
-produces (dynamic partition overwrite): re-running a period replaces it instead
-of duplicating it, and untouched periods are never rewritten.  Output is staged
-and swapped at job commit, so a step may read the partition it overwrites and a
-retried task still sees the old input.
+A snapshot table is partitioned by its period column.  A load step reads only the
+partition directories it needs (no listing of the whole table) and replaces only
+the partitions it produces (dynamic partition overwrite): re-running a period
+replaces it instead of duplicating it, and untouched periods are never
+rewritten.  Output is staged and swapped at job commit, so a step may read the
+partition it overwrites and a retried task still sees the old input.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_col: str) -> None:
-    (df.repartition(partition_col)
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Replace the ``partition_col`` partitions present in ``df``.
+
+    No repartition by the partition column: a daily step has a single partition
+    value, and hashing on it would funnel the whole day into one writer task.
+    Every task writes its own file into the partitions it holds.
+    """
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(partition_col).parquet(path))
 
 
+def _literal(value) -> str:
+    return value.isoformat() if isinstance(value, (dt.date, dt.datetime)) else str(value)
+
+
+def partition_path(path: str, col: str, value) -> str:
+    return f"{path.rstrip('/')}/{col}={_literal(value)}"
+
+
+def read_partition(spark: SparkSession, path: str, schema: StructType, col: str, value) -> DataFrame:
+    """One partition of a table, read by its directory (an empty frame if absent)."""
+    try:
+        df = spark.read.option("basePath", path).parquet(partition_path(path, col, value))
+    except Exception:  # noqa: BLE001 - absent partition: nothing was written for it
+        return spark.createDataFrame([], schema)
+    if col not in df.columns:
+        df = df.withColumn(col, F.lit(value))
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+
+def has_partition(spark: SparkSession, path: str, col: str, value) -> bool:
+    try:
+        spark.read.parquet(partition_path(path, col, value)).schema  # noqa: B018
+        return True
+    except Exception:  # noqa: BLE001
+        return False
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType, exists: bool) -> DataFrame:
-    """The table at ``path`` with its declared schema, or an empty one before the first write."""
+    """The whole table at ``path`` with its declared schema, or an empty one before the first write."""
     if not exists:
         return spark.createDataFrame([], schema)
     df = spark.read.parquet(path)
     return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+
+def conform(df: DataFrame, schema: StructType) -> DataFrame:
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])

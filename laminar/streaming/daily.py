@@ -10,8 +10,9 @@ Each micro-batch (``foreachBatch``):
    staging partition and the target's previous partition, and replacing the
    target partition it produces.
 
-Progress lives in the tables, not in driver memory: the last loaded day is read
-back from the target, the newest day seen from the staging table.  A replayed batch
+Progress lives in the tables, not in driver memory: at the start of every batch
+the last loaded day is read back from the target (or its progress log) and the
+newest day seen from the staging table.  A replayed batch
 appends duplicate staging rows, which the steps remove (distinct / distinct
 count), and re-running a day replaces its partition, so recovery from the stream
 checkpoint is safe.
@@ -29,15 +30,19 @@ from pyspark.sql import functions as F
 from laminar.functions.dates import as_timestamp
 from laminar.operators.datelist import datelist_step
 from laminar.operators.reduced import daily_counts, reduce_step
-from laminar.plans.tables import overwrite_partitions, read_table
+from laminar.plans.tables import conform, has_partition, overwrite_partitions, read_partition
 from laminar.sources.schemas import HOST_ACTIVITY_REDUCED, HOSTS_CUMULATED
 
 
 @dataclass
 class DailyLoad:
-    """A daily model: what to stage per event, and how to load one day."""
+    """A daily model: what to stage per event, how to load one day, and how far it got.
+
+    ``load_day(spark, staged, day, prev)`` loads ``day`` given the last loaded day
+    ``prev`` (None before the first load) and returns whether it wrote anything.
+    """
     staging_cols: list[str]
-    load_day: Callable[[SparkSession, DataFrame, dt.date], None]
+    load_day: Callable[[SparkSession, DataFrame, dt.date, dt.date | None], bool]
     loaded_through: Callable[[SparkSession], dt.date | None]
 
 
@@ -49,50 +54,40 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def _max_of(spark: SparkSession, path: str, col: str):
+    return spark.read.parquet(path).agg(F.max(col)).first()[0] if _exists(spark, path) else None
+
+
 def host_datelist_load(target: str, first_day: dt.date) -> DailyLoad:
     """Host active-date list (table partitioned by ``date``)."""
 
-    def loaded_through(spark):
-        if not _exists(spark, target):
-            return None
-        return spark.read.parquet(target).agg(F.max("date")).first()[0]
-
-    def load_day(spark, staged, day):
-        last = loaded_through(spark)
-        if last is None and day != first_day:
-            return  # the first load must be first_day (an empty first day never starts)
-        y = (read_table(spark, target, HOSTS_CUMULATED, True).where(F.col("date") == F.lit(last))
-             if last else spark.createDataFrame([], HOSTS_CUMULATED))
+    def load_day(spark, staged, day, prev):
+        if prev is None and day != first_day:
+            return False  # the first load must be first_day (an empty first day never starts)
+        y = (read_partition(spark, target, HOSTS_CUMULATED, "date", prev) if prev is not None
+             else spark.createDataFrame([], HOSTS_CUMULATED))
         act = staged.where(F.col("day") == F.lit(day)).select("host", "day")
         step = datelist_step(y, act, ["host"], day, "host_activity_datelist")
-        overwrite_partitions(step.select(*[F.col(f.name).cast(f.dataType) for f in HOSTS_CUMULATED.fields]),
-                             target, "date")
+        overwrite_partitions(conform(step, HOSTS_CUMULATED), target, "date")
+        return prev is not None or has_partition(spark, target, "date", day)
 
-    return DailyLoad(["host"], load_day, loaded_through)
+    return DailyLoad(["host"], load_day, lambda spark: _max_of(spark, target, "date"))
 
 
 def reduced_load(target: str, first_day: dt.date) -> DailyLoad:
     """Monthly reduced hits / unique visitors (table partitioned by ``month``)."""
     progress = f"{target.rstrip('/')}_loaded"
 
-    def loaded_through(spark):
-        if not _exists(spark, progress):
-            return None
-        return spark.read.parquet(progress).agg(F.max("day")).first()[0]
-
-    def load_day(spark, staged, day):
-        if loaded_through(spark) is None and day != first_day:
-            return
-        month = day.replace(day=1)
-        state = (read_table(spark, target, HOST_ACTIVITY_REDUCED, _exists(spark, target))
-                 .where(F.col("month") == F.lit(month)))
+    def load_day(spark, staged, day, prev):
+        if prev is None and day != first_day:
+            return False
+        state = read_partition(spark, target, HOST_ACTIVITY_REDUCED, "month", day.replace(day=1))
         counts = daily_counts(staged.where(F.col("day") == F.lit(day)).withColumnRenamed("ts", "event_time"))
-        step = reduce_step(state, counts, day)
-        overwrite_partitions(step.select(*[F.col(f.name).cast(f.dataType) for f in HOST_ACTIVITY_REDUCED.fields]),
-                             target, "month")
+        overwrite_partitions(conform(reduce_step(state, counts, day), HOST_ACTIVITY_REDUCED), target, "month")
         spark.createDataFrame([(day,)], "day date").write.mode("append").parquet(progress)
+        return True
 
-    return DailyLoad(["host", "user_id", "ts"], load_day, loaded_through)
+    return DailyLoad(["host", "user_id", "ts"], load_day, lambda spark: _max_of(spark, progress, "day"))
 
 
 def run_stream(spark: SparkSession, source_dir: str, schema, model: DailyLoad, staging: str,
@@ -112,15 +107,15 @@ def run_stream(spark: SparkSession, source_dir: str, schema, model: DailyLoad, s
 
     def load_complete_days(upto_inclusive: bool):
         staged = spark.read.parquet(staging)
-        newest = staged.agg(F.max("day")).first()[0]
-        if newest is None:
+        bounds = staged.agg(F.min("day"), F.max("day")).first()
+        if bounds[1] is None:
             return
-        last_complete = newest if upto_inclusive else newest - dt.timedelta(days=1 + lateness_days)
-        start = model.loaded_through(spark)
-        start = staged.agg(F.min("day")).first()[0] if start is None else start + dt.timedelta(days=1)
-        day = start
+        last_complete = bounds[1] if upto_inclusive else bounds[1] - dt.timedelta(days=1 + lateness_days)
+        prev = model.loaded_through(spark)
+        day = bounds[0] if prev is None else prev + dt.timedelta(days=1)
         while day <= last_complete:
-            model.load_day(spark, staged, day)
+            if model.load_day(spark, staged, day, prev):
+                prev = day
             day += dt.timedelta(days=1)
 
     def batch(df: DataFrame, batch_id: int):
