@@ -25,7 +25,7 @@ from laminar.plans.load import layout_report, load_bucketed, rewrite_dedup
 from laminar.plans.tables import overwrite_partitions
 from laminar.session import scratch_path
 from laminar.sources import roles
-from laminar.sources.schemas import HOSTS_CUMULATED
+from laminar.sources.schemas import HOSTS_CUMULATED, USER_DEVICES_CUMULATED
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -237,6 +237,19 @@ def q_host_datelist_incremental(spark, sf_dir):
                         F.size("host_activity_datelist").cast("long").alias("n_active"))
 
 
+def q_user_datelist_incremental(spark, sf_dir):
+    import datetime as dt
+    ev = roles.events(spark, sf_dir)
+    first = dt.date.fromisoformat(roles.EVENTS_FIRST_DAY)
+    last = ev.agg(F.max(F.to_date("event_time"))).first()[0]
+    act = user_activity(ev, roles.devices(spark, sf_dir), distinct=False)
+    table = incremental.datelist_load_days(spark, act, USER_KEYS, scratch_path(spark, "user_devices"),
+                                           first, (last - first).days + 1, "device_actives",
+                                           USER_DEVICES_CUMULATED)
+    return table.select(*USER_KEYS, "date", _dates_str(F.col("device_actives")).alias("device_actives"),
+                        F.size("device_actives").cast("long").alias("n_active"))
+
+
 def q_reduced_incremental(spark, sf_dir):
     import datetime as dt
     ev = roles.events(spark, sf_dir)
@@ -323,6 +336,7 @@ QUERIES: dict[str, Query] = {
     "actors_incremental": q_actors_incremental,
     "scd2_incremental": q_scd2_incremental,
     "host_datelist_incremental": q_host_datelist_incremental,
+    "user_datelist_incremental": q_user_datelist_incremental,
     "reduced_incremental": q_reduced_incremental,
     "load_sliced": q_load_sliced,
     "layout_report": q_layout_report,
