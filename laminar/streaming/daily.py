@@ -11,8 +11,10 @@ Each micro-batch (``foreachBatch``):
    target partition it produces.
 
 Progress lives in the tables, not in driver memory: at the start of every batch
-the last loaded day is read back from the target (or its progress log) and the
-newest day seen from the staging table.  A replayed batch
+the last loaded day is read back from the target (or its progress log).  The
+newest day comes from the micro-batch itself (an all-late batch only delays
+loading), and each day's staged rows are read from that day's directory, so a
+batch never lists or scans the whole staging history.  A replayed batch
 appends duplicate staging rows, which the steps remove (distinct / distinct
 count), and re-running a day replaces its partition, so recovery from the stream
 checkpoint is safe.
@@ -24,13 +26,14 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laminar.functions.dates import as_timestamp
 from laminar.operators.datelist import datelist_step
 from laminar.operators.reduced import daily_counts, reduce_step
-from laminar.plans.tables import conform, has_partition, overwrite_partitions, read_partition
+from laminar.plans.tables import conform, has_partition, overwrite_partitions, partition_path, read_partition
 from laminar.sources.schemas import HOST_ACTIVITY_REDUCED, HOSTS_CUMULATED
 
 
@@ -44,6 +47,7 @@ class DailyLoad:
     staging_cols: list[str]
     load_day: Callable[[SparkSession, DataFrame, dt.date, dt.date | None], bool]
     loaded_through: Callable[[SparkSession], dt.date | None]
+    first_day: dt.date
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -66,12 +70,12 @@ def host_datelist_load(target: str, first_day: dt.date) -> DailyLoad:
             return False  # the first load must be first_day (an empty first day never starts)
         y = (read_partition(spark, target, HOSTS_CUMULATED, "date", prev) if prev is not None
              else spark.createDataFrame([], HOSTS_CUMULATED))
-        act = staged.where(F.col("day") == F.lit(day)).select("host", "day")
+        act = staged.select("host", "day")
         step = datelist_step(y, act, ["host"], day, "host_activity_datelist")
         overwrite_partitions(conform(step, HOSTS_CUMULATED), target, "date")
         return prev is not None or has_partition(spark, target, "date", day)
 
-    return DailyLoad(["host"], load_day, lambda spark: _max_of(spark, target, "date"))
+    return DailyLoad(["host"], load_day, lambda spark: _max_of(spark, target, "date"), first_day)
 
 
 def reduced_load(target: str, first_day: dt.date) -> DailyLoad:
@@ -82,12 +86,13 @@ def reduced_load(target: str, first_day: dt.date) -> DailyLoad:
         if prev is None and day != first_day:
             return False
         state = read_partition(spark, target, HOST_ACTIVITY_REDUCED, "month", day.replace(day=1))
-        counts = daily_counts(staged.where(F.col("day") == F.lit(day)).withColumnRenamed("ts", "event_time"))
+        counts = daily_counts(staged.withColumnRenamed("ts", "event_time"))
         overwrite_partitions(conform(reduce_step(state, counts, day), HOST_ACTIVITY_REDUCED), target, "month")
         spark.createDataFrame([(day,)], "day date").write.mode("append").parquet(progress)
         return True
 
-    return DailyLoad(["host", "user_id", "ts"], load_day, lambda spark: _max_of(spark, progress, "day"))
+    return DailyLoad(["host", "user_id", "ts"], load_day, lambda spark: _max_of(spark, progress, "day"),
+                     first_day)
 
 
 def run_stream(spark: SparkSession, source_dir: str, schema, model: DailyLoad, staging: str,
@@ -105,22 +110,33 @@ def run_stream(spark: SparkSession, source_dir: str, schema, model: DailyLoad, s
         staged_cols.append(ts.alias("ts"))
     projected = events.select(*staged_cols, F.to_date(ts).alias("day"))
 
-    def load_complete_days(upto_inclusive: bool):
-        staged = spark.read.parquet(staging)
-        bounds = staged.agg(F.min("day"), F.max("day")).first()
-        if bounds[1] is None:
+    staged_schema = projected.schema
+
+    def staged_day(day: dt.date) -> DataFrame:
+        try:
+            return spark.read.option("basePath", staging).parquet(partition_path(staging, "day", day))
+        except Exception:  # noqa: BLE001 - no events landed for that day
+            return spark.createDataFrame([], staged_schema)
+
+    def load_complete_days(newest: dt.date | None, upto_inclusive: bool):
+        if newest is None:
             return
-        last_complete = bounds[1] if upto_inclusive else bounds[1] - dt.timedelta(days=1 + lateness_days)
+        last_complete = newest if upto_inclusive else newest - dt.timedelta(days=1 + lateness_days)
         prev = model.loaded_through(spark)
-        day = bounds[0] if prev is None else prev + dt.timedelta(days=1)
+        day = model.first_day if prev is None else prev + dt.timedelta(days=1)
         while day <= last_complete:
-            if model.load_day(spark, staged, day, prev):
+            if model.load_day(spark, staged_day(day), day, prev):
                 prev = day
             day += dt.timedelta(days=1)
 
     def batch(df: DataFrame, batch_id: int):
-        df.write.mode("append").partitionBy("day").parquet(staging)
-        load_complete_days(False)
+        df.persist(StorageLevel.MEMORY_AND_DISK)  # used twice: staged, then its newest day
+        try:
+            df.write.mode("append").partitionBy("day").parquet(staging)
+            newest = df.agg(F.max("day")).first()[0]
+        finally:
+            df.unpersist()
+        load_complete_days(newest, False)
 
     writer = projected.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
@@ -128,5 +144,6 @@ def run_stream(spark: SparkSession, source_dir: str, schema, model: DailyLoad, s
     if available_now:
         query.awaitTermination()
         if finalize and _exists(spark, staging):
-            load_complete_days(True)
+            newest = spark.read.parquet(staging).agg(F.max("day")).first()[0]
+            load_complete_days(newest, True)
     return query
