@@ -30,18 +30,19 @@ FILM_FIELDS = ("film", "votes", "rating", "filmid")
 def period_agg(facts: DataFrame, keys: Sequence[str] = ("actorid", "actor"), period: str = "year",
                struct_cols: Sequence[str] = FILM_FIELDS, sort_col: str = "filmid",
                score: str = "rating", bands=AS_WRITTEN, out_array: str = "films",
-               out_class: str = "quality_class") -> DataFrame:
+               out_class: str = "quality_class", extra: dict | None = None) -> DataFrame:
     """Per (keys, period): the rows as a struct array sorted by ``sort_col``, the mean
-    score and its band.
+    score and its band (plus any ``extra`` named aggregates, computed in the same pass).
 
     A hash aggregate with a partial (map-side) step; the array is sorted on a
     leading sort key and then projected back to the declared struct fields.
     """
     tagged = F.struct(F.col(sort_col).alias("_k"), *[F.col(c) for c in struct_cols])
+    extra = extra or {}
     return (facts.groupBy(*keys, period)
             .agg(F.array_sort(F.collect_list(tagged)).alias("_arr"),
-                 F.avg(score).alias("_score"))
-            .select(*keys, period,
+                 F.avg(score).alias("_score"), *[e.alias(n) for n, e in extra.items()])
+            .select(*keys, period, *extra.keys(),
                     F.transform("_arr", lambda x: F.struct(*[x[c].alias(c) for c in struct_cols]))
                     .alias(out_array),
                     band(F.col("_score"), bands).alias(out_class)))
@@ -92,9 +93,7 @@ def cumulate_years(facts: DataFrame, seed: int = 1969, history: str = "two_perio
 def _carry_years(facts, seed, end, bands, entity, name, period, out_period):
     # One row per (entity, active year); the name is an attribute (latest spelling wins).
     loaded = facts.where(F.col(period).between(F.lit(seed + 1), end))
-    yearly = period_agg(loaded, keys=(entity,), period=period, bands=bands)
-    names = loaded.groupBy(entity, period).agg(F.max(name).alias(name))
-    yearly = yearly.join(names, [entity, period])
+    yearly = period_agg(loaded, keys=(entity,), period=period, bands=bands, extra={name: F.max(name)})
     # The yearly rows of one entity are few (one per active year): the window holds
     # a bounded number of rows per key whatever the raw fact skew.
     w = Window.partitionBy(entity).orderBy(period)
