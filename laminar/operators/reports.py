@@ -71,3 +71,26 @@ def medal_by_map(fact: DataFrame, medals: DataFrame, maps: DataFrame, medal_name
 
 def top_medal_map(fact: DataFrame, medals: DataFrame, maps: DataFrame, medal_name: str) -> DataFrame:
     return top1(medal_by_map(fact, medals, maps, medal_name), "mapName", F.count("medalName"), "medal_count")
+
+
+def medal_by_map_from_tables(matches: DataFrame, details: DataFrame, medals_players: DataFrame,
+                             medals: DataFrame, maps: DataFrame, medal_name: str) -> DataFrame:
+    """``medal_by_map`` over the fact's source tables, most selective join first.
+
+    The inner joins with the named medal and the map turn the fact's left joins into
+    inner joins, so the result equals filtering the finished fact -- but here the
+    medal rows are cut to the named medal map-side (broadcast) before anything is
+    shuffled, and the detail and match tables are joined only to those rows.
+    """
+    md = bounded_broadcast(medals.where(F.col("name") == medal_name)
+                           .select("medal_id", F.col("name").alias("medalName")))
+    mp = bounded_broadcast(maps.select("mapid", F.col("name").alias("mapName")))
+    hits = medals_players.select("match_id", "player_gamertag", "medal_id").join(md, "medal_id")
+    with_player = hits.join(details.select("match_id", "player_gamertag"), ["match_id", "player_gamertag"])
+    return (with_player.join(matches.select("match_id", "mapid"), "match_id")
+            .join(mp, "mapid").select("match_id", "mapName", "medalName"))
+
+
+def top_medal_map_from_tables(matches, details, medals_players, medals, maps, medal_name) -> DataFrame:
+    rows = medal_by_map_from_tables(matches, details, medals_players, medals, maps, medal_name)
+    return top1(rows, "mapName", F.count("medalName"), "medal_count")

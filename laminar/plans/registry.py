@@ -203,8 +203,10 @@ def q_top_map(spark, sf_dir):
 
 
 def q_top_medal_map(spark, sf_dir):
-    return reports.top_medal_map(fact(spark, sf_dir), roles.medals(spark, sf_dir), roles.maps(spark, sf_dir),
-                                 MEDAL_NAME)
+    return reports.top_medal_map_from_tables(
+        roles.matches(spark, sf_dir), roles.match_details(spark, sf_dir),
+        roles.medal_matches_players(spark, sf_dir), roles.medals(spark, sf_dir), roles.maps(spark, sf_dir),
+        MEDAL_NAME)
 
 
 # ---- serial (incremental) loads: the same tables, one period per job --------

@@ -49,6 +49,21 @@ def test_top1_reports_ties_and_nulls(spark):
     assert tuple(reports.top_medal_map(fact, medals, maps, "Killing Spree").first()) == ("Alpha", 1)
 
 
+def test_medal_rows_from_tables_equal_fact_filter(spark):
+    matches, details, mmp, maps, medals = _star(spark)
+    fact = reports.match_fact(matches, details, mmp)
+    a = sorted(tuple(r) for r in reports.medal_by_map(fact, medals, maps, "Killing Spree").collect())
+    b = sorted(tuple(r) for r in reports.medal_by_map_from_tables(matches, details, mmp, medals, maps,
+                                                                  "Killing Spree").collect())
+    assert a == b and len(a) == 2
+    q = QUERIES["top_medal_map"](spark, SF_SMALL).collect()
+    from laminar.sources import roles
+    f = reports.match_fact(roles.matches(spark, SF_SMALL), roles.match_details(spark, SF_SMALL),
+                           roles.medal_matches_players(spark, SF_SMALL))
+    assert q == reports.top_medal_map(f, roles.medals(spark, SF_SMALL), roles.maps(spark, SF_SMALL),
+                                      roles.MEDAL_NAME).collect()
+
+
 def test_top1_all_null_group_counts_zero(spark):
     df = spark.createDataFrame([(None,), (None,)], "playlist_id string")
     assert tuple(reports.top_playlist(df).first()) == (None, 0)
