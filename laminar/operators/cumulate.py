@@ -74,8 +74,8 @@ def cumulate_years(facts: DataFrame, seed: int = 1969, history: str = "two_perio
         # below the aggregate and splits it into two computations.
         agg = period_agg(facts.where(F.col(period).between(F.lit(seed), end)),
                          keys=(entity, name), period=period, bands=bands)
-        cur = agg.alias("c")
-        prev = agg.withColumn(period, F.col(period) + 1).alias("l")
+        cur = agg.withColumn("_in_c", F.lit(True)).alias("c")
+        prev = agg.withColumn(period, F.col(period) + 1).withColumn("_in_c", F.lit(None).cast("boolean")).alias("l")
         joined = cur.join(prev, [entity, period], "full_outer")
         return joined.select(
             F.col(entity),
@@ -83,7 +83,7 @@ def cumulate_years(facts: DataFrame, seed: int = 1969, history: str = "two_perio
             concat_nullsafe(F.col("l.films"), F.col("c.films")).alias("films"),
             F.coalesce(F.col("c.quality_class"), F.col("l.quality_class")).alias("quality_class"),
             F.col(period).cast("int").alias(out_period),
-            F.col(f"c.{name}").isNotNull().alias("is_active")
+            F.col("c._in_c").isNotNull().alias("is_active")
         ).where(F.col(out_period).between(F.lit(seed + 1), end))
     if history == "carry":
         return _carry_years(facts, seed, end, bands, entity, name, period, out_period)

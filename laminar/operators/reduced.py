@@ -45,9 +45,10 @@ def reduce_step(month_state: DataFrame, counts: DataFrame, day, key: str = "host
     d = _date(day)
     month = F.trunc(d, "MM")
     t = counts.where(F.col("day") == d).select(key, F.col("hits").alias("_h"), F.col("visitors").alias("_v"))
-    y = month_state.where(F.col("month") == month).select(key, "hit_array", "unique_visitor_array")
+    y = (month_state.where(F.col("month") == month)
+         .select(key, "hit_array", "unique_visitor_array", F.lit(True).alias("_known")))
     j = t.join(y, key, "full_outer")
-    known = F.col("hit_array").isNotNull()
+    known = F.col("_known").isNotNull()
     slot = F.datediff(d, month)
     return j.select(
         key, month.alias("month"),

@@ -140,3 +140,11 @@ def test_scd2_increment_rerun_is_idempotent(spark):
     again = upsert(scd, scd2_increment(scd, s), ["actorid", "start_date"],
                    ["quality_class", "is_active", "end_date"])
     assert _scd_rows(again) == _scd_rows(scd)
+
+
+@pytest.mark.parametrize("history", ["two_period", "carry"])
+def test_null_actor_name_still_active(spark, history):
+    f = films(spark, [("a", None, "x", 1, 9.0, "1", 2001), ("a", None, "x", 1, 9.0, "2", 2002)])
+    got = {r.current_year: r.is_active for r in cumulate_years(f, seed=2000, history=history).collect()}
+    assert got == {2001: True, 2002: True}
+    assert _key(cumulate_years(f, seed=2000, history=history)) == _key(_loop(spark, f, 2000, 3, history))
