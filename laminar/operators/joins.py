@@ -6,22 +6,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Default row bound for a broadcast build side.  The dimensions broadcast here are
-# pruned to a key and one or two short columns, so 2M rows stay far below the
-# broadcast size limit of an executor.
-MAX_BROADCAST_ROWS = 2_000_000
+# pruned to a key and one or two short columns, so 1M rows (tens of MB) stay far
+# below the broadcast size limit of an executor.
+MAX_BROADCAST_ROWS = 1_000_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows, at a cost bounded by the bound.
+
+    ``offset(max_rows).take(1)`` runs as one collect-limit of ``max_rows + 1`` rows,
+    which Spark executes incrementally: it scans a few partitions, then more, and
+    stops as soon as it has seen ``max_rows + 1`` rows.  The rows are a constant
+    projection (no column is read).  A large side therefore costs about
+    ``max_rows`` rows of scanning, never a full pass.
+    """
+    return len(df.select(F.lit(1).alias("_one")).offset(max_rows).take(1)) == 0
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Hint ``df`` for broadcast only after checking it has at most ``max_rows`` rows.
 
-    The check is ``limit(max_rows + 1).count()``: it stops reading once the bound is
-    exceeded, so its cost is bounded even for a large side.  Above the bound the
-    DataFrame is returned unhinted and the join stays a shuffle join (adaptive
-    execution may still switch it to broadcast from runtime sizes).
+    The check (``fits_broadcast``) stops reading once the bound is exceeded, so its
+    cost is bounded even for a large side.  Above the bound the DataFrame is
+    returned unhinted and the join stays a shuffle join (adaptive execution may
+    still switch it to broadcast from runtime sizes).
     """
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df

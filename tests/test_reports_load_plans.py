@@ -76,6 +76,22 @@ def test_bounded_broadcast_checks_size(spark):
     assert "BROADCAST" not in unhinted._jdf.queryExecution().logical().toString().upper()
 
 
+def test_size_check_reads_only_what_the_bound_needs(spark):
+    from laminar.operators.joins import fits_broadcast
+    sc = spark.sparkContext
+    big = spark.range(0, 2_000_000, numPartitions=200)
+    sc.setJobGroup("size-check", "size-check")
+    try:
+        assert not fits_broadcast(big, 1000)
+        st = sc.statusTracker()
+        tasks = sum(st.getStageInfo(s).numTasks for j in st.getJobIdsForGroup("size-check")
+                    for s in st.getJobInfo(j).stageIds if st.getStageInfo(s))
+    finally:
+        sc.setJobGroup("", "")
+    assert tasks < 50  # incremental take: a few partitions, not all 200
+    assert fits_broadcast(spark.range(1000), 1000) and not fits_broadcast(spark.range(1001), 1000)
+
+
 def test_load_bucketed_drops_null_slice_and_buckets(spark):
     df = spark.createDataFrame([("m1", "1", "p", dt.datetime(2020, 1, 1)), ("m2", "1", "p", None)], M)
     t = load_bucketed(spark, df, scratch_path(spark, "t_matches"), "match_id", 4, drop_null="completion_date")
