@@ -32,3 +32,27 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     still switch it to broadcast from runtime sizes).
     """
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+
+
+def left_join(left: DataFrame, right: DataFrame, keys: list[str], skew_safe: bool = True) -> DataFrame:
+    """``left LEFT OUTER JOIN right USING (keys)``, safe against a hot key on the right.
+
+    Adaptive execution splits a skewed partition only on the left side of a left
+    outer join, so a right-side key holding a third of the rows would be joined in one
+    task.  With ``skew_safe`` the join is computed as
+
+        (left INNER JOIN right)  UNION ALL  (left ANTI JOIN distinct right keys)
+
+    The inner join's skewed partitions can be split on either side; the anti join
+    sees each right key once (the distinct has a map-side partial step), so a hot key
+    is one row there.  Both branches shuffle ``left`` on the keys the same way, so
+    that exchange is reused.  The result equals the left outer join exactly (a left
+    row with a NULL key matches nothing and is kept once).
+    """
+    if not skew_safe:
+        return left.join(right, keys, "left")
+    matched = left.join(right, keys, "inner")
+    rest = [f for f in right.schema.fields if f.name not in keys]
+    unmatched = (left.join(right.select(*keys).distinct(), keys, "left_anti")
+                 .select(*left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in rest]))
+    return matched.unionByName(unmatched.select(*matched.columns))

@@ -12,20 +12,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laminar.operators.joins import bounded_broadcast
+from laminar.operators.joins import bounded_broadcast, left_join
 
 
-def match_fact(matches: DataFrame, details: DataFrame, medals_players: DataFrame) -> DataFrame:
+def match_fact(matches: DataFrame, details: DataFrame, medals_players: DataFrame,
+               skew_safe: bool = True) -> DataFrame:
     """matches LEFT JOIN details ON match LEFT JOIN medal rows ON (match, player).
 
     A player's row repeats once per medal row; matches without details keep one row
-    with NULL player.  Medal ``count`` is not carried.
+    with NULL player.  Medal ``count`` is not carried.  The fact tables are on the
+    right of both left joins; ``skew_safe`` (see ``joins.left_join``) keeps a hot
+    match or player key from landing in one task.
     """
     m = matches.select("match_id", "mapid", "playlist_id")
     d = details.select("match_id", "player_gamertag", "player_total_kills")
-    md = m.join(d, "match_id", "left")
+    md = left_join(m, d, ["match_id"], skew_safe)
     mmp = medals_players.select("match_id", "player_gamertag", "medal_id")
-    return (md.join(mmp, ["match_id", "player_gamertag"], "left")
+    return (left_join(md, mmp, ["match_id", "player_gamertag"], skew_safe)
             .select("match_id", "mapid", "playlist_id", "medal_id", "player_gamertag",
                     "player_total_kills"))
 
@@ -38,6 +41,19 @@ def player_match(fact: DataFrame, maps: DataFrame) -> DataFrame:
             .select("match_id", "playlist_id", "mapid", "player_gamertag", "player_total_kills", "mapName"))
 
 
+def player_match_from_tables(matches: DataFrame, details: DataFrame, maps: DataFrame,
+                             skew_safe: bool = True) -> DataFrame:
+    """``player_match`` without building the medal fan-out first.
+
+    The DISTINCT keeps only matches/details columns, and a left join never drops a
+    left row, so joining the medal rows and folding them back changes nothing: the
+    result equals ``player_match(match_fact(...), maps)`` row for row.
+    """
+    m = matches.select("match_id", "mapid", "playlist_id")
+    d = details.select("match_id", "player_gamertag", "player_total_kills")
+    return player_match(left_join(m, d, ["match_id"], skew_safe).withColumn("medal_id", F.lit(None)), maps)
+
+
 def top1(df: DataFrame, group: str, value: Column, alias: str) -> DataFrame:
     """The group with the largest aggregate (NULLs last; ties -> smallest group key)."""
     return (df.groupBy(group).agg(value.alias(alias))

@@ -178,7 +178,8 @@ def fact(spark, sf_dir):
 
 
 def player_match(spark, sf_dir):
-    return reports.player_match(fact(spark, sf_dir), roles.maps(spark, sf_dir))
+    return reports.player_match_from_tables(roles.matches(spark, sf_dir), roles.match_details(spark, sf_dir),
+                                            roles.maps(spark, sf_dir))
 
 
 def q_match_fact(spark, sf_dir):

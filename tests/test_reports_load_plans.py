@@ -36,6 +36,23 @@ def test_match_fact_left_joins_and_fanout(spark):
     assert pm.count() == 4 and pm.where("match_id = 'm3'").first().mapName == "Alpha"
 
 
+def test_skew_safe_left_join_equals_left_join(spark):
+    from laminar.operators.joins import left_join
+    l = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (3, "d")], "k int, x string")
+    r = spark.createDataFrame([(1, 10), (1, 11), (2, 20), (None, 99)] + [(1, i) for i in range(50)], "k int, y int")
+    a = sorted(map(tuple, left_join(l, r, ["k"]).collect()), key=repr)
+    b = sorted(map(tuple, l.join(r, ["k"], "left").collect()), key=repr)
+    assert a == b and left_join(l, r, ["k"]).columns == l.join(r, ["k"], "left").columns
+
+
+def test_player_match_from_tables_equals_fact_form(spark):
+    from laminar.sources import roles
+    args = [f(spark, SF_SMALL) for f in (roles.matches, roles.match_details, roles.medal_matches_players)]
+    a = reports.player_match(reports.match_fact(*args), roles.maps(spark, SF_SMALL))
+    b = reports.player_match_from_tables(args[0], args[1], roles.maps(spark, SF_SMALL))
+    assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+
+
 def test_top1_reports_ties_and_nulls(spark):
     matches, details, mmp, maps, medals = _star(spark)
     pm = reports.player_match(reports.match_fact(matches, details, mmp), maps)
