@@ -13,19 +13,24 @@ from laminar.operators.dedup import dedup
 
 
 def load_bucketed(spark: SparkSession, df: DataFrame, path: str, bucket_col: str = "match_id",
-                  buckets: int = 16, drop_null: str | None = None, name: str | None = None) -> DataFrame:
+                  buckets: int = 16, drop_null: str | None = None, name: str | None = None,
+                  files_per_bucket: int = 1, mode: str = "overwrite") -> DataFrame:
     """Write ``df`` as a table bucketed and sorted by ``bucket_col``; return the table.
 
-    One job replaces a driver loop of per-value slices: the repartition uses the same
-    hash as the bucketing, so each task writes exactly one bucket file and the sort
-    spills instead of running out of memory.  Later joins on ``bucket_col`` between
-    tables with the same bucket count need no exchange.  ``drop_null`` keeps the
-    per-value loop's behaviour of never loading rows whose slice column is NULL.
+    One job replaces a driver loop of per-value slices.  The data is repartitioned
+    into ``buckets * files_per_bucket`` tasks with the same hash the bucketing uses;
+    since ``buckets`` divides that count, every task holds rows of exactly one bucket
+    and writes one sorted file (the sort spills instead of running out of memory).
+    ``files_per_bucket`` sets the write parallelism for a large table without
+    changing the bucket layout.  Later joins on ``bucket_col`` between tables with the
+    same bucket count need no exchange.  ``drop_null`` keeps the per-value loop's
+    behaviour of never loading rows whose slice column is NULL; ``mode='append'``
+    adds to an existing table as the per-slice loads did.
     """
     out = df if drop_null is None else df.where(F.col(drop_null).isNotNull())
     name = name or f"laminar_{uuid.uuid4().hex[:12]}"
-    (out.repartition(buckets, bucket_col)
-        .write.mode("overwrite").bucketBy(buckets, bucket_col).sortBy(bucket_col)
+    (out.repartition(buckets * files_per_bucket, bucket_col)
+        .write.mode(mode).bucketBy(buckets, bucket_col).sortBy(bucket_col)
         .option("path", path).saveAsTable(name))
     return spark.table(name)
 

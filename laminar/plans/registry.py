@@ -221,7 +221,7 @@ def q_actors_incremental(spark, sf_dir):
 
 def q_scd2_incremental(spark, sf_dir):
     path = scratch_path(spark, "actors")
-    overwrite_partitions(actors(spark, sf_dir), path, "current_year")
+    overwrite_partitions(actors(spark, sf_dir), path, "current_year", files_per_partition=2)
     state = spark.read.parquet(path)
     years = [r[0] for r in state.select("current_year").distinct().orderBy("current_year").collect()]
     return incremental.scd2_load_years(spark, state, years, scratch_path(spark, "actors_scd"))

@@ -17,13 +17,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_col: str) -> None:
+def overwrite_partitions(df: DataFrame, path: str, partition_col: str,
+                         files_per_partition: int | None = None) -> None:
     """Replace the ``partition_col`` partitions present in ``df``.
 
-    No repartition by the partition column: a daily step has a single partition
-    value, and hashing on it would funnel the whole day into one writer task.
-    Every task writes its own file into the partitions it holds.
+    By default there is no repartition: a daily step has a single partition value,
+    and hashing on it alone would funnel the whole day into one writer task; every
+    task writes its own file into the partitions it holds.  For a backfill spanning
+    many periods, ``files_per_partition`` bounds the file count instead: rows are
+    spread by (period, deterministic row hash mod n), so each period is written by
+    at most n tasks, one file each, and a retried task gets the same rows.
     """
+    if files_per_partition:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
+        df = df.repartition(F.col(partition_col), salt)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(partition_col).parquet(path))
 

@@ -115,6 +115,14 @@ def test_load_bucketed_drops_null_slice_and_buckets(spark):
     assert [r.match_id for r in t.collect()] == ["m1"]
 
 
+def test_files_per_bucket_keeps_one_bucket_per_file(spark):
+    df = spark.range(5000).select(F.col("id").cast("string").alias("match_id"))
+    t = load_bucketed(spark, df, scratch_path(spark, "tfb"), "match_id", 4, files_per_bucket=3)
+    files = (t.select(F.input_file_name().alias("f"), F.expr("pmod(hash(match_id), 4)").alias("b"))
+             .groupBy("f").agg(F.countDistinct("b").alias("nb")).collect())
+    assert len(files) <= 12 and all(r.nb == 1 for r in files) and t.count() == 5000
+
+
 def test_bucketed_join_has_no_exchange(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -176,3 +184,16 @@ def test_no_python_udfs_anywhere(spark):
     for key in ["actors_cumulative", "user_datelist", "reduced_hits", "player_match", "scd2_backfill"]:
         plan = _plan(QUERIES[key](spark, SF_SMALL))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_overwrite_partitions_bounds_files_and_replaces_only_its_partitions(spark):
+    from laminar.plans.tables import overwrite_partitions
+    path = scratch_path(spark, "parts")
+    df = spark.range(3000, numPartitions=16).select((F.col("id") % 3).alias("p"), F.col("id"))
+    overwrite_partitions(df, path, "p", files_per_partition=2)
+    per = (spark.read.parquet(path).select("p", F.input_file_name().alias("f")).distinct()
+           .groupBy("p").count().collect())
+    assert len(per) == 3 and all(r["count"] <= 2 for r in per)
+    overwrite_partitions(spark.createDataFrame([(0, -1)], "p long, id long"), path, "p")
+    got = spark.read.parquet(path)
+    assert got.where("p = 0").count() == 1 and got.where("p = 1").count() == 1000
