@@ -132,6 +132,11 @@ def test_bucketed_join_has_no_exchange(spark):
         tb = load_bucketed(spark, b, scratch_path(spark, "tb"), "match_id", 8)
         plan = ta.join(tb, "match_id", "left")._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Exchange" not in plan
+        from laminar.operators.joins import left_join
+        safe = left_join(ta, tb, ["match_id"])
+        safe.collect()
+        plan = safe._jdf.queryExecution().executedPlan().toString()
+        assert "LeftAnti" in plan and "Exchange" not in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
