@@ -97,6 +97,18 @@ def fix_last(month_state: DataFrame, recount: DataFrame, key: str = "host",
     return j.withColumn(array_col, fixed).drop("_r")
 
 
+def fix_last_variants(month_state: DataFrame, recount: DataFrame, key: str = "host",
+                      value_col: str = "hits", array_col: str = "hit_array") -> DataFrame:
+    """Both corrections from one join: ``<array_col>_as_written`` (every slot equal to
+    the last value replaced) and ``<array_col>_positional`` (last slot only)."""
+    r = recount.select(key, F.col(value_col).alias("_r"))
+    v = F.coalesce(F.col("_r"), F.lit(0)).cast("float")
+    return (month_state.join(r, key, "left")
+            .withColumn(f"{array_col}_as_written", replace_equal_to_last(F.col(array_col), v))
+            .withColumn(f"{array_col}_positional", replace_last_slot(F.col(array_col), v))
+            .drop("_r"))
+
+
 def explode_days(month_state: DataFrame, key: str = "host") -> DataFrame:
     """(key, day, hits, visitors) rows read back from the month arrays."""
     z = month_state.select(key, "month", F.posexplode(F.arrays_zip("hit_array", "unique_visitor_array")))

@@ -9,6 +9,9 @@ the group key so the answer is reproducible.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -110,3 +113,17 @@ def medal_by_map_from_tables(matches: DataFrame, details: DataFrame, medals_play
 def top_medal_map_from_tables(matches, details, medals_players, medals, maps, medal_name) -> DataFrame:
     rows = medal_by_map_from_tables(matches, details, medals_players, medals, maps, medal_name)
     return top1(rows, "mapName", F.count("medalName"), "medal_count")
+
+
+@contextmanager
+def shared_player_match(matches: DataFrame, details: DataFrame, maps: DataFrame):
+    """Compute the player-match table once for several reports run together.
+
+    Persisted with MEMORY_AND_DISK (a lost block is recomputed from lineage) and
+    released on exit.  Without it each report action recomputes the joins.
+    """
+    pm = player_match_from_tables(matches, details, maps).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield pm
+    finally:
+        pm.unpersist()

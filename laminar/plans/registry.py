@@ -18,7 +18,7 @@ from laminar.operators.checks import domain_summary, key_violations
 from laminar.operators.cumulate import cumulate_years
 from laminar.operators.datelist import datelist_backfill, datelist_bitmap, host_activity, user_activity
 from laminar.operators.dedup import dedup
-from laminar.operators.reduced import daily_counts, explode_days, fix_last, reduce_month
+from laminar.operators.reduced import daily_counts, explode_days, fix_last_variants, reduce_month
 from laminar.operators.scd2 import scd2_backfill
 from laminar.plans import incremental
 from laminar.plans.load import layout_report, load_bucketed, rewrite_dedup
@@ -157,11 +157,9 @@ def q_reduced_fix_last(spark, sf_dir):
     last = _last_event_day(ev)
     state = reduce_month(daily_counts(ev), roles.MONTH_START, last)
     recount = daily_counts(dedup_events(spark, sf_dir)).where(F.col("day") == last)
-    as_written = fix_last(state, recount).select("host", "month", F.col("hit_array").alias("_w"))
-    positional = fix_last(state, recount, positional=True).select("host", F.col("hit_array").alias("_p"))
-    return as_written.join(positional, "host").select(
-        "host", "month", _counts_str(F.col("_w")).alias("hits_as_written"),
-        _counts_str(F.col("_p")).alias("hits_positional"))
+    fixed = fix_last_variants(state, recount)
+    return fixed.select("host", "month", _counts_str(F.col("hit_array_as_written")).alias("hits_as_written"),
+                        _counts_str(F.col("hit_array_positional")).alias("hits_positional"))
 
 
 def q_reduced_daily(spark, sf_dir):

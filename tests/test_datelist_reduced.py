@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from laminar.functions.arrays import replace_equal_to_last, replace_last_slot
 from laminar.operators.datelist import (datelist_backfill, datelist_bitmap, datelist_step, host_activity,
                                         user_activity)
-from laminar.operators.reduced import daily_counts, explode_days, fix_last, reduce_month, reduce_step
+from laminar.operators.reduced import (daily_counts, explode_days, fix_last, fix_last_variants, reduce_month,
+                                       reduce_step)
 from laminar.sources.schemas import HOST_ACTIVITY_REDUCED, HOSTS_CUMULATED
 
 D = dt.date
@@ -125,3 +126,12 @@ def test_fix_last_missing_recount_is_zero(spark):
                                "host string, month date, hit_array array<float>, unique_visitor_array array<float>")
     rc = spark.createDataFrame([], "host string, hits long")
     assert list(fix_last(st, rc, positional=True).first().hit_array) == [1.0, 0.0]
+
+
+def test_fix_last_variants_match_single_forms(spark):
+    st = spark.createDataFrame([("h", D(2023, 1, 1), [3.0, 1.0, 3.0], [1.0, 1.0, 1.0])],
+                               "host string, month date, hit_array array<float>, unique_visitor_array array<float>")
+    rc = spark.createDataFrame([("h", 5)], "host string, hits long")
+    r = fix_last_variants(st, rc).first()
+    assert list(r.hit_array_as_written) == list(fix_last(st, rc).first().hit_array) == [5.0, 1.0, 5.0]
+    assert list(r.hit_array_positional) == list(fix_last(st, rc, positional=True).first().hit_array) == [3.0, 1.0, 5.0]

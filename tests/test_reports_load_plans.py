@@ -81,6 +81,14 @@ def test_medal_rows_from_tables_equal_fact_filter(spark):
                                       roles.MEDAL_NAME).collect()
 
 
+def test_shared_player_match_feeds_all_reports(spark):
+    matches, details, mmp, maps, _ = _star(spark)
+    with reports.shared_player_match(matches, details, maps) as pm:
+        got = [tuple(f(pm).first()) for f in (reports.top_avg_kills, reports.top_playlist, reports.top_map)]
+        assert pm.is_cached
+    assert got == [("b", 20.0), ("p1", 3), ("Alpha", 3)] and not pm.is_cached
+
+
 def test_top1_all_null_group_counts_zero(spark):
     df = spark.createDataFrame([(None,), (None,)], "playlist_id string")
     assert tuple(reports.top_playlist(df).first()) == (None, 0)
