@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,24 +41,21 @@ def file_bytes(spark: SparkSession, path: str) -> DataFrame:
                      F.count(F.lit(1)).alias("files"))
 
 
-def layout_report(spark: SparkSession, df: DataFrame, columns: Sequence[str], root: str,
-                  include_unsorted: bool = True) -> DataFrame:
+def layout_report(spark: SparkSession, df: DataFrame, columns: Sequence[str], root: str) -> DataFrame:
     """Write ``df`` once per candidate sort column (sorted within partitions) and report
     the bytes each layout takes: (sort_column, bytes, files, mb).
 
-    ``df`` is computed once (persisted, spilling to disk; a lost block is recomputed
-    from lineage) so every layout writes the same partitions, and the sizes of all
-    layouts are read in one metadata-only job (no data columns are read).
+    ``df`` is computed once and written as is -- that write is the ``unsorted``
+    layout -- to a folder below ``root`` (a shared location, so the input survives an
+    executor loss).  Every sorted layout reads that table back, so all layouts start
+    from the same input splits and nothing upstream is recomputed.  The sizes of all
+    layouts come from one metadata-only job (no data column is read).
     """
     root = root.rstrip("/")
-    cands = (["unsorted"] if include_unsorted else []) + list(columns)
-    data = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for c in cands:
-            (data if c == "unsorted" else data.sortWithinPartitions(c)) \
-                .write.mode("overwrite").parquet(f"{root}/layout={c}")
-    finally:
-        data.unpersist()
+    base = f"{root}/layout=unsorted"
+    df.write.mode("overwrite").parquet(base)
+    for c in columns:
+        spark.read.parquet(base).sortWithinPartitions(c).write.mode("overwrite").parquet(f"{root}/layout={c}")
     files = (spark.read.parquet(root)
              .select("layout", "_metadata.file_path", "_metadata.file_size").distinct())
     return (files.groupBy(F.col("layout").cast("string").alias("sort_column"))
