@@ -52,3 +52,25 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the checkpoint folder for a written table."""
     return f"{checkpoint_root(spark).rstrip('/')}/laminar/{name}-{uuid.uuid4().hex[:12]}"
+
+
+# Runtime SQL settings for a large cluster (~100 TB inputs).  Shuffle partitions are
+# sized for the largest shuffle (~1 GB per partition before AQE); adaptive execution
+# coalesces the smaller shuffles and splits skewed join partitions.
+SCALE_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+    "spark.sql.shuffle.partitions": "100000",
+    "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
+def apply_scale_conf(spark: SparkSession, overrides: dict[str, str] | None = None) -> None:
+    """Set ``SCALE_CONF`` (plus ``overrides``) on a running session."""
+    for k, v in {**SCALE_CONF, **(overrides or {})}.items():
+        spark.conf.set(k, v)
