@@ -63,8 +63,10 @@ def datelist_step(yesterday: DataFrame, activity: DataFrame, keys: Sequence[str]
     """
     keys = list(keys)
     today = F.lit(today).cast("date") if not isinstance(today, Column) else today
-    t = (activity.where(F.col("day") == today).select(*keys, "day").distinct()
-         .select(*keys, F.array(F.col("day")).alias("_t_list"), F.col("day").alias("_t_date")))
+    # The day is fixed, so today's distinct keys are computed on the keys alone: that
+    # shuffle's partitioning is the one the join needs, so only yesterday is shuffled.
+    t = (activity.where(F.col("day") == today).select(*keys).distinct()
+         .select(*keys, F.array(today).alias("_t_list"), today.alias("_t_date")))
     y = yesterday.select(*keys, F.col(list_col).alias("_y_list"), F.col(date_col).alias("_y_date"))
     j = t.join(y, keys, "full_outer")
     return j.select(*keys, concat_nullsafe(F.col("_t_list"), F.col("_y_list")).alias(list_col),
