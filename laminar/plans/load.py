@@ -16,20 +16,29 @@ def load_bucketed(spark: SparkSession, df: DataFrame, path: str, bucket_col: str
                   files_per_bucket: int = 1, mode: str = "overwrite") -> DataFrame:
     """Write ``df`` as a table bucketed and sorted by ``bucket_col``; return the table.
 
-    One job replaces a driver loop of per-value slices.  The data is repartitioned
-    into ``buckets * files_per_bucket`` tasks with the same hash the bucketing uses;
-    since ``buckets`` divides that count, every task holds rows of exactly one bucket
-    and writes one sorted file (the sort spills instead of running out of memory).
-    ``files_per_bucket`` sets the write parallelism for a large table without
-    changing the bucket layout.  Later joins on ``bucket_col`` between tables with the
-    same bucket count need no exchange.  ``drop_null`` keeps the per-value loop's
-    behaviour of never loading rows whose slice column is NULL; ``mode='append'``
-    adds to an existing table as the per-slice loads did.
+    One job replaces a driver loop of per-value slices.  With ``files_per_bucket=1``
+    the data is repartitioned into ``buckets`` tasks by the bucketing hash, so each
+    task writes exactly one sorted file.  With ``files_per_bucket=k > 1`` every row
+    also gets a deterministic salt in [0, k) (a hash of the whole row, stable under
+    task retries) and tasks are range-partitioned on ``bucket * k + salt``: a bucket
+    -- including one holding a hot key -- is written by about k tasks, each task
+    holds about one bucket, and the bucket layout is unchanged (a bucket may simply
+    have several files).  The sort spills instead of running out of memory.  Later
+    joins on ``bucket_col`` between tables with the same bucket count need no
+    exchange.  ``drop_null`` keeps the per-value loop's behaviour of never loading
+    rows whose slice column is NULL; ``mode='append'`` adds to an existing table as
+    the per-slice loads did.
     """
     out = df if drop_null is None else df.where(F.col(drop_null).isNotNull())
     name = name or f"laminar_{uuid.uuid4().hex[:12]}"
-    (out.repartition(buckets * files_per_bucket, bucket_col)
-        .write.mode(mode).bucketBy(buckets, bucket_col).sortBy(bucket_col)
+    if files_per_bucket <= 1:
+        out = out.repartition(buckets, bucket_col)
+    else:
+        bucket = F.pmod(F.hash(F.col(bucket_col)), F.lit(buckets))
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in out.columns]), F.lit(files_per_bucket))
+        out = (out.withColumn("_slot", bucket * files_per_bucket + salt)
+               .repartitionByRange(buckets * files_per_bucket, "_slot").drop("_slot"))
+    (out.write.mode(mode).bucketBy(buckets, bucket_col).sortBy(bucket_col)
         .option("path", path).saveAsTable(name))
     return spark.table(name)
 

@@ -123,12 +123,23 @@ def test_load_bucketed_drops_null_slice_and_buckets(spark):
     assert [r.match_id for r in t.collect()] == ["m1"]
 
 
-def test_files_per_bucket_keeps_one_bucket_per_file(spark):
-    df = spark.range(5000).select(F.col("id").cast("string").alias("match_id"))
+def test_files_per_bucket_spreads_a_hot_key_and_keeps_buckets(spark):
+    ids = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
+    df = spark.range(6000).select(ids.alias("match_id"), F.col("id").alias("v"))
     t = load_bucketed(spark, df, scratch_path(spark, "tfb"), "match_id", 4, files_per_bucket=3)
-    files = (t.select(F.input_file_name().alias("f"), F.expr("pmod(hash(match_id), 4)").alias("b"))
-             .groupBy("f").agg(F.countDistinct("b").alias("nb")).collect())
-    assert len(files) <= 12 and all(r.nb == 1 for r in files) and t.count() == 5000
+    files = (t.select(F.input_file_name().alias("f"), F.expr("pmod(hash(match_id), 4)").alias("b"),
+                      (F.col("match_id") == "hot").alias("hot"))
+             .groupBy("f").agg(F.countDistinct("b").alias("nb"), F.max("hot").alias("has_hot")).collect())
+    assert all(r.nb == 1 for r in files) and t.count() == 6000
+    assert sum(1 for r in files if r.has_hot) >= 2  # the hot key is written by several tasks
+    # the bucketed layout still serves shuffle-free joins
+    t1 = load_bucketed(spark, df, scratch_path(spark, "tfb1"), "match_id", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = t.join(t1, "match_id")._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_bucketed_join_has_no_exchange(spark):
