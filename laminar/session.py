@@ -15,6 +15,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def _default_driver_memory() -> str:
+    """Half of physical memory, between 1 and 16 GB (local mode: the driver is the executor)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(1, min(16, total // 2 // (1 << 30)))}g"
+
+
 def build_session(cpus: int | None = None, shuffle_partitions: int | None = None,
                   app: str = "laminar", driver_memory: str | None = None) -> SparkSession:
     cpus = cpus or int(os.environ.get("BENCH_CPUS", "8"))
@@ -28,7 +37,8 @@ def build_session(cpus: int | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", driver_memory or os.environ.get("LAMINAR_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", driver_memory or os.environ.get("LAMINAR_DRIVER_MEMORY")
+                or _default_driver_memory())
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
