@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -47,7 +48,7 @@ def read_partition(spark: SparkSession, path: str, schema: StructType, col: str,
     """One partition of a table, read by its directory (an empty frame if absent)."""
     try:
         df = spark.read.option("basePath", path).parquet(partition_path(path, col, value))
-    except Exception:  # noqa: BLE001 - absent partition: nothing was written for it
+    except AnalysisException:  # missing path or no data files yet
         return spark.createDataFrame([], schema)
     if col not in df.columns:
         df = df.withColumn(col, F.lit(value))
@@ -58,7 +59,7 @@ def has_partition(spark: SparkSession, path: str, col: str, value) -> bool:
     try:
         spark.read.parquet(partition_path(path, col, value)).schema  # noqa: B018
         return True
-    except Exception:  # noqa: BLE001
+    except AnalysisException:  # missing path or no data files yet
         return False
 
 

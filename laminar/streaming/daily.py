@@ -27,6 +27,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,7 +55,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).schema  # noqa: B018
         return True
-    except Exception:  # noqa: BLE001
+    except AnalysisException:  # missing path or no data files yet
         return False
 
 
@@ -115,7 +116,7 @@ def run_stream(spark: SparkSession, source_dir: str, schema, model: DailyLoad, s
     def staged_day(day: dt.date) -> DataFrame:
         try:
             return spark.read.option("basePath", staging).parquet(partition_path(staging, "day", day))
-        except Exception:  # noqa: BLE001 - no events landed for that day
+        except AnalysisException:  # missing path or no data files yet
             return spark.createDataFrame([], staged_schema)
 
     def load_complete_days(newest: dt.date | None, upto_inclusive: bool):
