@@ -2,6 +2,7 @@
 
 * ``user_activity`` / ``host_activity`` -- distinct (keys, day) activity facts;
 * ``datelist_step`` -- one daily increment (yesterday's snapshot + today's facts);
+* ``datelist_days`` -- several consecutive daily increments in one job (catch-up);
 * ``datelist_backfill`` -- every snapshot a serial run of steps writes, in one job
   (or just the snapshot of one day with ``as_of``);
 * ``datelist_bitmap`` -- a snapshot's list packed into a 64-bit month bitmap.
@@ -73,6 +74,34 @@ def datelist_step(yesterday: DataFrame, activity: DataFrame, keys: Sequence[str]
                     F.coalesce(F.col("_t_date"), F.date_add(F.col("_y_date"), 1)).alias(date_col))
 
 
+def datelist_days(yesterday: DataFrame, activity: DataFrame, keys: Sequence[str], first_day, last_day,
+                  list_col: str, date_col: str = "date") -> DataFrame:
+    """The snapshots of days first_day..last_day on top of the snapshot of the day
+    before (``yesterday``, may be empty), in one job (catch-up of several daily steps).
+
+    A known key gets a row every day: its new active days (newest first) in front of
+    yesterday's list.  A new key starts on its first active day.  With an empty
+    ``yesterday`` and no activity on ``first_day`` nothing loads, as in the serial run.
+    One day is exactly ``datelist_step``; an empty ``yesterday`` gives
+    ``datelist_backfill``.  Per key at most one entry per day is collected.
+    """
+    keys = list(keys)
+    first = F.lit(first_day).cast("date") if not isinstance(first_day, Column) else first_day
+    last = F.lit(last_day).cast("date") if not isinstance(last_day, Column) else last_day
+    act = activity.where(F.col("day").between(first, last)).select(*keys, "day")
+    per_key = (act.groupBy(*keys)
+               .agg(F.sort_array(F.collect_set("day"), asc=False).alias("_days"), F.min("day").alias("_first")))
+    y = yesterday.select(*keys, F.col(list_col).alias("_y_list"), F.lit(True).alias("_known"))
+    started = yesterday.exists() | act.where(F.col("day") == first).exists()
+    j = (per_key.join(y, keys, "full_outer").where(started)
+         .withColumn("_start", F.when(F.col("_known").isNotNull(), first).otherwise(F.col("_first")))
+         .withColumn("_last", last))
+    snaps = j.select(*keys, "_days", "_y_list",
+                     F.explode(F.sequence(F.col("_start"), F.col("_last"))).alias(date_col))
+    new = F.filter("_days", lambda d: d <= F.col(date_col))
+    return snaps.select(*keys, concat_nullsafe(new, F.col("_y_list")).alias(list_col), date_col)
+
+
 def datelist_backfill(activity: DataFrame, keys: Sequence[str], first_day, last_day,
                       list_col: str, date_col: str = "date", as_of=None) -> DataFrame:
     """All snapshots first_day..last_day a daily run from an empty table writes.

@@ -5,6 +5,7 @@ an entity first seen on day k gets k-1 leading zeros, an idle day appends 0.
 
 * ``daily_counts`` -- hits (rows) and unique visitors per (host, day);
 * ``reduce_step`` -- one daily increment of the month table;
+* ``reduce_days`` -- several consecutive days of increments in one job (catch-up);
 * ``reduce_month`` -- the month table after days 1..n in one job (backfill);
 * ``fix_last`` -- correct the last slot (as written: every slot equal to it);
 * ``explode_days`` -- read the arrays back as (host, day, value) rows.
@@ -82,6 +83,43 @@ def reduce_month(counts: DataFrame, month_start, last_day, key: str = "host") ->
                           fill("_v").alias("unique_visitor_array"))
 
 
+def reduce_days(month_state: DataFrame, counts: DataFrame, first_day, last_day,
+                key: str = "host") -> DataFrame:
+    """The month table after appending days first_day..last_day in one job.
+
+    ``month_state`` holds the month's rows loaded through ``first_day - 1`` (may be
+    empty); both days must be in the same month.  Known keys get one slot per day of
+    the range (0 when idle); keys first seen in the range get zeros from the 1st of
+    the month.  One day (``first_day == last_day``) is exactly ``reduce_step``; an empty
+    state from the 1st is ``reduce_month``.  Per key at most one count per day is
+    collected, then one full outer join on the key.
+    """
+    first, last = _date(first_day), _date(last_day)
+    month = F.trunc(first, "MM")
+    per_key = (counts.where(F.col("day").between(first, last))
+               .groupBy(key)
+               .agg(F.map_from_entries(F.collect_list(F.struct(F.datediff("day", month), "hits"))).alias("_h"),
+                    F.map_from_entries(F.collect_list(F.struct(F.datediff("day", month), "visitors"))).alias("_v")))
+    y = (month_state.where(F.col("month") == month)
+         .select(key, "hit_array", "unique_visitor_array", F.lit(True).alias("_known")))
+    known = F.col("_known").isNotNull()
+    # bound first: a higher-order function may not contain the period subqueries
+    j = (per_key.join(y, key, "full_outer")
+         .withColumn("_month", month)
+         .withColumn("_from", F.when(known, F.datediff(first, month)).otherwise(F.lit(0)))
+         .withColumn("_to", F.datediff(last, month)))
+    slots = F.sequence(F.col("_from"), F.col("_to"))
+
+    def fill(m):
+        return F.transform(slots, lambda i: F.coalesce(F.try_element_at(F.col(m), i), F.lit(0)).cast("float"))
+
+    return j.select(
+        key, F.col("_month").alias("month"),
+        F.when(known, F.concat("hit_array", fill("_h"))).otherwise(fill("_h")).alias("hit_array"),
+        F.when(known, F.concat("unique_visitor_array", fill("_v"))).otherwise(fill("_v"))
+        .alias("unique_visitor_array"))
+
+
 def fix_last(month_state: DataFrame, recount: DataFrame, key: str = "host",
              value_col: str = "hits", array_col: str = "hit_array",
              positional: bool = False) -> DataFrame:

@@ -27,7 +27,7 @@ from laminar.plans.tables import overwrite_partitions
 from laminar.session import scratch_path
 from laminar.sources import roles
 from laminar.sources.schemas import HOSTS_CUMULATED, USER_DEVICES_CUMULATED
-from laminar.streaming import host_datelist_load, run_stream
+from laminar.streaming import host_datelist_load, reduced_load, run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -211,12 +211,20 @@ def q_top_medal_map(spark, sf_dir):
 
 
 # ---- serial (incremental) loads: the same tables, one period per job --------
-def q_actors_incremental(spark, sf_dir):
+def actors_loaded(spark, sf_dir, history="two_period"):
     facts = roles.actor_films(spark, sf_dir)
     last_year = facts.agg(F.max("year")).first()[0]
     runs = int(last_year) - roles.ACTOR_SEED_YEAR + 1  # one run past the end hits the stop guard
-    table = incremental.load_years(spark, facts, scratch_path(spark, "actors"), roles.ACTOR_SEED_YEAR, runs)
-    return _flat_actors(table)
+    return incremental.load_years(spark, facts, scratch_path(spark, "actors"), roles.ACTOR_SEED_YEAR, runs,
+                                  history=history)
+
+
+def q_actors_incremental(spark, sf_dir):
+    return _flat_actors(actors_loaded(spark, sf_dir))
+
+
+def q_actors_incremental_carry(spark, sf_dir):
+    return _flat_actors(actors_loaded(spark, sf_dir, history="carry"))
 
 
 def q_scd2_incremental(spark, sf_dir):
@@ -308,6 +316,17 @@ def q_host_datelist_streamed(spark, sf_dir):
         F.size("host_activity_datelist").cast("long").alias("n_active"))
 
 
+def q_reduced_streamed(spark, sf_dir):
+    src, schema = _land_events(spark, sf_dir)
+    target = scratch_path(spark, "reduced_streamed")
+    model = reduced_load(target, dt.date.fromisoformat(roles.MONTH_START))
+    run_stream(spark, src, schema, model, scratch_path(spark, "staging"), scratch_path(spark, "stream_ckpt"),
+               finalize=True)
+    return spark.read.parquet(target).select(
+        "host", "month", _counts_str(F.col("hit_array")).alias("hit_array"),
+        F.size("hit_array").cast("long").alias("n_days"))
+
+
 QUERIES: dict[str, Query] = {
     "scd2_backfill": q_scd2_backfill,
     "actors_cumulative": q_actors_cumulative,
@@ -332,6 +351,7 @@ QUERIES: dict[str, Query] = {
     "top_map": q_top_map,
     "top_medal_map": q_top_medal_map,
     "actors_incremental": q_actors_incremental,
+    "actors_incremental_carry": q_actors_incremental_carry,
     "scd2_incremental": q_scd2_incremental,
     "host_datelist_incremental": q_host_datelist_incremental,
     "user_datelist_incremental": q_user_datelist_incremental,
@@ -341,4 +361,5 @@ QUERIES: dict[str, Query] = {
     "dedup_rewrite": q_dedup_rewrite,
     "match_fact_bucketed": q_match_fact_bucketed,
     "host_datelist_streamed": q_host_datelist_streamed,
+    "reduced_streamed": q_reduced_streamed,
 }

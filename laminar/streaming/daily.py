@@ -1,23 +1,24 @@
-"""Run the daily step operators from a stream of event files.
+"""Run the daily models from a stream of event files.
 
 Each micro-batch (``foreachBatch``):
 
-1. appends the batch's rows, projected to what the step needs, to a staging table
+1. appends the batch's rows, projected to what the model needs, to a staging table
    partitioned by event day;
 2. finds the days that are complete -- every day before the newest day seen, minus
    an allowed lateness -- and not yet loaded;
-3. runs the model's daily step for each such day, in order, reading that day's
-   staging partition and the target's previous partition, and replacing the
-   target partition it produces.
+3. loads all of those days in one job with the model's range operator
+   (``datelist_days`` / ``reduce_days``, which equal the serial daily steps),
+   reading only those days' staging partitions and the target's previous
+   partition, and replacing the target partitions it produces.
 
 Progress lives in the tables, not in driver memory: at the start of every batch
-the last loaded day is read back from the target (or its progress log).  The
-newest day comes from the micro-batch itself (an all-late batch only delays
-loading), and each day's staged rows are read from that day's directory, so a
-batch never lists or scans the whole staging history.  A replayed batch
-appends duplicate staging rows, which the steps remove (distinct / distinct
-count), and re-running a day replaces its partition, so recovery from the stream
-checkpoint is safe.
+the last loaded day is read back from the target.  The newest day comes from the
+micro-batch itself (an all-late batch only delays loading), and staged rows are
+read from the completed days' directories, so a batch never lists or scans the
+whole staging history.  A replayed batch appends duplicate staging rows, which the
+models remove (distinct sets / distinct counts), and re-loading a day replaces its
+partitions, so recovery from the stream checkpoint is safe.  A backlog (a restart
+after downtime, a replay) is caught up in one job, not one job per day.
 """
 
 from __future__ import annotations
@@ -32,21 +33,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laminar.functions.dates import as_timestamp
-from laminar.operators.datelist import datelist_step
-from laminar.operators.reduced import daily_counts, reduce_step
-from laminar.plans.tables import conform, has_partition, overwrite_partitions, partition_path, read_partition
+from laminar.operators.datelist import datelist_days
+from laminar.operators.reduced import daily_counts, reduce_days
+from laminar.plans.tables import conform, overwrite_partitions, read_partition
 from laminar.sources.schemas import HOST_ACTIVITY_REDUCED, HOSTS_CUMULATED
 
 
 @dataclass
 class DailyLoad:
-    """A daily model: what to stage per event, how to load one day, and how far it got.
+    """A daily model: what to stage per event, how to load a range of days, how far it got.
 
-    ``load_day(spark, staged, day, prev)`` loads ``day`` given the last loaded day
-    ``prev`` (None before the first load) and returns whether it wrote anything.
+    ``load_range(spark, staged, first, last, prev)`` loads days ``first..last`` from
+    the staged rows of those days, given the last loaded day ``prev`` (None before the
+    first load).
     """
     staging_cols: list[str]
-    load_day: Callable[[SparkSession, DataFrame, dt.date, dt.date | None], bool]
+    load_range: Callable[[SparkSession, DataFrame, dt.date, dt.date, dt.date | None], None]
     loaded_through: Callable[[SparkSession], dt.date | None]
     first_day: dt.date
 
@@ -59,41 +61,47 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def _max_of(spark: SparkSession, path: str, col: str):
-    return spark.read.parquet(path).agg(F.max(col)).first()[0] if _exists(spark, path) else None
-
-
 def host_datelist_load(target: str, first_day: dt.date) -> DailyLoad:
     """Host active-date list (table partitioned by ``date``)."""
 
-    def load_day(spark, staged, day, prev):
-        if prev is None and day != first_day:
-            return False  # the first load must be first_day (an empty first day never starts)
+    def loaded_through(spark):
+        return spark.read.parquet(target).agg(F.max("date")).first()[0] if _exists(spark, target) else None
+
+    def load_range(spark, staged, first, last, prev):
         y = (read_partition(spark, target, HOSTS_CUMULATED, "date", prev) if prev is not None
              else spark.createDataFrame([], HOSTS_CUMULATED))
-        act = staged.select("host", "day")
-        step = datelist_step(y, act, ["host"], day, "host_activity_datelist")
-        overwrite_partitions(conform(step, HOSTS_CUMULATED), target, "date")
-        return prev is not None or has_partition(spark, target, "date", day)
+        rows = datelist_days(y, staged.select("host", "day"), ["host"], first, last, "host_activity_datelist")
+        overwrite_partitions(conform(rows, HOSTS_CUMULATED), target, "date")
 
-    return DailyLoad(["host"], load_day, lambda spark: _max_of(spark, target, "date"), first_day)
+    return DailyLoad(["host"], load_range, loaded_through, first_day)
 
 
 def reduced_load(target: str, first_day: dt.date) -> DailyLoad:
-    """Monthly reduced hits / unique visitors (table partitioned by ``month``)."""
-    progress = f"{target.rstrip('/')}_loaded"
+    """Monthly reduced hits / unique visitors (table partitioned by ``month``).
+
+    Progress is read from the table itself: every array of a month has one slot per
+    loaded day, so the last loaded day is ``month + size(hit_array) - 1``.  A range
+    crossing a month boundary is loaded as one job per month.
+    """
+
+    def loaded_through(spark):
+        if not _exists(spark, target):
+            return None
+        last = F.date_add(F.col("month"), F.size("hit_array") - 1)
+        return spark.read.parquet(target).agg(F.max(last)).first()[0]
 
-    def load_day(spark, staged, day, prev):
-        if prev is None and day != first_day:
-            return False
-        state = read_partition(spark, target, HOST_ACTIVITY_REDUCED, "month", day.replace(day=1))
+    def load_range(spark, staged, first, last, prev):
         counts = daily_counts(staged.withColumnRenamed("ts", "event_time"))
-        overwrite_partitions(conform(reduce_step(state, counts, day), HOST_ACTIVITY_REDUCED), target, "month")
-        spark.createDataFrame([(day,)], "day date").write.mode("append").parquet(progress)
-        return True
+        a = first
+        while a <= last:
+            nxt_month = (a.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
+            b = min(last, nxt_month - dt.timedelta(days=1))
+            state = read_partition(spark, target, HOST_ACTIVITY_REDUCED, "month", a.replace(day=1))
+            rows = reduce_days(state, counts, a, b)
+            overwrite_partitions(conform(rows, HOST_ACTIVITY_REDUCED), target, "month")
+            a = nxt_month
 
-    return DailyLoad(["host", "user_id", "ts"], load_day, lambda spark: _max_of(spark, progress, "day"),
-                     first_day)
+    return DailyLoad(["host", "user_id", "ts"], load_range, loaded_through, first_day)
 
 
 def run_stream(spark: SparkSession, source_dir: str, schema, model: DailyLoad, staging: str,
@@ -110,13 +118,14 @@ def run_stream(spark: SparkSession, source_dir: str, schema, model: DailyLoad, s
     if "ts" in model.staging_cols:
         staged_cols.append(ts.alias("ts"))
     projected = events.select(*staged_cols, F.to_date(ts).alias("day"))
-
     staged_schema = projected.schema
 
-    def staged_day(day: dt.date) -> DataFrame:
+    def staged_days(first: dt.date, last: dt.date) -> DataFrame:
+        """The staged rows of days first..last: one glob over exactly those day folders."""
+        days = ",".join((first + dt.timedelta(days=i)).isoformat() for i in range((last - first).days + 1))
         try:
-            return spark.read.option("basePath", staging).parquet(partition_path(staging, "day", day))
-        except AnalysisException:  # missing path or no data files yet
+            return spark.read.option("basePath", staging).parquet(f"{staging.rstrip('/')}/day={{{days}}}")
+        except AnalysisException:  # none of those days has staged rows
             return spark.createDataFrame([], staged_schema)
 
     def load_complete_days(newest: dt.date | None, upto_inclusive: bool):
@@ -124,11 +133,9 @@ def run_stream(spark: SparkSession, source_dir: str, schema, model: DailyLoad, s
             return
         last_complete = newest if upto_inclusive else newest - dt.timedelta(days=1 + lateness_days)
         prev = model.loaded_through(spark)
-        day = model.first_day if prev is None else prev + dt.timedelta(days=1)
-        while day <= last_complete:
-            if model.load_day(spark, staged_day(day), day, prev):
-                prev = day
-            day += dt.timedelta(days=1)
+        first = model.first_day if prev is None else prev + dt.timedelta(days=1)
+        if first <= last_complete:
+            model.load_range(spark, staged_days(first, last_complete), first, last_complete, prev)
 
     def batch(df: DataFrame, batch_id: int):
         df.persist(StorageLevel.MEMORY_AND_DISK)  # used twice: staged, then its newest day

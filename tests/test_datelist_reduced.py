@@ -135,3 +135,34 @@ def test_fix_last_variants_match_single_forms(spark):
     r = fix_last_variants(st, rc).first()
     assert list(r.hit_array_as_written) == list(fix_last(st, rc).first().hit_array) == [5.0, 1.0, 5.0]
     assert list(r.hit_array_positional) == list(fix_last(st, rc, positional=True).first().hit_array) == [3.0, 1.0, 5.0]
+
+
+def test_range_operators_equal_step_loops(spark):
+    from laminar.operators.datelist import datelist_days
+    from laminar.operators.reduced import reduce_days
+    e = ev(spark, [(None, None, 1, 1, "h1", ts(1)), (None, None, 2, 1, "h1", ts(3)),
+                   (None, None, 3, 2, "h2", ts(4)), (None, None, None, 3, "h3", ts(2)),
+                   (None, None, 4, 3, "h3", ts(6))])
+    counts, act = daily_counts(e), host_activity(e)
+    # reduced: days 1-2 by steps, then 3-6 in one range == six steps == closed form
+    state = spark.createDataFrame([], HOST_ACTIVITY_REDUCED)
+    for d in (1, 2):
+        state = spark.createDataFrame(reduce_step(state, counts, D(2023, 1, d)).collect(), HOST_ACTIVITY_REDUCED)
+    ranged = reduce_days(state, counts, D(2023, 1, 3), D(2023, 1, 6))
+    closed = reduce_month(counts, D(2023, 1, 1), D(2023, 1, 6))
+    key = lambda df: sorted((r.host, tuple(r.hit_array), tuple(r.unique_visitor_array)) for r in df.collect())
+    assert key(ranged) == key(closed)
+    assert key(reduce_days(spark.createDataFrame([], HOST_ACTIVITY_REDUCED), counts,
+                           D(2023, 1, 1), D(2023, 1, 6))) == key(closed)
+    # date lists: snapshot of day 2 from steps, then days 3-6 in one range == backfill rows of 3-6
+    loop = _loop_hosts(spark, act, D(2023, 1, 1), 2)
+    y = loop.where(F.col("date") == F.lit(D(2023, 1, 2)))
+    ranged = datelist_days(y, act, ["host"], D(2023, 1, 3), D(2023, 1, 6), "host_activity_datelist")
+    full = datelist_backfill(act, ["host"], D(2023, 1, 1), D(2023, 1, 6), "host_activity_datelist")
+    assert _rows(ranged, "host_activity_datelist") == _rows(full.where("date >= '2023-01-03'"),
+                                                            "host_activity_datelist")
+    empty = spark.createDataFrame([], HOSTS_CUMULATED)
+    assert _rows(datelist_days(empty, act, ["host"], D(2023, 1, 1), D(2023, 1, 6), "host_activity_datelist"),
+                 "host_activity_datelist") == _rows(full, "host_activity_datelist")
+    # never starts when the first day is empty and nothing was loaded before
+    assert datelist_days(empty, act, ["host"], D(2023, 1, 5), D(2023, 1, 6), "host_activity_datelist").count() == 0
