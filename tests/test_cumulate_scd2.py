@@ -7,7 +7,7 @@ from laminar.functions.bands import AS_WRITTEN, SPEC, band
 from laminar.operators.cumulate import cumulate_year_step, cumulate_years, period_agg
 from laminar.operators.scd2 import scd2_backfill, scd2_increment
 from laminar.operators.upsert import upsert
-from laminar.sources.schemas import ACTOR_FILMS, ACTORS, ACTORS_HISTORY_SCD
+from laminar.sources.schemas import ACTORS, ACTORS_HISTORY_SCD
 
 FILM = "actorid string, actor string, film string, votes int, rating float, filmid string, year int"
 
