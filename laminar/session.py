@@ -47,16 +47,27 @@ def build_session(cpus: int | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's checkpoint folder; set one only when the cluster named none."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="laminar-ckpt-")  # tests / local runs only
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+    """The folder the cluster names in ``spark.checkpoint.dir``; set one only when unset.
+
+    Reads the session conf first (works for classic and Connect sessions); falls back
+    to the context's checkpoint folder, and only when neither is set (local tests)
+    creates a private temporary folder and registers it as the checkpoint folder.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")
+        if current:
+            return current
+    folder = tempfile.mkdtemp(prefix="laminar-ckpt-")  # tests / local runs only
+    if sc is not None:
+        sc.setCheckpointDir(folder)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
