@@ -26,6 +26,7 @@ from laminar.plans.load import layout_report, load_bucketed, rewrite_dedup
 from laminar.plans.tables import overwrite_partitions
 from laminar.session import scratch_path
 from laminar.sources import roles
+from laminar.sources.readers import read_csv
 from laminar.sources.schemas import HOSTS_CUMULATED, USER_DEVICES_CUMULATED
 from laminar.streaming import host_datelist_load, reduced_load, run_stream
 
@@ -327,6 +328,14 @@ def q_reduced_streamed(spark, sf_dir):
         F.size("hit_array").cast("long").alias("n_days"))
 
 
+def q_csv_scan(spark, sf_dir):
+    """The maps dimension landed as header CSV, read back against its declared schema."""
+    path = scratch_path(spark, "maps_csv")
+    (roles.maps(spark, sf_dir).withColumn("description", F.lit(None).cast("string"))
+     .write.option("header", "true").csv(path))
+    return read_csv(spark, path, "maps")
+
+
 QUERIES: dict[str, Query] = {
     "scd2_backfill": q_scd2_backfill,
     "actors_cumulative": q_actors_cumulative,
@@ -357,6 +366,7 @@ QUERIES: dict[str, Query] = {
     "user_datelist_incremental": q_user_datelist_incremental,
     "reduced_incremental": q_reduced_incremental,
     "load_sliced": q_load_sliced,
+    "csv_scan": q_csv_scan,
     "layout_report": q_layout_report,
     "dedup_rewrite": q_dedup_rewrite,
     "match_fact_bucketed": q_match_fact_bucketed,
