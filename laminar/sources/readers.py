@@ -23,9 +23,3 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
 def empty(spark: SparkSession, table: str) -> DataFrame:
     """An empty DataFrame with a modelled table's schema (a first run's prior state)."""
     return spark.createDataFrame([], TABLES[table])
-
-
-def conform(df: DataFrame, table: str) -> DataFrame:
-    """Project and cast ``df`` to a declared table schema (column order and types)."""
-    schema = TABLES[table]
-    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])

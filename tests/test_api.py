@@ -36,3 +36,19 @@ def test_readme_flow(spark):
         assert lm.top_playlist(pm).count() == 1
     assert lm.check_key(lm.dedup(roles.game_details(spark, SF_SMALL), ["l_orderkey", "l_linenumber"]),
                         ["l_orderkey", "l_linenumber"]).count() == 0
+
+
+def test_apply_scale_conf_sets_and_can_be_restored(spark):
+    from laminar.session import SCALE_CONF, apply_scale_conf
+    before = {k: spark.conf.get(k, None) for k in SCALE_CONF}
+    try:
+        apply_scale_conf(spark, {"spark.sql.shuffle.partitions": "4096"})
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "4096"
+        assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before["spark.sql.shuffle.partitions"]
