@@ -120,18 +120,29 @@ def cumulate_year_step(state: DataFrame, facts: DataFrame, seed: int = 1969,
     last = state.agg(F.coalesce(F.max(out_period), F.lit(seed))).scalar()
     nxt = last + 1
     guard = facts.where(F.col(period) == nxt).exists()
-    cur = period_agg(facts.where(F.col(period) == nxt), keys=(entity, name), period=period,
-                     bands=bands).alias("c")
     if history == "two_period":
-        prev = period_agg(facts.where(F.col(period) == last), keys=(entity, name),
-                          period=period, bands=bands)
-        prev = prev.select(entity, name, "films", "quality_class", F.col(period).alias("_p"))
-    elif history == "carry":
-        prev = state.where(F.col(out_period) == last).select(
-            entity, name, "films", "quality_class", F.col(out_period).alias("_p"))
-    else:
+        # As in the closed form: both years are aggregated in one pass and the
+        # aggregate is joined to itself shifted by a year (one reused exchange); the
+        # new year is selected after the join so no filter splits the aggregate.
+        agg = period_agg(facts.where(F.col(period).between(last, nxt)), keys=(entity, name),
+                         period=period, bands=bands)
+        cur = agg.withColumn("_in_c", F.lit(True)).alias("c")
+        prev = (agg.withColumn(period, F.col(period) + 1)
+                .withColumn("_in_c", F.lit(None).cast("boolean")).alias("l"))
+        joined = cur.join(prev, [entity, period], "full_outer").where((F.col(period) == nxt) & guard)
+        return joined.select(
+            F.col(entity),
+            F.coalesce(F.col(f"c.{name}"), F.col(f"l.{name}")).alias(name),
+            concat_nullsafe(F.col("l.films"), F.col("c.films")).alias("films"),
+            F.coalesce(F.col("c.quality_class"), F.col("l.quality_class")).alias("quality_class"),
+            F.col(period).cast("int").alias(out_period),
+            F.col("c._in_c").isNotNull().alias("is_active"))
+    if history != "carry":
         raise ValueError(f"unknown history mode {history!r}")
-    prev = prev.where(guard).alias("l")
+    cur = period_agg(facts.where(F.col(period) == nxt), keys=(entity, name), period=period,
+                     bands=bands).withColumn("_in_c", F.lit(True)).alias("c")
+    prev = state.where((F.col(out_period) == last) & guard).select(
+        entity, name, "films", "quality_class", F.col(out_period).alias("_p")).alias("l")
     joined = cur.join(prev, F.col(f"c.{entity}") == F.col(f"l.{entity}"), "full_outer")
     return joined.select(
         F.coalesce(F.col(f"c.{entity}"), F.col(f"l.{entity}")).alias(entity),
@@ -139,4 +150,4 @@ def cumulate_year_step(state: DataFrame, facts: DataFrame, seed: int = 1969,
         concat_nullsafe(F.col("l.films"), F.col("c.films")).alias("films"),
         F.coalesce(F.col("c.quality_class"), F.col("l.quality_class")).alias("quality_class"),
         F.coalesce(F.col(f"c.{period}"), F.col("l._p") + 1).cast("int").alias(out_period),
-        F.col(f"c.{entity}").isNotNull().alias("is_active"))
+        F.col("c._in_c").isNotNull().alias("is_active"))
