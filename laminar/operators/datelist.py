@@ -1,6 +1,6 @@
 """Cumulative active-date lists (entity x day) and their monthly bitmap.
 
-* ``user_activity`` / ``host_activity`` -- distinct (keys, day) activity facts;
+* ``user_activity`` / ``host_activity`` -- (keys, day) activity facts, distinct by default;
 * ``datelist_step`` -- one daily increment (yesterday's snapshot + today's facts);
 * ``datelist_days`` -- several consecutive daily increments in one job (catch-up);
 * ``datelist_backfill`` -- every snapshot a serial run of steps writes, in one job
