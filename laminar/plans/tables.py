@@ -47,11 +47,10 @@ def partition_path(path: str, col: str, value) -> str:
 def read_partition(spark: SparkSession, path: str, schema: StructType, col: str, value) -> DataFrame:
     """One partition of a table, read by its directory (an empty frame if absent)."""
     try:
-        df = spark.read.option("basePath", path).parquet(partition_path(path, col, value))
+        # the declared schema (partition column included) spares a footer read per step
+        df = spark.read.schema(schema).option("basePath", path).parquet(partition_path(path, col, value))
     except AnalysisException:  # missing path or no data files yet
         return spark.createDataFrame([], schema)
-    if col not in df.columns:
-        df = df.withColumn(col, F.lit(value))
     return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
 
