@@ -124,7 +124,8 @@ def run_stream(spark: SparkSession, source_dir: str, schema, model: DailyLoad, s
         """The staged rows of days first..last: one glob over exactly those day folders."""
         days = ",".join((first + dt.timedelta(days=i)).isoformat() for i in range((last - first).days + 1))
         try:
-            return spark.read.option("basePath", staging).parquet(f"{staging.rstrip('/')}/day={{{days}}}")
+            return (spark.read.schema(staged_schema).option("basePath", staging)
+                    .parquet(f"{staging.rstrip('/')}/day={{{days}}}"))
         except AnalysisException:  # none of those days has staged rows
             return spark.createDataFrame([], staged_schema)
 
