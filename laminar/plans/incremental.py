@@ -43,7 +43,7 @@ def load_years(spark: SparkSession, facts: DataFrame, path: str, seed: int, runs
         step = cumulate_year_step(state, facts, seed=seed, history=history, bands=bands)
         overwrite_partitions(conform(step, ACTORS), path, "current_year")
         nxt = (last if last is not None else seed) + 1
-        if has_partition(spark, path, "current_year", nxt):
+        if has_partition(spark, path, "current_year", nxt, ACTORS):
             last = nxt
     return read_table(spark, path, ACTORS, last is not None)
 
@@ -83,7 +83,7 @@ def datelist_load_days(spark: SparkSession, activity: DataFrame, keys: Sequence[
                      else spark.createDataFrame([], schema))
         step = datelist_step(yesterday, activity, keys, today, list_col)
         overwrite_partitions(conform(step, schema), path, "date")
-        if loaded is not None or has_partition(spark, path, "date", today):
+        if loaded is not None or has_partition(spark, path, "date", today, schema):
             loaded = today
     return read_table(spark, path, schema, loaded is not None)
 
@@ -100,5 +100,5 @@ def reduce_load_days(spark: SparkSession, counts: DataFrame, path: str, first_da
         overwrite_partitions(conform(reduce_step(state, counts, day, key=key), HOST_ACTIVITY_REDUCED),
                              path, "month")
     months = {(first_day + dt.timedelta(days=i)).replace(day=1) for i in range(days)}
-    written = any(has_partition(spark, path, "month", m) for m in months)
+    written = any(has_partition(spark, path, "month", m, HOST_ACTIVITY_REDUCED) for m in months)
     return read_table(spark, path, HOST_ACTIVITY_REDUCED, written)

@@ -54,9 +54,15 @@ def read_partition(spark: SparkSession, path: str, schema: StructType, col: str,
     return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
 
-def has_partition(spark: SparkSession, path: str, col: str, value) -> bool:
+def has_partition(spark: SparkSession, path: str, col: str, value, schema: StructType | None = None) -> bool:
+    """Whether a partition was written.
+
+    Partitioned writes create a partition directory only when it gets rows, so the
+    directory's existence is the test; with ``schema`` no file footer is read.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        spark.read.parquet(partition_path(path, col, value)).schema  # noqa: B018
+        reader.parquet(partition_path(path, col, value)).schema  # noqa: B018
         return True
     except AnalysisException:  # missing path or no data files yet
         return False
