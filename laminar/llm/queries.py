@@ -4,17 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from laminar.llm.bitplanes import read_ids, write_ids
+from laminar.llm.bpe import decode, encode
 from laminar.llm.common import table
 from laminar.llm.jaccard import jaccard_components
+from laminar.llm.prefix import prefix_index
+from laminar.session import scratch_path
+
+TOKEN_LIMIT = 2048
+END_OF_TEXT = 2
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = prefix_index(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return index.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    both = decode(encode(table(spark, sf_dir, "documents"), path), path)
+    return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op7_token_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "token-ids")
+    write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), END_OF_TEXT, out)
+    return read_ids(spark, out).select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                                       F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_counts": op2_token_counts,
+    "op3_byte_bpe": op3_byte_bpe,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op7_token_id_planes": op7_token_id_planes,
 }
 ORACLE: dict[str, str] = {}
