@@ -12,6 +12,8 @@ from laminar.llm.bitplanes import read_ids, write_ids
 from laminar.llm.bpe import decode, encode
 from laminar.llm.common import table
 from laminar.llm.jaccard import jaccard_components
+from laminar.llm.langid import fit, held_out, predict
+from laminar.llm.mixing import mix
 from laminar.llm.prefix import prefix_index
 from laminar.session import scratch_path
 
@@ -35,6 +37,12 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = predict(docs, fit(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op7_token_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "token-ids")
     write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), END_OF_TEXT, out)
@@ -42,10 +50,17 @@ def op7_token_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op6_language_id": op6_language_id,
     "op7_token_id_planes": op7_token_id_planes,
+    "op9_mix_sources": op9_mix_sources,
 }
 ORACLE: dict[str, str] = {}
