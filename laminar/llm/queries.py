@@ -13,6 +13,7 @@ from laminar.llm.bpe import decode, encode
 from laminar.llm.common import table
 from laminar.llm.jaccard import jaccard_components
 from laminar.llm.langid import fit, held_out, predict
+from laminar.llm.licenses import scan_licenses
 from laminar.llm.mixing import mix
 from laminar.llm.prefix import prefix_index
 from laminar.session import scratch_path
@@ -50,6 +51,24 @@ def op7_token_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        F.crc32("ids").alias("ids_crc32"))
 
 
+def stand_in_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree: one root per source, and file names that may declare a licence."""
+    n = F.col("doc_id")
+
+    def folder(letter: str, size: int):
+        return F.concat(F.lit(letter), F.floor(n / size).cast("string"))
+
+    path = (F.when(n % 1000 == 0, F.concat_ws("/", "source", folder("a", 1000), F.lit("LICENSE")))
+            .when(n % 100 == 0, F.concat_ws("/", "source", folder("a", 1000), folder("b", 100), F.lit("LICENSE.txt")))
+            .otherwise(F.concat_ws("/", "source", folder("a", 1000), folder("b", 100), folder("c", 10),
+                                   F.concat(F.lit("f"), n.cast("string"), F.lit(".txt")))))
+    return table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(stand_in_files(spark, sf_dir))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -61,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op6_language_id": op6_language_id,
     "op7_token_id_planes": op7_token_id_planes,
+    "op8_license_scan": op8_license_scan,
     "op9_mix_sources": op9_mix_sources,
 }
 ORACLE: dict[str, str] = {}
