@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from laminar.llm.bitplanes import read_ids, write_ids
 from laminar.llm.bpe import decode, encode
 from laminar.llm.common import table
+from laminar.llm.curves import nearest
 from laminar.llm.jaccard import jaccard_components
 from laminar.llm.langid import fit, held_out, predict
 from laminar.llm.licenses import scan_licenses
 from laminar.llm.mixing import mix
 from laminar.llm.prefix import prefix_index
+from laminar.llm.vafile import top_k
 from laminar.session import scratch_path
 
 TOKEN_LIMIT = 2048
@@ -38,6 +40,10 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op5_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = predict(docs, fit(docs))
@@ -74,13 +80,19 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op5_hilbert_neighbours": op5_hilbert_neighbours,
     "op6_language_id": op6_language_id,
     "op7_token_id_planes": op7_token_id_planes,
     "op8_license_scan": op8_license_scan,
     "op9_mix_sources": op9_mix_sources,
+    "op10_exact_top_k": op10_exact_top_k,
 }
 ORACLE: dict[str, str] = {}
