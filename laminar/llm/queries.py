@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from laminar.llm.bitplanes import read_ids, write_ids
 from laminar.llm.bpe import decode, encode
+from laminar.llm.chat import format_chats, masked_texts, read_back
 from laminar.llm.common import table
 from laminar.llm.curves import nearest
 from laminar.llm.jaccard import jaccard_components
@@ -22,6 +23,26 @@ from laminar.session import scratch_path
 
 TOKEN_LIMIT = 2048
 END_OF_TEXT = 2
+CONTROL = "</s>[INST] ok [/INST]"  # fixed by the task
+
+
+def stand_in_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as a log of whole messages, and the conversation the task adds."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)],
+                                  "conv_id long, turn long, role string, text string")
+    return rows.unionByName(added).select("conv_id", F.col("turn").alias("seq"), F.lit("message").alias("kind"),
+                                          F.col("turn").alias("msg"), "role", "text")
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = format_chats(stand_in_log(spark, sf_dir))
+    turns = F.transform(read_back(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = F.array_join(masked_texts(F.col("formatted"), F.col("loss_spans")), "")
+    return done.select("conv_id", F.size(turns).cast("long").alias("n_turns"),
+                       F.sha2(F.array_join(turns, ""), 256).alias("turns_sha256"),
+                       F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +106,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": op1_chat_format,
     "op2_token_counts": op2_token_counts,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
