@@ -2,21 +2,53 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from laminar.llm.bpe import decode, encode
 from laminar.llm.common import settle, table
 from laminar.llm.jaccard import jaccard_components
+from laminar.llm.langid import UNKNOWN, fit, predict
+from laminar.llm.mixing import mix
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told stay; texts that are null or hold no letter go."""
+    told = predict(docs, fit(docs), carry=True)
+    return told.where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by n-gram Jaccard similarity stays: the one with the smallest id."""
-    kept = jaccard_components(docs).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """One document of each linked group stays: the one with the smallest id (one row of it)."""
+    found = jaccard_components(docs)
+    kept = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("rows"))
+    stay = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
+    if not kept.where(F.col("rows") > 1).isEmpty():  # an id that stands in several rows
+        stay = stay.dropDuplicates(["doc_id"])
+    return stay.select(*docs.columns)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as its rate was rounded to: none, one or two rows."""
+    copies = mix(docs).where(F.col("copies") > 0).select("doc_id", "copies")
+    return (docs.join(copies, "doc_id").select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("nth"))
+            .select(*docs.columns))
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and a digest of the text they decode to."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    both = decode(encode(docs, path), path)
+    return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [
+    ("language ID", known_language),
     ("n-gram Jaccard join", near_duplicates),
+    ("mixing sources", mixed_sources),
+    ("byte-level BPE", encoded),
 ]
 
 # The rows of run() are not expressible in SQL; the tests compare them with brute force.

@@ -197,14 +197,16 @@ _scorers: dict[str, Scorer] = {}  # kept by a Python worker from task to task, f
 
 
 def predict(docs: DataFrame, trees: dict[str, Trees], order: int = ORDER, id_col: str = "doc_id",
-            text_col: str = "text") -> DataFrame:
-    """``(id, lang_pred, score)``: the language of the shortest code, and its posterior probability.
+            text_col: str = "text", carry: bool = False) -> DataFrame:
+    """``(id, lang_pred, score)``, or with ``carry`` all input columns and these two: the language of the shortest code, and its posterior probability.
 
     Ties go to the first language in code point order.  A null text, a text without a letter,
     and any text when no language was learned give ``und`` with score 0.  Every input row gives one row;
-    other columns are ignored; an empty table gives no rows; texts are scored whole.
+    other columns do not matter (carried ones named like the two are replaced); an empty table gives no rows; texts
+    are scored whole.
     """
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kept = [c for c in docs.columns if c not in ("lang_pred", "score")] if carry else [id_col]
+    src = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], F.col(text_col).alias("text"))
     model, name = docs.sparkSession.sparkContext.broadcast(trees), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +217,7 @@ def predict(docs: DataFrame, trees: dict[str, Trees], order: int = ORDER, id_col
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                texts = [t or "" for t in part.column(1).to_pylist()]
+                texts = [t or "" for t in part.column(len(kept)).to_pylist()]
                 langs, scores = [], []
                 bits = scorer.texts(texts) if scorer.langs else None
                 for i, t in enumerate(texts):
@@ -226,8 +228,8 @@ def predict(docs: DataFrame, trees: dict[str, Trees], order: int = ORDER, id_col
                     best = int(bits[i].argmin())
                     langs.append(scorer.langs[best])
                     scores.append(float(1 / np.exp2(np.maximum(bits[i][best] - bits[i], -1000.0)).sum()))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(langs, pa.string()),
-                                                  pa.array(scores, pa.float64())], ["id", "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                                                 [*part.schema.names[:-1], "lang_pred", "score"])
 
-    kind = src.schema["id"].dataType.simpleString()
-    return src.mapInArrow(run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+    ddl = ", ".join(f"c{i} {src.schema[i].dataType.simpleString()}" for i in range(len(kept)))
+    return src.mapInArrow(run, f"{ddl}, lang_pred string, score double").toDF(*kept, "lang_pred", "score")
