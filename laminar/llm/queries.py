@@ -17,13 +17,13 @@ from laminar.llm.jaccard import jaccard_components
 from laminar.llm.langid import fit, held_out, predict
 from laminar.llm.licenses import scan_licenses
 from laminar.llm.mixing import mix
+from laminar.llm.oracle import CONTROL, ORACLE
 from laminar.llm.prefix import prefix_index
 from laminar.llm.vafile import top_k
 from laminar.session import scratch_path
 
 TOKEN_LIMIT = 2048
 END_OF_TEXT = 2
-CONTROL = "</s>[INST] ok [/INST]"  # fixed by the task
 
 
 def stand_in_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,6 +105,8 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+__all__ = ["QUERIES", "ORACLE"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_token_counts": op2_token_counts,
@@ -117,4 +119,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mix_sources": op9_mix_sources,
     "op10_exact_top_k": op10_exact_top_k,
 }
-ORACLE: dict[str, str] = {}
