@@ -60,6 +60,11 @@ def _rate(cap: float) -> Column:
     return F.when(F.col("full"), F.lit(cap)).when(F.col("target") <= 0, F.lit(0.0)).otherwise(tilted)
 
 
+def _exact_sum(x: Column) -> Column:
+    """A sum that does not depend on the order of its rows, so reruns agree to the last digit."""
+    return F.sum(x.cast("decimal(38,10)")).cast("double")
+
+
 def solve(counts: DataFrame, goals: DataFrame, cap: float = CAP) -> DataFrame:
     """Newton iterations for the dual variable of each source: ``goals`` with ``dual``, ``unit`` and ``full``."""
     state = settle(goals.join(counts.groupBy("key").agg(F.sum("n").alias("docs")), "key")
@@ -75,8 +80,8 @@ def solve(counts: DataFrame, goals: DataFrame, cap: float = CAP) -> DataFrame:
         words = F.col("n") * F.col("size") * F.col("rate")
         sums = (counts.join(state.where(live).select("key", "dual", "unit", "full", "target"), "key")
                 .withColumn("rate", _rate(cap)).groupBy("key")
-                .agg(F.sum(words).alias("got"),
-                     F.sum(F.when(F.col("rate") < cap, words * F.col("size") / F.col("unit")).otherwise(0.0)).alias("slope")))
+                .agg(_exact_sum(words).alias("got"),
+                     _exact_sum(F.when(F.col("rate") < cap, words * F.col("size") / F.col("unit")).otherwise(0.0)).alias("slope")))
         gap = F.col("target") - F.col("got")
         near = F.abs(gap) <= TOLERANCE * F.col("target")
         low = F.when(live & (gap > 0), F.greatest("low", "dual")).otherwise(F.col("low"))
