@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from laminar.llm.common import partitions
-from laminar.llm.pieces import PieceTable
+from laminar.llm.pieces import PieceTable, byte_signs
 
 BLOCK = 4096
 CHUNK = 1 << 18  # ids after which a chunk ends (a document is never cut)
@@ -75,6 +75,10 @@ class Vocabulary:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        self.model = self.tok.model
+        if self.tok.normalizer is not None or type(self.tok.pre_tokenizer).__name__ != "ByteLevel":
+            raise ValueError(f"{path} is not a plain byte-level tokenizer")
+        self.sign = byte_signs()
         self.table = PieceTable(self._encode)
         special = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
         self.special = {s: array("I", [i]).tobytes() for s, i in special.items()}
@@ -82,7 +86,9 @@ class Vocabulary:
         self.cut = re.compile(f"({found})") if special else None
 
     def _encode(self, new: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(new, add_special_tokens=False)]
+        """Ids of single pieces by the library's model, which takes bytes as printable signs."""
+        encode, sign = self.model.tokenize, self.sign
+        return [array("I", [t.id for t in encode(p.encode().decode("latin-1").translate(sign))]).tobytes() for p in new]
 
     def run(self, texts: list[str]) -> list[bytes]:
         odd = {i for i, t in enumerate(texts) if self.cut and self.cut.search(t)}

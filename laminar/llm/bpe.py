@@ -120,7 +120,7 @@ _encoders: dict[str, PieceTable] = {}  # kept by a Python worker from task to ta
 def encoder(path: str) -> PieceTable:
     if path not in _encoders:
         replay = MergeReplay(load_ranks(path)).replay
-        _encoders[path] = PieceTable(lambda new: replay([p.encode() for p in new]))
+        _encoders[path] = PieceTable(lambda new: replay([p.encode("utf-8", "surrogatepass") for p in new]))
     return _encoders[path]
 
 

@@ -1,6 +1,6 @@
 """Exact token counts at every prefix by dynamic programming over BPE prefixes.
 
-The last token of the encoding of a prefix is the one vocabulary suffix that may follow
+The last token of the encoding of a prefix is the only vocabulary suffix of it that may follow
 the last token of the shorter prefix before it (two neighbouring tokens stand if encoding
 their text gives just them).  So one pass over a piece finds the count at every prefix,
 without encoding any prefix anew.  A document's index holds the change of the count from
@@ -30,42 +30,39 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laminar.llm.pieces import _SIGNS, _W, NOT_PLAIN, PLAIN_LETTERS, PieceTable
+from laminar.llm.pieces import WHITE, PieceTable, byte_signs
 
 # Fixed by the tokenizer: its pieces.  A leading space is taken along; it adds no token.
 _CONTRACTION = "'s|'t|'re|'ve|'m|'ll|'d"
-_PLAIN = re.compile(rf" ?(?:{_CONTRACTION})| ?[{PLAIN_LETTERS}]+| ?[0-9]| ?[{_SIGNS}]+|[\t\n\r ]+")
-_FULL = regex.compile(rf" ?(?:{_CONTRACTION})| ?\p{{L}}+| ?\p{{N}}| ?[^{_W}\p{{L}}\p{{N}}]+|[{_W}]+")
-_BARE = regex.compile(rf"{_CONTRACTION}|\p{{L}}+|\p{{N}}|[^{_W}\p{{L}}\p{{N}}]+")
-_WHITE = frozenset(regex.findall(f"[{_W}]", "".join(map(chr, range(0x3001)))))
+_FULL = regex.compile(rf" ?(?:{_CONTRACTION})| ?\p{{L}}+| ?\p{{N}}| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+")
+_BARE = regex.compile(rf"{_CONTRACTION}|\p{{L}}+|\p{{N}}|[^{WHITE}\p{{L}}\p{{N}}]+")
+_WHITE = frozenset(regex.findall(f"[{WHITE}]", "".join(map(chr, range(0x3001)))))
+_ODD = re.compile("[^\x00-\x7fÀ-įĲ-ȿ]|İ")  # outside it, NFC and lower case are not plainly those of a text
 _TWO_STEP = re.compile("'(?:re|ve|ll)")
 END = "</w>"
 NEVER = 1 << 60
 
 
-def _byte_signs() -> dict[int, str]:
-    """The printable sign that stands for each byte: itself if printable, else the next from U+0100."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    out = {b: chr(b) for b in plain}
-    for k, b in enumerate(b for b in range(256) if b not in out):
-        out[b] = chr(256 + k)
-    return out
-
-
 class PrefixCounter:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.vocab = frozenset(spec["model"]["vocab"])
+        self.vocab = set(spec["model"]["vocab"])
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
         self.rank = {m: i for i, m in enumerate(merges)}
-        self.longest = max(len(t.removesuffix(END)) for t in self.vocab)
         self.special = [t["content"] for t in spec["added_tokens"]]
-        self.sign = _byte_signs()
-        self.opened = frozenset(t for t in self.vocab if not t.endswith(END))
-        self.ended = frozenset(t[: -len(END)] for t in self.vocab if t.endswith(END))
-        self.stands: dict = {}
-        self.previous: tuple = ("", [None], [0], [0])
+        self.sign = byte_signs()
+        self.tokens = sorted(self.vocab)
+        self.start = len(self.tokens)
+        self.suffixes: dict = {}  # a trie of tokens read backwards: where a walk ends, no longer token can end
+        for i, t in enumerate(self.tokens):
+            node = self.suffixes
+            for c in reversed(t.removesuffix(END) or t):
+                node = node.setdefault(c, {})
+            inner, final = node.get("", (-1, -1))
+            node[""] = (inner, i) if t.endswith(END) and t != END else (i, final)
+        self.stands: dict[int, bool] = {}
+        self.previous: tuple = ("", [self.start], [0], [0])
         self.at_special = re.compile("|".join(map(re.escape, self.special))) if self.special else None
 
     def _merge(self, symbols: list[str]) -> list[str]:
@@ -86,17 +83,17 @@ class PrefixCounter:
             out[-1] += END
         return out
 
-    def may_follow(self, last: str | None, token: str) -> bool:
+    def may_follow(self, last: int, token: int) -> bool:
         """Whether ``token`` stands right after ``last`` (or at the start) in an encoding."""
-        got = self.stands.get((last, token))
-        if got is None:
-            if len(self.stands) > 1 << 20:
-                self.stands.clear()
-            if last is None:
-                got = self._merge(self._symbols(token)) == [token]
-            else:
-                got = self._merge(self._symbols(last) + self._symbols(token)) == [last, token]
-            self.stands[last, token] = got
+        if len(self.stands) > 1 << 20:
+            self.stands.clear()
+        b = self.tokens[token]
+        if last == self.start:
+            got = self._merge(self._symbols(b)) == [b]
+        else:
+            a = self.tokens[last]
+            got = self._merge(self._symbols(a) + self._symbols(b)) == [a, b]
+        self.stands[last << 20 | token] = got
         return got
 
     def prefixes(self, piece: str) -> list[int]:
@@ -107,7 +104,6 @@ class PrefixCounter:
             raw = [c.encode("utf-8", "surrogatepass") for c in piece]
             w = "".join(self.sign[b] for c in raw for b in c)
             ends = list(accumulate(map(len, raw)))
-        n, opened, ended, stands, longest = len(w), self.opened, self.ended, self.stands, self.longest
         # what the previous piece shares with this one is known already (pieces come sorted)
         old, last, count, closed = self.previous
         same = 0
@@ -116,29 +112,34 @@ class PrefixCounter:
                 break
             same += 1
         last, count, closed = last[: same + 1], count[: same + 1], closed[: same + 1]
-        for i in range(same + 1, n + 1):
-            low = i - longest if i > longest else 0
-            for j in range(low, i):
-                t = w[j:i]
-                if t in opened:
-                    pair = (last[j], t)
-                    ok = stands.get(pair)
+        root, stands, follow = self.suffixes, self.stands, self.may_follow
+        for i in range(same + 1, len(w) + 1):
+            node, j, inner, final = root, i, -1, -1  # counts of the prefix as it stands inside a word and as a word
+            while j and (inner < 0 or final < 0):
+                j -= 1
+                node = node.get(w[j])
+                if node is None:
+                    break
+                found = node.get("")
+                if found is None:
+                    continue
+                before = last[j]
+                token, closing = found
+                if inner < 0 and token >= 0:
+                    ok = stands.get(before << 20 | token)
                     if ok is None:
-                        ok = self.may_follow(*pair)
+                        ok = follow(before, token)
                     if ok:
-                        last.append(t)
-                        count.append(count[j] + 1)
-                        break
-            for j in range(low, i):
-                t = w[j:i]
-                if t in ended:
-                    pair = (last[j], t + END)
-                    ok = stands.get(pair)
+                        inner = count[j] + 1
+                        last.append(token)
+                if final < 0 and closing >= 0:
+                    ok = stands.get(before << 20 | closing)
                     if ok is None:
-                        ok = self.may_follow(*pair)
+                        ok = follow(before, closing)
                     if ok:
-                        closed.append(count[j] + 1)
-                        break
+                        final = count[j] + 1
+            count.append(inner)
+            closed.append(final)
         self.previous = (w, last, count, closed)
         return closed[1:] if ends is None else [closed[e] for e in ends]
 
@@ -155,12 +156,12 @@ class PrefixCounter:
 
 
 def _split(text: str) -> list[str]:
-    return (_FULL if NOT_PLAIN.search(text) else _PLAIN).findall(text)
+    return _FULL.findall(text)
 
 
 def fold(text: str) -> str:
     """NFC and lower case, character by character."""
-    if not NOT_PLAIN.search(text) and "İ" not in text:
+    if not _ODD.search(text):
         return text.lower()
     return "".join(c.lower() for c in unicodedata.normalize("NFC", text))
 
@@ -170,7 +171,7 @@ class PrefixIndex:
 
     def __init__(self, path: str):
         self.counter = PrefixCounter(path)
-        self.table = PieceTable(self._pack_all, splitter=_split)
+        self.table = PieceTable(self._pack_all, width=1, splitter=_split, single_digits=True, spaced_contractions=True)
 
     def _pack_all(self, new: list[str]) -> list[bytes]:
         known = {p: self._pack(p) for p in sorted(new, key=lambda p: p.lstrip(" "))}
