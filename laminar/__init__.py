@@ -19,13 +19,13 @@ from laminar.operators.datelist import (datelist_backfill, datelist_bitmap, date
                                         user_activity)
 from laminar.operators.dedup import dedup
 from laminar.operators.joins import bounded_broadcast, fits_broadcast, left_join
-from laminar.operators.reduced import (daily_counts, explode_days, fix_last, fix_last_variants, reduce_month,
-                                       reduce_step)
+from laminar.operators.reduced import (daily_counts, explode_days, fix_last, fix_last_variants, reduce_days,
+                                       reduce_month, reduce_months, reduce_step)
 from laminar.operators.reports import (match_fact, medal_by_map, player_match, shared_player_match, top1,
                                        top_avg_kills, top_map, top_medal_map, top_playlist)
 from laminar.operators.scd2 import scd2_backfill, scd2_increment
 from laminar.operators.upsert import upsert
-from laminar.plans.load import layout_report, load_bucketed, rewrite_dedup
+from laminar.plans.load import layout_report, load_bucketed, load_star, reload_dedup, rewrite_dedup
 
 __version__ = "0.1.0"
 

@@ -11,7 +11,9 @@ Two entry points per model:
 ``history='two_period'`` is the behaviour as written: the previous period is
 re-aggregated from raw facts, so a snapshot carries at most two periods of films.
 ``history='carry'`` is the intended behaviour: the previous snapshot's history is
-carried forward, so a snapshot holds every film up to its period.
+carried forward, so a snapshot holds every film up to its period.  Under ``carry`` an
+entity has one row per period whatever the spellings of its name; as written
+(``two_period``) every spelling is a row of its own.
 """
 
 from __future__ import annotations
@@ -91,7 +93,8 @@ def cumulate_years(facts: DataFrame, seed: int = 1969, history: str = "two_perio
 
 
 def _carry_years(facts, seed, end, bands, entity, name, period, out_period):
-    # One row per (entity, active year); the name is an attribute (latest spelling wins).
+    # One row per (entity, active year); the name is an attribute: the largest spelling of
+    # the latest active year.
     loaded = facts.where(F.col(period).between(F.lit(seed + 1), end))
     yearly = period_agg(loaded, keys=(entity,), period=period, bands=bands, extra={name: F.max(name)})
     # The yearly rows of one entity are few (one per active year): the window holds
@@ -112,12 +115,14 @@ def _carry_years(facts, seed, end, bands, entity, name, period, out_period):
 def cumulate_year_step(state: DataFrame, facts: DataFrame, seed: int = 1969,
                        history: str = "two_period", bands=AS_WRITTEN, entity: str = "actorid",
                        name: str = "actor", period: str = "year",
-                       out_period: str = "current_year") -> DataFrame:
+                       out_period: str = "current_year", last: int | None = None) -> DataFrame:
     """One incremental run: the snapshot of the year after the latest one in ``state``.
 
-    Empty when the next year has no facts (the stop guard).  ``state`` may be empty.
+    Empty when the next year has no facts (the stop guard).  ``state`` may be empty.  A
+    caller that knows the latest year passes it as ``last``, so that the facts are pruned
+    by literals; otherwise it is read from ``state``.
     """
-    last = state.agg(F.coalesce(F.max(out_period), F.lit(seed))).scalar()
+    last = F.lit(last) if last is not None else state.agg(F.coalesce(F.max(out_period), F.lit(seed))).scalar()
     nxt = last + 1
     guard = facts.where(F.col(period) == nxt).exists()
     if history == "two_period":
@@ -139,8 +144,9 @@ def cumulate_year_step(state: DataFrame, facts: DataFrame, seed: int = 1969,
             F.col("c._in_c").isNotNull().alias("is_active"))
     if history != "carry":
         raise ValueError(f"unknown history mode {history!r}")
-    cur = period_agg(facts.where(F.col(period) == nxt), keys=(entity, name), period=period,
-                     bands=bands).withColumn("_in_c", F.lit(True)).alias("c")
+    # one row per entity and year, as in the closed form: of two spellings the larger is kept
+    cur = period_agg(facts.where(F.col(period) == nxt), keys=(entity,), period=period, bands=bands,
+                     extra={name: F.max(name)}).withColumn("_in_c", F.lit(True)).alias("c")
     prev = state.where((F.col(out_period) == last) & guard).select(
         entity, name, "films", "quality_class", F.col(out_period).alias("_p")).alias("l")
     joined = cur.join(prev, F.col(f"c.{entity}") == F.col(f"l.{entity}"), "full_outer")

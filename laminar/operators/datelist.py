@@ -7,6 +7,7 @@
   (or just the snapshot of one day with ``as_of``);
 * ``datelist_bitmap`` -- a snapshot's list packed into a 64-bit month bitmap.
 
+A NULL key is an entity of its own, in the steps and in the closed forms alike.
 Lists are newest first.  Once an entity is active it has a row every later day,
 its list unchanged on idle days.  A run whose first day has no activity never
 starts (the table stays empty), as in the serial load.
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from laminar.functions.arrays import concat_nullsafe
 from laminar.functions.bitmap import month_bitmap
 from laminar.functions.dates import as_timestamp
-from laminar.operators.joins import MAX_BROADCAST_ROWS, fits_broadcast
+from laminar.operators.joins import MAX_BROADCAST_ROWS, fits_broadcast, full_outer_null_safe
 
 
 def user_activity(events: DataFrame, devices: DataFrame, time_col: str = "event_time",
@@ -33,8 +34,9 @@ def user_activity(events: DataFrame, devices: DataFrame, time_col: str = "event_
     the partial aggregate of the final DISTINCT reduces events before the only
     shuffle.  Otherwise events are first reduced to distinct (user, device, day), so
     the shuffle into the join moves one row per user-device-day, not one per event.
-    ``distinct=False`` leaves duplicates for a consumer that removes them itself
-    (e.g. a per-key ``collect_set``), saving that shuffle.
+    ``distinct=False`` keeps one row per event and device row, whatever the size of the
+    device side, for a consumer that removes duplicates itself (a per-key
+    ``collect_set``).  Rows do not depend on the size check, only the plan does.
     """
     day = F.to_date(as_timestamp(events, time_col))
     ev = (events.where(F.col("device_id").isNotNull() & F.col("user_id").isNotNull())
@@ -42,7 +44,7 @@ def user_activity(events: DataFrame, devices: DataFrame, time_col: str = "event_
     dev = devices.select("device_id", "browser_type")
     if fits_broadcast(dev, max_broadcast_rows):
         dev = F.broadcast(dev)
-    else:
+    elif distinct:
         ev = ev.distinct()
     act = ev.join(dev, "device_id").select("user_id", "browser_type", "day")
     return act.distinct() if distinct else act
@@ -69,7 +71,7 @@ def datelist_step(yesterday: DataFrame, activity: DataFrame, keys: Sequence[str]
     t = (activity.where(F.col("day") == today).select(*keys).distinct()
          .select(*keys, F.array(today).alias("_t_list"), today.alias("_t_date")))
     y = yesterday.select(*keys, F.col(list_col).alias("_y_list"), F.col(date_col).alias("_y_date"))
-    j = t.join(y, keys, "full_outer")
+    j = full_outer_null_safe(t, y, keys)
     return j.select(*keys, concat_nullsafe(F.col("_t_list"), F.col("_y_list")).alias(list_col),
                     F.coalesce(F.col("_t_date"), F.date_add(F.col("_y_date"), 1)).alias(date_col))
 
@@ -93,7 +95,7 @@ def datelist_days(yesterday: DataFrame, activity: DataFrame, keys: Sequence[str]
                .agg(F.sort_array(F.collect_set("day"), asc=False).alias("_days"), F.min("day").alias("_first")))
     y = yesterday.select(*keys, F.col(list_col).alias("_y_list"), F.lit(True).alias("_known"))
     started = yesterday.exists() | act.where(F.col("day") == first).exists()
-    j = (per_key.join(y, keys, "full_outer").where(started)
+    j = (full_outer_null_safe(per_key, y, keys).where(started)
          .withColumn("_start", F.when(F.col("_known").isNotNull(), first).otherwise(F.col("_first")))
          .withColumn("_last", last))
     snaps = j.select(*keys, "_days", "_y_list",
@@ -135,8 +137,8 @@ def datelist_bitmap(snapshot: DataFrame, keys: Sequence[str], list_col: str, mon
                     out_col: str = "device_activity_datelist_int") -> DataFrame:
     """Per key, bit (d-1) set when day d of the month is in the list (row-local).
 
-    The snapshot has one row per key, so no aggregation (and no shuffle) is needed;
-    keys present twice are summed as the grouped form would.
+    The snapshot has one row per key, so no aggregation (and no shuffle) is needed; a key
+    present twice gives two rows.
     """
     month = F.lit(month_start).cast("date") if not isinstance(month_start, Column) else month_start
     return snapshot.select(*keys, month_bitmap(F.col(list_col), month).alias(out_col))

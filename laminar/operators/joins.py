@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Default row bound for a broadcast build side.  The dimensions broadcast here are
 # pruned to a key and one or two short columns, so 1M rows (tens of MB) stay far
@@ -11,16 +14,26 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 1_000_000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows, at a cost bounded by the bound.
+# Bytes of text a broadcast side may hold besides (long names break a bound on rows alone).
+MAX_BROADCAST_TEXT = 64 << 20
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_text: int = MAX_BROADCAST_TEXT) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and ``max_text`` bytes in its string columns.
 
     ``offset(max_rows).take(1)`` runs as one collect-limit of ``max_rows + 1`` rows,
     which Spark executes incrementally: it scans a few partitions, then more, and
     stops as soon as it has seen ``max_rows + 1`` rows.  The rows are a constant
     projection (no column is read).  A large side therefore costs about
-    ``max_rows`` rows of scanning, never a full pass.
+    ``max_rows`` rows of scanning; a filtered side is scanned until that many rows pass
+    the filter, so at worst whole.  Only a side within the row bound has its text measured.
     """
-    return len(df.select(F.lit(1).alias("_one")).offset(max_rows).take(1)) == 0
+    if len(df.select(F.lit(1).alias("_one")).offset(max_rows).take(1)):
+        return False
+    text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    if not text:
+        return True
+    return (df.agg(F.sum(reduce(lambda a, b: a + b, text))).first()[0] or 0) <= max_text
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -34,6 +47,16 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
+def full_outer_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """``left FULL OUTER JOIN right`` on keys compared null-safe; each key column once."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys],
+                     F.lit(True).alias("_in_r"))
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    j = left.withColumn("_in_l", F.lit(True)).join(r, on, "full_outer")
+    rest = [c for c in [*left.columns, *right.columns] if c not in keys]
+    return j.select(*[F.when(F.col("_in_l"), F.col(k)).otherwise(F.col(f"_r_{k}")).alias(k) for k in keys], *rest)
+
+
 def left_join(left: DataFrame, right: DataFrame, keys: list[str], skew_safe: bool = True) -> DataFrame:
     """``left LEFT OUTER JOIN right USING (keys)``, safe against a hot key on the right.
 
@@ -45,14 +68,17 @@ def left_join(left: DataFrame, right: DataFrame, keys: list[str], skew_safe: boo
 
     The inner join's skewed partitions can be split on either side; the anti join
     sees each right key once (the distinct has a map-side partial step), so a hot key
-    is one row there.  Both branches shuffle ``left`` on the keys the same way, so
-    that exchange is reused.  The result equals the left outer join exactly (a left
+    is one row there.  The distinct runs on one struct of the keys: the join then needs
+    an exchange of its own, and only a join directly above its exchanges is split where
+    ``left`` is skewed.  The price is that ``left`` is computed for both branches, so
+    leave ``skew_safe`` off where no right key is hot.  The result equals the left outer join exactly (a left
     row with a NULL key matches nothing and is kept once).
     """
     if not skew_safe:
         return left.join(right, keys, "left")
     matched = left.join(right, keys, "inner")
     rest = [f for f in right.schema.fields if f.name not in keys]
-    unmatched = (left.join(right.select(*keys).distinct(), keys, "left_anti")
+    seen = right.select(F.struct(*keys).alias("_k")).distinct().select("_k.*")
+    unmatched = (left.join(seen, keys, "left_anti")
                  .select(*left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in rest]))
     return matched.unionByName(unmatched.select(*matched.columns))

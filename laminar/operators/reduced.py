@@ -6,7 +6,7 @@ an entity first seen on day k gets k-1 leading zeros, an idle day appends 0.
 * ``daily_counts`` -- hits (rows) and unique visitors per (host, day);
 * ``reduce_step`` -- one daily increment of the month table;
 * ``reduce_days`` -- several consecutive days of increments in one job (catch-up);
-* ``reduce_month`` -- the month table after days 1..n in one job (backfill);
+* ``reduce_months`` / ``reduce_month`` -- the table of all months, or of one, in one job (backfill);
 * ``fix_last`` -- correct the last slot (as written: every slot equal to it);
 * ``explode_days`` -- read the arrays back as (host, day, value) rows.
 """
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from laminar.functions.arrays import replace_equal_to_last, replace_last_slot, zero_prefix
 from laminar.functions.dates import as_timestamp
+from laminar.operators.joins import full_outer_null_safe
 
 
 def _date(v) -> Column:
@@ -37,114 +38,122 @@ def daily_counts(events: DataFrame, key: str = "host", user: str = "user_id",
             .agg(F.count(F.lit(1)).alias("hits"), F.count_distinct(user).alias("visitors")))
 
 
-def reduce_step(month_state: DataFrame, counts: DataFrame, day, key: str = "host") -> DataFrame:
-    """The month table after appending ``day`` (day's month derived from it).
+def _cut(arr: Column, n: Column, count_type: str) -> Column:
+    """The first ``n`` slots of an array, filled up with zeros."""
+    return F.concat(F.slice(arr, 1, n), F.array_repeat(F.lit(0).cast(count_type), n - F.size(arr)))
 
-    ``month_state`` holds the rows of that month loaded so far (may be empty);
-    ``counts`` holds (key, day, hits, visitors).
+
+def _daily_maps(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key and month, slot -> count maps (at most one entry per day)."""
+    slot = F.datediff("day", F.trunc("day", "MM"))
+    return counts.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct(slot, "hits"))).alias("_h"),
+        F.map_from_entries(F.collect_list(F.struct(slot, "visitors"))).alias("_v"))
+
+
+def _fill(m: str, slots: Column, count_type: str) -> Column:
+    return F.transform(slots, lambda i: F.coalesce(F.try_element_at(F.col(m), i), F.lit(0)).cast(count_type))
+
+
+def reduce_step(month_state: DataFrame, counts: DataFrame, day, key: str = "host",
+                count_type: str = "float") -> DataFrame:
+    """The month table after loading ``day`` (day's month derived from it).
+
+    ``month_state`` holds the rows of that month (may be empty); slots of ``day`` and later
+    are replaced, so loading a day again changes nothing.  ``counts`` holds (key, day, hits, visitors).
     """
-    d = _date(day)
-    month = F.trunc(d, "MM")
-    t = counts.where(F.col("day") == d).select(key, F.col("hits").alias("_h"), F.col("visitors").alias("_v"))
-    y = (month_state.where(F.col("month") == month)
-         .select(key, "hit_array", "unique_visitor_array", F.lit(True).alias("_known")))
-    j = t.join(y, key, "full_outer")
-    known = F.col("_known").isNotNull()
-    slot = F.datediff(d, month)
-    return j.select(
-        key, month.alias("month"),
-        F.when(known, F.concat("hit_array", F.array(F.coalesce("_h", F.lit(0)).cast("float"))))
-        .otherwise(zero_prefix(slot, F.col("_h"))).alias("hit_array"),
-        F.when(known, F.concat("unique_visitor_array",
-                               F.array(F.coalesce("_v", F.lit(0)).cast("float"))))
-        .otherwise(zero_prefix(slot, F.col("_v"))).alias("unique_visitor_array"))
+    return reduce_days(month_state, counts, day, day, key, count_type)
 
 
-def reduce_month(counts: DataFrame, month_start, last_day, key: str = "host") -> DataFrame:
-    """The month table after loading days month_start..last_day (clamped to the month).
+def reduce_months(counts: DataFrame, last_day, key: str = "host", count_type: str = "float") -> DataFrame:
+    """The month table of every month up to ``last_day``, in one job.
 
-    Per key the daily rows (at most one per day) become a day->count map, read off
-    for every slot; keys with no count in the range have no row.
+    A key has a row per month in which it has a count.  Its daily rows (at most one per
+    day) become a day->count map, read off for every slot of the month, in the last month up to ``last_day``.
+    ``count_type`` is the slots' type: ``float`` as in the reference (whole counts are exact up to
+    16,777,216 only), or ``long`` / ``double``.
     """
-    month = _date(month_start)
-    last = F.least(_date(last_day), F.last_day(month))
-    per_key = (counts.where(F.col("day").between(month, last))
-               .groupBy(key)
-               .agg(F.map_from_entries(F.collect_list(F.struct(F.datediff("day", month), "hits"))).alias("_h"),
-                    F.map_from_entries(F.collect_list(F.struct(F.datediff("day", month), "visitors"))).alias("_v"))
+    last = _date(last_day)
+    per_key = (_daily_maps(counts.where(F.col("day") <= last).withColumn("month", F.trunc("day", "MM")), [key, "month"])
                # bound first: a higher-order function may not contain the period subqueries
-               .withColumn("_month", month)
-               .withColumn("_slots", F.sequence(F.lit(0), F.datediff(last, month))))
+               .withColumn("_to", F.datediff(F.least(last, F.last_day("month")), F.col("month")))
+               .withColumn("_slots", F.sequence(F.lit(0), F.col("_to"))))
+    slots = F.col("_slots")
+    return per_key.select(key, "month", _fill("_h", slots, count_type).alias("hit_array"),
+                          _fill("_v", slots, count_type).alias("unique_visitor_array"))
 
-    def fill(m):
-        return F.transform("_slots", lambda i: F.coalesce(F.try_element_at(F.col(m), i), F.lit(0)).cast("float"))
 
-    return per_key.select(key, F.col("_month").alias("month"), fill("_h").alias("hit_array"),
-                          fill("_v").alias("unique_visitor_array"))
+def reduce_month(counts: DataFrame, month_start, last_day, key: str = "host", count_type: str = "float") -> DataFrame:
+    """One month's table after loading days month_start..last_day (clamped to the month)."""
+    month = _date(month_start)
+    inside = counts.where(F.col("day").between(month, F.last_day(month)))
+    return reduce_months(inside, last_day, key, count_type)
 
 
 def reduce_days(month_state: DataFrame, counts: DataFrame, first_day, last_day,
-                key: str = "host") -> DataFrame:
-    """The month table after appending days first_day..last_day in one job.
-
-    ``month_state`` holds the month's rows loaded through ``first_day - 1`` (may be
-    empty); both days must be in the same month.  Known keys get one slot per day of
-    the range (0 when idle); keys first seen in the range get zeros from the 1st of
-    the month.  One day (``first_day == last_day``) is exactly ``reduce_step``; an empty
-    state from the 1st is ``reduce_month``.  Per key at most one count per day is
-    collected, then one full outer join on the key.
+                key: str = "host", count_type: str = "float") -> DataFrame:
+    """The month table after loading days first_day..last_day in one job.
+
+    ``month_state`` holds the month's rows (may be empty); both days must be in the same
+    month.  Prior arrays are cut to the slots before ``first_day`` (and filled with
+    zeros if shorter), then get one slot per day of the range (0 when idle), so a range
+    loaded again replaces itself.  Keys first seen in the range get zeros from the 1st of
+    the month.  One day is ``reduce_step``; an empty state from the 1st is ``reduce_month``.
+    Per key at most one count per day is collected, then one full outer join on the key (null-safe).
     """
     first, last = _date(first_day), _date(last_day)
     month = F.trunc(first, "MM")
-    per_key = (counts.where(F.col("day").between(first, last))
-               .groupBy(key)
-               .agg(F.map_from_entries(F.collect_list(F.struct(F.datediff("day", month), "hits"))).alias("_h"),
-                    F.map_from_entries(F.collect_list(F.struct(F.datediff("day", month), "visitors"))).alias("_v")))
+    per_key = _daily_maps(counts.where(F.col("day").between(first, last)), [key])
     y = (month_state.where(F.col("month") == month)
          .select(key, "hit_array", "unique_visitor_array", F.lit(True).alias("_known")))
     known = F.col("_known").isNotNull()
     # bound first: a higher-order function may not contain the period subqueries
-    j = (per_key.join(y, key, "full_outer")
+    j = (full_outer_null_safe(per_key, y, [key])
          .withColumn("_month", month)
-         .withColumn("_from", F.when(known, F.datediff(first, month)).otherwise(F.lit(0)))
+         .withColumn("_before", F.datediff(first, month))
+         .withColumn("_from", F.when(known, F.col("_before")).otherwise(F.lit(0)))
          .withColumn("_to", F.datediff(last, month)))
     slots = F.sequence(F.col("_from"), F.col("_to"))
 
-    def fill(m):
-        return F.transform(slots, lambda i: F.coalesce(F.try_element_at(F.col(m), i), F.lit(0)).cast("float"))
+    def grown(arr: str, m: str) -> Column:
+        new = _fill(m, slots, count_type)
+        return F.when(known, F.concat(_cut(F.col(arr), F.col("_before"), count_type), new)).otherwise(new).alias(arr)
+
+    return j.select(key, F.col("_month").alias("month"), grown("hit_array", "_h"), grown("unique_visitor_array", "_v"))
 
-    return j.select(
-        key, F.col("_month").alias("month"),
-        F.when(known, F.concat("hit_array", fill("_h"))).otherwise(fill("_h")).alias("hit_array"),
-        F.when(known, F.concat("unique_visitor_array", fill("_v"))).otherwise(fill("_v"))
-        .alias("unique_visitor_array"))
 
+_FIXED = (("hit_array", "hits"), ("unique_visitor_array", "visitors"))
 
-def fix_last(month_state: DataFrame, recount: DataFrame, key: str = "host",
-             value_col: str = "hits", array_col: str = "hit_array",
-             positional: bool = False) -> DataFrame:
-    """Replace the last slot of ``array_col`` by the recount (0 when the key has none).
 
-    As written (``positional=False``) every slot equal to the last value is replaced,
-    which is what replacing by value does; ``positional=True`` touches the last slot only.
+def fix_last_variants(month_state: DataFrame, recount: DataFrame, day, key: str = "host", default=None,
+                      count_type: str = "float") -> DataFrame:
+    """Both corrections of both arrays from one full outer join with ``recount(key, hits, visitors)``.
+
+    ``<array>_as_written``: every slot equal to the last value is replaced, which is what replacing by value does;
+    ``<array>_positional``: the last slot only.  A key without a recount gets ``default``
+    (NULL as written).  A key that only the recount has gets a row: zeros, then the recount in ``day``'s slot.
     """
-    r = recount.select(key, F.col(value_col).alias("_r"))
-    j = month_state.join(r, key, "left")
-    v = F.coalesce(F.col("_r"), F.lit(0)).cast("float")
-    fixed = replace_last_slot(F.col(array_col), v) if positional else replace_equal_to_last(F.col(array_col), v)
-    return j.withColumn(array_col, fixed).drop("_r")
-
-
-def fix_last_variants(month_state: DataFrame, recount: DataFrame, key: str = "host",
-                      value_col: str = "hits", array_col: str = "hit_array") -> DataFrame:
-    """Both corrections from one join: ``<array_col>_as_written`` (every slot equal to
-    the last value replaced) and ``<array_col>_positional`` (last slot only)."""
-    r = recount.select(key, F.col(value_col).alias("_r"))
-    v = F.coalesce(F.col("_r"), F.lit(0)).cast("float")
-    return (month_state.join(r, key, "left")
-            .withColumn(f"{array_col}_as_written", replace_equal_to_last(F.col(array_col), v))
-            .withColumn(f"{array_col}_positional", replace_last_slot(F.col(array_col), v))
-            .drop("_r"))
+    d = _date(day)
+    month = F.trunc(d, "MM")
+    y = month_state.where(F.col("month") == month).select(key, *[a for a, _ in _FIXED], F.lit(True).alias("_known"))
+    t = recount.select(key, *[F.col(v).alias(f"_{v}") for _, v in _FIXED], F.lit(True).alias("_counted"))
+    j = full_outer_null_safe(y, t, [key]).withColumn("_month", month).withColumn("_slot", F.datediff(d, month))
+    known = F.col("_known").isNotNull()
+    out = []
+    for arr, value in _FIXED:
+        v = F.when(F.col("_counted").isNotNull(), F.col(f"_{value}")).otherwise(F.lit(default)).cast(count_type)
+        new = zero_prefix(F.col("_slot"), v, count_type)
+        out += [F.when(known, replace_equal_to_last(F.col(arr), v)).otherwise(new).alias(f"{arr}_as_written"),
+                F.when(known, replace_last_slot(F.col(arr), v)).otherwise(new).alias(f"{arr}_positional")]
+    return j.select(key, F.col("_month").alias("month"), *out)
+
+
+def fix_last(month_state: DataFrame, recount: DataFrame, day, key: str = "host", positional: bool = False,
+             default=None, count_type: str = "float") -> DataFrame:
+    """The month table with both arrays' last slot corrected (see ``fix_last_variants``)."""
+    kind = "positional" if positional else "as_written"
+    both = fix_last_variants(month_state, recount, day, key, default, count_type)
+    return both.select(key, "month", *[F.col(f"{a}_{kind}").alias(a) for a, _ in _FIXED])
 
 
 def explode_days(month_state: DataFrame, key: str = "host") -> DataFrame:

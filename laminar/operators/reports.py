@@ -17,6 +17,14 @@ from pyspark.sql import functions as F
 
 from laminar.operators.joins import bounded_broadcast, left_join
 
+# --- fixed values: output column names, as the reference's reports have them ---
+MAP_NAME = "mapName"
+MEDAL_NAME = "medalName"
+AVG_KILLS = "avg_kill_per_game"
+PLAYED = "played_count"
+MAP_PLAYED = "map_played_count"
+MEDALS = "medal_count"
+# --------------------------------------------------------------------------------
 
 def match_fact(matches: DataFrame, details: DataFrame, medals_players: DataFrame,
                skew_safe: bool = True) -> DataFrame:
@@ -39,9 +47,9 @@ def match_fact(matches: DataFrame, details: DataFrame, medals_players: DataFrame
 def player_match(fact: DataFrame, maps: DataFrame) -> DataFrame:
     """One row per (match, playlist, map, player, kills) with the map name."""
     pm = fact.select("match_id", "playlist_id", "mapid", "player_gamertag", "player_total_kills").distinct()
-    mp = bounded_broadcast(maps.select("mapid", F.col("name").alias("mapName")))
+    mp = bounded_broadcast(maps.select("mapid", F.col("name").alias(MAP_NAME)))
     return (pm.join(mp, "mapid", "left")
-            .select("match_id", "playlist_id", "mapid", "player_gamertag", "player_total_kills", "mapName"))
+            .select("match_id", "playlist_id", "mapid", "player_gamertag", "player_total_kills", MAP_NAME))
 
 
 def player_match_from_tables(matches: DataFrame, details: DataFrame, maps: DataFrame,
@@ -65,15 +73,15 @@ def top1(df: DataFrame, group: str, value: Column, alias: str) -> DataFrame:
 
 
 def top_avg_kills(pm: DataFrame) -> DataFrame:
-    return top1(pm, "player_gamertag", F.avg("player_total_kills"), "avg_kill_per_game")
+    return top1(pm, "player_gamertag", F.avg("player_total_kills"), AVG_KILLS)
 
 
 def top_playlist(pm: DataFrame) -> DataFrame:
-    return top1(pm, "playlist_id", F.count("playlist_id"), "played_count")
+    return top1(pm, "playlist_id", F.count("playlist_id"), PLAYED)
 
 
 def top_map(pm: DataFrame) -> DataFrame:
-    return top1(pm, "mapName", F.count("match_id"), "map_played_count")
+    return top1(pm, MAP_NAME, F.count("match_id"), MAP_PLAYED)
 
 
 def medal_by_map(fact: DataFrame, medals: DataFrame, maps: DataFrame, medal_name: str) -> DataFrame:
@@ -83,13 +91,13 @@ def medal_by_map(fact: DataFrame, medals: DataFrame, maps: DataFrame, medal_name
     medals are broadcast; both joins are inner.
     """
     md = bounded_broadcast(medals.where(F.col("name") == medal_name)
-                           .select("medal_id", F.col("name").alias("medalName")))
-    mp = bounded_broadcast(maps.select("mapid", F.col("name").alias("mapName")))
-    return fact.join(md, "medal_id").join(mp, "mapid").select("match_id", "mapName", "medalName")
+                           .select("medal_id", F.col("name").alias(MEDAL_NAME)))
+    mp = bounded_broadcast(maps.select("mapid", F.col("name").alias(MAP_NAME)))
+    return fact.join(md, "medal_id").join(mp, "mapid").select("match_id", MAP_NAME, MEDAL_NAME)
 
 
 def top_medal_map(fact: DataFrame, medals: DataFrame, maps: DataFrame, medal_name: str) -> DataFrame:
-    return top1(medal_by_map(fact, medals, maps, medal_name), "mapName", F.count("medalName"), "medal_count")
+    return top1(medal_by_map(fact, medals, maps, medal_name), MAP_NAME, F.count(MEDAL_NAME), MEDALS)
 
 
 def medal_by_map_from_tables(matches: DataFrame, details: DataFrame, medals_players: DataFrame,
@@ -102,17 +110,17 @@ def medal_by_map_from_tables(matches: DataFrame, details: DataFrame, medals_play
     shuffled, and the detail and match tables are joined only to those rows.
     """
     md = bounded_broadcast(medals.where(F.col("name") == medal_name)
-                           .select("medal_id", F.col("name").alias("medalName")))
-    mp = bounded_broadcast(maps.select("mapid", F.col("name").alias("mapName")))
+                           .select("medal_id", F.col("name").alias(MEDAL_NAME)))
+    mp = bounded_broadcast(maps.select("mapid", F.col("name").alias(MAP_NAME)))
     hits = medals_players.select("match_id", "player_gamertag", "medal_id").join(md, "medal_id")
     with_player = hits.join(details.select("match_id", "player_gamertag"), ["match_id", "player_gamertag"])
     return (with_player.join(matches.select("match_id", "mapid"), "match_id")
-            .join(mp, "mapid").select("match_id", "mapName", "medalName"))
+            .join(mp, "mapid").select("match_id", MAP_NAME, MEDAL_NAME))
 
 
 def top_medal_map_from_tables(matches, details, medals_players, medals, maps, medal_name) -> DataFrame:
     rows = medal_by_map_from_tables(matches, details, medals_players, medals, maps, medal_name)
-    return top1(rows, "mapName", F.count("medalName"), "medal_count")
+    return top1(rows, MAP_NAME, F.count(MEDAL_NAME), MEDALS)
 
 
 @contextmanager

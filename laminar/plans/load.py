@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from laminar.operators.dedup import dedup
+from laminar.plans.tables import latest, read_version, versions, write_version
+from laminar.sources.readers import read_csv
+from laminar.sources.schemas import TABLES
 
 
 def load_bucketed(spark: SparkSession, df: DataFrame, path: str, bucket_col: str = "match_id",
@@ -26,9 +30,12 @@ def load_bucketed(spark: SparkSession, df: DataFrame, path: str, bucket_col: str
     have several files).  The sort spills instead of running out of memory.  Later
     joins on ``bucket_col`` between tables with the same bucket count need no
     exchange.  ``drop_null`` keeps the per-value loop's behaviour of never loading
-    rows whose slice column is NULL; ``mode='append'`` adds to an existing table as
-    the per-slice loads did.
+    rows whose slice column is NULL; ``mode='append'`` with the table's ``name`` adds to an
+    existing table as the per-slice loads did.  A bucket is one task unless
+    ``files_per_bucket`` is raised; size ``buckets`` times that to the table.
     """
+    if mode == "append" and name is None:
+        raise ValueError("appending needs the name of the table")
     out = df if drop_null is None else df.where(F.col(drop_null).isNotNull())
     name = name or f"laminar_{uuid.uuid4().hex[:12]}"
     if files_per_bucket <= 1:
@@ -44,32 +51,106 @@ def load_bucketed(spark: SparkSession, df: DataFrame, path: str, bucket_col: str
 
 
 def file_bytes(spark: SparkSession, path: str) -> DataFrame:
-    """Total bytes of the data files under ``path``, from the file metadata column."""
-    files = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size").distinct()
-    return files.agg(F.sum("file_size").cast("long").alias("bytes"),
-                     F.count(F.lit(1)).alias("files"))
+    """Path and bytes of every data file under ``path``, from a listing (no content is read)."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+            .load(path).select("path", F.col("length").alias("bytes")))
 
 
 def layout_report(spark: SparkSession, df: DataFrame, columns: Sequence[str], root: str) -> DataFrame:
     """Write ``df`` once per candidate sort column (sorted within partitions) and report
-    the bytes each layout takes: (sort_column, bytes, files, mb).
+    on each layout: (sort_column, n_rows, sorted, bytes, files, mb).
 
     ``df`` is computed once and written as is -- that write is the ``unsorted``
     layout -- to a folder below ``root`` (a shared location, so the input survives an
     executor loss).  Every sorted layout reads that table back, so all layouts start
-    from the same input splits and nothing upstream is recomputed.  The sizes of all
-    layouts come from one metadata-only job (no data column is read).
+    from the same input splits and nothing upstream is recomputed.  Sizes come from
+    a file listing.  ``sorted`` says whether every file is in the order of its column (NULL for the
+    unsorted one); it compares each row with the one before it in its file.
     """
     root = root.rstrip("/")
     base = f"{root}/layout=unsorted"
     df.write.mode("overwrite").parquet(base)
     for c in columns:
         spark.read.parquet(base).sortWithinPartitions(c).write.mode("overwrite").parquet(f"{root}/layout={c}")
-    files = (spark.read.parquet(root)
-             .select("layout", "_metadata.file_path", "_metadata.file_size").distinct())
-    return (files.groupBy(F.col("layout").cast("string").alias("sort_column"))
-            .agg(F.sum("file_size").cast("long").alias("bytes"), F.count(F.lit(1)).alias("files"))
-            .withColumn("mb", F.round(F.col("bytes") / (1024 * 1024), 2)))
+    before = Window.partitionBy("file").orderBy("at")
+    checks = []
+    for c in [None, *columns]:
+        t = spark.read.parquet(f"{root}/layout={c or 'unsorted'}")
+        if c is None:
+            checks.append(t.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(None).cast("boolean").alias("sorted"))
+                          .withColumn("sort_column", F.lit("unsorted")))
+            continue
+        step = t.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"), F.col(c).alias("v"))
+        prev = F.lag(F.struct("v")).over(before)  # a struct tells "no row before" from a NULL value
+        good = prev.isNull() | prev["v"].isNull() | (prev["v"] <= F.col("v"))  # NULLs first, as the sort puts them
+        checks.append(step.select(F.coalesce(good, F.lit(False)).alias("good"))
+                      .agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.every("good"), F.lit(True)).alias("sorted"))
+                      .withColumn("sort_column", F.lit(c)))
+    report = checks[0]
+    for c in checks[1:]:
+        report = report.unionByName(c)
+    sizes = (file_bytes(spark, root).withColumn("sort_column", F.regexp_extract("path", "layout=([^/]+)/", 1))
+             .groupBy("sort_column").agg(F.sum("bytes").cast("long").alias("bytes"), F.count(F.lit(1)).alias("files"))
+             .withColumn("mb", F.round(F.col("bytes") / (1024 * 1024), 2)))
+    return report.join(sizes, "sort_column").select("sort_column", "n_rows", "sorted", "bytes", "files", "mb")
+
+
+def reload_dedup(spark: SparkSession, path: str, schema, keys: Sequence[str],
+                 order: Sequence[str] | None = None) -> DataFrame:
+    """Reload a versioned table with its deduplicated self, and return the table.
+
+    The newest complete version is read, its deduplicated rows become the next version, and from then on readers
+    of the newest version see those: the swap is the new version's completion.
+    """
+    now = latest(versions(spark, path, "v"))
+    deduped = dedup(read_version(spark, path, schema, "v", now), keys, order)
+    write_version(deduped, path, "v", f"{int(now or 0) + 1:09d}")
+    return read_version(spark, path, schema, "v", latest(versions(spark, path, "v")))
+
+
+def load_star(spark: SparkSession, sources: dict[str, str], prefix: str, root: str, buckets: int = 16,
+              bucketed: Sequence[str] = ("matches", "match_details", "medal_matches_players")) -> dict[str, DataFrame]:
+    """Load CSV files of the star tables into created tables, and return them by name.
+
+    Every table is created from its declared schema, empty, then the file, read against that schema, is appended.
+    Fact tables are bucketed by ``match_id``; the others are plain.  A table of that name is replaced.
+    """
+    out = {}
+    for name, path in sources.items():
+        table = f"{prefix}_{name}"
+        create_table(spark, table, TABLES[name], f"{root.rstrip('/')}/{name}", buckets if name in bucketed else 0)
+        rows = read_csv(spark, path, name)
+        if name in bucketed:
+            out[name] = load_bucketed(spark, rows, f"{root.rstrip('/')}/{name}", "match_id", buckets, name=table, mode="append")
+        else:
+            rows.write.mode("append").format("parquet").saveAsTable(table)
+            out[name] = spark.table(table)
+    return out
+
+
+@contextmanager
+def match_bucket_join(spark: SparkSession):
+    """Within it, tables bucketed by a join's first key only are joined on more keys without an exchange."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def create_table(spark: SparkSession, name: str, schema, path: str, buckets: int = 0, bucket_col: str = "match_id") -> None:
+    """Create an empty parquet table with a declared schema, dropping an older one of that name."""
+    drop_table(spark, name)
+    w = spark.createDataFrame([], schema).write.format("parquet").mode("overwrite").option("path", path)
+    if buckets:
+        w = w.bucketBy(buckets, bucket_col).sortBy(bucket_col)
+    w.saveAsTable(name)
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS `{name}`")
 
 
 def rewrite_dedup(spark: SparkSession, path: str, new_path: str, keys: Sequence[str],

@@ -19,16 +19,17 @@ from laminar.operators.checks import domain_summary, key_violations
 from laminar.operators.cumulate import cumulate_years
 from laminar.operators.datelist import datelist_backfill, datelist_bitmap, host_activity, user_activity
 from laminar.operators.dedup import dedup
-from laminar.operators.reduced import daily_counts, explode_days, fix_last_variants, reduce_month
+from laminar.operators.reduced import daily_counts, explode_days, fix_last_variants, reduce_months
 from laminar.operators.scd2 import scd2_backfill
 from laminar.plans import incremental
-from laminar.plans.load import layout_report, load_bucketed, rewrite_dedup
-from laminar.plans.tables import overwrite_partitions
+from laminar.operators.upsert import upsert
+from laminar.plans.load import layout_report, load_bucketed, load_star, match_bucket_join, reload_dedup
+from laminar.plans.tables import overwrite_partitions, write_version
 from laminar.session import scratch_path
 from laminar.sources import roles
 from laminar.sources.readers import read_csv
-from laminar.sources.schemas import HOSTS_CUMULATED, USER_DEVICES_CUMULATED
-from laminar.streaming import host_datelist_load, reduced_load, run_stream
+from laminar.sources.schemas import HOSTS_CUMULATED, TABLES, USER_DEVICES_CUMULATED
+from laminar.streaming import host_datelist_load, read_streamed_reduced, reduced_load, run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,8 +70,11 @@ def q_dedup_details(spark, sf_dir):
     return dedup(roles.game_details(spark, sf_dir), ["l_orderkey", "l_linenumber"])
 
 
-def dedup_events(spark, sf_dir):
+def dedup_events(spark, sf_dir, day=None):
+    """Events deduplicated per (user, device, day), of one day if given (the day is part of the key)."""
     ev = roles.events(spark, sf_dir)
+    if day is not None:
+        ev = ev.where(F.to_date("event_time") == day)
     keyed = ev.withColumn("event_date", F.to_date("event_time"))
     return dedup(keyed, ["user_id", "device_id", "event_date"]).select(*ev.columns)
 
@@ -135,12 +139,13 @@ def q_datelist_int(spark, sf_dir):
 
 # ---- reduced month facts ----------------------------------------------------
 def _counts_str(arr: Column) -> Column:
-    return F.array_join(F.transform(arr, lambda x: x.cast("long").cast("string")), ",")
+    return F.array_join(F.transform(arr, lambda x: x.cast("long").cast("string")), ",", "NULL")
 
 
 def reduced(spark, sf_dir):
+    """The month table of all months, with slots wide enough for any count."""
     ev = roles.events(spark, sf_dir)
-    return reduce_month(daily_counts(ev), roles.MONTH_START, _last_event_day(ev))
+    return reduce_months(daily_counts(ev), _last_event_day(ev), count_type="long")
 
 
 def q_reduced_hits(spark, sf_dir):
@@ -155,14 +160,13 @@ def q_reduced_visitors(spark, sf_dir):
 
 
 def q_reduced_fix_last(spark, sf_dir):
-    """Month hits through the last day, last slot corrected by a recount over deduplicated events."""
+    """The last day's month, last slots corrected by a recount over that day's deduplicated events."""
     ev = roles.events(spark, sf_dir)
     last = _last_event_day(ev)
-    state = reduce_month(daily_counts(ev), roles.MONTH_START, last)
-    recount = daily_counts(dedup_events(spark, sf_dir)).where(F.col("day") == last)
-    fixed = fix_last_variants(state, recount)
-    return fixed.select("host", "month", _counts_str(F.col("hit_array_as_written")).alias("hits_as_written"),
-                        _counts_str(F.col("hit_array_positional")).alias("hits_positional"))
+    state = reduce_months(daily_counts(ev), last, count_type="long")
+    recount = daily_counts(dedup_events(spark, sf_dir, last))
+    fixed = fix_last_variants(state, recount, last, count_type="long")
+    return fixed.select("host", "month", *[_counts_str(F.col(c)).alias(c) for c in fixed.columns[2:]])
 
 
 def q_reduced_daily(spark, sf_dir):
@@ -277,23 +281,86 @@ def q_load_sliced(spark, sf_dir):
                          "match_id", 16, drop_null="completion_date")
 
 
-def q_layout_report(spark, sf_dir):
+def layout_full(spark, sf_dir):
+    """The layout trial with its file sizes."""
     return layout_report(spark, fact(spark, sf_dir), list(roles.LAYOUT_COLUMNS), scratch_path(spark, "layout"))
 
 
+def q_layout_report(spark, sf_dir):
+    """What does not depend on the writer: rows of each layout, and whether it is sorted."""
+    return layout_full(spark, sf_dir).select("sort_column", "n_rows", "sorted")
+
+
+def _reloaded(spark, df, name, keys):
+    path = scratch_path(spark, name)
+    write_version(df, path, "v", f"{1:09d}")
+    return reload_dedup(spark, path, df.schema, keys)
+
+
 def q_dedup_rewrite(spark, sf_dir):
     """The detail table written as a table, then reloaded with its deduplicated self."""
-    v1 = scratch_path(spark, "game_details")
-    roles.game_details(spark, sf_dir).write.parquet(v1)
-    return rewrite_dedup(spark, v1, scratch_path(spark, "game_details"), ["l_orderkey", "l_linenumber"])
+    return _reloaded(spark, roles.game_details(spark, sf_dir), "game_details", ["l_orderkey", "l_linenumber"])
+
+
+def q_dedup_rewrite_events(spark, sf_dir):
+    ev = roles.events(spark, sf_dir)
+    keyed = ev.withColumn("event_date", F.to_date("event_time"))
+    return _reloaded(spark, keyed, "events", ["user_id", "device_id", "event_date"]).select(*ev.columns)
+
+
+def q_dedup_rewrite_devices(spark, sf_dir):
+    return _reloaded(spark, roles.device_catalog(spark, sf_dir), "devices", ["p_brand", "p_type"])
 
 
 def q_match_fact_bucketed(spark, sf_dir):
-    """The star fact over tables bucketed by match (the first join needs no exchange)."""
+    """The star fact over tables bucketed by match: neither join needs an exchange.
+
+    The second join is on match and player; with the match as the only bucket key that takes the setting
+    of the reference's report job, which holds while the fact is written.
+    """
     m = load_bucketed(spark, roles.matches(spark, sf_dir), scratch_path(spark, "matches"))
     d = load_bucketed(spark, roles.match_details(spark, sf_dir), scratch_path(spark, "match_details"))
     p = load_bucketed(spark, roles.medal_matches_players(spark, sf_dir), scratch_path(spark, "mmp"))
-    return reports.match_fact(m, d, p)
+    out = scratch_path(spark, "match_fact")
+    with match_bucket_join(spark):
+        reports.match_fact(m, d, p, skew_safe=False).write.parquet(out)
+    return spark.read.parquet(out)
+
+
+def q_upsert_by_key(spark, sf_dir):
+    """Order counts upserted into the customers by key: names stay, counts are taken from the source."""
+    c = roles.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("custkey"), F.col("c_name").alias("name"), F.col("c_nationkey").cast("long").alias("n"))
+    o = (roles.table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("custkey")).agg(F.count(F.lit(1)).alias("n"))
+         .withColumn("name", F.lit(None).cast("string")))
+    return upsert(c, o, ["custkey"], update_cols=["n"])
+
+
+def q_check_domain_violations(spark, sf_dir):
+    """A column checked against a domain that leaves out one of its values."""
+    return domain_summary(roles.table(spark, sf_dir, "lineitem"), "l_returnflag", ("A", "N"))
+
+
+def q_csv_load_star(spark, sf_dir):
+    """The five star tables as CSV files, loaded through their declared schemas into created tables."""
+    parts = {"maps": roles.maps, "medals": roles.medals, "matches": roles.matches,
+             "match_details": roles.match_details, "medal_matches_players": roles.medal_matches_players}
+    files = {}
+    for name, role in parts.items():
+        df = role(spark, sf_dir)
+        wide = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                for f in TABLES[name].fields]
+        files[name] = scratch_path(spark, f"{name}_csv")
+        df.select(*wide).write.option("header", "true").csv(files[name])
+    root = scratch_path(spark, "star")
+    loaded = load_star(spark, files, f"laminar_{root[-12:]}", root)
+    keys = {"maps": "mapid", "medals": "medal_id"}
+    out = None
+    for name, df in loaded.items():
+        row = df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(keys.get(name, "match_id")).alias("n_keys"))
+        row = row.select(F.lit(name).alias("table_name"), "n_rows", "n_keys")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 # ---- streamed daily loads ----------------------------------------------------
@@ -323,7 +390,7 @@ def q_reduced_streamed(spark, sf_dir):
     model = reduced_load(target, dt.date.fromisoformat(roles.MONTH_START))
     run_stream(spark, src, schema, model, scratch_path(spark, "staging"), scratch_path(spark, "stream_ckpt"),
                finalize=True)
-    return spark.read.parquet(target).select(
+    return read_streamed_reduced(spark, target).select(
         "host", "month", _counts_str(F.col("hit_array")).alias("hit_array"),
         F.size("hit_array").cast("long").alias("n_days"))
 
@@ -372,4 +439,9 @@ QUERIES: dict[str, Query] = {
     "match_fact_bucketed": q_match_fact_bucketed,
     "host_datelist_streamed": q_host_datelist_streamed,
     "reduced_streamed": q_reduced_streamed,
+    "upsert_by_key": q_upsert_by_key,
+    "check_domain_violations": q_check_domain_violations,
+    "dedup_rewrite_events": q_dedup_rewrite_events,
+    "dedup_rewrite_devices": q_dedup_rewrite_devices,
+    "csv_load_star": q_csv_load_star,
 }

@@ -1,18 +1,22 @@
-"""Partitioned parquet tables written one period at a time.
+"""Partitioned parquet tables written one period at a time, and versioned tables.
 
 A snapshot table is partitioned by its period column.  A load step reads only the
 partition directories it needs (no listing of the whole table) and replaces only
 the partitions it produces (dynamic partition overwrite): re-running a period
-replaces it instead of duplicating it, and untouched periods are never
-rewritten.  Output is staged and swapped at job commit, so a step may read the
-partition it overwrites and a retried task still sees the old input.
+replaces what that period wrote, and untouched periods are never rewritten.
+
+A step whose output replaces its own input (an open slice, a month's arrays, a table
+reloaded with its deduplicated self) writes a *version* instead: a folder
+``<col>=<value>`` of its own, complete once Spark has put its ``_SUCCESS`` file there.
+Readers take the newest complete version, so the one before stays readable until the
+new one is whole, a crash in between loses nothing, and writing a version again
+replaces it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -20,7 +24,7 @@ from pyspark.sql.types import StructType
 
 def overwrite_partitions(df: DataFrame, path: str, partition_col: str,
                          files_per_partition: int | None = None) -> None:
-    """Replace the ``partition_col`` partitions present in ``df``.
+    """Replace the ``partition_col`` partitions present in ``df`` (others stay as they are).
 
     By default there is no repartition: a daily step has a single partition value,
     and hashing on it alone would funnel the whole day into one writer task; every
@@ -44,37 +48,74 @@ def partition_path(path: str, col: str, value) -> str:
     return f"{path.rstrip('/')}/{col}={_literal(value)}"
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path, and the path, as Spark sees them."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path is there.  Any other trouble (permissions, a bad address) raises."""
+    fs, p = hadoop_path(spark, path)
+    return bool(fs.exists(p))
+
+
 def read_partition(spark: SparkSession, path: str, schema: StructType, col: str, value) -> DataFrame:
-    """One partition of a table, read by its directory (an empty frame if absent)."""
-    try:
-        # the declared schema (partition column included) spares a footer read per step
-        df = spark.read.schema(schema).option("basePath", path).parquet(partition_path(path, col, value))
-    except AnalysisException:  # missing path or no data files yet
+    """One partition of a table, read by its directory; an empty frame only if that is missing."""
+    part = partition_path(path, col, value)
+    if not exists(spark, part):
         return spark.createDataFrame([], schema)
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    # the declared schema (partition column included) spares a footer read per step
+    return conform(spark.read.schema(schema).option("basePath", path).parquet(part), schema)
 
 
-def has_partition(spark: SparkSession, path: str, col: str, value, schema: StructType | None = None) -> bool:
-    """Whether a partition was written.
-
-    Partitioned writes create a partition directory only when it gets rows, so the
-    directory's existence is the test; with ``schema`` no file footer is read.
-    """
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    try:
-        reader.parquet(partition_path(path, col, value)).schema  # noqa: B018
-        return True
-    except AnalysisException:  # missing path or no data files yet
-        return False
+def has_partition(spark: SparkSession, path: str, col: str, value) -> bool:
+    """Whether a partition was written (its directory is made only when it gets rows)."""
+    return exists(spark, partition_path(path, col, value))
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType, exists: bool) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The whole table at ``path`` with its declared schema, or an empty one before the first write."""
-    if not exists:
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    df = spark.read.parquet(path)
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    return conform(spark.read.parquet(path), schema)
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+
+# ---- versions ------------------------------------------------------------------
+def write_version(df: DataFrame, path: str, col: str, value) -> None:
+    """Write (or write again) one version; an empty result is a version too."""
+    df.write.mode("overwrite").parquet(partition_path(path, col, value))
+
+
+def versions(spark: SparkSession, path: str, col: str) -> list[str]:
+    """Values of the complete versions under ``path``, in ascending text order."""
+    if not exists(spark, path):
+        return []
+    fs, p = hadoop_path(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(n[len(col) + 1:] for n in names
+                  if n.startswith(f"{col}=") and exists(spark, f"{path.rstrip('/')}/{n}/_SUCCESS"))
+
+
+def read_version(spark: SparkSession, path: str, schema: StructType, col: str, value) -> DataFrame:
+    """One version with its declared schema; an empty frame for ``None``."""
+    if value is None:
+        return spark.createDataFrame([], schema)
+    return conform(spark.read.schema(schema).parquet(partition_path(path, col, value)), schema)
+
+
+def latest(names: list[str], before: str | None = None) -> str | None:
+    """The newest version, or the newest one before a value (numbers as text need equal width)."""
+    kept = [n for n in names if before is None or n < before]
+    return kept[-1] if kept else None
+
+
+def drop_versions(spark: SparkSession, path: str, col: str, keep: int = 2) -> None:
+    """Delete all but the newest ``keep`` versions."""
+    for n in versions(spark, path, col)[:-keep or None]:
+        fs, p = hadoop_path(spark, partition_path(path, col, n))
+        fs.delete(p, True)

@@ -3,12 +3,13 @@
 Library code never creates a session; it takes the caller's.  Scratch tables
 (lineage cuts between incremental steps, layout trials) go below the folder the
 cluster names in ``spark.checkpoint.dir``.  Only when that is unset (local tests)
-is a private temporary folder chosen.
+(and only on a ``local`` master) is a private temporary folder chosen.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -49,9 +50,10 @@ def build_session(cpus: int | None = None, shuffle_partitions: int | None = None
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``; set one only when unset.
 
-    Reads the session conf first (works for classic and Connect sessions); falls back
-    to the context's checkpoint folder, and only when neither is set (local tests)
-    creates a private temporary folder and registers it as the checkpoint folder.
+    Reads the session conf first (works for classic and Connect sessions), then the
+    context's checkpoint folder.  When neither is set, a session on one machine (a
+    ``local`` master, as in tests) gets a private temporary folder, registered as the
+    checkpoint folder; any other session must name a shared one.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -64,9 +66,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")
         if current:
             return current
-    folder = tempfile.mkdtemp(prefix="laminar-ckpt-")  # tests / local runs only
-    if sc is not None:
-        sc.setCheckpointDir(folder)
+    if sc is None or not re.match(r"local(\[|$)", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="laminar-ckpt-")
+    sc.setCheckpointDir(folder)
     return folder
 
 
@@ -75,6 +78,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/laminar/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this library's scratch folder and its unnamed catalog tables, once nothing reads them any more."""
+    for t in spark.catalog.listTables():
+        if t.name.startswith("laminar_"):
+            spark.sql(f"DROP TABLE IF EXISTS `{t.name}`")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark).rstrip('/')}/laminar")
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 # Runtime SQL settings for a large cluster (~100 TB inputs).  Shuffle partitions are
 # sized for the largest shuffle (~1 GB per partition before AQE); adaptive execution
 # coalesces the smaller shuffles and splits skewed join partitions.

@@ -39,7 +39,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("string").alias("referrer"),
                     F.col("user_id"),
                     k.alias("device_id"),
-                    F.concat(F.lit("host-"), F.lpad(k.cast("string"), 2, "0")).alias("host"),
+                    F.when(k.isNotNull(), F.format_string("host-%02d", k)).alias("host"),
                     F.col("ts").alias("event_time"))
 
 

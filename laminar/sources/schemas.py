@@ -31,8 +31,11 @@ ACTORS_HISTORY_SCD = _s(("actorid", StringType(), False), ("actor", StringType()
                         ("quality_class", StringType()), ("is_active", BooleanType()),
                         ("start_date", IntegerType(), False), ("end_date", IntegerType()))
 
-_GAME_STATS = ("fgm fga fg_pct fg3m fg3a fg3_pct ftm fta ft_pct oreb dreb reb ast stl blk "
-               "TO pf pts plus_minus").split()
+# fixed values: column names of the reference's tables, here and below
+_GAME_STATS = [
+    "fgm", "fga", "fg_pct", "fg3m", "fg3a", "fg3_pct", "ftm", "fta", "ft_pct", "oreb", "dreb",
+    "reb", "ast", "stl", "blk", "TO", "pf", "pts", "plus_minus",
+]
 GAME_DETAILS = _s(("game_id", IntegerType()), ("team_id", IntegerType()),
                   ("team_abbreviation", StringType()), ("team_city", StringType()),
                   ("player_id", IntegerType()), ("player_name", StringType()),
@@ -72,10 +75,12 @@ MEDALS = _s(("medal_id", LongType()), ("sprite_uri", StringType()), ("sprite_lef
 
 MAPS = _s(("mapid", StringType()), ("name", StringType()), ("description", StringType()))
 
-_DETAIL_INTS = ("previous_spartan_rank spartan_rank previous_total_xp total_xp previous_csr_tier "
-                "previous_csr_designation previous_csr previous_csr_percent_to_next_tier "
-                "previous_csr_rank current_csr_tier current_csr_designation current_csr "
-                "current_csr_percent_to_next_tier current_csr_rank player_rank_on_team").split()
+_DETAIL_INTS = [
+    "previous_spartan_rank", "spartan_rank", "previous_total_xp", "total_xp", "previous_csr_tier",
+    "previous_csr_designation", "previous_csr", "previous_csr_percent_to_next_tier",
+    "previous_csr_rank", "current_csr_tier", "current_csr_designation", "current_csr",
+    "current_csr_percent_to_next_tier", "current_csr_rank", "player_rank_on_team",
+]
 MATCH_DETAILS = _s(("match_id", StringType()), ("player_gamertag", StringType()),
                    *[(c, IntegerType()) for c in _DETAIL_INTS],
                    ("player_finished", BooleanType()), ("player_average_life", StringType()),

@@ -2,23 +2,19 @@
 
 Each micro-batch (``foreachBatch``):
 
-1. appends the batch's rows, projected to what the model needs, to a staging table
-   partitioned by event day;
-2. finds the days that are complete -- every day before the newest day seen, minus
-   an allowed lateness -- and not yet loaded;
-3. loads all of those days in one job with the model's range operator
-   (``datelist_days`` / ``reduce_days``, which equal the serial daily steps),
-   reading only those days' staging partitions and the target's previous
-   partition, and replacing the target partitions it produces.
-
-Progress lives in the tables, not in driver memory: at the start of every batch
-the last loaded day is read back from the target.  The newest day comes from the
-micro-batch itself (an all-late batch only delays loading), and staged rows are
-read from the completed days' directories, so a batch never lists or scans the
-whole staging history.  A replayed batch appends duplicate staging rows, which the
-models remove (distinct sets / distinct counts), and re-loading a day replaces its
-partitions, so recovery from the stream checkpoint is safe.  A backlog (a restart
-after downtime, a replay) is caught up in one job, not one job per day.
+1. writes the batch's rows, projected to what the model needs, to its own staging folder
+   ``batch=<id>``, partitioned by event day.  A batch replayed after a failure overwrites
+   that folder, so no event is staged twice;
+2. loads, in one job with the model's range operator (``datelist_days`` / ``reduce_days``,
+   which equal the serial daily steps), every day from the first one it has to: the day after
+   the last loaded, or an earlier one for which the batch brought late events.  A late event
+   thus reloads its day and all later ones; none is lost, whatever the order of the files.
+
+A day is loaded once a newer one (plus an allowed lateness) has been seen; until then its
+rows wait in staging.  Rows without an event time belong to no day; they stay in the staging folder of
+``day`` NULL and are counted by ``undated``.  Progress lives in the tables, not in
+driver memory: the last loaded day is read back from the target, and the range is read by
+its day folders only.  A backlog (a restart after downtime, a replay) is caught up in one job.
 """
 
 from __future__ import annotations
@@ -27,49 +23,40 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
 from laminar.functions.dates import as_timestamp
 from laminar.operators.datelist import datelist_days
-from laminar.operators.reduced import daily_counts, reduce_days
-from laminar.plans.tables import conform, overwrite_partitions, read_partition
-from laminar.sources.schemas import HOST_ACTIVITY_REDUCED, HOSTS_CUMULATED
+from laminar.operators.reduced import daily_counts
+from laminar.plans.incremental import month_ranges, read_reduced, reduce_load_range
+from laminar.plans.tables import (conform, exists, hadoop_path, overwrite_partitions, partition_path, read_partition,
+                                  versions)
+from laminar.sources.schemas import HOSTS_CUMULATED
 
 
 @dataclass
 class DailyLoad:
     """A daily model: what to stage per event, how to load a range of days, how far it got.
 
-    ``load_range(spark, staged, first, last, prev)`` loads days ``first..last`` from
-    the staged rows of those days, given the last loaded day ``prev`` (None before the
-    first load).
+    ``load_range(spark, staged, first, last)`` loads days ``first..last`` from the staged
+    rows of those days on top of what the target holds for the day before.
     """
     staging_cols: list[str]
-    load_range: Callable[[SparkSession, DataFrame, dt.date, dt.date, dt.date | None], None]
+    load_range: Callable[[SparkSession, DataFrame, dt.date, dt.date], None]
     loaded_through: Callable[[SparkSession], dt.date | None]
     first_day: dt.date
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except AnalysisException:  # missing path or no data files yet
-        return False
-
-
 def host_datelist_load(target: str, first_day: dt.date) -> DailyLoad:
     """Host active-date list (table partitioned by ``date``)."""
 
     def loaded_through(spark):
-        return spark.read.parquet(target).agg(F.max("date")).first()[0] if _exists(spark, target) else None
+        return spark.read.parquet(target).agg(F.max("date")).first()[0] if exists(spark, target) else None
 
-    def load_range(spark, staged, first, last, prev):
-        y = (read_partition(spark, target, HOSTS_CUMULATED, "date", prev) if prev is not None
-             else spark.createDataFrame([], HOSTS_CUMULATED))
+    def load_range(spark, staged, first, last):
+        y = read_partition(spark, target, HOSTS_CUMULATED, "date", first - dt.timedelta(days=1))
         rows = datelist_days(y, staged.select("host", "day"), ["host"], first, last, "host_activity_datelist")
         overwrite_partitions(conform(rows, HOSTS_CUMULATED), target, "date")
 
@@ -77,33 +64,43 @@ def host_datelist_load(target: str, first_day: dt.date) -> DailyLoad:
 
 
 def reduced_load(target: str, first_day: dt.date) -> DailyLoad:
-    """Monthly reduced hits / unique visitors (table partitioned by ``month``).
+    """Monthly reduced hits / unique visitors: versions of each month (``laminar.plans.tables``).
 
-    Progress is read from the table itself: every array of a month has one slot per
-    loaded day, so the last loaded day is ``month + size(hit_array) - 1``.  A range
-    crossing a month boundary is loaded as one job per month.
+    The last loaded day is the newest version's name.  A range crossing a month boundary is loaded as
+    one job per month; a version keeps the one before readable until it is whole.
     """
 
     def loaded_through(spark):
-        if not _exists(spark, target):
-            return None
-        last = F.date_add(F.col("month"), F.size("hit_array") - 1)
-        return spark.read.parquet(target).agg(F.max(last)).first()[0]
+        days = [d for m in _folders(spark, target, "month") for d in versions(spark, partition_path(target, "month", m), "through")]
+        return dt.date.fromisoformat(max(days)[:10]) if days else None
 
-    def load_range(spark, staged, first, last, prev):
+    def load_range(spark, staged, first, last):
         counts = daily_counts(staged.withColumnRenamed("ts", "event_time"))
-        a = first
-        while a <= last:
-            nxt_month = (a.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
-            b = min(last, nxt_month - dt.timedelta(days=1))
-            state = read_partition(spark, target, HOST_ACTIVITY_REDUCED, "month", a.replace(day=1))
-            rows = reduce_days(state, counts, a, b)
-            overwrite_partitions(conform(rows, HOST_ACTIVITY_REDUCED), target, "month")
-            a = nxt_month
+        for a, b in month_ranges(first, last, 31):
+            reduce_load_range(spark, counts, target, a, b)
 
     return DailyLoad(["host", "user_id", "ts"], load_range, loaded_through, first_day)
 
 
+def read_streamed_reduced(spark: SparkSession, target: str) -> DataFrame:
+    return read_reduced(spark, target, [dt.date.fromisoformat(m) for m in _folders(spark, target, "month")])
+
+
+def _folders(spark: SparkSession, path: str, col: str) -> list[str]:
+    if not exists(spark, path):
+        return []
+    fs, p = hadoop_path(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(n[len(col) + 1:] for n in names if n.startswith(f"{col}="))
+
+
+def undated(spark: SparkSession, staging: str) -> int:
+    """How many staged rows have no event time, hence belong to no day."""
+    if not exists(spark, staging):
+        return 0
+    return spark.read.option("basePath", staging).parquet(staging).where(F.col("day").isNull()).count()
+
+
 def run_stream(spark: SparkSession, source_dir: str, schema, model: DailyLoad, staging: str,
                checkpoint: str, time_col: str = "event_time", lateness_days: int = 0,
                available_now: bool = True, finalize: bool = False):
@@ -112,47 +109,52 @@ def run_stream(spark: SparkSession, source_dir: str, schema, model: DailyLoad, s
     ``finalize`` also loads the newest day seen (for a bounded replay where no later
     event will arrive to close it).
     """
+    staging = staging.rstrip("/")
     events = spark.readStream.schema(schema).parquet(source_dir)
     ts = as_timestamp(events, time_col)
     staged_cols = [F.col(c) for c in model.staging_cols if c != "ts"]
     if "ts" in model.staging_cols:
         staged_cols.append(ts.alias("ts"))
     projected = events.select(*staged_cols, F.to_date(ts).alias("day"))
-    staged_schema = projected.schema
+    staged_schema = StructType([*projected.schema.fields]).add("batch", LongType())
 
     def staged_days(first: dt.date, last: dt.date) -> DataFrame:
-        """The staged rows of days first..last: one glob over exactly those day folders."""
-        days = ",".join((first + dt.timedelta(days=i)).isoformat() for i in range((last - first).days + 1))
-        try:
-            return (spark.read.schema(staged_schema).option("basePath", staging)
-                    .parquet(f"{staging.rstrip('/')}/day={{{days}}}"))
-        except AnalysisException:  # none of those days has staged rows
-            return spark.createDataFrame([], staged_schema)
-
-    def load_complete_days(newest: dt.date | None, upto_inclusive: bool):
-        if newest is None:
+        """The staged rows of days first..last, read by their folders in every batch."""
+        paths = []
+        for b in _folders(spark, staging, "batch"):
+            days = set(_folders(spark, f"{staging}/batch={b}", "day"))
+            span = [(first + dt.timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
+            paths += [f"{staging}/batch={b}/day={d}" for d in span if d in days]
+        if not paths:
+            return spark.createDataFrame([], projected.schema)
+        return spark.read.schema(staged_schema).option("basePath", staging).parquet(*paths).drop("batch")
+
+    def days_of(batch: str) -> list[dt.date]:
+        return [dt.date.fromisoformat(d) for d in _folders(spark, f"{staging}/batch={batch}", "day") if d[:1].isdigit()]
+
+    def load_complete_days(touched: list[dt.date], upto_inclusive: bool):
+        seen = [d for b in _folders(spark, staging, "batch") for d in days_of(b)]
+        if not seen:
             return
-        last_complete = newest if upto_inclusive else newest - dt.timedelta(days=1 + lateness_days)
         prev = model.loaded_through(spark)
-        first = model.first_day if prev is None else prev + dt.timedelta(days=1)
-        if first <= last_complete:
-            model.load_range(spark, staged_days(first, last_complete), first, last_complete, prev)
+        last = max(seen) if upto_inclusive else max(seen) - dt.timedelta(days=1 + lateness_days)
+        last = max(last, prev) if prev is not None else last  # late rows reload through what is loaded
+        start = model.first_day if prev is None else prev + dt.timedelta(days=1)
+        first = min([start, *(d for d in touched if d >= model.first_day)])
+        if first <= last:
+            model.load_range(spark, staged_days(first, last), first, last)
 
     def batch(df: DataFrame, batch_id: int):
-        df.persist(StorageLevel.MEMORY_AND_DISK)  # used twice: staged, then its newest day
-        try:
-            df.write.mode("append").partitionBy("day").parquet(staging)
-            newest = df.agg(F.max("day")).first()[0]
-        finally:
-            df.unpersist()
-        load_complete_days(newest, False)
+        df.write.mode("overwrite").partitionBy("day").parquet(f"{staging}/batch={batch_id}")
+        load_complete_days(days_of(str(batch_id)), False)
 
     writer = projected.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     query = writer.start()
     if available_now:
         query.awaitTermination()
-        if finalize and _exists(spark, staging):
-            newest = spark.read.parquet(staging).agg(F.max("day")).first()[0]
-            load_complete_days(newest, True)
+        if query.exception() is not None:
+            raise query.exception()
+        if finalize:
+            load_complete_days([], True)
     return query

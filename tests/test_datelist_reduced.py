@@ -121,20 +121,33 @@ def test_replace_last(spark):
     assert list(r[1].w) == [] and list(r[1].p) == []
 
 
-def test_fix_last_missing_recount_is_zero(spark):
-    st = spark.createDataFrame([("h", D(2023, 1, 1), [1.0, 2.0], [1.0, 1.0])],
-                               "host string, month date, hit_array array<float>, unique_visitor_array array<float>")
-    rc = spark.createDataFrame([], "host string, hits long")
-    assert list(fix_last(st, rc, positional=True).first().hit_array) == [1.0, 0.0]
+MONTH = "host string, month date, hit_array array<float>, unique_visitor_array array<float>"
+RECOUNT = "host string, hits long, visitors long"
+
+
+def test_fix_last_missing_recount_is_null_unless_given(spark):
+    st = spark.createDataFrame([("h", D(2023, 1, 1), [1.0, 2.0], [1.0, 1.0])], MONTH)
+    rc = spark.createDataFrame([], RECOUNT)
+    assert list(fix_last(st, rc, D(2023, 1, 2), positional=True).first().hit_array) == [1.0, None]
+    assert list(fix_last(st, rc, D(2023, 1, 2), positional=True, default=0).first().hit_array) == [1.0, 0.0]
+
+
+def test_fix_last_keeps_hosts_that_only_the_recount_has(spark):
+    st = spark.createDataFrame([("h", D(2023, 1, 1), [1.0, 2.0], [1.0, 1.0])], MONTH)
+    rc = spark.createDataFrame([("h", 9, 4), ("new", 5, 3), (None, 2, 1)], RECOUNT)
+    got = {r.host: (list(r.hit_array), list(r.unique_visitor_array)) for r in fix_last(st, rc, D(2023, 1, 2), positional=True).collect()}
+    assert got == {"h": ([1.0, 9.0], [1.0, 4.0]), "new": ([0.0, 5.0], [0.0, 3.0]), None: ([0.0, 2.0], [0.0, 1.0])}
 
 
 def test_fix_last_variants_match_single_forms(spark):
-    st = spark.createDataFrame([("h", D(2023, 1, 1), [3.0, 1.0, 3.0], [1.0, 1.0, 1.0])],
-                               "host string, month date, hit_array array<float>, unique_visitor_array array<float>")
-    rc = spark.createDataFrame([("h", 5)], "host string, hits long")
-    r = fix_last_variants(st, rc).first()
-    assert list(r.hit_array_as_written) == list(fix_last(st, rc).first().hit_array) == [5.0, 1.0, 5.0]
-    assert list(r.hit_array_positional) == list(fix_last(st, rc, positional=True).first().hit_array) == [3.0, 1.0, 5.0]
+    st = spark.createDataFrame([("h", D(2023, 1, 1), [3.0, 1.0, 3.0], [1.0, 2.0, 1.0])], MONTH)
+    rc = spark.createDataFrame([("h", 5, 4)], RECOUNT)
+    day = D(2023, 1, 3)
+    r = fix_last_variants(st, rc, day).first()
+    assert list(r.hit_array_as_written) == list(fix_last(st, rc, day).first().hit_array) == [5.0, 1.0, 5.0]
+    assert list(r.hit_array_positional) == list(fix_last(st, rc, day, positional=True).first().hit_array) == [3.0, 1.0, 5.0]
+    assert list(r.unique_visitor_array_as_written) == [4.0, 2.0, 4.0]
+    assert list(r.unique_visitor_array_positional) == [1.0, 2.0, 4.0]
 
 
 def test_range_operators_equal_step_loops(spark):

@@ -8,7 +8,7 @@ from laminar.operators.datelist import datelist_backfill, host_activity
 from laminar.operators.reduced import daily_counts, reduce_month
 from laminar.session import scratch_path
 from laminar.sources import roles
-from laminar.streaming import host_datelist_load, reduced_load, run_stream
+from laminar.streaming import host_datelist_load, read_streamed_reduced, reduced_load, run_stream
 from tests.conftest import SF_SMALL
 
 FIRST = dt.date(2024, 1, 1)
@@ -43,7 +43,7 @@ def test_streamed_reduced_equals_backfill(spark):
     ev = _run_twice(spark, reduced_load(target, FIRST))
     last = ev.agg(F.max(F.to_date("event_time"))).first()[0]
     want = reduce_month(daily_counts(ev), FIRST, last)
-    got = spark.read.parquet(target)
+    got = read_streamed_reduced(spark, target)
     key = lambda df: sorted((r.host, tuple(r.hit_array), tuple(r.unique_visitor_array))
                             for r in df.collect())
     assert key(got) == key(want)
