@@ -17,9 +17,12 @@ allocation: a short key costs pairs, a neighbourhood costs keys.  Both sets of a
 make the same choice for an equal segment, so no link is lost.  Each set is indexed
 under its own band and the band below.
 
-Every key reaches the pairs of its members by stars: the smallest member is the hub and
-is verified against each other member (exactly, on the words).  Members that are not
-connected to each other after that are paired across components and verified too.
+Every key reaches the pairs of its members by stars: the member that shares the most keys
+overall is the hub and is verified against each other member.  Members that are not connected
+to each other after that are paired across components and verified too.  A pair is dropped
+before that if its parity sketches differ in more bits than a linked pair may differ in
+shingles; all others are verified exactly, on the words, for which the texts of just the
+documents in question are read again.
 Documents with equal word sequences form one class first, so copies never multiply.
 """
 
@@ -32,7 +35,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laminar.llm.common import partitions, settle
@@ -68,6 +71,11 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def class_digest(words: bytes) -> bytes:
+    """128-bit name of a word sequence."""
+    return hashlib.md5(words, usedforsecurity=False).digest()
+
+
 def word_hashes(buf: bytes) -> np.ndarray:
     """64-bit hash of each word of a buffer of words separated by single spaces."""
     out, at = [], 0
@@ -159,10 +167,29 @@ def keys(sets: np.ndarray, percent: int, rich: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-# Rows of the one pass over the texts: memberships, class texts, packed index keys, stars.
-_ROWS = "kind int, part int, doc_id {id}, digest binary, n long, x long, y long, data binary"
-MEMBER, TEXT, KEYS, STAR = 0, 1, 2, 3
-FLUSH = 1 << 22  # index keys a task holds before it packs them by target partition
+# Rows of the pass over the texts: memberships, classes with their sketches, packed index keys, members of shared keys.
+_ROWS = "kind int, part int, doc_id {id}, digest binary, n long, x long, data binary, sketch array<bigint>"
+SKETCH = 16  # 64-bit words of a parity sketch
+MEMBER, CLASS, KEYS, SHARED = 0, 1, 2, 3
+FLUSH = 1 << 20  # index keys a task holds before it packs them by target partition
+
+
+def parity_sketch(sets: np.ndarray) -> list[int]:
+    """Parities of the set's counts per hash cell: two sketches differ in at most as many bits as the sets in items."""
+    odd = np.bincount((sets & U64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
+def _may_link(percent: int) -> Column:
+    """Whether sizes and sketches of the sides ``a`` and ``b`` allow a link (never false for a linked pair)."""
+    total = F.col("a_n") + F.col("b_n")
+    least = F.ceil(percent * total / (100 + percent) - 1e-9)  # items a linked pair has in common
+    bits = sum((F.bit_count(F.col(f"a_s{i}").bitwiseXOR(F.col(f"b_s{i}"))) for i in range(SKETCH)), F.lit(0))
+    return (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")) & (bits <= total - 2 * least)
+
+
+def _sketched(prefix: str) -> list[Column]:
+    return [F.col("n").alias(f"{prefix}_n"), *[F.col("sketch")[i].alias(f"{prefix}_s{i}") for i in range(SKETCH)]]
 
 
 def _batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
@@ -172,14 +199,14 @@ def _batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
 
 def _schema(id_type: pa.DataType) -> pa.Schema:
     return pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("doc_id", id_type), ("digest", pa.binary()),
-                      ("n", pa.int64()), ("x", pa.int64()), ("y", pa.int64()), ("data", pa.binary())])
+                      ("n", pa.int64()), ("x", pa.int64()), ("data", pa.binary()),
+                      ("sketch", pa.list_(pa.int64()))])
 
 
 def _index_pass(parts: int, width: int, percent: int, rich: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()  # classes this task has indexed (16 bytes each)
         held_key, held_class, held, turn = [], [], 0, 0
-        press = zstandard.ZstdCompressor(level=1)
 
         def pack(schema):
             k, c = np.concatenate(held_key), np.concatenate(held_class)
@@ -187,35 +214,35 @@ def _index_pass(parts: int, width: int, percent: int, rich: int):
             order = np.argsort(part, kind="stable")
             k, c, part = k[order], c[order], part[order]
             cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-            ends = np.r_[cuts[1:], len(part)]
-            return _batch(schema, [(KEYS, int(part[s]), None, None, None, None, None, k[s:e].tobytes() + c[s:e].tobytes())
-                                   for s, e in zip(cuts, ends)])
+            return _batch(schema, [(KEYS, int(part[s]), None, None, None, None, k[s:e].tobytes() + c[s:e].tobytes(), None)
+                                   for s, e in zip(cuts, np.r_[cuts[1:], len(part)])])
 
         for batch in batches:
             schema = _schema(batch.schema.field(0).type)
-            rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                turn += 1
-                words = normalized(text.as_py())
-                if not words:
-                    rows.append((MEMBER, turn % parts, doc, None, 0, None, None, None))
-                    continue
-                digest = hashlib.md5(words, usedforsecurity=False).digest()
-                sets = shingles(word_hashes(words), width)
-                cls = int.from_bytes(digest[:8], "little", signed=True)
-                rows.append((MEMBER, turn % parts, doc, digest, len(sets), cls, None, None))
-                if digest in seen:
-                    continue
-                seen.add(digest)
-                rows.append((TEXT, turn % parts, None, digest, len(sets), cls, None, press.compress(words)))
-                k = keys(sets, percent, rich)
-                held_key.append(k)
-                held_class.append(np.full(len(k), cls, np.int64))
-                held += len(k)
-                if held >= FLUSH:
-                    yield pack(schema)
-                    held_key, held_class, held = [], [], 0
-            yield _batch(schema, rows)
+            for at in range(0, batch.num_rows, 512):
+                some, rows = batch.slice(at, 512), []
+                for doc, text in zip(some.column(0).to_pylist(), some.column(1)):
+                    turn += 1
+                    words = normalized(text.as_py())
+                    if not words:
+                        rows.append((MEMBER, turn % parts, doc, None, 0, None, None, None))
+                        continue
+                    digest = class_digest(words)
+                    sets = shingles(word_hashes(words), width)
+                    rows.append((MEMBER, turn % parts, doc, digest, len(sets), None, None, None))
+                    if digest in seen:
+                        continue
+                    seen.add(digest)
+                    cls = int.from_bytes(digest[:8], "little", signed=True)
+                    rows.append((CLASS, turn % parts, None, digest, len(sets), cls, None, parity_sketch(sets)))
+                    k = keys(sets, percent, rich)
+                    held_key.append(k)
+                    held_class.append(np.full(len(k), cls, np.int64))
+                    held += len(k)
+                    if held >= FLUSH:
+                        yield pack(schema)
+                        held_key, held_class, held = [], [], 0
+                yield _batch(schema, rows)
         if held:
             yield pack(schema)
 
@@ -223,13 +250,13 @@ def _index_pass(parts: int, width: int, percent: int, rich: int):
 
 
 def _bucket_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Unpack one partition's keys, and emit a star for each key of several classes."""
+    """Unpack one partition's keys, and emit the members of each key that several classes share."""
     held_key, held_class, schema = [], [], None
     for batch in batches:
         schema = batch.schema
         kind = batch.column(0).to_numpy()
         for i in np.flatnonzero(kind == KEYS):
-            flat = np.frombuffer(batch.column(7)[int(i)].as_py(), np.int64)
+            flat = np.frombuffer(batch.column(6)[int(i)].as_py(), np.int64)
             half = len(flat) // 2
             held_key.append(flat[:half])
             held_class.append(flat[half:])
@@ -242,15 +269,29 @@ def _bucket_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k, c = k[fresh], c[fresh]
         first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
         size = np.diff(np.r_[first, len(k)])
-        hub = np.repeat(c[first], size)
         many = np.repeat(size > 1, size)
-        k, c, hub = k[many], c[many], hub[many]
+        k, c = k[many], c[many]
         for at in range(0, len(k), 1 << 16):
             m = len(k[at: at + (1 << 16)])
-            null = [pa.nulls(m, schema.field(i).type) for i in range(8)]
-            cols = [pa.array(np.full(m, STAR, np.int32)), null[1], null[2], null[3],
-                    pa.array(k[at: at + m]), pa.array(hub[at: at + m]), pa.array(c[at: at + m]), null[7]]
-            yield pa.RecordBatch.from_arrays(cols, schema=schema)
+            null = [pa.nulls(m, f.type) for f in schema]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(m, SHARED, np.int32)), null[1], null[2], null[3],
+                                              pa.array(k[at: at + m]), pa.array(c[at: at + m]), null[6], null[7]], schema=schema)
+
+
+def _words_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digest and compressed words of every text, equal ones of a task once."""
+    seen: set[bytes] = set()
+    press = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        for at in range(0, batch.num_rows, 512):
+            rows = []
+            for text in batch.slice(at, 512).column(0):
+                words = normalized(text.as_py())
+                digest = class_digest(words)
+                if words and digest not in seen:
+                    seen.add(digest)
+                    rows.append((digest, press.compress(words)))
+            yield _batch(pa.schema([("digest", pa.binary()), ("data", pa.binary())]), rows)
 
 
 def _verify_pass(width: int, percent: int):
@@ -271,15 +312,23 @@ def _verify_pass(width: int, percent: int):
     return run
 
 
-def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs of classes whose texts really link, as digests."""
-    side = {s: texts.select(F.col("x").alias(s), F.col("digest").alias(f"{s}_digest"), F.col("n").alias(f"{s}_n"),
-                            F.col("data").alias(f"{s}_data")) for s in "ab"}
-    near = (pairs.join(side["a"], "a").join(side["b"], "b")
-            .where((100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
-                   & (F.col("a_digest") != F.col("b_digest")))
-            .select("a_digest", "b_digest", "a_data", "b_data"))
-    return near.mapInArrow(_verify_pass(width, percent), "a binary, b binary")
+def _candidates(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes ``(a, b)`` as digests, those that sizes and sketches allow to link."""
+    side = {s: classes.select(F.col("x").alias(s), F.col("digest").alias(f"{s}_digest"), *_sketched(s)) for s in "ab"}
+    left = pairs.join(side["a"], "a").alias("l")
+    return left.join(side["b"].alias("r"), (F.col("l.b") == F.col("r.b")) & _may_link(percent)
+                     & (F.col("a_digest") != F.col("b_digest"))).select(F.col("a_digest").alias("a"), F.col("b_digest").alias("b"))
+
+
+def _links(pairs: DataFrame, src: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs of digests whose texts really link."""
+    pairs = settle(pairs, "pairs")
+    needed = pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).distinct()
+    texts = settle(src.select("text").mapInArrow(_words_pass, "digest binary, data binary")
+                   .join(needed, "digest", "left_semi").dropDuplicates(["digest"]), "texts")
+    side = {s: texts.select(F.col("digest").alias(s), F.col("data").alias(f"{s}_data")) for s in "ab"}
+    both = pairs.join(side["a"], "a").join(side["b"], "b").select("a", "b", "a_data", "b_data")
+    return settle(both.mapInArrow(_verify_pass(width, percent), "a binary, b binary"), "links")
 
 
 def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, rich: int = 2,
@@ -299,32 +348,37 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, rich:
     rows = settle(src.mapInArrow(_index_pass(parts, width, percent, rich), ddl)
                   .repartitionById(parts, "part").mapInArrow(_bucket_pass, ddl), "jaccard")
     member = rows.where(F.col("kind") == MEMBER).select("doc_id", "digest", "n")
-    star = rows.where(F.col("kind") == STAR).select(F.col("n").alias("key"), F.col("x").alias("hub"),
-                                                     F.col("y").alias("cls"))
-    # the texts of classes that share a key with another class, once each
-    texts = settle(rows.where(F.col("kind") == TEXT).select("x", "digest", "n", "data")
-                   .join(star.select(F.col("cls").alias("x")).distinct(), "x", "left_semi")
-                   .dropDuplicates(["digest"]), "jaccard-texts")
+    classes = rows.where(F.col("kind") == CLASS).select("x", "digest", "n", "sketch")
+    shared = rows.where(F.col("kind") == SHARED).select(F.col("n").alias("key"), F.col("x").alias("cls"))
+    # of the members of a key, the one in the most shared keys is the hub
+    weighed = shared.join(shared.groupBy("cls").agg(F.count("*").alias("w")), "cls")
+    hubs = weighed.groupBy("key").agg(F.max(F.struct("w", "cls"))["cls"].alias("hub"))
+    star = settle(shared.join(hubs, "key"), "stars")
+    # the classes that share a key with another one, once each
+    classes = settle(classes.join(star.select(F.col("cls").alias("x")).distinct(), "x", "left_semi")
+                     .dropDuplicates(["digest"]), "classes")
     spokes = star.where(F.col("hub") != F.col("cls")).select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
-    first = settle(_links(spokes, texts, width, percent), "links")
+    first = _links(_candidates(spokes, classes, percent), src, width, percent)
     label = components(first)
 
     # members of a key that the stars left in different components are paired too
-    named = texts.select(F.col("x").alias("cls"), "digest").join(
-        label.select(F.col("node").alias("digest"), "component"), "digest", "left").select(
-        "cls", F.coalesce("component", "digest").alias("comp"))
-    placed = star.join(named, "cls")
+    named = classes.join(label.select(F.col("node").alias("digest"), "component"), "digest", "left").select(
+        F.col("x").alias("cls"), "digest", F.coalesce("component", "digest").alias("comp"), "n", "sketch")
+    placed = star.join(named.select("cls", "comp"), "cls")
     split = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
              .where(F.col("lo") != F.col("hi")).select("key"))
-    rest = placed.join(split, "key", "left_semi")
-    one = rest.select("key", F.col("cls").alias("a"), F.col("comp").alias("ca"), F.col("hub").alias("ha"))
-    two = rest.select("key", F.col("cls").alias("b"), F.col("comp").alias("cb"))
-    cross = (one.join(two, "key").where((F.col("ca") < F.col("cb")) & (F.col("ha") != F.col("a"))
-                                        & (F.col("ha") != F.col("b")))
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    second = settle(_links(cross, texts, width, percent), "links")
-    if not second.isEmpty():
-        label = components(first.unionByName(second))
+    rest = star.join(split, "key", "left_semi").join(named, "cls")
+    one = rest.select("key", F.col("cls").alias("a"), F.col("digest").alias("da"), F.col("comp").alias("ca"),
+                      F.col("hub").alias("ha"), *_sketched("a")).alias("l")
+    two = rest.select("key", F.col("cls").alias("b"), F.col("digest").alias("db"), F.col("comp").alias("cb"), *_sketched("b")).alias("r")
+    cross = (one.join(two, (F.col("l.key") == F.col("r.key")) & (F.col("ca") < F.col("cb")) & (F.col("ha") != F.col("a"))
+                      & (F.col("ha") != F.col("b")) & _may_link(percent))
+             .select(F.least("da", "db").alias("a"), F.greatest("da", "db").alias("b")).distinct())
+    cross = settle(cross, "pairs")
+    if not cross.isEmpty():
+        second = _links(cross, src, width, percent)
+        if not second.isEmpty():
+            label = components(first.unionByName(second))
 
     labelled = member.join(label.withColumnRenamed("node", "digest"), "digest", "left").select(
         "doc_id", "n", F.coalesce("component", "digest").alias("component"))
