@@ -57,28 +57,33 @@ def full_outer_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) ->
     return j.select(*[F.when(F.col("_in_l"), F.col(k)).otherwise(F.col(f"_r_{k}")).alias(k) for k in keys], *rest)
 
 
-def left_join(left: DataFrame, right: DataFrame, keys: list[str], skew_safe: bool = True) -> DataFrame:
+# A right-side key with this many rows is salted; the keys broadcast for it number at most rows / HOT_ROWS.
+HOT_ROWS = 1_000_000
+SALTS = 64
+
+
+def left_join(left: DataFrame, right: DataFrame, keys: list[str], skew_safe: bool = True,
+              hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
     """``left LEFT OUTER JOIN right USING (keys)``, safe against a hot key on the right.
 
     Adaptive execution splits a skewed partition only on the left side of a left
     outer join, so a right-side key holding a third of the rows would be joined in one
-    task.  With ``skew_safe`` the join is computed as
-
-        (left INNER JOIN right)  UNION ALL  (left ANTI JOIN distinct right keys)
-
-    The inner join's skewed partitions can be split on either side; the anti join
-    sees each right key once (the distinct has a map-side partial step), so a hot key
-    is one row there.  The distinct runs on one struct of the keys: the join then needs
-    an exchange of its own, and only a join directly above its exchanges is split where
-    ``left`` is skewed.  The price is that ``left`` is computed for both branches, so
-    leave ``skew_safe`` off where no right key is hot.  The result equals the left outer join exactly (a left
-    row with a NULL key matches nothing and is kept once).
+    task.  With ``skew_safe`` the right side's keys are counted first (a partial aggregate of
+    the key columns); those with at least ``hot_rows`` rows are broadcast, their right rows spread over
+    ``salts`` by a hash of the row, and their left rows copied once per salt.  A hot key has
+    matches by definition, so a copy that meets none is dropped, and the result equals
+    the left outer join exactly (a left row with a NULL key matches nothing and is kept once).
+    ``left`` is computed once; a hot left key is split by adaptive execution.
     """
     if not skew_safe:
         return left.join(right, keys, "left")
-    matched = left.join(right, keys, "inner")
-    rest = [f for f in right.schema.fields if f.name not in keys]
-    seen = right.select(F.struct(*keys).alias("_k")).distinct().select("_k.*")
-    unmatched = (left.join(seen, keys, "left_anti")
-                 .select(*left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in rest]))
-    return matched.unionByName(unmatched.select(*matched.columns))
+    hot = (right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot_rows)
+           .select(*keys, F.lit(True).alias("_hot")))
+    spread = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    many = left.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(spread))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    salted = (right.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt)
+              .select(*right.columns, "_salt", F.lit(True).alias("_met")))
+    rest = [c for c in right.columns if c not in keys]
+    return (many.join(salted, [*keys, "_salt"], "left").where(F.col("_hot").isNull() | F.col("_met").isNotNull())
+            .select(*left.columns, *rest))

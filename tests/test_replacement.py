@@ -239,21 +239,24 @@ def test_a_cluster_session_must_name_its_folder(spark, monkeypatch):
         session.checkpoint_root(Session())
 
 
-def test_both_branches_of_a_skew_safe_left_join_are_split(spark):
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+def test_a_hot_right_key_is_spread_and_left_is_read_once(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
     before = {k: spark.conf.get(k) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        left = spark.range(0, 60000, 1, 8).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("a"))
-        right = spark.range(0, 3000, 1, 4).select((F.col("id") * 7).alias("k"), F.col("id").alias("b"))
-        out = left_join(left, right, ["k"])
-        want = left.join(right, ["k"], "left")
-        assert rows(out) == rows(want)
+        left = spark.createDataFrame([(0, "x"), (0, "y"), (1, "z"), (None, "n"), (9, "q")], "k int, a string")
+        right = spark.range(4000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5 + 1).cast("int").alias("k"), F.col("id").alias("b"))
+        path = scratch_path(spark, "left")
+        left.write.parquet(path)
+        out = left_join(spark.read.parquet(path), right, ["k"], hot_rows=1000, salts=8)
+        want = left.join(right, ["k"], "left").select("k", "a", "b")
+        assert rows(out.select("k", "a", "b")) == rows(want)
         out.collect()
         plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-        assert "LeftAnti" in plan and plan.count("skew=true") >= 2, plan
+        assert plan.count("FileScan parquet") == 1 and plan.count("SortMergeJoin") == 1, plan
+        tasks = out.where("k = 0").groupBy(F.spark_partition_id()).count().count()
+        assert tasks >= 3  # the hot key's rows are joined in several tasks
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)

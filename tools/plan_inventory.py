@@ -1,6 +1,6 @@
 """Physical-plan inventory of every registered query (dev tool).
 
-Runs each query once (collect at sf0.01), takes the final adaptive plan and counts
+Runs each query once (collect at sf0.01), takes the final adaptive plan (automatic broadcast off) and counts
 what each costs: shuffle exchanges (materialised shuffle stages), broadcasts, join
 strategies, windows, aggregates, generators and any Python evaluation.  Subquery
 plans are included.  Writes a markdown table to stdout.
@@ -64,6 +64,8 @@ def main(argv):
     from laminar.plans.registry import QUERIES
     from laminar.session import build_session
     spark = build_session(shuffle_partitions=8)
+    # as at scale, where no side is small enough on its own: only checked broadcasts remain
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     cols = ["shuffles", "reused", "broadcasts", "smj", "bhj", "windows", "aggs", "generate", "python",
             "cartesian"]
     print("| query | " + " | ".join(cols) + " |")
