@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from laminar.functions.bands import AS_WRITTEN
 from laminar.operators.cumulate import cumulate_year_step
-from laminar.operators.datelist import datelist_step
+from laminar.operators.datelist import datelist_days
 from laminar.operators.reduced import reduce_days
 from laminar.operators.scd2 import scd2_increment
 from laminar.operators.upsert import upsert
@@ -114,27 +114,24 @@ def scd2_load_years(spark: SparkSession, state: DataFrame, years: Sequence[int],
 
 
 def datelist_load_days(spark: SparkSession, activity: DataFrame, keys: Sequence[str], path: str,
-                       first_day: dt.date, days: int, list_col: str, schema) -> DataFrame:
-    """Run the daily date-list step ``days`` times (table partitioned by ``date``).
+                       first_day: dt.date, days: int, list_col: str, schema, step: int = 5) -> DataFrame:
+    """Load ``days`` daily snapshots into the table partitioned by ``date``, up to ``step`` of them per job.
 
-    The distinct activity is landed by day once; a step reads its day's folder and
-    yesterday's snapshot.  The clock only advances once something was written: if the first
-    day has no activity every run retries that day, as the serial load does.
+    The distinct activity is landed by day once; a job reads its days' folders and the
+    snapshot before them.  If the first day has no activity nothing ever loads, as in the serial run.
     """
     act_path = f"{path.rstrip('/')}-activity"
     act = activity.select(*keys, "day").distinct()
     land(act, act_path, "day", files_per_partition=1)
-    loaded: dt.date | None = None
-    for _ in range(days):
-        today = first_day if loaded is None else loaded + dt.timedelta(days=1)
-        active = has_partition(spark, act_path, "day", today)
-        if loaded is None and not active:
-            continue
-        yesterday = (read_partition(spark, path, schema, "date", loaded) if loaded is not None
-                     else spark.createDataFrame([], schema))
-        facts = read_partition(spark, act_path, act.schema, "day", today)
-        overwrite_partitions(conform(datelist_step(yesterday, facts, keys, today, list_col), schema), path, "date")
-        loaded = today
+    if not has_partition(spark, act_path, "day", first_day):
+        return spark.createDataFrame([], schema)
+    for i in range(0, days, step):
+        span = [first_day + dt.timedelta(days=j) for j in range(i, min(days, i + step))]
+        there = [d for d in span if has_partition(spark, act_path, "day", d)]
+        facts = landed(spark, act_path, act.schema, "day", there) if there else spark.createDataFrame([], act.schema)
+        yesterday = read_partition(spark, path, schema, "date", span[0] - dt.timedelta(days=1))
+        rows = datelist_days(yesterday, facts, keys, span[0], span[-1], list_col)
+        overwrite_partitions(conform(rows, schema), path, "date", files_per_partition=2)
     return read_table(spark, path, schema)
 
 
