@@ -36,8 +36,8 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("proprietary", "All rights reserved."),
 )
-EVERYDAY = ("the", "of", "to", "in", "and", "a", "is", "this", "are", "any", "by", "all", "work", "source", "use", "under",
-            "copy", "person", "free", "file", "forms", "terms", "subject", "2", "3", "4", "0")
+EVERYDAY = ("the", "of", "to", "in", "and", "a", "is", "this", "are", "by", "any", "all", "under", "work", "use", "source",
+            "person", "free", "file", "copy", "general", "public", "version", "terms", "subject", "forms", "2", "3", "4", "0")
 FILE_NAMES = ("license", "licence", "copying", "notice")
 THRESHOLD = 0.8
 
@@ -60,7 +60,7 @@ class Templates:
         self.norms = [math.sqrt(sum(w * w for w in b.values())) for b in self.weights]
         # everyday words, then the templates' commonest terms are left out of the search as long as no template can match on them alone
         common: set[str] = set()
-        for t in sorted(found, key=lambda t: (t not in EVERYDAY, -found[t], len(t), t)):
+        for t in sorted(found, key=lambda t: (EVERYDAY.index(t) if t in EVERYDAY else 99, -found[t], len(t), t)):
             trial = common | {t}
             if all(math.sqrt(sum(w * w for u, w in b.items() if u in trial)) < (threshold - 1e-9) * norm
                    for b, norm in zip(self.weights, self.norms)):
