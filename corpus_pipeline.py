@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laminar.llm.bpe import decode, encode
+from laminar.llm.bpe import encode
 from laminar.llm.common import settle, table
 from laminar.llm.jaccard import jaccard_components
 from laminar.llm.langid import UNKNOWN, fit, predict
@@ -39,7 +39,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and a digest of the text they decode to."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    both = decode(encode(docs, path), path)
+    both = encode(docs, path, decoded=True)
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

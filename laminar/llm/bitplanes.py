@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from laminar.llm.common import partitions
+from laminar.llm.common import held, partitions
 from laminar.llm.pieces import PieceTable, byte_signs
 
 BLOCK = 4096
@@ -102,8 +102,6 @@ class Vocabulary:
         return out
 
 
-_vocabularies: dict[str, Vocabulary] = {}
-
 _INDEX = "part int, chunk int, first_doc long, last_doc long, n_docs long, n_ids long, before long"
 
 
@@ -122,9 +120,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int, out: str, bits: bool
     end = array("I", [end_id]).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer not in _vocabularies:
-            _vocabularies[tokenizer] = Vocabulary(tokenizer)
-        vocab, part = _vocabularies[tokenizer], TaskContext.get().partitionId()
+        vocab, part = held(("planes", tokenizer), lambda: Vocabulary(tokenizer)), TaskContext.get().partitionId()
         ids, held, docs_in, sizes, chunk, before = [], 0, [], [], 0, 0
 
         def frame():

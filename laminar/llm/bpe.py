@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from laminar.llm.common import held
 from laminar.llm.pieces import PieceTable
 
 
@@ -38,7 +39,7 @@ class MergeReplay:
         """The token a pair merges into, -1 if none."""
         got = self.pairs.get((a, b))
         if got is None:
-            if len(self.pairs) > 1 << 20:
+            if len(self.pairs) > 1 << 18:
                 self.pairs.clear()
             got = self.pairs[a, b] = self.ranks.get(self.token[a] + self.token[b], -1)
         return got
@@ -114,19 +115,26 @@ class MergeReplay:
         return out
 
 
-_encoders: dict[str, PieceTable] = {}  # kept by a Python worker from task to task
+class Codec:
+    """Encoder and decoder of one rank file."""
 
+    def __init__(self, path: str):
+        self.replay = MergeReplay(load_ranks(path))
+        self.table = PieceTable(lambda new: self.replay.replay([p.encode("utf-8", "surrogatepass") for p in new]))
 
-def encoder(path: str) -> PieceTable:
-    if path not in _encoders:
-        replay = MergeReplay(load_ranks(path)).replay
-        _encoders[path] = PieceTable(lambda new: replay([p.encode("utf-8", "surrogatepass") for p in new]))
-    return _encoders[path]
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return self.table.run(texts)
 
+    def decode(self, packed: list[bytes | None]) -> list[bytes | None]:
+        token = self.replay.token.__getitem__
+        return [None if ids is None else b"".join(map(token, np.frombuffer(ids, "<u4").tolist())) for ids in packed]
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
     """``(id, ids)``: ids of the whole text, packed as little-endian unsigned 32-bit integers.
 
+    With ``decoded`` a third column holds the bytes that the ids decode to.
+
     ``path`` names a rank file that executors can read.  A null or empty text has no ids.
     Every input row gives one row (repeated ids too); other columns are ignored; an empty
     table gives no rows.  Texts of any length are encoded whole, a stretch at a time.
@@ -134,15 +142,19 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = encoder(path)
+        codec = held(("bpe", path), lambda: Codec(path))
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 texts = [t or "" for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(table.run(texts), pa.binary())], ["id", "ids"])
+                ids = codec.encode(texts)
+                cols = [part.column(0), pa.array(ids, pa.binary())]
+                if decoded:
+                    cols.append(pa.array(codec.decode(ids), pa.binary()))
+                yield pa.RecordBatch.from_arrays(cols, ["id", "ids", "decoded"][: len(cols)])
 
     kind = src.schema["id"].dataType.simpleString()
-    return src.mapInArrow(run, f"id {kind}, ids binary").withColumnRenamed("id", id_col)
+    return src.mapInArrow(run, f"id {kind}, ids binary" + ", decoded binary" * decoded).withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -150,12 +162,11 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     names = encoded.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = {i: t for t, i in load_ranks(path).items()}
+        codec = held(("bpe", path), lambda: Codec(path))
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                out = [None if ids is None else b"".join(map(token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-                       for ids in part.column(names.index(ids_col)).to_pylist()]
+                out = codec.decode(part.column(names.index(ids_col)).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], [*names, "decoded"])
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)

@@ -29,6 +29,7 @@ OPEN, ROLE, TEXT, CLOSE = "<s>", "[INST]", "[/INST]", "</s>"
 _LOOSE = r"([<\[])(\\*)(/?s>|/?INST\])"
 _ESCAPED = r"([<\[])\\(\\*)(/?s>|/?INST\])"
 _SEQ_BLOCK = 4096
+LOWEST = -(1 << 62)
 
 
 def escape(text: Column) -> Column:
@@ -42,12 +43,14 @@ def unescape(text: Column) -> Column:
 def fold_events(events: DataFrame) -> DataFrame:
     """Final messages ``(conv_id, msg, seq, role, text, copy)`` of ``events(conv_id, seq, kind, msg, role, text)``.
 
-    Null texts and roles count as empty, a null kind as ``message``.  Equal sequence numbers are ordered by kind
+    Null texts and roles count as empty, a null kind as ``message``, null sequence numbers and message indexes as
+    smaller than all others; a null conversation id names a conversation of its own.  Equal sequence numbers are ordered by kind
     (edits and regenerations after what they follow), role and text.  Repeated whole messages stay
     repeated.  A delta without a message before it starts one.
     """
     e = events.select(
-        "conv_id", F.col("seq").cast("long").alias("seq"), F.coalesce("kind", F.lit("message")).alias("kind"), F.col("msg").cast("long").alias("msg"),
+        "conv_id",
+        F.coalesce(F.col("seq").cast("long"), F.lit(LOWEST)).alias("seq"), F.coalesce("kind", F.lit("message")).alias("kind"), F.coalesce(F.col("msg").cast("long"), F.lit(LOWEST)).alias("msg"),
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     starts = F.col("kind") != "delta"
     # within a sequence block: the smallest message index that a later event regenerates
@@ -57,10 +60,10 @@ def fold_events(events: DataFrame) -> DataFrame:
     e = e.withColumn("block", block).withColumn("cut_here", F.min(cut).over(later))
     # and over the later blocks: one row per conversation and block that regenerates anything
     cuts = (e.where(F.col("kind") == "regenerate").groupBy("conv_id", "block").agg(F.min("msg").alias("low"))
-            .groupBy("conv_id").agg(F.collect_list(F.struct("block", "low")).alias("cuts")))
+            .groupBy(F.col("conv_id").alias("cut_id")).agg(F.collect_list(F.struct("block", "low")).alias("cuts")))
     far = F.array_min(F.transform(F.filter("cuts", lambda c: c["block"] > F.col("block")), lambda c: c["low"]))
-    alive = (e.join(cuts, "conv_id", "left").withColumn("cut", F.least("cut_here", far))
-             .where(F.col("cut").isNull() | (F.col("msg") < F.col("cut"))).drop("cuts", "cut", "cut_here", "block"))
+    alive = (e.join(cuts, F.col("conv_id").eqNullSafe(F.col("cut_id")), "left").withColumn("cut", F.least("cut_here", far))
+             .where(F.col("cut").isNull() | (F.col("msg") < F.col("cut"))).drop("cuts", "cut", "cut_here", "cut_id", "block"))
     # what an edit or a regeneration of the same message replaces goes too
     same = Window.partitionBy("conv_id", "msg")
     reset = F.max(F.when(F.col("kind").isin("edit", "regenerate"), F.col("seq"))).over(same)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,20 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_held: dict = {}
+
+
+def held(key: tuple, make: Callable):
+    """What a Python worker keeps from task to task (tables of known words): one thing at a time.
+
+    Asking for another key lets the former go, so idle workers do not pile up the tables of past stages.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text, 0 for null (computed inside the JVM)."""
     padded = F.concat(F.lit(" "), text)  # a leading separator makes the piece before the first word empty

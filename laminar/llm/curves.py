@@ -159,9 +159,9 @@ def _search_pass(k: int, window: int):
     return run
 
 
-def _fit_window(placed: DataFrame, k: int, target: float) -> int:
+def _fit_window(placed: DataFrame, k: int, curves: int, target: float) -> int:
     """The smallest window that reaches ``target`` of the exact neighbours of at most ``PROBES`` queries."""
-    one = placed.where(F.pmod(F.col("curve"), F.lit(CURVES)) == 0)
+    one = placed.where(F.pmod(F.col("curve"), F.lit(curves)) == 0)
     picked = (one.where("asks").groupBy("id").agg(F.min("v").alias("v"))
               .orderBy(F.xxhash64("id"), "id").limit(PROBES).toArrow().combine_chunks())
     if not picked.num_rows:
@@ -193,12 +193,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, curves: int = CURV
             id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the k nearest found per query by cosine, ties to smaller ids.
 
-    Candidates are all rows but the query's own id, of the query's length.  Null, empty and zero vectors and those with null or
+    Candidates are all rows but the query's own id, of the query's length.  Null ids, null, empty and zero vectors and those with null or
     non-finite components take no part.  A repeated query id is answered once; repeated rows with one id count
     once.  An empty table gives no rows; other columns are ignored.
     """
     placed = index(vectors, is_query, k, curves, id_col, vec_col)
-    window = _fit_window(placed, k, target)
+    window = _fit_window(placed, k, curves, target)
     block = F.floor(F.col("pos") / BLOCK)
     cand = placed.where("candidate").select("curve", block.alias("block"), F.lit(False).alias("query"), "pos", "id", "v")
     reach = F.sequence(F.floor(F.greatest(F.col("pos") - window, F.lit(0)) / BLOCK), F.floor((F.col("pos") + window) / BLOCK))

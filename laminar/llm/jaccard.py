@@ -296,7 +296,7 @@ def _words_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verify_pass(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        @lru_cache(maxsize=64)
+        @lru_cache(maxsize=16)
         def gram_set(data: bytes) -> frozenset:
             w = zstandard.ZstdDecompressor().decompress(data).split()
             return frozenset(zip(*(w[i:] for i in range(width)))) if len(w) >= width else frozenset([tuple(w)])
@@ -325,7 +325,7 @@ def _links(pairs: DataFrame, src: DataFrame, width: int, percent: int) -> DataFr
     pairs = settle(pairs, "pairs")
     needed = pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).distinct()
     texts = settle(src.select("text").mapInArrow(_words_pass, "digest binary, data binary")
-                   .join(needed, "digest", "left_semi").dropDuplicates(["digest"]), "texts")
+                   .join(needed.hint("merge"), "digest", "left_semi").dropDuplicates(["digest"]), "texts")
     side = {s: texts.select(F.col("digest").alias(s), F.col("data").alias(f"{s}_data")) for s in "ab"}
     both = pairs.join(side["a"], "a").join(side["b"], "b").select("a", "b", "a_data", "b_data")
     return settle(both.mapInArrow(_verify_pass(width, percent), "a binary, b binary"), "links")

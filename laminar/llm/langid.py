@@ -24,10 +24,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from laminar.llm.common import held
+from laminar.llm.jaccard import word_hashes
 from laminar.llm.pieces import STRETCH, stretches
 
 ORDER = 5  # bytes of context; a context and its next byte fit one 64-bit key
 SAMPLE = 600  # documents per language that the trees are fitted on
+SAMPLE_CHARS = 200_000  # longer texts are not sampled
 UNKNOWN = "und"
 U64 = np.uint64
 
@@ -119,13 +122,15 @@ def held_out(id_col: Column) -> Column:
 
 
 def fit(docs: DataFrame, order: int = ORDER, sample: int = SAMPLE, id_col: str = "doc_id",
-        text_col: str = "text", lang_col: str = "lang") -> dict[str, Trees]:
+        text_col: str = "text", lang_col: str = "lang", sample_chars: int = SAMPLE_CHARS) -> dict[str, Trees]:
     """One context tree per language from a bounded sample of the labelled, not held-out rows.
 
-    Rows with a null text or language are not learned from.  The counts of each language are summed by
-    Spark; what reaches the driver is bounded by ``sample`` documents per language.
+    Rows with a null text or language, or of over ``sample_chars`` characters, are not learned from.  The counts of
+    each language are summed by Spark; what reaches the driver is bounded by ``sample`` documents of
+    ``sample_chars`` characters per language.
     """
-    ok = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & ~held_out(F.col(id_col)))
+    ok = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & ~held_out(F.col(id_col))
+                    & (F.length(text_col) <= sample_chars))
     spread = F.xxhash64(F.col(id_col).cast("string"))
     rank = Window.partitionBy("lang").orderBy("h", "id")
     picked = (ok.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), spread.alias("h"))
@@ -149,24 +154,23 @@ def fit(docs: DataFrame, order: int = ORDER, sample: int = SAMPLE, id_col: str =
 
 
 class Scorer:
-    """Code lengths of words under every language; known words are kept up to ``limit``."""
+    """Code lengths of words under every language; up to ``limit`` words are kept, by their 64-bit hashes."""
 
-    def __init__(self, trees: dict[str, Trees], order: int, limit: int = 500_000):
+    def __init__(self, trees: dict[str, Trees], order: int, limit: int = 3_000_000):
         self.langs, self.trees, self.order, self.limit = list(trees), list(trees.values()), order, limit
-        self.known: dict[bytes, int] = {}
-        self.bits = np.zeros((0, len(self.langs)))
-
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > self.limit:
-            self.known, self.bits, new = {}, self.bits[:0], list(words)
-        if not new:
-            return
-        flat, depth, owner = _layers(new, self.order)
-        cost = np.stack([np.bincount(owner, t.cost(flat, depth, self.order), len(new)) for t in self.trees], 1)
-        base = len(self.bits)
-        self.bits = np.concatenate([self.bits, cost])
-        self.known.update(zip(new, range(base, base + len(new))))
+        self.forget()
+
+    def forget(self) -> None:
+        self.hash = np.empty(0, np.uint64)  # sorted
+        self.bits = np.empty((0, len(self.langs)))
+
+    def learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        """Score new words (their hashes sorted) and merge them into the table."""
+        flat, depth, owner = _layers(words, self.order)
+        cost = np.stack([np.bincount(owner, t.cost(flat, depth, self.order), len(words)) for t in self.trees], 1)
+        where = np.searchsorted(self.hash, hashes)
+        self.hash = np.insert(self.hash, where, hashes)
+        self.bits = np.insert(self.bits, where, cost, 0)
 
     def texts(self, texts: list[str]) -> np.ndarray:
         """Total bits per text and language."""
@@ -174,26 +178,37 @@ class Scorer:
         group, size = [], 0
         for i, t in enumerate(texts):
             for s in stretches(t):
-                group.append((i, _lower(s)))
-                size += len(s)
+                words = b" ".join(_lower(s))
+                if words:
+                    group.append((i, words))
+                    size += len(words)
                 if size >= STRETCH:
                     self._add(out, group)
                     group, size = [], 0
-        self._add(out, group)
+        if group:
+            self._add(out, group)
         return out
 
-    def _add(self, out: np.ndarray, group: list[tuple[int, list[bytes]]]) -> None:
-        here: set[bytes] = set()
-        for _, w in group:
-            here.update(w)
-        self.learn(here)
-        for i, w in group:
-            if w:
-                at = np.fromiter(map(self.known.__getitem__, w), np.int64, len(w))
-                out[i] += self.bits.take(at, 0).sum(0)
-
-
-_scorers: dict[str, Scorer] = {}  # kept by a Python worker from task to task, for the model in use
+    def _add(self, out: np.ndarray, group: list[tuple[int, bytes]]) -> None:
+        buf = b" ".join(words for _, words in group)
+        flat = np.frombuffer(buf, np.uint8)
+        starts = np.r_[0, np.flatnonzero(flat == 32) + 1]
+        kinds, first, which = np.unique(word_hashes(buf), return_index=True, return_inverse=True)
+        place = np.searchsorted(self.hash, kinds)
+        known = place < len(self.hash)
+        known[known] = self.hash[place[known]] == kinds[known]
+        if len(self.hash) + int((~known).sum()) > self.limit:
+            self.forget()
+            known[:] = False
+        if not known.all():
+            new = first[~known]
+            ends = np.r_[starts[1:] - 1, len(buf)]
+            self.learn(kinds[~known], [buf[s:e] for s, e in zip(starts[new].tolist(), ends[new].tolist())])
+            place = np.searchsorted(self.hash, kinds)
+        bits = self.bits[place][which]
+        counts = [words.count(b" ") + 1 for _, words in group]
+        sums = np.add.reduceat(bits, np.cumsum([0, *counts[:-1]]), axis=0)
+        np.add.at(out, [i for i, _ in group], sums)
 
 
 def predict(docs: DataFrame, trees: dict[str, Trees], order: int = ORDER, id_col: str = "doc_id",
@@ -210,10 +225,7 @@ def predict(docs: DataFrame, trees: dict[str, Trees], order: int = ORDER, id_col
     model, name = docs.sparkSession.sparkContext.broadcast(trees), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _scorers:
-            _scorers.clear()
-            _scorers[name] = Scorer(model.value, order)
-        scorer = _scorers[name]
+        scorer = held(("langid", name), lambda: Scorer(model.value, order))
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)

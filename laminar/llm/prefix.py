@@ -30,6 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from laminar.llm.common import held
 from laminar.llm.pieces import WHITE, PieceTable, byte_signs
 
 # Fixed by the tokenizer: its pieces.  A leading space is taken along; it adds no token.
@@ -204,9 +205,6 @@ class PrefixIndex:
         return [self.one(t) if i in odd else next(out) for i, t in enumerate(texts)]
 
 
-_indexes: dict[str, PrefixIndex] = {}
-
-
 def prefix_index(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_bytes, n_chars, n_tokens, changes)`` per document.
 
@@ -219,9 +217,7 @@ def prefix_index(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _indexes:
-            _indexes[path] = PrefixIndex(path)
-        index = _indexes[path]
+        index = held(("prefix", path), lambda: PrefixIndex(path))
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)

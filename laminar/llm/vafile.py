@@ -107,7 +107,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
     """``(query_id, rank, vec_id, score)``: the k largest integer inner products per query, ties to smaller ids.
 
     Every component x becomes ``floor(scale * x)``.  Candidates are all rows but those with the query's own id, of the query's
-    length.  Vectors that are null, empty or hold null or non-finite components take no part.  Repeated rows
+    length.  Rows with a null id take no part.  Vectors that are null, empty or hold null or non-finite components take no part.  Repeated rows
     are candidates of their own; a repeated query id is answered once (its smallest vector).  Scores
     beyond a long saturate.  An empty table gives no rows; other columns are ignored.
     """

@@ -51,6 +51,8 @@ def test_nulls_ties_and_repeats(spark):
               (None, 0, "message", 0, "user", "no conversation id")]
     assert formatted(spark, events) == {1: [("", ""), ("assistant", "x"), ("assistant", "x")],
                                         None: [("user", "no conversation id")]}
+    events = [(None, None, "message", None, "user", "old"), (None, 5, "regenerate", None, "user", "new"), (None, 6, "delta", None, "user", "er")]
+    assert formatted(spark, events) == {None: [("user", "newer")]}
     assert fold_events(spark.createDataFrame([], LOG)).count() == 0
     assert format_chats(spark.createDataFrame([], LOG)).count() == 0
 
