@@ -121,7 +121,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int, out: str, bits: bool
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, part = held(("planes", tokenizer), lambda: Vocabulary(tokenizer)), TaskContext.get().partitionId()
-        ids, held, docs_in, sizes, chunk, before = [], 0, [], [], 0, 0
+        ids, waiting, docs_in, sizes, chunk, before = [], 0, [], [], 0, 0
 
         def frame():
             flat = np.frombuffer(b"".join(ids), "<u4")
@@ -139,12 +139,12 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int, out: str, bits: bool
                     ids += [coded, end]
                     docs_in.append(doc)
                     sizes.append(len(coded) // 4 + 1)
-                    held += sizes[-1]
-                    if held >= CHUNK:
+                    waiting += sizes[-1]
+                    if waiting >= CHUNK:
                         yield frame()
-                        before += held
+                        before += waiting
                         chunk += 1
-                        ids, held, docs_in, sizes = [], 0, [], []
+                        ids, waiting, docs_in, sizes = [], 0, [], []
         if docs_in:
             yield frame()
 
