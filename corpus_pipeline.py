@@ -12,6 +12,8 @@ from laminar.llm.jaccard import jaccard_components
 from laminar.llm.langid import UNKNOWN, fit, predict
 from laminar.llm.mixing import mix
 
+WIDTH, PERCENT = 5, 80  # words of a shingle and similarity from which documents are near duplicates
+
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told stay; texts that are null or hold no letter go."""
@@ -20,8 +22,12 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each linked group stays: the one with the smallest id (one row of it)."""
-    found = jaccard_components(docs)
+    """One document of each linked group stays: the one with the smallest id (one row of it).
+
+    Documents link when they share at least 80% of their distinct five-word shingles; the contract of
+    ``op4_ngram_jaccard_join`` (four words, 85%) is that query's own.
+    """
+    found = jaccard_components(docs, width=WIDTH, percent=PERCENT)
     kept = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("rows"))
     stay = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
     if not kept.where(F.col("rows") > 1).isEmpty():  # an id that stands in several rows
