@@ -101,18 +101,20 @@ def solve(counts: DataFrame, goals: DataFrame, cap: float = CAP) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, ratio: float = RATIO, cap: float = CAP,
-        id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``(id, size, source_size, target, rate, copies)``.
+        id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """One row per input row: ``(id, size, source_size, target, rate, copies)``, and ``row_col`` if given.
 
     ``size`` counts words (null text: 0).  Null sources form one source, last in order.  Documents
     without words get no copies.  Repeated rows are documents of their own; ties
-    in size are broken by a hash of the id, so reruns agree.  An empty table gives no rows; other columns
-    are ignored.
+    in size are broken by a hash of the id, so reruns agree.  ``row_col``, a column that is unique and never
+    null, tells rows with a null or repeated id apart.  An empty table gives no rows; other columns are ignored.
     """
+    row = [F.col(row_col).alias("row")] if row_col else []
+    named = F.coalesce(*[c.cast("string") for c in (F.col("id"), *([F.col("row")] if row_col else []))])
     sized = settle(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-                               word_count(F.col(text_col)).alias("size"))
+                               word_count(F.col(text_col)).alias("size"), *row)
                    .withColumn("key", _key(F.col("source")))
-                   .withColumn("spread", F.xxhash64(F.col("id").cast("string"), F.lit(9))), "sizes")
+                   .withColumn("spread", F.xxhash64(named, F.lit(9))), "sizes")
     goals = targets(sized.groupBy("key").agg(F.first("source").alias("source"), F.sum("size").alias("source_size")),
                     weights, ratio, cap)
     salt = F.pmod(F.col("spread"), F.lit(SALTS)).alias("salt")
@@ -132,8 +134,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, ratio: float = RATI
     earlier = Window.partitionBy("key", "size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = salted.withColumn("skip", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
     plan = groups.join(offsets, ["key", "size"]).withColumn("left", F.col("more") - F.col("skip"))
-    place = Window.partitionBy("key", "size", "salt").orderBy("spread", "id")
+    place = Window.partitionBy("key", "size", "salt").orderBy("spread", "id", *(["row"] if row_col else []))
     ranked = sized.withColumn("salt", salt).withColumn("place", F.row_number().over(place))
     copies = (F.floor("rate") + F.when(F.col("place") <= F.col("left"), 1).otherwise(0)).cast("long")
     return (ranked.join(plan, ["key", "size", "salt"])
-            .select(F.col("id").alias(id_col), "size", "source_size", "target", "rate", copies.alias("copies")))
+            .select(F.col("id").alias(id_col), "size", "source_size", "target", "rate", copies.alias("copies"),
+                    *([F.col("row").alias(row_col)] if row_col else [])))

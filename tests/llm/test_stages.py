@@ -1,6 +1,7 @@
 """The pipeline's stages: bounds of the near-duplicate stage, and rows that ids do not tell apart."""
 
 import random
+from collections import Counter
 
 import corpus_pipeline
 from tests.llm.test_jaccard import grams, near_copies
@@ -39,3 +40,22 @@ def test_near_duplicates_equal_brute_force(spark):
     random.Random(1).shuffle(rows)
     assert brute_kept(rows) != brute_kept(rows, 4, 85)
     assert kept(spark, rows) == brute_kept(rows)
+
+
+def test_rows_with_null_or_repeated_ids_are_documents_of_their_own(spark):
+    long, other = " ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    rows = [(None, "no id stands here at all"), (None, "another text that has no id"), (1, "one two three four five"),
+            (1, "six seven eight nine ten"), (2, long), (3, long), (3, other), (None, other), (4, None), (5, "a b c d e f"),
+            (5, "a b c d e f")]
+    want = {(None, "no id stands here at all"), (None, "another text that has no id"), (1, "one two three four five"),
+            (1, "six seven eight nine ten"), (2, long), (3, other), (4, None), (5, "a b c d e f")}
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, documents(spark, rows), "").collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert corpus_pipeline.known_language(spark, documents(spark, rows), "").count() == len(rows) - 1
+
+
+def test_mixing_takes_each_row_by_itself(spark):
+    texts = [f"{t} one two three" for t in "abcdefghij"]
+    rows = [(1 if i % 2 else None, t) for i, t in enumerate(texts)]
+    got = Counter((r.doc_id, r.text) for r in corpus_pipeline.mixed_sources(spark, documents(spark, rows), "").collect())
+    assert set(got) == set(rows) and sum(got.values()) == 15 and max(got.values()) == 2
