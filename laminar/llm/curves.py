@@ -85,11 +85,14 @@ def index(vectors: DataFrame, is_query: Column, k: int, curves: int = CURVES, id
     zero = F.forall(vec_col, lambda x: x == 0)
     kept = vectors.where(F.col(id_col).isNotNull() & usable(F.col(vec_col)) & ~F.coalesce(zero, F.lit(True)))
     rows = kept.select(F.col(id_col).cast("long").alias("id"), F.transform(vec_col, lambda x: x.cast("double")).alias("v"),
-                       is_query.alias("asks"))
+                       F.coalesce(is_query, F.lit(False)).alias("asks"))
+    # repeated rows of one id count once; the window alone has the filter, so it cuts down before the shuffle too
+    each = rows.groupBy("id", "v").agg(F.max("asks").alias("asks"))
     equal = Window.partitionBy("h", "v").orderBy("id")
-    hashed = rows.withColumn("h", F.xxhash64("v")).withColumn("nth", F.row_number().over(equal))
-    rows = hashed.where((F.col("nth") <= k + 1) | F.col("asks")).select(
-        "id", "v", (F.col("nth") <= k + 1).alias("candidate"), "asks")
+    first = (each.select("id", "v", F.xxhash64("v").alias("h")).withColumn("nth", F.row_number().over(equal))
+             .where(F.col("nth") <= k + 1).select("id", "v", F.lit(True).alias("candidate"), F.lit(False).alias("asks")))
+    asked = each.where("asks").select("id", "v", F.lit(False).alias("candidate"), "asks")
+    rows = first.unionByName(asked).groupBy("id", "v").agg(F.max("candidate").alias("candidate"), F.max("asks").alias("asks"))
     ddl = "curve int, key long, id long, v array<double>, candidate boolean, asks boolean"
     order = ["curve", "key", "id"]
     sorted_rows = settle(rows.mapInArrow(_key_pass(curves), ddl).repartitionByRange(partitions(spark), *order)
@@ -103,20 +106,24 @@ def index(vectors: DataFrame, is_query: Column, k: int, curves: int = CURVES, id
 
 
 def _rank(query: np.ndarray, query_ids: np.ndarray, cand: np.ndarray, ids: np.ndarray, k: int, near=None):
-    """Rows (query id, id, cosine) of the k best of one block per query; both sides are unit vectors."""
+    """Rows (query id, id, cosine) of the k best ids of one block per query; both sides are unit vectors."""
     near = np.ones((len(query), len(cand)), bool) if near is None else near
     s = np.where(near & (query_ids[:, None] != ids[None, :]), query @ cand.T, -np.inf)
-    some = min(len(ids), k + 16)
-    top = np.argpartition(-s, some - 1, axis=1)[:, :some] if some < len(ids) else np.tile(np.arange(len(ids)), (len(query), 1))
+    best = s
+    kinds, first = np.unique(np.sort(ids), return_index=True)
+    if len(kinds) < len(ids):  # an id with several vectors counts by its best one
+        best = np.maximum.reduceat(s[:, np.argsort(ids, kind="stable")], first, axis=1)
+    some = min(len(kinds), k + 16)
+    whole = some == len(kinds)
+    edge = None if whole else -np.partition(-best, some - 1, axis=1)[:, some - 1]
     out = []
     for q in range(len(query)):
-        at = top[q]
-        if some < len(ids):  # equal scores at the border: take all of them
-            at = np.flatnonzero(s[q] >= s[q][at].min() - 1e-12)
-        at = at[s[q][at] > -np.inf]
+        # equal scores at the border: take all of them
+        at = np.flatnonzero(s[q] > -np.inf if whole else (s[q] >= edge[q] - 1e-12) & (s[q] > -np.inf))
         if len(at):
             exact = np.einsum("ij,j->i", cand[at], query[q])
-            order = np.lexsort((ids[at], -np.round(exact, 12)))[:k]
+            order = np.lexsort((ids[at], -np.round(exact, 12)))
+            order = order[np.sort(np.unique(ids[at][order], return_index=True)[1])[:k]]
             out += [(int(query_ids[q]), int(ids[at[o]]), float(exact[o])) for o in order]
     return out
 
@@ -177,7 +184,8 @@ def _fit_window(placed: DataFrame, k: int, curves: int, target: float) -> int:
                         yield _emit(_rank(probes[d][1], probes[d][0], _unit(m), part.column(0).to_numpy()[at], k))
 
     order = Window.partitionBy("query_id").orderBy(F.round("score", 12).desc(), "vec_id")
-    true = (one.where("candidate").select("id", "v").mapInArrow(scan, _FOUND).withColumn("r", F.row_number().over(order))
+    true = (one.where("candidate").select("id", "v").mapInArrow(scan, _FOUND)
+            .groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("r", F.row_number().over(order))
             .where(F.col("r") <= k).select("query_id", "vec_id").toPandas())  # at most PROBES * k rows
     wanted = sorted(set(true["query_id"]) | set(true["vec_id"]))
     if not wanted:
