@@ -17,6 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, LongType, StructField, StructType
 
 from laminar.functions.bands import AS_WRITTEN
 from laminar.operators.cumulate import cumulate_year_step
@@ -135,8 +136,18 @@ def datelist_load_days(spark: SparkSession, activity: DataFrame, keys: Sequence[
     return read_table(spark, path, schema)
 
 
+_SLOTS = {"float": FloatType(), "long": LongType(), "double": DoubleType()}
+
+
+def reduced_schema(count_type: str = "float") -> StructType:
+    """The month table's schema with slots of ``count_type``; a table has one type for all its versions."""
+    slots = ArrayType(_SLOTS[count_type])
+    return StructType([StructField(f.name, slots, f.nullable) if isinstance(f.dataType, ArrayType) else f
+                       for f in HOST_ACTIVITY_REDUCED.fields])
+
+
 def reduce_load_range(spark: SparkSession, counts: DataFrame, path: str, first: dt.date, last: dt.date,
-                      key: str = "host") -> None:
+                      key: str = "host", count_type: str = "float") -> None:
     """Load days ``first..last`` of one month: a version of the month's rows through ``last``.
 
     The newest version is the prior state; whatever it holds of ``first`` and later is cut off, so
@@ -145,18 +156,20 @@ def reduce_load_range(spark: SparkSession, counts: DataFrame, path: str, first:
     month = first.replace(day=1)
     root = partition_path(path, "month", month)
     names = versions(spark, root, "through")
-    state = read_version(spark, root, HOST_ACTIVITY_REDUCED, "through", latest(names))
-    rows = reduce_days(state, counts, first, last, key=key)
+    schema = reduced_schema(count_type)
+    state = read_version(spark, root, schema, "through", latest(names))
+    rows = reduce_days(state, counts, first, last, key=key, count_type=count_type)
     number = sum(n.startswith(last.isoformat()) for n in names)
-    write_version(conform(rows, HOST_ACTIVITY_REDUCED), root, "through", f"{last.isoformat()}.{number:04d}")
+    write_version(conform(rows, schema), root, "through", f"{last.isoformat()}.{number:04d}")
 
 
-def read_reduced(spark: SparkSession, path: str, months: Sequence[dt.date]) -> DataFrame:
+def read_reduced(spark: SparkSession, path: str, months: Sequence[dt.date], count_type: str = "float") -> DataFrame:
     """The newest version of each month."""
-    out = spark.createDataFrame([], HOST_ACTIVITY_REDUCED)
+    schema = reduced_schema(count_type)
+    out = spark.createDataFrame([], schema)
     for m in months:
         root = partition_path(path, "month", m)
-        out = out.unionByName(read_version(spark, root, HOST_ACTIVITY_REDUCED, "through", latest(versions(spark, root, "through"))))
+        out = out.unionByName(read_version(spark, root, schema, "through", latest(versions(spark, root, "through"))))
     return out
 
 
@@ -172,19 +185,26 @@ def month_ranges(first: dt.date, last: dt.date, step: int) -> list[tuple[dt.date
 
 
 def reduce_load_days(spark: SparkSession, counts: DataFrame, path: str, first_day: dt.date,
-                     days: int, key: str = "host", step: int = 7) -> DataFrame:
+                     days: int, key: str = "host", step: int = 7, count_type: str = "float") -> DataFrame:
     """Load ``days`` days into the month table, up to ``step`` of them per job.
 
-    The daily counts are landed by day once, so a job reads its days' folders.
+    The daily counts are landed by day once, so a job reads its days' folders. A month without
+    counts and without a prior version has no rows and takes no job.
     """
     last_day = first_day + dt.timedelta(days=days - 1)
     counts_path = f"{path.rstrip('/')}-counts"
     land(counts, counts_path, "day", files_per_partition=1)
     ranges = month_ranges(first_day, last_day, step)
+    found = {}
     for first, last in ranges:
         span = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
-        there = [d for d in span if exists(spark, partition_path(counts_path, "day", d))]
+        found[first] = [d for d in span if exists(spark, partition_path(counts_path, "day", d))]
+    held = {first.replace(day=1) for first, there in found.items() if there}
+    for first, last in ranges:
+        month, there = first.replace(day=1), found[first]
+        if month not in held and not versions(spark, partition_path(path, "month", month), "through"):
+            continue
         facts = (landed(spark, counts_path, counts.schema, "day", there) if there
                  else spark.createDataFrame([], counts.schema))
-        reduce_load_range(spark, facts, path, first, last, key)
-    return read_reduced(spark, path, sorted({a.replace(day=1) for a, _ in ranges}))
+        reduce_load_range(spark, facts, path, first, last, key, count_type)
+    return read_reduced(spark, path, sorted({a.replace(day=1) for a, _ in ranges}), count_type)

@@ -266,10 +266,10 @@ def q_user_datelist_incremental(spark, sf_dir):
 
 def q_reduced_incremental(spark, sf_dir):
     ev = roles.events(spark, sf_dir)
-    month = dt.date.fromisoformat(roles.MONTH_START)
-    last = ev.agg(F.max(F.to_date("event_time"))).first()[0]
-    table = incremental.reduce_load_days(spark, daily_counts(ev), scratch_path(spark, "reduced"), month,
-                                         (last - month).days + 1)
+    day = F.to_date("event_time")
+    first, last = ev.agg(F.min(F.trunc(day, "MM")), F.max(day)).first()
+    table = incremental.reduce_load_days(spark, daily_counts(ev), scratch_path(spark, "reduced"), first,
+                                         (last - first).days + 1, count_type="long")
     return table.select("host", "month", _counts_str(F.col("hit_array")).alias("hit_array"),
                         F.size("hit_array").cast("long").alias("n_days"))
 
@@ -387,10 +387,10 @@ def q_host_datelist_streamed(spark, sf_dir):
 def q_reduced_streamed(spark, sf_dir):
     src, schema = _land_events(spark, sf_dir)
     target = scratch_path(spark, "reduced_streamed")
-    model = reduced_load(target, dt.date.fromisoformat(roles.MONTH_START))
+    model = reduced_load(target, count_type="long")
     run_stream(spark, src, schema, model, scratch_path(spark, "staging"), scratch_path(spark, "stream_ckpt"),
                finalize=True)
-    return read_streamed_reduced(spark, target).select(
+    return read_streamed_reduced(spark, target, "long").select(
         "host", "month", _counts_str(F.col("hit_array")).alias("hit_array"),
         F.size("hit_array").cast("long").alias("n_days"))
 

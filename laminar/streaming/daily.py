@@ -41,12 +41,13 @@ class DailyLoad:
     """A daily model: what to stage per event, how to load a range of days, how far it got.
 
     ``load_range(spark, staged, first, last)`` loads days ``first..last`` from the staged
-    rows of those days on top of what the target holds for the day before.
+    rows of those days on top of what the target holds for the day before. Days before ``first_day``
+    are not loaded (``early`` counts their rows); without one every day is, from the first staged.
     """
     staging_cols: list[str]
     load_range: Callable[[SparkSession, DataFrame, dt.date, dt.date], None]
     loaded_through: Callable[[SparkSession], dt.date | None]
-    first_day: dt.date
+    first_day: dt.date | None
 
 
 def host_datelist_load(target: str, first_day: dt.date) -> DailyLoad:
@@ -63,11 +64,11 @@ def host_datelist_load(target: str, first_day: dt.date) -> DailyLoad:
     return DailyLoad(["host"], load_range, loaded_through, first_day)
 
 
-def reduced_load(target: str, first_day: dt.date) -> DailyLoad:
+def reduced_load(target: str, first_day: dt.date | None = None, count_type: str = "float") -> DailyLoad:
     """Monthly reduced hits / unique visitors: versions of each month (``laminar.plans.tables``).
 
     The last loaded day is the newest version's name.  A range crossing a month boundary is loaded as
-    one job per month; a version keeps the one before readable until it is whole.
+    one job per month that has rows or a version; a version keeps the one before readable until it is whole.
     """
 
     def loaded_through(spark):
@@ -76,14 +77,19 @@ def reduced_load(target: str, first_day: dt.date) -> DailyLoad:
 
     def load_range(spark, staged, first, last):
         counts = daily_counts(staged.withColumnRenamed("ts", "event_time"))
-        for a, b in month_ranges(first, last, 31):
-            reduce_load_range(spark, counts, target, a, b)
+        ranges = month_ranges(first, last, 31)
+        held = {ranges[-1][0].replace(day=1), *(dt.date.fromisoformat(m) for m in _folders(spark, target, "month"))}
+        if any(a.replace(day=1) not in held for a, _ in ranges):
+            held |= {r[0] for r in staged.select(F.trunc("day", "MM")).distinct().collect()}
+        for a, b in ranges:
+            if a.replace(day=1) in held:
+                reduce_load_range(spark, counts, target, a, b, count_type=count_type)
 
     return DailyLoad(["host", "user_id", "ts"], load_range, loaded_through, first_day)
 
 
-def read_streamed_reduced(spark: SparkSession, target: str) -> DataFrame:
-    return read_reduced(spark, target, [dt.date.fromisoformat(m) for m in _folders(spark, target, "month")])
+def read_streamed_reduced(spark: SparkSession, target: str, count_type: str = "float") -> DataFrame:
+    return read_reduced(spark, target, [dt.date.fromisoformat(m) for m in _folders(spark, target, "month")], count_type)
 
 
 def _folders(spark: SparkSession, path: str, col: str) -> list[str]:
@@ -101,6 +107,13 @@ def undated(spark: SparkSession, staging: str) -> int:
     return spark.read.option("basePath", staging).parquet(staging).where(F.col("day").isNull()).count()
 
 
+def early(spark: SparkSession, staging: str, first_day: dt.date) -> int:
+    """How many staged rows lie before a model's ``first_day``, hence are not loaded."""
+    if not exists(spark, staging):
+        return 0
+    return spark.read.option("basePath", staging).parquet(staging).where(F.col("day").cast("date") < F.lit(first_day)).count()
+
+
 def run_stream(spark: SparkSession, source_dir: str, schema, model: DailyLoad, staging: str,
                checkpoint: str, time_col: str = "event_time", lateness_days: int = 0,
                available_now: bool = True, finalize: bool = False):
@@ -139,8 +152,8 @@ def run_stream(spark: SparkSession, source_dir: str, schema, model: DailyLoad, s
         prev = model.loaded_through(spark)
         last = max(seen) if upto_inclusive else max(seen) - dt.timedelta(days=1 + lateness_days)
         last = max(last, prev) if prev is not None else last  # late rows reload through what is loaded
-        start = model.first_day if prev is None else prev + dt.timedelta(days=1)
-        first = min([start, *(d for d in touched if d >= model.first_day)])
+        start = (model.first_day or min(seen)) if prev is None else prev + dt.timedelta(days=1)
+        first = min([start, *(d for d in touched if model.first_day is None or d >= model.first_day)])
         if first <= last:
             model.load_range(spark, staged_days(first, last), first, last)
 
