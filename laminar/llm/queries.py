@@ -16,6 +16,7 @@ from laminar.llm.curves import nearest
 from laminar.llm.jaccard import jaccard_components
 from laminar.llm.langid import fit, held_out, predict
 from laminar.llm.licenses import scan_licenses
+from laminar.llm.merkle import FIELDS, build_manifest, fold, leaf_digest, path_digest, prove
 from laminar.llm.mixing import mix
 from laminar.llm.oracle import CONTROL, ORACLE
 from laminar.llm.prefix import prefix_index
@@ -105,6 +106,18 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # what a tampered copy of the row would hash to; null where the row is left alone
+    touched = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    seen = leaf_digest(*[F.replace(F.col(c), F.lit("\n"), F.lit("")) if c == "text" else F.col(c) for c in FIELDS])
+    proven = prove(build_manifest(docs.withColumn("seen_leaf", F.when(touched, seen)), keep=("doc_id", "seen_leaf")))
+    folded = fold(F.coalesce("kept.seen_leaf", "leaf"), F.col("path"))
+    return (proven.select(F.col("kept.doc_id").alias("doc_id"), "leaf", "subroot", "root",
+                          path_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
+
+
 __all__ = ["QUERIES", "ORACLE"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -118,4 +131,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_mix_sources": op9_mix_sources,
     "op10_exact_top_k": op10_exact_top_k,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
