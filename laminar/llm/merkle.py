@@ -129,7 +129,7 @@ def build_manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, group: str
     tops, tree_passes, tree_height = _grow(leaves.select("tree", "rank", "n", F.col("leaf").alias("digest")), "trees")
     # the tops in the order of their groups are the leaves of one more tree
     named_tops = tops.select(F.lit(0).alias("tree"), F.col("tree").alias("by"), "digest", "depth")
-    trees = _ranked(named_tops, ["by"], "tops")
+    trees = settle(_ranked(named_tops, ["by"], "tops"), "ranked-tops")
     root, root_passes, root_height = _grow(trees.select("tree", "rank", "n", "digest"), "root")
     return Manifest(leaves.select("tree", "rank", "leaf", "kept"),
                     trees.select("rank", F.col("by").alias("tree"), "digest", "depth"), root.drop("tree"),
@@ -168,9 +168,9 @@ def prove(manifest: Manifest, wanted: DataFrame | None = None) -> DataFrame:
                                    F.array().cast(_SEGMENTS).alias("path"))
     for height in range(manifest.root_height, 0, -1):
         at_root = _descend(at_root, _records(manifest.root_passes, height))
-    entering = at_root.withColumnRenamed("digest", "subroot").join(
+    entering = settle(at_root.withColumnRenamed("digest", "subroot").join(
         manifest.trees.select("rank", "tree", F.col("digest"), "depth"), "rank").select(
-        "tree", "root", "subroot", "digest", "depth", F.lit(0).cast("long").alias("rank"), "path")
+        "tree", "root", "subroot", "digest", "depth", F.lit(0).cast("long").alias("rank"), "path"), "entering")
 
     def asked(requests: DataFrame, height: int) -> DataFrame:
         if wanted is None:
@@ -184,6 +184,8 @@ def prove(manifest: Manifest, wanted: DataFrame | None = None) -> DataFrame:
         here = asked(new if here is None else here.unionByName(new), height)
         if height > 1:
             here = _descend(here, _records(manifest.tree_passes, height))
+            if height % SPAN == 1:  # through one pass's records: a written table keeps the plan short
+                here = settle(here, f"height{height - 1}")
     alone = asked(entering.where(F.col("depth") == 0).drop("depth"), 0).withColumn(
         "children", F.lit(None).cast("array<string>"))
     runs = alone if here is None else here.join(_records(manifest.tree_passes, 1), "digest").unionByName(alone)

@@ -171,10 +171,107 @@ SELECT l.doc_id, l.leaf, t.digest AS subroot, root.digest AS root, sha256(c.proo
 FROM leaves l JOIN last c ON c.tree = l.tree AND c.start = l.pos JOIN tops t ON t.tree = l.tree
 JOIN (SELECT digest FROM upper WHERE n = 1) root ON true"""
 
+def _least(*options: str) -> str:
+    return f"list_min([{', '.join(options)}])"
+
+
+# a way to the end: cost, edits, repaired text
+def _way(cost: str, edit: str, line: str, rest: str) -> str:
+    text = f"{rest}.t" if line == "''" else f"CASE WHEN {rest}.t = '' THEN {line} ELSE {line} || chr(10) || {rest}.t END"
+    return f"{{'c': {cost} + {rest}.c, 'e': '{edit}' || {rest}.e, 't': {text}}}"
+
+
+_FAR = "{'c': CAST(1000000000 AS BIGINT), 'e': '', 't': ''}"
+_ROLE_AFTER = ("user", "user", "assistant", "user")  # what may be put in after none, s, u, a
+_NEXT = (2, 2, 3, 2)
+_KEEP = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}
+
+
+def _row_ways(state: int) -> str:
+    kept = " ".join(f"WHEN '{i}' THEN {_way('CAST(cut AS BIGINT)', 'K', 'role || chr(58) || text', f'w{to}')}"
+                    for (s, i), to in _KEEP.items() if s == state)
+    role = _ROLE_AFTER[state]
+    again = _way("3 + cut", "R", f"'{role}:' || text", f"w{_NEXT[state]}")
+    return _least(_way("4", "D", "''", f"w{state}"),
+                  f"CASE WHEN gone THEN {_FAR} ELSE CASE initial {kept} ELSE {_FAR} END END",
+                  f"CASE WHEN gone THEN {_FAR} ELSE {again} END")
+
+
+def _with_inserts(prefix: str, state: int) -> str:
+    """The best of none, one or two inserts before what comes then."""
+    options, lines, s = [f"{prefix}{state}"], [], state
+    for n in (1, 2):
+        lines.append(f"{_ROLE_AFTER[s]}:")
+        s = _NEXT[s]
+        options.append(_way(str(3 * n), "I" * n, " || chr(10) || ".join(f"'{x}'" for x in lines), f"{prefix}{s}"))
+    return _least(*options)
+
+
+REPAIR = rf"""WITH RECURSIVE {_CRC_TABLE},
+said AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+harmed AS (SELECT *, {_crc('k')} % 20 AS h FROM said, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN h = 1 THEN '' WHEN h = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN h = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM harmed WHERE h <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+                  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS again,
+                  regexp_matches(text, '[^ 	-
+]') AS solid FROM damaged),
+judged AS (
+  SELECT *, NOT solid OR again AS gone, CASE WHEN solid AND NOT again AND NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 3 ELSE 0 END AS cut,
+         left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS previous, count(*) OVER (PARTITION BY conv_id) AS n
+  FROM placed),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE NOT solid) AS blank,
+         count(*) FILTER (WHERE solid AND again) AS duplicate, count(*) FILTER (WHERE cut > 0) AS truncated,
+         count(*) FILTER (WHERE previous IS NOT NULL AND previous || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id),
+back(conv_id, i, w0, w1, w2, w3) AS (
+  SELECT conv_id, max(i), {{'c': CAST(0 AS BIGINT), 'e': '', 't': ''}}, {{'c': CAST(6 AS BIGINT), 'e': 'II', 't': 'user:' || chr(10) || 'assistant:'}},
+         {{'c': CAST(3 AS BIGINT), 'e': 'I', 't': 'assistant:'}}, {{'c': CAST(0 AS BIGINT), 'e': '', 't': ''}} FROM judged GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, i, {', '.join(_with_inserts('b', s) for s in range(4))} FROM (
+    SELECT b.conv_id, b.i - 1 AS i, {', '.join(f'{_row_ways(s)} AS b{s}' for s in range(4))}
+    FROM back b JOIN judged j ON j.conv_id IS NOT DISTINCT FROM b.conv_id AND j.i = b.i))
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(w0.c, 0) AS BIGINT) AS cost, coalesce(w0.e, '') AS audit,
+       sha256(coalesce(w0.t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN back b ON b.conv_id IS NOT DISTINCT FROM c.conv_id AND b.i = 0"""
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+DECONTAMINATION = f"""WITH docs AS (SELECT row_number() OVER () AS d, doc_id, {_WORDS} AS w FROM documents),
+items AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT d, n, i, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM (SELECT d, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs JOIN sizes ON len(w) >= n)),
+hits AS (SELECT DISTINCT d, i, n, win FROM places WHERE win IN (SELECT win FROM windows)),
+marked AS (SELECT d, count(DISTINCT p) AS n_hit FROM (SELECT d, unnest(range(i, i + n)) AS p FROM hits) GROUP BY d),
+named AS (SELECT DISTINCT d, item FROM hits JOIN windows USING (win)),
+lists AS (SELECT d, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM named GROUP BY d)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN marked USING (d) LEFT JOIN lists USING (d)"""
+
 ORACLE = {
     "op1_chat_format": CHAT,
     "op4_ngram_jaccard_join": JACCARD,
     "op8_license_scan": LICENSES,
     "op10_exact_top_k": TOP_K,
     "op11_merkle_manifest": MERKLE,
+    "op12_conversation_repair": REPAIR,
+    "op13_decontamination": DECONTAMINATION,
 }

@@ -13,6 +13,7 @@ from laminar.llm.bpe import encode
 from laminar.llm.chat import format_chats, masked_texts, read_back
 from laminar.llm.common import table
 from laminar.llm.curves import nearest
+from laminar.llm.decontam import covered, find_windows
 from laminar.llm.jaccard import jaccard_components
 from laminar.llm.langid import fit, held_out, predict
 from laminar.llm.licenses import scan_licenses
@@ -20,6 +21,7 @@ from laminar.llm.merkle import FIELDS, build_manifest, fold, leaf_digest, path_d
 from laminar.llm.mixing import mix
 from laminar.llm.oracle import CONTROL, ORACLE
 from laminar.llm.prefix import prefix_index
+from laminar.llm.repair import digests, repair
 from laminar.llm.vafile import top_k
 from laminar.session import scratch_path
 
@@ -118,6 +120,39 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("verified", F.col("folded_root") == F.col("root")))
 
 
+def damaged_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations with rows dropped, emptied, cut short, repeated or given another role, by a checksum of their key."""
+    def said(name: str):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", said("role").alias("role"), said("text").alias("text"))
+    harm = F.crc32(F.concat_ws(":", said("conv_id"), said("turn"))) % 20
+    rows = rows.withColumn("harm", harm).where(F.col("harm") != 0)
+    text = F.when(F.col("harm") == 1, "").when(F.col("harm") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    copies = F.when(F.col("harm") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return rows.select("conv_id", "turn", F.when(F.col("harm") == 4, "user").otherwise(F.col("role")).alias("role"),
+                       text.alias("text"), F.explode(copies).alias("copy")).drop("copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = repair(damaged_turns(spark, sf_dir))
+    every = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("id")).distinct()
+    texts = digests(done.rows).withColumnRenamed("conv_id", "kept")
+    out = (every.join(done.summary, F.col("id").eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
+           .join(texts, F.col("id").eqNullSafe(F.col("kept")), "left"))
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return out.select(F.col("id").alias("conv_id"), *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_windows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return (found.select("doc_id", "n_words", covered(F.col("spans")).alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
+            .withColumn("contaminated", F.col("n_hit") > 0))
+
+
 __all__ = ["QUERIES", "ORACLE"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -132,4 +167,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mix_sources": op9_mix_sources,
     "op10_exact_top_k": op10_exact_top_k,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_decontamination": op13_decontamination,
 }
