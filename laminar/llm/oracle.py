@@ -216,13 +216,11 @@ damaged AS (
          CASE WHEN h = 1 THEN '' WHEN h = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
          unnest(CASE WHEN h = 3 THEN [1, 2] ELSE [1] END) AS copy
   FROM harmed WHERE h <> 0),
-placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
-                  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS again,
-                  regexp_matches(text, '[^ 	-
-]') AS solid FROM damaged),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+                  regexp_matches(text, '[^\x20\x09-\x0D]') AS solid FROM ordered),
 judged AS (
-  SELECT *, NOT solid OR again AS gone, CASE WHEN solid AND NOT again AND NOT regexp_matches(text, '[.!?][ 	-
-]*$') THEN 3 ELSE 0 END AS cut,
+  SELECT *, NOT solid OR again AS gone, CASE WHEN solid AND NOT again AND NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 3 ELSE 0 END AS cut,
          left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS previous, count(*) OVER (PARTITION BY conv_id) AS n
   FROM placed),
 counts AS (
