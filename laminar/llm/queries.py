@@ -137,7 +137,7 @@ def damaged_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = repair(damaged_turns(spark, sf_dir))
     every = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("id")).distinct()
-    texts = digests(done.rows).withColumnRenamed("conv_id", "kept")
+    texts = digests(done).withColumnRenamed("conv_id", "kept")
     out = (every.join(done.summary, F.col("id").eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
            .join(texts, F.col("id").eqNullSafe(F.col("kept")), "left"))
     counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")

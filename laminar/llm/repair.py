@@ -39,10 +39,20 @@ _SYMBOL = np.array([*range(CLEAN, CLEAN + 4), *range(TRUNCATED, TRUNCATED + 4),
 
 @dataclass
 class Repair:
-    """``summary``: one row per conversation; ``rows``: the repaired rows, in order of (conv_id, place, nth)."""
+    """``summary``: one row per conversation; ``records``: rows and edits of each stretch, in order."""
 
     summary: DataFrame
-    rows: DataFrame
+    records: DataFrame
+
+    @property
+    def rows(self) -> DataFrame:
+        """Repaired rows ``(conv_id, chunk, alone, place, nth, edit, role, text)``, ordered by (conv_id, place, nth)."""
+        return self.records.mapInArrow(_rendered, f"conv_id {_type(self.records)}, chunk long, alone boolean, place long, nth int, "
+                                                  "edit string, role string, text string")
+
+
+def _type(df: DataFrame) -> str:
+    return df.schema["conv"].dataType.simpleString()
 
 
 def _code() -> Column:
@@ -144,7 +154,7 @@ def _rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Repaired rows of stretches: records in order ``(conv, chunk, at, role, text, state, alone, audit)``, edits first."""
     audit, used, body, state, alone, chunk, conv = "", 0, 0, START, False, None, None
     for batch in batches:
-        schema = pa.schema([("conv", batch.schema.field(0).type), ("chunk", pa.int64()), ("alone", pa.bool_()), ("place", pa.int64()),
+        schema = pa.schema([("conv_id", batch.schema.field(0).type), ("chunk", pa.int64()), ("alone", pa.bool_()), ("place", pa.int64()),
                             ("nth", pa.int32()), ("edit", pa.string()), ("role", pa.string()), ("text", pa.string())])
         for start in range(0, batch.num_rows, 256):
             out, some = [], batch.slice(start, 256)
@@ -178,8 +188,7 @@ def repair(turns: DataFrame) -> Repair:
     Null roles and texts count as one space; a null conversation id is a conversation of its own; rows repeat as often as they
     stand there.  ``summary`` has ``(conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit)``: ``gaps``
     counts missing turns between the least and the largest, ``illegal`` neighbours whose initials are none of su,
-    ua, au.  ``rows`` has ``(conv_id, chunk, alone, place, nth, edit, role, text)``.  Other columns are
-    ignored; an empty table gives no rows.
+    ua, au.  Other columns are ignored; an empty table gives no rows.
     """
     spark = turns.sparkSession
     src = turns.select(F.col("conv_id").alias("conv"), F.col("turn").cast("long").alias("turn"),
@@ -221,14 +230,12 @@ def repair(turns: DataFrame) -> Repair:
 
     records = placed.select("conv", chunk.alias("chunk"), "at", "role", "text").unionByName(
         traced.withColumn("at", F.lit(-1).cast("long")), allowMissingColumns=True)
-    rows = (records.select("conv", "chunk", "at", "role", "text", "state", "alone", "audit")
-            .repartition("conv", "chunk").sortWithinPartitions("conv", "chunk", "at")
-            .mapInArrow(_rendered, f"conv {conv_type}, chunk long, alone boolean, place long, nth int, edit string, role string, text string"))
-    return Repair(summary, rows.withColumnRenamed("conv", "conv_id"))
+    return Repair(summary, records.select("conv", "chunk", "at", "role", "text", "state", "alone", "audit")
+                  .repartition("conv", "chunk").sortWithinPartitions("conv", "chunk", "at"))
 
 
 def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of rows ``(conv, chunk, alone, role, text)``: digests of conversations that are here as a whole, else their text in pieces."""
+    """Runs of repaired rows: digests of conversations that are here as a whole, else their text in pieces."""
     key, schema, out = None, None, []
     digest, lines, size, nth = hashlib.sha256(), [], 0, 0
 
@@ -243,10 +250,10 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols = list(zip(*out)) if out else [[]] * 5
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
-    for batch in batches:
+    for batch in _rendered(batches):
         schema = pa.schema([("conv", batch.schema.field(0).type), ("chunk", pa.int64()), ("nth", pa.int32()), ("digest", pa.string()), ("piece", pa.string())])
         for start in range(0, batch.num_rows, 256):
-            for conv, chunk, alone, role, text in zip(*(c.to_pylist() for c in batch.slice(start, 256).columns)):
+            for conv, chunk, alone, role, text in zip(*(batch.slice(start, 256).column(i).to_pylist() for i in (0, 1, 2, 6, 7))):
                 if key != (conv, chunk, alone):
                     end_run()
                     key, digest, lines, size, nth = (conv, chunk, alone), hashlib.sha256(), [], 0, 0
@@ -291,16 +298,14 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
 
-def digests(rows: DataFrame) -> DataFrame:
+def digests(done: Repair) -> DataFrame:
     """``(conv_id, digest)``: SHA-256 of the ``role:text`` lines of each conversation that kept any row.
 
-    Conversations within one stretch are digested where they were repaired; the text of longer ones moves once more,
-    in pieces, and streams through the digest in order (SHA-256 admits no other way).
+    Conversations within one stretch are digested where they are repaired, in the same pass; the text of longer ones moves
+    once more, in pieces, and streams through the digest in order (SHA-256 admits no other way).
     """
-    conv_type = rows.schema["conv_id"].dataType.simpleString()
-    runs = rows.select("conv_id", "chunk", "alone", "role", "text").mapInArrow(
-        _digested, f"conv {conv_type}, chunk long, nth int, digest string, piece string")
-    runs = settle(runs, "digests")
+    conv_type = _type(done.records)
+    runs = settle(done.records.mapInArrow(_digested, f"conv {conv_type}, chunk long, nth int, digest string, piece string"), "digests")
     whole = runs.where(F.col("digest").isNotNull()).select("conv", "digest")
     pieces = (runs.where(F.col("piece").isNotNull()).select("conv", "chunk", "nth", "piece")
               .repartition("conv").sortWithinPartitions("conv", "chunk", "nth").mapInArrow(_joined, f"conv {conv_type}, digest string"))
