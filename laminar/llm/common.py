@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from laminar.plans.tables import hadoop_path
 from laminar.session import scratch_path
 
 # Fixed by the task: a word is a run of anything but these six white-space bytes.
@@ -18,14 +19,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Spark frees the shuffle files of a finished write at once when this is set
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below the cluster's checkpoint folder and read it back: a durable lineage cut."""
+    """Write ``df`` below the cluster's checkpoint folder and read it back: a durable lineage cut.
+
+    The shuffle files of the write are freed with it, as nothing reads them any more.
+    """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
+    path, before = scratch_path(spark, name), spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE_SHUFFLES)
+        else:
+            spark.conf.set(_FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop(*settled: DataFrame) -> None:
+    """Delete written steps that nothing reads any more."""
+    for df in settled:
+        files = df.inputFiles()
+        if files:
+            folder = files[0].rsplit("/", 1)[0]
+            fs, path = hadoop_path(df.sparkSession, folder)
+            fs.delete(path, True)
+
+
 _held: dict = {}
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laminar.llm.common import settle
+from laminar.llm.common import drop, settle
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -32,7 +32,8 @@ def components(edges: DataFrame) -> DataFrame:
         small = (large.join(least, "a").where(F.col("b") != F.col("m"))
                  .select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))).distinct())
-        e = settle(small, "edges")
+        last, e = e, settle(small, "edges")
+        drop(last)
         now = _mark(e)
         if now == seen:
             break

@@ -9,20 +9,22 @@ neighbouring ones.  Band ``k`` has a bound ``H`` on the symmetric difference of
 whose smaller set lies in it, and splits the universe of shingles by hash into
 ``m = H + 1`` segments (made even).  Two segments form a cell; since the cells together hold
 at most ``H < m`` differing shingles, at least one cell of a linked pair differs in at
-most one shingle, so one of its segments is equal.  A set therefore indexes every
-segment that is informative as it is (one key).  A segment with fewer than ``rich``
-shingles would match half the corpus, so its cell is indexed by the whole cell and its
-one-deletion neighbourhood instead.  This choice of keys per cell is the cost-based
-allocation: a short key costs pairs, a neighbourhood costs keys.  Both sets of a pair
-make the same choice for an equal segment, so no link is lost.  Each set is indexed
+most one shingle, so one of its segments is equal.  A set therefore indexes each segment as it is, by one
+key, unless that segment is a bad key; then its cell is indexed by the whole cell and its one-deletion
+neighbourhood too.  Which it is, is the cost-based allocation: an exact key costs as many candidates as there
+are sets with the same segment, a neighbourhood costs a key for every shingle of the cell.  The number of sets
+with a segment is at most the frequency of its rarest shingle, and that is estimated from a sample of
+the documents; an empty segment is shared by a good part of its band.  So a segment whose shingles are all
+frequent goes the dearer way.  The choice depends on the segment alone, so both sets of a pair make the same one
+for an equal segment, and no link is lost whatever the estimates are.  Each set is indexed
 under its own band and the band below.
 
 Every key reaches the pairs of its members by stars: the member that shares the most keys
 overall is the hub and is verified against each other member.  Members that are not connected
 to each other after that are paired across components and verified too.  A pair is dropped
 before that if its parity sketches differ in more bits than a linked pair may differ in
-shingles; all others are verified exactly, on the words, for which the texts of just the
-documents in question are read again.
+shingles; all others are verified exactly, on the words.  For that one document is named for each class in question,
+the texts of just these documents are read again, and a hub's text meets those of its partners once.
 Documents with equal word sequences form one class first, so copies never multiply.
 """
 
@@ -38,7 +40,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laminar.llm.common import partitions, settle
+from laminar.llm.common import drop, partitions, settle
 from laminar.llm.components import components
 
 U64 = np.uint64
@@ -131,11 +133,12 @@ def bands(percent: int, reach: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(low), np.array(segments)
 
 
-def keys(sets: np.ndarray, percent: int, rich: int) -> np.ndarray:
-    """Index keys of one set under its own band and the band below."""
+def keys(sets: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndarray:
+    """Index keys of one set under its own band and the band below; ``frequent`` holds sorted hashes of frequent shingles."""
     n = len(sets)
     low, segments = bands(percent, 1 << max(10, n.bit_length()))
     own = int(np.searchsorted(low, n, "right")) - 1
+    rare = ~np.isin(sets, frequent) if len(frequent) else np.ones(n, bool)
     out = []
     for k in (own, own - 1):
         if k < 0:
@@ -146,11 +149,10 @@ def keys(sets: np.ndarray, percent: int, rich: int) -> np.ndarray:
             continue
         where = ((sets >> U64(32)) * U64(m) >> U64(32)).astype(np.int64)  # sets are sorted, so this is too
         value = mix(sets ^ salt)
-        size = np.bincount(where, minlength=m)
         total = np.zeros(m, np.uint64)
         np.add.at(total, where, value)
         tag = mix((np.arange(m, dtype=np.uint64) + U64(1)) * U64(_P) + salt)
-        good = size >= rich
+        good = np.bincount(where[rare], minlength=m) > 0  # holds a shingle that few sets have
         out.append(mix(total[good] + tag[good]))
         cell_poor = ~good[0::2] | ~good[1::2]
         if cell_poor.any():
@@ -167,6 +169,28 @@ def keys(sets: np.ndarray, percent: int, rich: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+SAMPLE_SHARE, SAMPLE_MOST = 32, 1 << 20  # the sample is one document in 32, a million at most
+SEEN, FREQUENT = 3, 1 << 17  # a shingle of that many sampled documents is frequent; so many of them are kept
+
+
+def frequent_shingles(src: DataFrame, width: int) -> np.ndarray:
+    """Hashes of shingles that many documents have, by a bounded sample: they steer costs, not results."""
+    n = src.count()
+    every = max(SAMPLE_SHARE, -(-n // SAMPLE_MOST))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0):
+                sets = shingles(word_hashes(normalized(text.as_py())), width)
+                for at in range(0, len(sets), 1 << 16):
+                    yield pa.RecordBatch.from_arrays([pa.array(sets[at: at + (1 << 16)].view(np.int64))], names=["shingle"])
+
+    sample = src.select("text").where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).distinct()
+    counted = sample.mapInArrow(run, "shingle long").groupBy("shingle").agg(F.count("*").alias("seen")).where(F.col("seen") >= SEEN)
+    top = counted.orderBy(F.col("seen").desc(), "shingle").limit(FREQUENT).select("shingle").toArrow()
+    return np.sort(top.column(0).to_numpy().astype(np.int64).view(np.uint64))
+
+
 # Rows of the pass over the texts: memberships, classes with their sketches, packed index keys, members of shared keys.
 _ROWS = "kind int, part int, doc_id {id}, digest binary, n long, x long, data binary, sketch array<bigint>"
 SKETCH = 16  # 64-bit words of a parity sketch
@@ -203,7 +227,7 @@ def _schema(id_type: pa.DataType) -> pa.Schema:
                       ("sketch", pa.list_(pa.int64()))])
 
 
-def _index_pass(parts: int, width: int, percent: int, rich: int):
+def _index_pass(parts: int, width: int, percent: int, frequent: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()  # classes this task has indexed (16 bytes each)
         held_key, held_class, held, turn = [], [], 0, 0
@@ -235,7 +259,7 @@ def _index_pass(parts: int, width: int, percent: int, rich: int):
                     seen.add(digest)
                     cls = int.from_bytes(digest[:8], "little", signed=True)
                     rows.append((CLASS, turn % parts, None, digest, len(sets), cls, None, parity_sketch(sets)))
-                    k = keys(sets, percent, rich)
+                    k = keys(sets, percent, frequent)
                     held_key.append(k)
                     held_class.append(np.full(len(k), cls, np.int64))
                     held += len(k)
@@ -294,20 +318,59 @@ def _words_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(pa.schema([("digest", pa.binary()), ("data", pa.binary())]), rows)
 
 
+class Shingled:
+    """The distinct shingles of a word list, coded without loss: words by number, then step by step each prefix of a shingle."""
+
+    def __init__(self, words: list[bytes], width: int) -> None:
+        self.words, self.width = words, min(width, len(words))
+        self.numbers: dict[bytes, int] = {}
+        code = self._first(np.fromiter((self.numbers.setdefault(w, len(self.numbers)) for w in words), np.int64, len(words)))
+        self.steps, self.size = [], len(np.unique(code[0]))
+        for nxt in code[1:]:
+            known, here = np.unique(code[0] * len(self.numbers) + nxt, return_inverse=True)
+            code[0] = here
+            self.steps.append(known)
+            self.size = len(known)
+
+    def _first(self, ids: np.ndarray) -> list[np.ndarray]:
+        count = len(ids) - self.width + 1
+        return [ids[i: i + count] for i in range(self.width)]
+
+    def common(self, words: list[bytes]) -> int:
+        """How many of the distinct shingles ``words`` has too."""
+        if min(len(words), self.width) < self.width or len(words) < self.width:
+            return 0
+        code, *rest = self._first(np.fromiter((self.numbers.get(w, -1) for w in words), np.int64, len(words)))
+        for nxt, known in zip(rest, self.steps):
+            both = code * len(self.numbers) + nxt
+            at = np.minimum(np.searchsorted(known, both), len(known) - 1)
+            code = np.where((code >= 0) & (nxt >= 0) & (known[at] == both), at, -1)
+        return len(np.unique(code[code >= 0]))
+
+
+def linked(one: Shingled, other: list[bytes], width: int, percent: int) -> bool:
+    """Whether two non-empty word lists link; lists shorter than a shingle are one shingle each."""
+    if min(len(one.words), len(other)) < width:
+        return one.words == other
+    inter = one.common(other)
+    return 100 * inter >= percent * (one.size + Shingled(other, width).size - inter)
+
+
 def _verify_pass(width: int, percent: int):
+    """Pairs that link, of rows ``(hub, salt, partner, data)`` in order: a hub's own text comes before its partners'."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        @lru_cache(maxsize=16)
-        def gram_set(data: bytes) -> frozenset:
-            w = zstandard.ZstdDecompressor().decompress(data).split()
-            return frozenset(zip(*(w[i:] for i in range(width)))) if len(w) >= width else frozenset([tuple(w)])
-
+        words = zstandard.ZstdDecompressor()
+        hub, own = None, None
         for batch in batches:
             out = []
-            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                s, t = gram_set(a), gram_set(b)
-                inter = len(s & t)
-                out.append(100 * inter >= percent * (len(s) + len(t) - inter))
-            yield pa.RecordBatch.from_arrays([*batch.filter(pa.array(out)).columns[:2]], names=["a", "b"])
+            for start in range(0, batch.num_rows, 256):
+                for a, b, data in zip(*(batch.slice(start, 256).column(i).to_pylist() for i in (0, 2, 3))):
+                    text = words.decompress(data).split()
+                    if b is None:
+                        hub, own = a, Shingled(text, width)
+                    elif hub == a and linked(own, text, width, percent):
+                        out.append((a, b))
+            yield _batch(pa.schema([("a", pa.binary()), ("b", pa.binary())]), out)
 
     return run
 
@@ -320,18 +383,59 @@ def _candidates(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame
                      & (F.col("a_digest") != F.col("b_digest"))).select(F.col("a_digest").alias("a"), F.col("b_digest").alias("b"))
 
 
-def _links(pairs: DataFrame, src: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs of digests whose texts really link."""
+BROADCAST_IDS = 1 << 20  # ids of documents to read again that are broadcast; more are joined by shuffle
+PARTNERS = 4096  # texts compared with one copy of a hub's
+
+
+def _texts(digests: DataFrame, member: DataFrame, src: DataFrame) -> DataFrame:
+    """``(digest, data)`` of the wanted classes: ids first, then only these documents' texts."""
+    named = settle(member.join(digests, "digest", "left_semi").groupBy("digest").agg(F.min("doc_id").alias("wanted")), "named")
+    ids = named.select("wanted").distinct()
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    some = src.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")  # an id may be null or repeated
+    texts = settle(some.select("text").mapInArrow(_words_pass, "digest binary, data binary")
+                   .join(named.select("digest"), "digest", "left_semi").dropDuplicates(["digest"]), "texts")
+    drop(named)
+    return texts
+
+
+def _links(pairs: DataFrame, member: DataFrame, src: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs of digests whose texts really link.  ``a`` is the hub: its text is sent once for many partners."""
     pairs = settle(pairs, "pairs")
-    needed = pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).distinct()
-    texts = settle(src.select("text").mapInArrow(_words_pass, "digest binary, data binary")
-                   .join(needed.hint("merge"), "digest", "left_semi").dropDuplicates(["digest"]), "texts")
-    side = {s: texts.select(F.col("digest").alias(s), F.col("data").alias(f"{s}_data")) for s in "ab"}
-    both = pairs.join(side["a"], "a").join(side["b"], "b").select("a", "b", "a_data", "b_data")
-    return settle(both.mapInArrow(_verify_pass(width, percent), "a binary, b binary"), "links")
+    texts = _texts(pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).distinct(), member, src)
+    salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).alias("salts"))
+    salted = pairs.join(salts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt"))
+    partners = salted.join(texts.withColumnRenamed("digest", "b"), "b").select("a", "salt", "b", "data")
+    hubs = (salts.join(texts.withColumnRenamed("digest", "a"), "a")
+            .select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("binary").alias("b"), "data"))
+    both = (hubs.unionByName(partners).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first()))
+    found = settle(both.mapInArrow(_verify_pass(width, percent), "a binary, b binary"), "links")
+    drop(pairs, texts)
+    return found
 
 
-def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, rich: int = 2,
+BLOCK = 1024  # members of a key that are compared in one place
+
+
+def _across(rest: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of one key that lie in different components, none of them the key's hub, if they may link.
+
+    The members of a key are dealt into blocks, and pairs of blocks meet in different tasks.
+    """
+    many = rest.groupBy(F.col("key").alias("k")).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    dealt = rest.join(many, F.col("key") == F.col("k")).withColumn("block", F.pmod(F.xxhash64("cls", F.lit("block")), F.col("blocks")))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    one = dealt.select("key", F.col("block").alias("i"), every.alias("j"), F.col("cls").alias("a"), F.col("digest").alias("da"),
+                       F.col("comp").alias("ca"), F.col("hub").alias("ha"), *_sketched("a")).alias("l")
+    two = dealt.select("key", every.alias("i"), F.col("block").alias("j"), F.col("cls").alias("b"), F.col("digest").alias("db"),
+                       F.col("comp").alias("cb"), *_sketched("b")).alias("r")
+    meet = (F.col("l.key") == F.col("r.key")) & (F.col("l.i") == F.col("r.i")) & (F.col("l.j") == F.col("r.j"))
+    return (one.join(two, meet & (F.col("ca") < F.col("cb")) & (F.col("ha") != F.col("a")) & (F.col("ha") != F.col("b")) & _may_link(percent))
+            .select(F.least("da", "db").alias("a"), F.greatest("da", "db").alias("b")).distinct())
+
+
+def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``(id, n_shingles, component_id)``.
 
@@ -345,7 +449,7 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, rich:
     parts = partitions(spark)
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     ddl = _ROWS.format(id=src.schema["doc_id"].dataType.simpleString())
-    rows = settle(src.mapInArrow(_index_pass(parts, width, percent, rich), ddl)
+    rows = settle(src.mapInArrow(_index_pass(parts, width, percent, frequent_shingles(src, width)), ddl)
                   .repartitionById(parts, "part").mapInArrow(_bucket_pass, ddl), "jaccard")
     member = rows.where(F.col("kind") == MEMBER).select("doc_id", "digest", "n")
     classes = rows.where(F.col("kind") == CLASS).select("x", "digest", "n", "sketch")
@@ -358,8 +462,8 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, rich:
     classes = settle(classes.join(star.select(F.col("cls").alias("x")).distinct(), "x", "left_semi")
                      .dropDuplicates(["digest"]), "classes")
     spokes = star.where(F.col("hub") != F.col("cls")).select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
-    first = _links(_candidates(spokes, classes, percent), src, width, percent)
-    label = components(first)
+    first = _links(_candidates(spokes, classes, percent), member, src, width, percent)
+    label = settle(components(first), "labels")
 
     # members of a key that the stars left in different components are paired too
     named = classes.join(label.select(F.col("node").alias("digest"), "component"), "digest", "left").select(
@@ -367,23 +471,22 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, rich:
     placed = star.join(named.select("cls", "comp"), "cls")
     split = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
              .where(F.col("lo") != F.col("hi")).select("key"))
-    rest = star.join(split, "key", "left_semi").join(named, "cls")
-    one = rest.select("key", F.col("cls").alias("a"), F.col("digest").alias("da"), F.col("comp").alias("ca"),
-                      F.col("hub").alias("ha"), *_sketched("a")).alias("l")
-    two = rest.select("key", F.col("cls").alias("b"), F.col("digest").alias("db"), F.col("comp").alias("cb"), *_sketched("b")).alias("r")
-    cross = (one.join(two, (F.col("l.key") == F.col("r.key")) & (F.col("ca") < F.col("cb")) & (F.col("ha") != F.col("a"))
-                      & (F.col("ha") != F.col("b")) & _may_link(percent))
-             .select(F.least("da", "db").alias("a"), F.greatest("da", "db").alias("b")).distinct())
-    cross = settle(cross, "pairs")
+    rest = settle(star.join(split, "key", "left_semi").join(named, "cls"), "rest")
+    cross = settle(_across(rest, percent), "pairs")
+    drop(rest, star, classes)
     if not cross.isEmpty():
-        second = _links(cross, src, width, percent)
+        second = _links(cross, member, src, width, percent)
         if not second.isEmpty():
-            label = components(first.unionByName(second))
+            label = settle(components(first.unionByName(second)), "labels")
+        drop(second)
+    drop(first, cross)
 
-    labelled = member.join(label.withColumnRenamed("node", "digest"), "digest", "left").select(
-        "doc_id", "n", F.coalesce("component", "digest").alias("component"))
+    labelled = settle(member.join(label.withColumnRenamed("node", "digest"), "digest", "left").select(
+        "doc_id", "n", F.coalesce("component", "digest").alias("component")), "labelled")
+    drop(rows, label)
     worded = labelled.where(F.col("n") > 0)
-    lowest = worded.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    # written, so that the join reads plain shuffles and a large component can be split
+    lowest = settle(worded.groupBy("component").agg(F.min("doc_id").alias("component_id")), "lowest")
     out = worded.join(lowest, "component").select("doc_id", "n", "component_id").unionByName(
         labelled.where(F.col("n") == 0).select("doc_id", "n", F.col("doc_id").alias("component_id")))
     return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")

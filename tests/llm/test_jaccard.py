@@ -78,7 +78,8 @@ def test_every_linked_pair_shares_a_key():
         inter = len(np.intersect1d(a, b))
         if 100 * inter < 85 * (len(a) + len(b) - inter):
             continue
-        assert len(np.intersect1d(jaccard.keys(a, 85, 2), jaccard.keys(b, 85, 2))), (len(a), len(b), inter)
+        often = np.sort(rng.permutation(np.union1d(a, b))[: int(rng.integers(0, 60))])  # whatever counts as frequent
+        assert len(np.intersect1d(jaccard.keys(a, 85, often), jaccard.keys(b, 85, often))), (len(a), len(b), inter)
         x, y = (np.array(jaccard.parity_sketch(s)).view(np.uint64) for s in (a, b))
         assert sum(int(v).bit_count() for v in x ^ y) <= len(a) + len(b) - 2 * inter
 
@@ -90,6 +91,38 @@ def test_long_texts_hash_the_same_in_small_windows(monkeypatch):
     assert (jaccard.word_hashes(text) == whole).all()
 
 
+def test_exact_comparison_equals_sets():
+    rng = random.Random(8)
+    for _ in range(400):
+        width, names = rng.choice([1, 2, 4, 5]), [b"a", b"b", b"c", b"dd"][: rng.randrange(1, 5)]
+        one, two = ([rng.choice(names) for _ in range(rng.randrange(1, 30))] for _ in range(2))
+
+        def plain(w):
+            return set(zip(*(w[i:] for i in range(width)))) if len(w) >= width else {tuple(w)}
+
+        s, t, percent = plain(one), plain(two), rng.choice([10, 50, 85, 100])
+        known = jaccard.Shingled(one, width)
+        assert known.size == len(s)
+        assert jaccard.linked(known, two, width, percent) == (100 * len(s & t) >= percent * len(s | t))
+
+
+def test_frequent_passage_in_unlike_documents(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SAMPLE_SHARE", 1)
+    monkeypatch.setattr(jaccard, "BLOCK", 3)
+    monkeypatch.setattr(jaccard, "PARTNERS", 2)
+    monkeypatch.setattr(jaccard, "BROADCAST_IDS", 1)
+    rng = random.Random(4)
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(i, passage + " " + " ".join(f"u{rng.randrange(10 ** 6)}" for _ in range(rng.choice([3, 8, 20, 40])))) for i in range(60)]
+    rows += [(100 + i, t + f" end{i}") for i, t in rows[:20]] + [(200 + i, t) for i, t in rows[:10]] + [(300, passage), (None, 'a text of its own here')]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len(jaccard.frequent_shingles(df, 4)) >= 26
+    named = [(i, t) for i, t in rows if i is not None]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(df).collect()}
+    want = {i: (n, c) for i, n, c in brute(named)}
+    assert {k: v for k, v in got.items() if k is not None} == want
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
