@@ -20,13 +20,14 @@ from laminar.operators.cumulate import cumulate_years
 from laminar.operators.datelist import datelist_backfill, datelist_bitmap, host_activity, user_activity
 from laminar.operators.dedup import dedup
 from laminar.operators.reduced import daily_counts, explode_days, fix_last_variants, reduce_months
-from laminar.operators.scd2 import scd2_backfill
-from laminar.plans import incremental
+from laminar.operators.scd2 import scd2_apply, scd2_backfill, scd2_correct
+from laminar.plans import incremental, keyed, ranges, registers
 from laminar.operators.upsert import upsert
 from laminar.plans.load import layout_report, load_bucketed, load_star, match_bucket_join, reload_dedup
 from laminar.plans.tables import overwrite_partitions, write_version
 from laminar.session import scratch_path
 from laminar.sources import roles
+from laminar.sources.infer import compare_schema
 from laminar.sources.readers import read_csv
 from laminar.sources.schemas import HOSTS_CUMULATED, TABLES, USER_DEVICES_CUMULATED
 from laminar.streaming import host_datelist_load, read_streamed_reduced, reduced_load, run_stream
@@ -343,6 +344,114 @@ def q_check_domain_violations(spark, sf_dir):
 
 def q_csv_load_star(spark, sf_dir):
     """The five star tables as CSV files, loaded through their declared schemas into created tables."""
+    files = _star_files(spark, sf_dir)
+    root = scratch_path(spark, "star")
+    loaded = load_star(spark, files, f"laminar_{root[-12:]}", root)
+    keys = {"maps": "mapid", "medals": "medal_id"}
+    out = None
+    for name, df in loaded.items():
+        row = df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(keys.get(name, "match_id")).alias("n_keys"))
+        row = row.select(F.lit(name).alias("table_name"), "n_rows", "n_keys")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+# ---- several periods a job, corrections --------------------------------------
+def _spans(first: int, last: int, step: int) -> list[tuple[int, int]]:
+    return [(y, min(last, y + step - 1)) for y in range(first, last + 1, step)]
+
+
+def actors_ranged(spark, sf_dir, history="two_period", step=3):
+    """The cumulative table caught up by several years a job; the last range reaches past the end."""
+    facts = roles.actor_films(spark, sf_dir)
+    last_year = facts.agg(F.max("year")).first()[0]
+    return ranges.load_year_ranges(spark, facts, scratch_path(spark, "actors"), roles.ACTOR_SEED_YEAR,
+                                   _spans(roles.ACTOR_SEED_YEAR + 1, int(last_year) + 1, step), history=history)
+
+
+def q_actors_ranged(spark, sf_dir):
+    return _flat_actors(actors_ranged(spark, sf_dir))
+
+
+def q_actors_ranged_carry(spark, sf_dir):
+    return _flat_actors(actors_ranged(spark, sf_dir, history="carry"))
+
+
+def _stored_actors(spark, sf_dir):
+    path = scratch_path(spark, "actors")
+    overwrite_partitions(actors(spark, sf_dir), path, "current_year", files_per_partition=2)
+    return spark.read.parquet(path)
+
+
+def q_scd2_ranged(spark, sf_dir, step=3):
+    state = _stored_actors(spark, sf_dir)
+    first, last = state.agg(F.min("current_year"), F.max("current_year")).first()
+    return ranges.scd2_load_ranges(spark, state, _spans(first, last, step), scratch_path(spark, "actors_scd"))
+
+
+def q_scd2_corrected(spark, sf_dir):
+    """A dimension built from a state with wrong classes in the past, put right by corrections of those rows alone."""
+    state = _stored_actors(spark, sf_dir)
+    wrong = F.crc32(F.concat_ws(":", "actorid", F.col("current_year").cast("string"))) % 10 == 0
+    other = F.when(F.col("quality_class") == "star", "bad").otherwise("star")
+    path = scratch_path(spark, "actors_scd")
+    scd2_backfill(state.withColumn("quality_class", F.when(wrong, other).otherwise(F.col("quality_class")))).write.parquet(path)
+    scd, changes = spark.read.parquet(path), scratch_path(spark, "scd_changes")
+    scd2_correct(scd, state.where(wrong)).write.parquet(changes)
+    return scd2_apply(scd, spark.read.parquet(changes))
+
+
+# ---- keys of tables -------------------------------------------------------------
+def q_insert_keyed(spark, sf_dir):
+    """Order lines inserted under their key in two batches that overlap, into a table partitioned by return flag.
+
+    The first batch skips what repeats in it; the second rejects what is taken or repeats.
+    The result is the table by batch, and the number of rejected rows by reason.
+    """
+    keys = ["l_returnflag", "l_orderkey", "l_linenumber"]
+    lines = roles.game_details(spark, sf_dir).select(*keys)
+    path = scratch_path(spark, "lines")
+    first = keyed.insert_keyed(spark, lines.where(F.col("l_orderkey") % 3 != 0), path, lines.schema, keys, "skip", "l_returnflag")
+    second = keyed.insert_keyed(spark, lines.where(F.col("l_orderkey") % 3 != 1), path, lines.schema, keys, "reject", "l_returnflag")
+    table = spark.read.schema(lines.schema).parquet(path)
+    kept = table.agg(F.lit("table").alias("part"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct(*keys).alias("n_keys"))
+    loads = spark.createDataFrame([("first", first.n_rows, first.n_rows), ("second", second.n_rows, second.n_rows)], kept.schema)
+    why = second.rejected.groupBy(F.col("verdict").alias("part")).agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(*keys).alias("n_keys"))
+    return kept.unionByName(loads).unionByName(why)
+
+
+def q_upsert_table(spark, sf_dir):
+    """Two rounds of upserts into a customer table that is partitioned by the hash of its key: new counts, then new names."""
+    c = roles.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("custkey"), F.col("c_name").alias("name"), F.lit(0).cast("long").alias("n"))
+    path, keys, slots = scratch_path(spark, "customers"), ["custkey"], 16
+    keyed.create_keyed(c.where(F.col("custkey") % 2 == 0), path, keys, slots)
+    counts = (roles.table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("custkey")).agg(F.count(F.lit(1)).alias("n"))
+              .select("custkey", F.lit("no name").alias("name"), "n"))
+    keyed.upsert_table(spark, counts, path, c.schema, keys, slots, update_cols=["n"])
+    keyed.upsert_table(spark, c.where(F.col("custkey") <= 40), path, c.schema, keys, slots, update_cols=["name"])
+    return keyed.read_keyed(spark, path, c.schema)
+
+
+def q_check_key_loads(spark, sf_dir):
+    """Event keys checked load by load: three loads touch the same days; the counts kept give every violation."""
+    ev = roles.events(spark, sf_dir).withColumn("event_date", F.to_date("event_time"))
+    keys, path = ["user_id", "device_id", "event_date"], scratch_path(spark, "key_counts")
+    for part in range(3):
+        registers.checked_load(spark, ev.where(F.hour("event_time") % 3 == part), path, keys, F.col("event_date"))
+    return registers.standing_violations(spark, path, keys)
+
+
+def q_activity_counts(spark, sf_dir):
+    """Daily, weekly and monthly active users, from registers per user and browser advanced a week a job."""
+    ev = roles.events(spark, sf_dir)
+    first, last = ev.agg(F.min(F.to_date("event_time")), F.max(F.to_date("event_time"))).first()
+    act = user_activity(ev, roles.devices(spark, sf_dir), distinct=False)
+    return registers.register_load_days(spark, act, USER_KEYS, ["user_id"], scratch_path(spark, "activity"), first, last)
+
+
+def _star_files(spark, sf_dir):
+    """The five star tables as header CSV files, with the columns of their declared schemas."""
     parts = {"maps": roles.maps, "medals": roles.medals, "matches": roles.matches,
              "match_details": roles.match_details, "medal_matches_players": roles.medal_matches_players}
     files = {}
@@ -352,14 +461,16 @@ def q_csv_load_star(spark, sf_dir):
                 for f in TABLES[name].fields]
         files[name] = scratch_path(spark, f"{name}_csv")
         df.select(*wide).write.option("header", "true").csv(files[name])
-    root = scratch_path(spark, "star")
-    loaded = load_star(spark, files, f"laminar_{root[-12:]}", root)
-    keys = {"maps": "mapid", "medals": "medal_id"}
+    return files
+
+
+def q_csv_infer(spark, sf_dir):
+    """What the values of the five star files are, against their declared schemas."""
     out = None
-    for name, df in loaded.items():
-        row = df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(keys.get(name, "match_id")).alias("n_keys"))
-        row = row.select(F.lit(name).alias("table_name"), "n_rows", "n_keys")
-        out = row if out is None else out.unionByName(row)
+    for name, path in _star_files(spark, sf_dir).items():
+        found = compare_schema(spark, path, TABLES[name]).select(
+            F.lit(name).alias("table_name"), "column_name", "inferred", "declared", "n_rows", "n_values", "verdict")
+        out = found if out is None else out.unionByName(found)
     return out
 
 
@@ -444,4 +555,13 @@ QUERIES: dict[str, Query] = {
     "dedup_rewrite_events": q_dedup_rewrite_events,
     "dedup_rewrite_devices": q_dedup_rewrite_devices,
     "csv_load_star": q_csv_load_star,
+    "actors_ranged": q_actors_ranged,
+    "actors_ranged_carry": q_actors_ranged_carry,
+    "scd2_ranged": q_scd2_ranged,
+    "scd2_corrected": q_scd2_corrected,
+    "insert_keyed": q_insert_keyed,
+    "upsert_table": q_upsert_table,
+    "check_key_loads": q_check_key_loads,
+    "activity_counts": q_activity_counts,
+    "csv_infer": q_csv_infer,
 }
