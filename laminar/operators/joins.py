@@ -57,11 +57,21 @@ def full_outer_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) ->
     return j.select(*[F.when(F.col("_in_l"), F.col(k)).otherwise(F.col(f"_r_{k}")).alias(k) for k in keys], *rest)
 
 
-# A right-side key with this many rows is salted; the keys broadcast for it number at most rows / HOT_ROWS.
+# A right-side key with this many rows is salted, the largest MAX_HOT_KEYS of them at most (they are broadcast).
 HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 100_000
 SALTS = 64
 
 
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, most: int = MAX_HOT_KEYS) -> DataFrame:
+    """The keys with at least ``hot_rows`` rows, as ``(*keys, _hot)``: the ``most`` largest if there are more.
+
+    The order is total, so every evaluation names the same keys; those left out are joined like any other.
+    """
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot_rows)
+            .orderBy(F.col("_n").desc(), *keys).limit(most).select(*keys, F.lit(True).alias("_hot")))
+
+
 def left_join(left: DataFrame, right: DataFrame, keys: list[str], skew_safe: bool = True,
               hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
     """``left LEFT OUTER JOIN right USING (keys)``, safe against a hot key on the right.
@@ -69,7 +79,7 @@ def left_join(left: DataFrame, right: DataFrame, keys: list[str], skew_safe: boo
     Adaptive execution splits a skewed partition only on the left side of a left
     outer join, so a right-side key holding a third of the rows would be joined in one
     task.  With ``skew_safe`` the right side's keys are counted first (a partial aggregate of
-    the key columns); those with at least ``hot_rows`` rows are broadcast, their right rows spread over
+    the key columns); those with at least ``hot_rows`` rows, ``MAX_HOT_KEYS`` at most, are broadcast, their right rows spread over
     ``salts`` by a hash of the row, and their left rows copied once per salt.  A hot key has
     matches by definition, so a copy that meets none is dropped, and the result equals
     the left outer join exactly (a left row with a NULL key matches nothing and is kept once).
@@ -77,8 +87,7 @@ def left_join(left: DataFrame, right: DataFrame, keys: list[str], skew_safe: boo
     """
     if not skew_safe:
         return left.join(right, keys, "left")
-    hot = (right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot_rows)
-           .select(*keys, F.lit(True).alias("_hot")))
+    hot = hot_keys(right, keys, hot_rows)
     spread = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     many = left.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(spread))
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.lit(salts)).cast("int")).otherwise(F.lit(0))

@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laminar.operators.joins import bounded_broadcast, left_join
+from laminar.operators.joins import HOT_ROWS, bounded_broadcast, hot_keys, left_join
 
 # --- fixed values: output column names, as the reference's reports have them ---
 MAP_NAME = "mapName"
@@ -135,3 +135,76 @@ def shared_player_match(matches: DataFrame, details: DataFrame, maps: DataFrame)
         yield pm
     finally:
         pm.unpersist()
+
+
+# ---- a star that is salted at load time ------------------------------------------
+SALT, MATCH_IS_HOT = "match_salt", "match_is_hot"
+
+
+def salt_star(matches: DataFrame, details: DataFrame, medals_players: DataFrame, salts: int = 16,
+              hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The fact's three sources with a salt, for tables bucketed by (match, salt).
+
+    A match with ``hot_rows`` detail rows or more has its players dealt over ``salts`` by a hash of the player, the
+    same way in details and medals, and its match row copied to every salt; all other rows have salt 0.  So
+    rows that join lie in one bucket, and a hot match lies in several.
+    """
+    hot = hot_keys(details, ["match_id"], hot_rows)
+
+    def salted(df: DataFrame) -> DataFrame:
+        salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("player_gamertag"), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+        return df.join(F.broadcast(hot), "match_id", "left").withColumn(SALT, salt).drop("_hot")
+
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    m = (matches.join(F.broadcast(hot), "match_id", "left").withColumn(SALT, F.explode(copies))
+         .withColumn(MATCH_IS_HOT, F.coalesce("_hot", F.lit(False))).drop("_hot"))
+    return m, salted(details), salted(medals_players)
+
+
+def match_fact_salted(matches: DataFrame, details: DataFrame, medals_players: DataFrame) -> DataFrame:
+    """``match_fact`` over salted sources (``salt_star``): both joins are on match, salt and so on.
+
+    A hot match has details, so a copy of its row whose salt met none is no unmatched match and goes.
+    """
+    m = matches.select("match_id", SALT, "mapid", "playlist_id", MATCH_IS_HOT)
+    d = details.select("match_id", SALT, "player_gamertag", "player_total_kills", F.lit(True).alias("_met"))
+    md = m.join(d, ["match_id", SALT], "left").where(~F.col(MATCH_IS_HOT) | F.col("_met"))
+    mmp = medals_players.select("match_id", SALT, "player_gamertag", "medal_id")
+    return (md.join(mmp, ["match_id", SALT, "player_gamertag"], "left")
+            .select("match_id", "mapid", "playlist_id", "medal_id", "player_gamertag", "player_total_kills"))
+
+
+# ---- reports kept per slice ------------------------------------------------------
+SLICE = "slice"
+KILLS, PLAYLIST, MAP, LOADED = "kills", "playlist", "map", "loaded"
+
+
+def slice_partials(pm: DataFrame, slices: DataFrame) -> DataFrame:
+    """Mergeable aggregates ``(report, name, total, n, slice)`` of the player-match rows ``pm`` with their ``slice``.
+
+    A match lies in one slice, so sums and counts of slices add up to those of all matches.  ``slices(slice)`` are the
+    slices this load stands for; each gets a row of its own, so that a slice without matches replaces what was there.
+    """
+    def partial(report: str, name: str, total: Column, n: Column) -> DataFrame:
+        return (pm.groupBy(SLICE, F.col(name).cast("string").alias("name"))
+                .agg(total.cast("long").alias("total"), n.alias("n")).select(F.lit(report).alias("report"), "name", "total", "n", SLICE))
+
+    kills = F.col("player_total_kills")
+    nothing = F.lit(0).cast("long")
+    return (partial(KILLS, "player_gamertag", F.sum(kills), F.count(kills))
+            .unionByName(partial(PLAYLIST, "playlist_id", F.lit(0), F.count("playlist_id")))
+            .unionByName(partial(MAP, MAP_NAME, F.lit(0), F.count("match_id")))
+            .unionByName(slices.select(F.lit(LOADED).alias("report"), F.lit(None).cast("string").alias("name"),
+                                       nothing.alias("total"), nothing.alias("n"), SLICE)))
+
+
+def tops_of_slices(partials: DataFrame) -> DataFrame:
+    """The three top-1 reports from the partial aggregates of all slices: ``(report, name, value)``."""
+    whole = partials.groupBy("report", "name").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    out = None
+    for report in (KILLS, PLAYLIST, MAP):
+        value = F.try_divide(F.col("total"), F.col("n")) if report == KILLS else F.col("n").cast("double")
+        top = (whole.where(F.col("report") == report).select("report", "name", value.alias("value"))
+               .orderBy(F.col("value").desc_nulls_last(), F.col("name").asc_nulls_last()).limit(1))
+        out = top if out is None else out.unionByName(top)
+    return out

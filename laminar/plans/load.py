@@ -6,16 +6,19 @@ import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from laminar.operators.dedup import dedup
-from laminar.plans.tables import latest, read_version, versions, write_version
+from laminar.operators.joins import HOT_ROWS
+from laminar.operators.reports import MAP_NAME, SALT, SLICE, player_match_from_tables, salt_star, slice_partials, tops_of_slices
+from laminar.plans.tables import latest, overwrite_partitions, read_version, versions, write_version
+from laminar.session import scratch_path
 from laminar.sources.readers import read_csv
 from laminar.sources.schemas import TABLES
 
 
-def load_bucketed(spark: SparkSession, df: DataFrame, path: str, bucket_col: str = "match_id",
+def load_bucketed(spark: SparkSession, df: DataFrame, path: str, bucket_col: str | Sequence[str] = "match_id",
                   buckets: int = 16, drop_null: str | None = None, name: str | None = None,
                   files_per_bucket: int = 1, mode: str = "overwrite") -> DataFrame:
     """Write ``df`` as a table bucketed and sorted by ``bucket_col``; return the table.
@@ -37,15 +40,16 @@ def load_bucketed(spark: SparkSession, df: DataFrame, path: str, bucket_col: str
     if mode == "append" and name is None:
         raise ValueError("appending needs the name of the table")
     out = df if drop_null is None else df.where(F.col(drop_null).isNotNull())
+    bucket_cols = [bucket_col] if isinstance(bucket_col, str) else list(bucket_col)
     name = name or f"laminar_{uuid.uuid4().hex[:12]}"
     if files_per_bucket <= 1:
-        out = out.repartition(buckets, bucket_col)
+        out = out.repartition(buckets, *bucket_cols)
     else:
-        bucket = F.pmod(F.hash(F.col(bucket_col)), F.lit(buckets))
+        bucket = F.pmod(F.hash(*[F.col(c) for c in bucket_cols]), F.lit(buckets))
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in out.columns]), F.lit(files_per_bucket))
         out = (out.withColumn("_slot", bucket * files_per_bucket + salt)
                .repartitionByRange(buckets * files_per_bucket, "_slot").drop("_slot"))
-    (out.write.mode(mode).bucketBy(buckets, bucket_col).sortBy(bucket_col)
+    (out.write.mode(mode).bucketBy(buckets, *bucket_cols).sortBy(*bucket_cols)
         .option("path", path).saveAsTable(name))
     return spark.table(name)
 
@@ -108,6 +112,34 @@ def reload_dedup(spark: SparkSession, path: str, schema, keys: Sequence[str],
     return read_version(spark, path, schema, "v", latest(versions(spark, path, "v")))
 
 
+def load_salted_star(spark: SparkSession, matches: DataFrame, details: DataFrame, medals_players: DataFrame, root: str,
+                     buckets: int = 16, salts: int = 16, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The fact's sources as tables bucketed by (match, salt): ``match_fact_salted`` joins them without an exchange,
+    and a hot match is read by as many tasks as its salts have buckets."""
+    parts = salt_star(matches, details, medals_players, salts, hot_rows)
+    return tuple(load_bucketed(spark, df, f"{root.rstrip('/')}/{name}", ["match_id", SALT], buckets)
+                 for df, name in zip(parts, ("matches", "match_details", "medal_matches_players")))
+
+
+def load_report_slices(spark: SparkSession, matches: DataFrame, details: DataFrame, maps: DataFrame, path: str, slice_of: Column,
+                       slices: Sequence[str]) -> DataFrame:
+    """Load (or load again) some slices of the report table at ``path``, and return the top-1 reports over all slices.
+
+    ``slice_of`` names a match's slice, an expression over ``matches``.  Only the matches of the given slices are read
+    and joined; their partitions are replaced, the other slices' partial aggregates stay.
+    """
+    wanted = matches.withColumn(SLICE, slice_of.cast("string")).where(F.col(SLICE).isin(list(slices)))
+    # a match has one slice, so it can ride along as the playlist's companion through the distinct
+    pm = player_match_from_tables(wanted.withColumn("playlist_id", F.struct("playlist_id", SLICE)), details, maps)
+    pm = pm.select("match_id", "player_gamertag", "player_total_kills", MAP_NAME, F.col(f"playlist_id.{SLICE}").alias(SLICE),
+                   F.col("playlist_id.playlist_id").alias("playlist_id"))
+    named = spark.createDataFrame([(s,) for s in slices], f"{SLICE} string")
+    staged = scratch_path(spark, "report-slices")
+    slice_partials(pm, named).write.parquet(staged)
+    overwrite_partitions(spark.read.parquet(staged), path, SLICE, files_per_partition=1)
+    return tops_of_slices(spark.read.schema("report string, name string, total long, n long, slice string").parquet(path))
+
+
 def load_star(spark: SparkSession, sources: dict[str, str], prefix: str, root: str, buckets: int = 16,
               bucketed: Sequence[str] = ("matches", "match_details", "medal_matches_players")) -> dict[str, DataFrame]:
     """Load CSV files of the star tables into created tables, and return them by name.

@@ -23,7 +23,8 @@ from laminar.operators.reduced import daily_counts, explode_days, fix_last_varia
 from laminar.operators.scd2 import scd2_apply, scd2_backfill, scd2_correct
 from laminar.plans import incremental, keyed, ranges, registers
 from laminar.operators.upsert import upsert
-from laminar.plans.load import layout_report, load_bucketed, load_star, match_bucket_join, reload_dedup
+from laminar.plans.load import (layout_report, load_bucketed, load_report_slices, load_salted_star, load_star,
+                                match_bucket_join, reload_dedup)
 from laminar.plans.tables import overwrite_partitions, write_version
 from laminar.session import scratch_path
 from laminar.sources import roles
@@ -474,6 +475,28 @@ def q_csv_infer(spark, sf_dir):
     return out
 
 
+# ---- the star over several tasks and slices --------------------------------------
+def q_match_fact_salted(spark, sf_dir):
+    """The star fact over tables bucketed by match and salt; matches with six detail rows or more count as hot."""
+    tables = load_salted_star(spark, roles.matches(spark, sf_dir), roles.match_details(spark, sf_dir),
+                              roles.medal_matches_players(spark, sf_dir), scratch_path(spark, "salted_star"), hot_rows=6)
+    out = scratch_path(spark, "match_fact")
+    with match_bucket_join(spark):
+        reports.match_fact_salted(*tables).write.parquet(out)
+    return spark.read.parquet(out)
+
+
+def q_tops_of_slices(spark, sf_dir):
+    """The top-1 reports kept per year: every year loaded, one of them first with details missing, then again."""
+    m, d, maps = roles.matches(spark, sf_dir), roles.match_details(spark, sf_dir), roles.maps(spark, sf_dir)
+    path, year = scratch_path(spark, "report_slices"), F.year("completion_date")
+    years = sorted(str(r[0]) for r in m.select(year).distinct().collect() if r[0] is not None)
+    load_report_slices(spark, m, d, maps, path, year, years[:-1])
+    load_report_slices(spark, m.where(F.col("mapid") != "3"), d.where(F.col("player_total_kills") > 40), maps, path, year, years[-2:])
+    done = load_report_slices(spark, m, d, maps, path, year, years[-2:])
+    return done.select("report", "name", F.round("value", 6).alias("value"))
+
+
 # ---- streamed daily loads ----------------------------------------------------
 def _land_events(spark, sf_dir):
     """The events as files in a landing folder, as an upstream writer leaves them."""
@@ -564,4 +587,6 @@ QUERIES: dict[str, Query] = {
     "check_key_loads": q_check_key_loads,
     "activity_counts": q_activity_counts,
     "csv_infer": q_csv_infer,
+    "match_fact_salted": q_match_fact_salted,
+    "tops_of_slices": q_tops_of_slices,
 }
