@@ -138,7 +138,7 @@ def keys(sets: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndarray:
     n = len(sets)
     low, segments = bands(percent, 1 << max(10, n.bit_length()))
     own = int(np.searchsorted(low, n, "right")) - 1
-    rare = ~np.isin(sets, frequent) if len(frequent) else np.ones(n, bool)
+    rare = ~_among(sets, frequent)
     out = []
     for k in (own, own - 1):
         if k < 0:
@@ -170,11 +170,22 @@ def keys(sets: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndarray:
 
 
 SAMPLE_SHARE, SAMPLE_MOST = 32, 1 << 20  # the sample is one document in 32, a million at most
-SEEN, FREQUENT = 3, 1 << 17  # a shingle of that many sampled documents is frequent; so many of them are kept
+SEEN, FREQUENT = 6, 1 << 17  # a shingle of that many unlike sampled documents is frequent; so many of them are kept
+
+
+def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which items of ``x`` are in the sorted array ``known``."""
+    if not len(known):
+        return np.zeros(len(x), bool)
+    return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
 
 
 def frequent_shingles(src: DataFrame, width: int) -> np.ndarray:
-    """Hashes of shingles that many documents have, by a bounded sample: they steer costs, not results."""
+    """Hashes of shingles that many unlike documents have, by a bounded sample: they steer costs, not results.
+
+    Near copies share a shingle too, but there an exact key is what finds them; so documents count as one if
+    their least shingle (a min-hash) is the same.
+    """
     n = src.count()
     every = max(SAMPLE_SHARE, -(-n // SAMPLE_MOST))
 
@@ -183,10 +194,12 @@ def frequent_shingles(src: DataFrame, width: int) -> np.ndarray:
             for text in batch.column(0):
                 sets = shingles(word_hashes(normalized(text.as_py())), width)
                 for at in range(0, len(sets), 1 << 16):
-                    yield pa.RecordBatch.from_arrays([pa.array(sets[at: at + (1 << 16)].view(np.int64))], names=["shingle"])
+                    part = sets[at: at + (1 << 16)].view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.full(len(part), sets.view(np.int64)[0]))], names=["shingle", "least"])
 
     sample = src.select("text").where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).distinct()
-    counted = sample.mapInArrow(run, "shingle long").groupBy("shingle").agg(F.count("*").alias("seen")).where(F.col("seen") >= SEEN)
+    counted = (sample.mapInArrow(run, "shingle long, least long").groupBy("shingle").agg(F.count_distinct("least").alias("seen"))
+               .where(F.col("seen") >= SEEN))
     top = counted.orderBy(F.col("seen").desc(), "shingle").limit(FREQUENT).select("shingle").toArrow()
     return np.sort(top.column(0).to_numpy().astype(np.int64).view(np.uint64))
 
@@ -318,42 +331,56 @@ def _words_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(pa.schema([("digest", pa.binary()), ("data", pa.binary())]), rows)
 
 
+PLAIN = 1 << 15  # words up to which shingles are compared as sets of word tuples; longer lists are coded in arrays
+
+
 class Shingled:
-    """The distinct shingles of a word list, coded without loss: words by number, then step by step each prefix of a shingle."""
+    """The distinct shingles of a word list, for exact comparison with other lists.
+
+    Long lists are coded without loss: words by number, then step by step each prefix of a shingle, which takes a
+    twentieth of the memory of tuples.
+    """
 
     def __init__(self, words: list[bytes], width: int) -> None:
         self.words, self.width = words, min(width, len(words))
+        self.grams = self._tuples(words) if len(words) <= PLAIN else None
+        if self.grams is not None:
+            self.size = len(self.grams)
+            return
         self.numbers: dict[bytes, int] = {}
-        code = self._first(np.fromiter((self.numbers.setdefault(w, len(self.numbers)) for w in words), np.int64, len(words)))
-        self.steps, self.size = [], len(np.unique(code[0]))
-        for nxt in code[1:]:
-            known, here = np.unique(code[0] * len(self.numbers) + nxt, return_inverse=True)
-            code[0] = here
+        code, *rest = self._columns(np.fromiter((self.numbers.setdefault(w, len(self.numbers)) for w in words), np.int64, len(words)))
+        self.steps, self.size = [], len(np.unique(code))
+        for nxt in rest:
+            known, code = np.unique(code * len(self.numbers) + nxt, return_inverse=True)
             self.steps.append(known)
             self.size = len(known)
 
-    def _first(self, ids: np.ndarray) -> list[np.ndarray]:
+    def _tuples(self, words: list[bytes]) -> set:
+        return set(zip(*(words[i:] for i in range(self.width))))
+
+    def _columns(self, ids: np.ndarray) -> list[np.ndarray]:
         count = len(ids) - self.width + 1
         return [ids[i: i + count] for i in range(self.width)]
 
-    def common(self, words: list[bytes]) -> int:
-        """How many of the distinct shingles ``words`` has too."""
-        if min(len(words), self.width) < self.width or len(words) < self.width:
-            return 0
-        code, *rest = self._first(np.fromiter((self.numbers.get(w, -1) for w in words), np.int64, len(words)))
+    def compare(self, words: list[bytes]) -> tuple[int, int]:
+        """How many distinct shingles ``words`` has in common, and how many it has; it is no shorter than a shingle."""
+        if self.grams is not None:
+            other = self._tuples(words)
+            return len(self.grams & other), len(other)
+        code, *rest = self._columns(np.fromiter((self.numbers.get(w, -1) for w in words), np.int64, len(words)))
         for nxt, known in zip(rest, self.steps):
             both = code * len(self.numbers) + nxt
             at = np.minimum(np.searchsorted(known, both), len(known) - 1)
             code = np.where((code >= 0) & (nxt >= 0) & (known[at] == both), at, -1)
-        return len(np.unique(code[code >= 0]))
+        return len(np.unique(code[code >= 0])), Shingled(words, self.width).size
 
 
 def linked(one: Shingled, other: list[bytes], width: int, percent: int) -> bool:
     """Whether two non-empty word lists link; lists shorter than a shingle are one shingle each."""
     if min(len(one.words), len(other)) < width:
         return one.words == other
-    inter = one.common(other)
-    return 100 * inter >= percent * (one.size + Shingled(other, width).size - inter)
+    inter, size = one.compare(other)
+    return 100 * inter >= percent * (one.size + size - inter)
 
 
 def _verify_pass(width: int, percent: int):

@@ -91,7 +91,9 @@ def test_long_texts_hash_the_same_in_small_windows(monkeypatch):
     assert (jaccard.word_hashes(text) == whole).all()
 
 
-def test_exact_comparison_equals_sets():
+@pytest.mark.parametrize("plain", [1 << 15, 0])
+def test_exact_comparison_equals_sets(monkeypatch, plain):
+    monkeypatch.setattr(jaccard, "PLAIN", plain)
     rng = random.Random(8)
     for _ in range(400):
         width, names = rng.choice([1, 2, 4, 5]), [b"a", b"b", b"c", b"dd"][: rng.randrange(1, 5)]
