@@ -1,6 +1,7 @@
 """Vector searches against brute force."""
 
 import math
+import time
 
 import numpy as np
 import pytest
@@ -10,7 +11,8 @@ from laminar.llm import queries
 from laminar.llm.common import table
 from laminar.llm.curves import nearest
 from laminar.llm.hilbert import hilbert_keys
-from laminar.llm.vafile import SAFE, Best, approximate, search_block, top_k
+from laminar.llm import vafile
+from laminar.llm.vafile import LONG, Candidates, approximate, bounds, products, top_k
 from tests.conftest import SF_SMALL
 
 VECTORS = "vec_id long, embedding array<float>, score string, rank string"
@@ -25,11 +27,11 @@ ODD = [(0, [0.5, 0.25]), (100, [0.5, 0.25]), (1, None), (2, []), (3, [float("nan
        (10, [1.0, 2.0, 3.0]), (200, [1.0, 2.0, 3.0])]
 
 
-def brute_products(rows, k):
+def brute_products(rows, k, every=100):
     whole = [(i, [math.floor(1024 * float(np.float32(x))) for x in v]) for i, v in rows
              if v and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q, a in {i: v for i, v in whole if i % 100 == 0}.items():
+    for q, a in {i: v for i, v in whole if i % every == 0}.items():
         scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in whole if i != q and len(a) == len(b))[:k]
         out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
     return sorted(out)
@@ -49,17 +51,50 @@ def test_huge_components_stay_exact(spark):
     assert sorted(map(tuple, got.collect())) == brute_products(rows, 2)
 
 
-def test_bounds_hold_and_blocks_do_not_matter():
-    rng = np.random.default_rng(3)
-    v = rng.integers(-900, 900, (300, 8))
-    cell, low, width = approximate(v)
-    assert ((low + cell * width <= v) & (v < low + (cell.astype(int) + 1) * width)).all() and abs(v).max() < SAFE
-    q, ids = v[::10], np.arange(300)
-    whole, cut = Best(30, 5), Best(30, 5)
-    search_block(q, ids[::10], v, ids, whole)
-    for i in range(0, 300, 37):
-        search_block(q, ids[::10], v[i: i + 37], ids[i: i + 37], cut)
-    assert whole.rows == cut.rows
+def test_bounds_hold_and_blocks_change_nothing():
+    rng = np.random.default_rng(6)
+    for top in (50, 10**6, 2**40, 2**61):
+        v, q = rng.integers(-top, top, (300, 7)), rng.integers(-top, top, (30, 7))
+        cell, low, shift = approximate(v)
+        assert int(cell.max()) < 64
+        lower, upper = bounds(q, cell, low, shift)
+        exact = q.astype(object) @ v.astype(object).T
+        assert (lower <= exact).all() and (exact <= upper).all()
+        assert products(q, v[:30]).tolist() == [min(LONG, max(-LONG, int(exact[i, i]))) for i in range(30)]
+        ids, kept = np.arange(300), []
+        for size in (300, 37):
+            mine = Candidates(ids[::10], q, 5)
+            for i in range(0, 300, size):
+                mine.add(ids[i: i + size], *bounds(q, *approximate(v[i: i + size])))
+            kept.append({(a, b) for a, b in zip(*(x.tolist() for x in mine.rows()[:2]))})
+        want = {(10 * r, i) for r in range(30) for _, i in sorted((-int(exact[r, i]), i) for i in range(300) if i != 10 * r)[:5]}
+        assert want <= kept[0] and want <= kept[1]
+
+
+def test_many_dimensions_cost_a_few_products():
+    rng = np.random.default_rng(1)
+    v, q = rng.integers(-1024, 1024, (2048, 768)), rng.integers(-1024, 1024, (400, 768))
+    file = approximate(v)
+
+    def least(f):
+        took = []
+        for _ in range(5):
+            t = time.perf_counter()
+            f()
+            took.append(time.perf_counter() - t)
+        return min(took)
+
+    mine = Candidates(np.arange(400) + 5000, q, 10)
+    assert least(lambda: mine.add(np.arange(2048), *bounds(q, *file))) < 5 * least(lambda: q.astype(float) @ v.astype(float).T) + 0.05
+
+
+def test_query_blocks_and_long_vectors(spark, monkeypatch):
+    monkeypatch.setattr(vafile, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(vafile, "QUERY_BLOCKS", 2)
+    rng = np.random.default_rng(2)
+    rows = [(i, (rng.normal(size=200) * (1 + i % 3)).tolist()) for i in range(150)]
+    got = top_k(vectors(spark, rows), F.col("vec_id") % 5 == 0, k=4)
+    assert sorted(map(tuple, got.collect())) == brute_products(rows, 4, 5)
 
 
 def test_hilbert_keys_step_to_neighbours():
