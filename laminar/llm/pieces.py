@@ -8,7 +8,6 @@ together, as one corpus, and results are put together by array gathers.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterable
 
 import numpy as np
@@ -19,7 +18,10 @@ U64 = np.uint64
 WHITE = r"\t-\r \x85\xa0  -     　"
 _FULL = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+"
                       rf"|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
-_CUT = re.compile("[A-Za-z] (?=[A-Za-z])")
+# No piece reaches from other signs into white space, so any such border will do (not behind a special string, which may
+# take white space along).  Scripts without spaces are cut between a letter and a mark that does not combine with it.
+WHITE_CUT = regex.compile(rf"[^{WHITE}>](?=[ \n])")
+_CUT = regex.compile(rf"[^{WHITE}>](?=[ \n])|\p{{L}}(?=[^{WHITE}\p{{L}}\p{{N}}\p{{M}}<|])")
 STRETCH = 1 << 20  # characters split at once, so a very long text needs no more memory than a short one
 
 _STOP, _BLANK, _LINE, _LETTER, _DIGIT, _SIGN = range(6)  # classes of bytes; a zero byte stops a text
@@ -39,11 +41,11 @@ _STEP = 0x9E3779B97F4A7C15
 _powers = np.multiply.accumulate(np.r_[U64(1), np.full(255, U64(_STEP))])
 
 
-def stretches(text: str) -> Iterable[str]:
-    """The text in stretches that end between a letter and a space before a letter, always a piece border."""
+def stretches(text: str, border: regex.Pattern = _CUT) -> Iterable[str]:
+    """The text in stretches that end at piece borders; with ``WHITE_CUT`` only before white space, so words stay whole."""
     at = 0
     while len(text) - at > STRETCH:
-        found = _CUT.search(text, at + STRETCH)
+        found = border.search(text, at + STRETCH)
         if not found:
             break
         yield text[at: found.start() + 1]

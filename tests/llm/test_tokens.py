@@ -99,6 +99,36 @@ def test_small_stretches_and_a_small_table_change_nothing(tik, monkeypatch):
         assert np.frombuffer(ids, "<u4").tolist() == tik.encode_ordinary(t)
 
 
+def scripts(rng, n):
+    """Texts in scripts without ASCII letters, without spaces, or of signs and digits mostly."""
+    def words(letters, gaps, size):
+        return "".join("".join(rng.choice(letters) for _ in range(rng.randrange(1, 7))) + rng.choice(gaps) for _ in range(size))
+
+    kinds = [("日本語の文章を書く漢字仮名", ["，", "。", "、", "“", "」", ""]), ("日本語の文章", [" ", "。 ", "\n"]),
+             ("привет мир ёжик".replace(" ", ""), [" ", ", ", ".\n", "  ", "\u3000", "'s ", " 's"]), ("αβγδΣς", [" ", "·", "; "]),
+             ("0123456789", [" ", ", ", "\n\n", " - "]), ("abc_xyz(){};=+", [";", " ", "{", "\t"]), ("กขคงจ่้", [" ", "ๆ", ""]),
+             ("नमस्ते", [" ", "। ", ""]), ("e\u0301a\u0308o", [" ", "", "."])]
+    return [words(a, g, n) for a, g in kinds]
+
+
+def test_stretches_of_any_script_are_short_and_change_nothing(tik, monkeypatch):
+    rng = random.Random(12)
+    monkeypatch.setattr(pieces, "STRETCH", 40)
+    texts = scripts(rng, 60)
+    replay = bpe.MergeReplay(bpe.load_ranks(RANKS)).replay
+    for t, ids in zip(texts, pieces.PieceTable(lambda new: replay([p.encode() for p in new])).run(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == tik.encode_ordinary(t)
+    byte, word = Tokenizer.from_file(BYTE), Tokenizer.from_file(WORD)
+    texts += [t[:30] + "<|endoftext|>" + t[30:] for t in texts]
+    for t, ids in zip(texts, bitplanes.Vocabulary(BYTE).run(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == byte.encode(t, add_special_tokens=False).ids
+    for t, changes in zip(texts, prefix.PrefixIndex(WORD).run(texts)):
+        assert int(np.frombuffer(changes, np.int8).sum(dtype=np.int64)) == len(word.encode(t, add_special_tokens=False).ids)
+    monkeypatch.setattr(pieces, "STRETCH", 1 << 14)
+    for t in scripts(rng, 1 << 14)[:6]:
+        assert max(map(len, pieces.stretches(t))) < (1 << 14) + 200 and "".join(pieces.stretches(t)) == t
+
+
 def test_op3_round_trip(spark, edge, nothing, tik):
     done = bpe.decode(bpe.encode(edge, RANKS), RANKS).collect()
     assert len(done) == len(EDGE)
