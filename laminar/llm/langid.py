@@ -8,9 +8,10 @@ The statistics are frozen after training, so a text's code length under a langua
 exact sum.  Contexts begin at a word's leading space, hence a word's code length does not depend
 on its neighbours and each distinct word of a task is scored once.
 
-Training sample.  At most ``sample`` documents per language (those with the smallest hash of
-their id), by a top-k per language that is cut down before the shuffle.  The trees built from it
-are the broadcast model; their size depends on ``sample`` and ``sample_chars`` only.
+Training sample.  At most ``sample`` documents per language, those with the smallest hash of their id, and of them
+no more than the language's share of ``model_chars`` characters.  The languages' counts give a hash below
+which a few times that many documents lie; only these are ranked, so no task ranks a whole language.  The trees built
+from the sample are the broadcast model: its size is bounded by ``model_chars``, however many languages there are.
 """
 
 from __future__ import annotations
@@ -26,11 +27,14 @@ from pyspark.sql import functions as F
 
 from laminar.llm.common import held
 from laminar.llm.jaccard import word_hashes
-from laminar.llm.pieces import STRETCH, stretches
+from laminar.llm.pieces import STRETCH, WHITE_CUT, stretches
+from laminar.operators.joins import bounded_broadcast
 
 ORDER = 5  # bytes of context; a context and its next byte fit one 64-bit key
 SAMPLE = 600  # documents per language that the trees are fitted on
 SAMPLE_CHARS = 200_000  # longer texts are not sampled
+MODEL_CHARS = 64_000_000  # characters that all trees together are fitted on
+SPARE = 4  # times the sample that is ranked: far above what chance leaves out
 UNKNOWN = "und"
 U64 = np.uint64
 
@@ -122,21 +126,26 @@ def held_out(id_col: Column) -> Column:
 
 
 def fit(docs: DataFrame, order: int = ORDER, sample: int = SAMPLE, id_col: str = "doc_id",
-        text_col: str = "text", lang_col: str = "lang", sample_chars: int = SAMPLE_CHARS) -> dict[str, Trees]:
+        text_col: str = "text", lang_col: str = "lang", sample_chars: int = SAMPLE_CHARS,
+        model_chars: int = MODEL_CHARS) -> dict[str, Trees]:
     """One context tree per language from a bounded sample of the labelled, not held-out rows.
 
     Rows with a null text or language, or of over ``sample_chars`` characters, are not learned from.  The counts of
-    each language are summed by Spark; what reaches the driver is bounded by ``sample`` documents of
-    ``sample_chars`` characters per language.
+    each language are summed by Spark; what reaches the driver is bounded by ``model_chars``.
     """
     ok = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & ~held_out(F.col(id_col))
                     & (F.length(text_col) <= sample_chars))
-    spread = F.xxhash64(F.col(id_col).cast("string"))
+    slim = ok.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.length(text_col).alias("chars"),
+                     F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 62)).alias("h"))
+    # one row per language: how many documents it has, and the hash below which SPARE samples of them lie
+    sizes = slim.groupBy("lang").agg(F.count("*").alias("n")).withColumn("share", F.lit(model_chars) / F.count("*").over(Window.partitionBy()))
+    below = F.when(F.col("n") <= SPARE * sample, F.lit(1 << 62)).otherwise((F.lit(float(SPARE * sample << 62)) / F.col("n")).cast("long"))
+    few = slim.join(bounded_broadcast(sizes.select("lang", below.alias("below"), "share")), "lang").where(F.col("h") < F.col("below"))
     rank = Window.partitionBy("lang").orderBy("h", "id")
-    picked = (ok.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), spread.alias("h"))
-              .withColumn("r", F.row_number().over(rank)).where(F.col("r") <= sample).select("lang", "id").distinct())
+    picked = (few.withColumn("r", F.row_number().over(rank)).withColumn("sum", F.sum("chars").over(rank.rowsBetween(Window.unboundedPreceding, 0)))
+              .where((F.col("r") <= sample) & ((F.col("sum") <= F.col("share")) | (F.col("r") == 1))).select("lang", "id").distinct())
     rows = ok.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
-        F.broadcast(picked), ["lang", "id"], "left_semi").select("lang", "text")
+        bounded_broadcast(picked), ["lang", "id"], "left_semi").select("lang", "text")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,7 +186,7 @@ class Scorer:
         out = np.zeros((len(texts), len(self.langs)))
         group, size = [], 0
         for i, t in enumerate(texts):
-            for s in stretches(t):
+            for s in stretches(t, WHITE_CUT):
                 words = b" ".join(_lower(s))
                 if words:
                     group.append((i, words))
