@@ -29,17 +29,43 @@ TOKEN_LIMIT = 2048
 END_OF_TEXT = 2
 
 
-def stand_in_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations as a log of whole messages, and the conversation the task adds."""
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+STEPS = 8  # sequence numbers a turn may take
+
+
+def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations, and the conversation the task adds, as the log a chat service would have written.
+
+    By a checksum of conversation and turn a row was sent whole, streamed in deltas, first written wrong and then
+    edited, or broken off and regenerated.  Folding the log gives the rows again.  Rows whose turn
+    is null or stands twice are whole messages: nothing tells which of them a delta would belong to.
+    """
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    twice = rows.groupBy(F.col("conv_id").alias("c"), F.col("turn").alias("t")).agg(F.count("*").alias("rows")).where(F.col("rows") > 1)
     added = spark.createDataFrame([(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)],
                                   "conv_id long, turn long, role string, text string")
-    return rows.unionByName(added).select("conv_id", F.col("turn").alias("seq"), F.lit("message").alias("kind"),
-                                          F.col("turn").alias("msg"), "role", "text")
+    every = rows.unionByName(added).join(
+        twice, F.col("conv_id").eqNullSafe(F.col("c")) & F.col("turn").eqNullSafe(F.col("t")), "left")
+    way = F.when(F.col("rows").isNotNull() | F.col("turn").isNull(), 0).otherwise(
+        F.crc32(F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), F.lit("-")), F.col("turn").cast("string"))) % 4)
+    third = (F.length("text") / 3).cast("int")
+    one, two = F.substring(F.col("text"), F.lit(1), third), F.substring(F.col("text"), third + 1, third)
+    three, wrong = F.substring(F.col("text"), 2 * third + 1, F.length("text")), F.reverse(F.col("text"))
+
+    def events(*steps):
+        return F.array(*[F.struct(F.lit(i).cast("long").alias("step"), F.lit(kind).alias("kind"), text.alias("piece")) for i, (kind, text) in enumerate(steps)])
+
+    log = (F.when(F.col("way") == 1, events(("message", one), ("delta", two), ("delta", three)))
+           .when(F.col("way") == 2, events(("message", wrong), ("edit", F.col("text"))))
+           .when(F.col("way") == 3, events(("message", wrong), ("delta", one), ("regenerate", F.lit(None).cast("string")),
+                                           ("delta", one), ("delta", F.concat(two, three))))
+           .otherwise(events(("message", F.col("text")))))
+    return every.withColumn("way", way).select("conv_id", "turn", "role", F.explode(log).alias("e")).select(
+        "conv_id", (F.col("turn") * STEPS + F.col("e.step")).alias("seq"), F.col("e.kind").alias("kind"), F.col("turn").alias("msg"),
+        "role", F.col("e.piece").alias("text"))
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = format_chats(stand_in_log(spark, sf_dir))
+    done = format_chats(event_log(spark, sf_dir))
     turns = F.transform(read_back(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     loss = F.array_join(masked_texts(F.col("formatted"), F.col("loss_spans")), "")
     return done.select("conv_id", F.size(turns).cast("long").alias("n_turns"),
