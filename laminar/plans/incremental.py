@@ -27,6 +27,7 @@ from laminar.operators.scd2 import scd2_increment
 from laminar.operators.upsert import upsert
 from laminar.plans.tables import (conform, exists, has_partition, latest, overwrite_partitions, partition_path,
                                   read_partition, read_table, read_version, versions, write_version)
+from laminar.session import scratch_path
 from laminar.sources.schemas import ACTORS, ACTORS_HISTORY_SCD, HOST_ACTIVITY_REDUCED
 
 
@@ -84,11 +85,15 @@ def scd2_load_year(spark: SparkSession, state: DataFrame, year: int, path: str,
     rows = scd2_increment(open_slice, now, key=key, null_safe=null_safe)
     merged = conform(upsert(open_slice, rows, keys=[key, "start_date"],
                             update_cols=["quality_class", "is_active", "end_date"]), ACTORS_HISTORY_SCD)
-    if rows.isEmpty():
+    staged = scratch_path(spark, "scd2-step")  # computed once; both parts are read from it
+    merged.write.parquet(staged)
+    done = spark.read.schema(ACTORS_HISTORY_SCD).parquet(staged)
+    now_open = done.where(F.col("end_date") == year)
+    if now_open.isEmpty():
         return
     if prev is not None:  # replaced as a whole, also by nothing
-        write_version(merged.where(F.col("end_date") < year), f"{path}/closed", "v", prev)
-    write_version(merged.where(F.col("end_date") == year), f"{path}/open", "v", _v(year))
+        write_version(done.where(F.col("end_date") < year), f"{path}/closed", "v", prev)
+    write_version(now_open, f"{path}/open", "v", _v(year))
 
 
 def _v(year: int) -> str:

@@ -6,12 +6,13 @@ import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laminar.operators.dedup import dedup
 from laminar.operators.joins import HOT_ROWS
 from laminar.operators.reports import MAP_NAME, SALT, SLICE, player_match_from_tables, salt_star, slice_partials, tops_of_slices
+from laminar.plans.layout import in_order
 from laminar.plans.tables import latest, overwrite_partitions, read_version, versions, write_version
 from laminar.session import scratch_path
 from laminar.sources.readers import read_csv
@@ -69,27 +70,16 @@ def layout_report(spark: SparkSession, df: DataFrame, columns: Sequence[str], ro
     executor loss).  Every sorted layout reads that table back, so all layouts start
     from the same input splits and nothing upstream is recomputed.  Sizes come from
     a file listing.  ``sorted`` says whether every file is in the order of its column (NULL for the
-    unsorted one); it compares each row with the one before it in its file.
+    unsorted one); each task checks the rows it reads (see ``layout.in_order``).
     """
     root = root.rstrip("/")
     base = f"{root}/layout=unsorted"
     df.write.mode("overwrite").parquet(base)
     for c in columns:
         spark.read.parquet(base).sortWithinPartitions(c).write.mode("overwrite").parquet(f"{root}/layout={c}")
-    before = Window.partitionBy("file").orderBy("at")
-    checks = []
-    for c in [None, *columns]:
-        t = spark.read.parquet(f"{root}/layout={c or 'unsorted'}")
-        if c is None:
-            checks.append(t.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(None).cast("boolean").alias("sorted"))
-                          .withColumn("sort_column", F.lit("unsorted")))
-            continue
-        step = t.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"), F.col(c).alias("v"))
-        prev = F.lag(F.struct("v")).over(before)  # a struct tells "no row before" from a NULL value
-        good = prev.isNull() | prev["v"].isNull() | (prev["v"] <= F.col("v"))  # NULLs first, as the sort puts them
-        checks.append(step.select(F.coalesce(good, F.lit(False)).alias("good"))
-                      .agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.every("good"), F.lit(True)).alias("sorted"))
-                      .withColumn("sort_column", F.lit(c)))
+    checks = [in_order(spark.read.parquet(f"{root}/layout={c}"), [c]).withColumn("sort_column", F.lit(c)) for c in columns]
+    checks.insert(0, spark.read.parquet(base).agg(F.count(F.lit(1)).alias("n_rows"), F.lit(None).cast("boolean").alias("sorted"))
+                  .withColumn("sort_column", F.lit("unsorted")))
     report = checks[0]
     for c in checks[1:]:
         report = report.unionByName(c)
