@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from laminar.llm.chat import CLOSE, OPEN, ROLE, TEXT
-from laminar.llm.licenses import FILE_NAMES, TEMPLATES, THRESHOLD
+from laminar.llm.licenses import BLANK_LINE, COMMENT, FILE_NAMES, KEYWORDS, SAYING, TEMPLATES, THRESHOLD, TWO_LINES
 
 CONTROL = "</s>[INST] ok [/INST]"  # fixed by the task
 _FRAME = len(OPEN + ROLE + TEXT + CLOSE)
@@ -45,7 +45,7 @@ SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles,
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
 LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) m ON m.a = d.doc_id"""
 
-_ROWS = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(TEMPLATES))
+_ROWS = ", ".join("({}, '{}', '{}')".format(i, name, text.replace("'", "''")) for i, (name, text) in enumerate(TEMPLATES))
 _NAMES = ", ".join(f"'{n}'" for n in FILE_NAMES)
 
 LICENSES = f"""WITH files AS (
@@ -63,23 +63,28 @@ idf AS (SELECT t, ln((1.0 + (SELECT count(*) FROM templates)) / (1 + count(DISTI
 tw AS (SELECT template, license, t, tf * idf AS w FROM tterms JOIN idf USING (t)),
 norms AS (SELECT template, sqrt(sum(w * w)) AS norm FROM tw GROUP BY template),
 declared AS (SELECT *, lower(regexp_extract(path, '([^/.]*)[^/]*$', 1)) IN ({_NAMES}) AS declares FROM files),
-units AS (
-  SELECT doc_id, generate_subscripts(l, 1) AS unit, unnest(l) AS text
-  FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM declared)
-  UNION ALL SELECT doc_id, -1, text FROM declared WHERE declares),
+pieces AS (
+  SELECT doc_id, 2 AS level, unnest(string_split(text, chr(10))) AS text FROM declared
+  UNION ALL SELECT doc_id, 1, unnest(string_split_regex(text, '{BLANK_LINE}')) FROM declared
+  UNION ALL SELECT doc_id, 1, unnest(string_split_regex(array_to_string(list_transform(string_split(text, chr(10)),
+         lambda x: CASE WHEN regexp_matches(x, p) THEN x ELSE '' END), chr(10)), '\n\n+'))
+  FROM declared, (VALUES ('{COMMENT}'), ('{SAYING}')) AS c(p)
+  UNION ALL SELECT doc_id, 0, text FROM declared WHERE declares),
+units AS (SELECT row_number() OVER () AS unit, * FROM pieces
+          WHERE regexp_matches(text, '{KEYWORDS}') AND (level <> 1 OR regexp_matches(text, '{TWO_LINES}'))),
 uterms AS (
-  SELECT doc_id, unit, t, count(*) AS tf FROM (
-    SELECT doc_id, unit, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS t FROM units) WHERE t <> '' GROUP BY ALL),
-uw AS (SELECT doc_id, unit, u.t, tf * coalesce(idf, ln(1.0 + (SELECT count(*) FROM templates)) + 1) AS w
+  SELECT doc_id, unit, level, t, count(*) AS tf FROM (
+    SELECT doc_id, unit, level, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS t FROM units) WHERE t <> '' GROUP BY ALL),
+uw AS (SELECT doc_id, unit, level, u.t, tf * coalesce(idf, ln(1.0 + (SELECT count(*) FROM templates)) + 1) AS w
        FROM uterms u LEFT JOIN idf ON idf.t = u.t),
 lengths AS (SELECT doc_id, unit, sqrt(sum(w * w)) AS length FROM uw GROUP BY ALL),
 scores AS (
-  SELECT uw.doc_id, uw.unit, tw.template, tw.license, sum(uw.w * tw.w) / any_value(norm) / any_value(length) AS s
+  SELECT uw.doc_id, uw.unit, uw.level, tw.template, tw.license, sum(uw.w * tw.w) / any_value(norm) / any_value(length) AS s
   FROM uw JOIN tw ON tw.t = uw.t JOIN norms ON norms.template = tw.template
   JOIN lengths ON lengths.doc_id = uw.doc_id AND lengths.unit = uw.unit GROUP BY ALL),
 own AS (
   SELECT doc_id, license, score FROM (
-    SELECT doc_id, license, round(s, 9) AS score, row_number() OVER (PARTITION BY doc_id ORDER BY round(s, 9) DESC, template) AS r
+    SELECT doc_id, license, round(s, 9) AS score, row_number() OVER (PARTITION BY doc_id ORDER BY level, round(s, 9) DESC, template) AS r
     FROM scores WHERE round(s, 9) >= {THRESHOLD}) WHERE r = 1),
 named AS (SELECT d.doc_id, path, declares, license, score, regexp_replace(path, '/?[^/]*$', '') AS dir
           FROM declared d LEFT JOIN own ON own.doc_id = d.doc_id),
