@@ -65,6 +65,11 @@ def held(key: tuple, make: Callable):
     return _held[key]
 
 
+def release() -> None:
+    """Let go what earlier stages held in this worker; called by passes that hold nothing themselves."""
+    _held.clear()
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text, 0 for null (computed inside the JVM)."""
     padded = F.concat(F.lit(" "), text)  # a leading separator makes the piece before the first word empty

@@ -40,7 +40,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laminar.llm.common import drop, partitions, settle
+from laminar.llm.common import drop, partitions, release, settle
 from laminar.llm.components import components
 
 U64 = np.uint64
@@ -190,6 +190,7 @@ def frequent_shingles(src: DataFrame, width: int) -> np.ndarray:
     every = max(SAMPLE_SHARE, -(-n // SAMPLE_MOST))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for text in batch.column(0):
                 sets = shingles(word_hashes(normalized(text.as_py())), width)
@@ -242,6 +243,7 @@ def _schema(id_type: pa.DataType) -> pa.Schema:
 
 def _index_pass(parts: int, width: int, percent: int, frequent: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         seen: set[bytes] = set()  # classes this task has indexed (16 bytes each)
         held_key, held_class, held, turn = [], [], 0, 0
 
@@ -288,6 +290,7 @@ def _index_pass(parts: int, width: int, percent: int, frequent: np.ndarray):
 
 def _bucket_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Unpack one partition's keys, and emit the members of each key that several classes share."""
+    release()
     held_key, held_class, schema = [], [], None
     for batch in batches:
         schema = batch.schema
@@ -317,6 +320,7 @@ def _bucket_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _words_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Digest and compressed words of every text, equal ones of a task once."""
+    release()
     seen: set[bytes] = set()
     press = zstandard.ZstdCompressor(level=1)
     for batch in batches:
@@ -386,6 +390,7 @@ def linked(one: Shingled, other: list[bytes], width: int, percent: int) -> bool:
 def _verify_pass(width: int, percent: int):
     """Pairs that link, of rows ``(hub, salt, partner, data)`` in order: a hub's own text comes before its partners'."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         words = zstandard.ZstdDecompressor()
         hub, own = None, None
         for batch in batches:
