@@ -19,8 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# Spark frees the shuffle files of a finished write at once when this is set
-_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# While a step is written: shuffle files are freed at once when it is done, and batches to Python workers stay small, as
+# texts may be long.
+_STEP_CONF = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+              "spark.sql.execution.arrow.maxRecordsPerBatch": "1024"}
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
@@ -29,15 +31,17 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     The shuffle files of the write are freed with it, as nothing reads them any more.
     """
     spark = df.sparkSession
-    path, before = scratch_path(spark, name), spark.conf.get(_FREE_SHUFFLES, None)
-    spark.conf.set(_FREE_SHUFFLES, "true")
+    path, before = scratch_path(spark, name), {k: spark.conf.get(k, None) for k in _STEP_CONF}
     try:
+        for k, v in _STEP_CONF.items():
+            spark.conf.set(k, v)
         df.write.parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(_FREE_SHUFFLES)
-        else:
-            spark.conf.set(_FREE_SHUFFLES, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -209,7 +209,7 @@ def frequent_shingles(src: DataFrame, width: int) -> np.ndarray:
 _ROWS = "kind int, part int, doc_id {id}, digest binary, n long, x long, data binary, sketch array<bigint>"
 SKETCH = 16  # 64-bit words of a parity sketch
 MEMBER, CLASS, KEYS, SHARED = 0, 1, 2, 3
-FLUSH = 1 << 20  # index keys a task holds before it packs them by target partition
+FLUSH = 1 << 18  # index keys a task holds before it packs them by target partition; 16 a partition if that is more
 
 
 def parity_sketch(sets: np.ndarray) -> list[int]:
@@ -278,7 +278,7 @@ def _index_pass(parts: int, width: int, percent: int, frequent: np.ndarray):
                     held_key.append(k)
                     held_class.append(np.full(len(k), cls, np.int64))
                     held += len(k)
-                    if held >= FLUSH:
+                    if held >= max(FLUSH, 16 * parts):
                         yield pack(schema)
                         held_key, held_class, held = [], [], 0
                 yield _batch(schema, rows)
