@@ -12,15 +12,24 @@ from laminar.llm.jaccard import jaccard_components
 from laminar.llm.langid import UNKNOWN, fit, predict
 from laminar.llm.mixing import mix
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1024  # texts sent to a Python worker at once
 WIDTH, PERCENT = 5, 80  # words of a shingle and similarity from which documents are near duplicates
 ROW = "row_of_stage"  # names a row within a stage, since ids may be null or repeated
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound what a batch of texts takes in the executor and in its Python worker, unless the session asks for less."""
+    if int(spark.conf.get(BATCH)) > BATCH_ROWS:
+        spark.conf.set(BATCH, str(BATCH_ROWS))
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told stay; texts that are null or hold no letter go.
 
     Null and repeated ids change nothing: every row is judged by its own text.
     """
+    small_batches(spark)
     told = predict(docs, fit(docs), carry=True)
     return told.where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
 
@@ -70,6 +79,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and a digest of the text they decode to; one row per row, whatever its id."""
+    small_batches(spark)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     both = encode(docs, path, decoded=True)
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
