@@ -17,13 +17,15 @@ with a segment is at most the frequency of its rarest shingle, and that is estim
 the documents; an empty segment is shared by a good part of its band.  So a segment whose shingles are all
 frequent goes the dearer way.  The choice depends on the segment alone, so both sets of a pair make the same one
 for an equal segment, and no link is lost whatever the estimates are.  Each set is indexed
-under its own band and the band below.
+under its own band and the band below.  Of two sets that differ in one shingle of a cell one has the whole cell as it
+is, so a key that all its members have by a deletion makes no pair, nor do two such members of any key.
 
 Every key reaches the pairs of its members by stars: the member that shares the most keys
 overall is the hub and is verified against each other member.  Members that are not connected
 to each other after that are paired across components and verified too.  A pair is dropped
 before that if its parity sketches differ in more bits than a linked pair may differ in
-shingles; all others are verified exactly, on the words.  For that one document is named for each class in question,
+shingles; a sketch of fixed size says nothing about long sets, so pairs of these are also compared by sketches that
+grow with the set.  All others are verified exactly, on the words.  For that one document is named for each class in question,
 the texts of just these documents are read again, and a hub's text meets those of its partners once.
 Documents with equal word sequences form one class first, so copies never multiply.
 """
@@ -133,8 +135,16 @@ def bands(percent: int, reach: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(low), np.array(segments)
 
 
+DELETED = U64(1)  # the bit of a key that tells how it was made
+
+
 def keys(sets: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndarray:
     """Index keys of one set under its own band and the band below; ``frequent`` holds sorted hashes of frequent shingles."""
+    return marked_keys(sets, percent, frequent) & ~DELETED
+
+
+def marked_keys(sets: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndarray:
+    """The ``keys`` of one set, each with a lowest bit that tells whether a deletion made it."""
     n = len(sets)
     low, segments = bands(percent, 1 << max(10, n.bit_length()))
     own = int(np.searchsorted(low, n, "right")) - 1
@@ -145,7 +155,7 @@ def keys(sets: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndarray:
             continue
         m, salt = int(segments[k]), mix(np.array([k + 1], np.uint64))
         if m == 1:
-            out.append(mix(np.add.reduce(mix(sets ^ salt), keepdims=True) + salt))
+            out.append(mix(np.add.reduce(mix(sets ^ salt), keepdims=True) + salt) & ~DELETED)
             continue
         where = ((sets >> U64(32)) * U64(m) >> U64(32)).astype(np.int64)  # sets are sorted, so this is too
         value = mix(sets ^ salt)
@@ -153,19 +163,19 @@ def keys(sets: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndarray:
         np.add.at(total, where, value)
         tag = mix((np.arange(m, dtype=np.uint64) + U64(1)) * U64(_P) + salt)
         good = np.bincount(where[rare], minlength=m) > 0  # holds a shingle that few sets have
-        out.append(mix(total[good] + tag[good]))
+        out.append(mix(total[good] + tag[good]) & ~DELETED)
         cell_poor = ~good[0::2] | ~good[1::2]
         if cell_poor.any():
             cells = np.flatnonzero(cell_poor)
             whole = total[0::2][cells] + total[1::2][cells]
             cell_tag = mix(tag[0::2][cells] + U64(7))
-            out.append(mix(whole + cell_tag))
+            out.append(mix(whole + cell_tag) & ~DELETED)
             lookup = np.full(m // 2, -1)
             lookup[cells] = np.arange(len(cells))
             at = lookup[where >> 1]
             inside = at >= 0
             at = at[inside]
-            out.append(mix(whole[at] - value[inside] + cell_tag[at]))
+            out.append(mix(whole[at] - value[inside] + cell_tag[at]) | DELETED)
     return np.concatenate(out)
 
 
@@ -208,22 +218,46 @@ def frequent_shingles(src: DataFrame, width: int) -> np.ndarray:
 # Rows of the pass over the texts: memberships, classes with their sketches, packed index keys, members of shared keys.
 _ROWS = "kind int, part int, doc_id {id}, digest binary, n long, x long, data binary, sketch array<bigint>"
 SKETCH = 16  # 64-bit words of a parity sketch
+LONG = 64 * SKETCH  # sets with more items than that have a long sketch too, with a bit an item or more
 MEMBER, CLASS, KEYS, SHARED = 0, 1, 2, 3
 FLUSH = 1 << 18  # index keys a task holds before it packs them by target partition; 16 a partition if that is more
 
 
 def parity_sketch(sets: np.ndarray) -> list[int]:
-    """Parities of the set's counts per hash cell: two sketches differ in at most as many bits as the sets in items."""
-    odd = np.bincount((sets & U64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+    """Parities of the set's counts per hash cell: two sketches differ in at most as many bits as the sets in items.
+
+    The sketch of ``SKETCH`` words is followed by that of a long set, which has a power of two of bits.
+    """
+    out = []
+    for bits in (64 * SKETCH, *([1 << (len(sets) - 1).bit_length()] if len(sets) > LONG else [])):
+        odd = np.bincount((sets & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+        out += np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+    return out
 
 
 def _may_link(percent: int) -> Column:
     """Whether sizes and sketches of the sides ``a`` and ``b`` allow a link (never false for a linked pair)."""
+    bits = sum((F.bit_count(F.col(f"a_s{i}").bitwiseXOR(F.col(f"b_s{i}"))) for i in range(SKETCH)), F.lit(0))
+    return (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")) & (bits <= _may_differ(percent))
+
+
+def _may_differ(percent: int) -> Column:
+    """Items that only one side of a linked pair has, at most."""
     total = F.col("a_n") + F.col("b_n")
     least = F.ceil(percent * total / (100 + percent) - 1e-9)  # items a linked pair has in common
-    bits = sum((F.bit_count(F.col(f"a_s{i}").bitwiseXOR(F.col(f"b_s{i}"))) for i in range(SKETCH)), F.lit(0))
-    return (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")) & (bits <= total - 2 * least)
+    return total - 2 * least
+
+
+def _long_may_link(percent: int) -> Column:
+    """Whether the long sketches of ``a`` and ``b`` allow a link; the larger one is folded if it has twice the bits."""
+    def folded(one: str, other: str) -> Column:
+        half = (F.size(one) / 2).cast("int")
+        both = F.zip_with(F.slice(one, F.lit(1), half), F.slice(one, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(one) > F.size(other), both).otherwise(F.col(one))
+
+    each = F.zip_with(folded("a_long", "b_long"), folded("b_long", "a_long"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    bits = F.aggregate(each, F.lit(0), lambda s, x: s + x)
+    return F.coalesce(bits <= _may_differ(percent), F.lit(True))  # null where sizes differ by more
 
 
 def _sketched(prefix: str) -> list[Column]:
@@ -241,6 +275,28 @@ def _schema(id_type: pa.DataType) -> pa.Schema:
                       ("sketch", pa.list_(pa.int64()))])
 
 
+def pack_keys(k: np.ndarray, c: np.ndarray) -> bytes:
+    """Keys and their classes in about ten bytes each: 48 bits of a key, and a class by its place in a list.
+
+    Two keys that agree in these bits count as one, which makes a few more candidates and loses none.
+    """
+    listed, at = np.unique(c, return_inverse=True)
+    place = at.astype(np.uint16 if len(listed) <= 1 << 16 else np.uint32)
+    k = (k >> U64(16)) & ~DELETED | (k & DELETED)
+    head = np.array([len(k), len(listed)], np.int64)
+    return b"".join([head.tobytes(), listed.tobytes(), (k >> U64(16)).astype(np.uint32).tobytes(), place.tobytes(), k.astype(np.uint16).tobytes()])
+
+
+def unpack_keys(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n, m = (int(x) for x in np.frombuffer(data, np.int64, 2))
+    kind = np.dtype(np.uint16 if m <= 1 << 16 else np.uint32)
+    at = 16 + 8 * m
+    high = np.frombuffer(data, np.uint32, n, at).astype(np.int64)
+    place = np.frombuffer(data, kind, n, at + 4 * n)
+    low = np.frombuffer(data, np.uint16, n, at + (4 + kind.itemsize) * n)
+    return high << 16 | low, np.frombuffer(data, np.int64, m, 16)[place]
+
+
 def _index_pass(parts: int, width: int, percent: int, frequent: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
@@ -249,11 +305,11 @@ def _index_pass(parts: int, width: int, percent: int, frequent: np.ndarray):
 
         def pack(schema):
             k, c = np.concatenate(held_key), np.concatenate(held_class)
-            part = (k % U64(parts)).astype(np.int32)
+            part = ((k >> U64(1)) % U64(parts)).astype(np.int32)
             order = np.argsort(part, kind="stable")
             k, c, part = k[order], c[order], part[order]
             cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-            return _batch(schema, [(KEYS, int(part[s]), None, None, None, None, k[s:e].tobytes() + c[s:e].tobytes(), None)
+            return _batch(schema, [(KEYS, int(part[s]), None, None, None, None, pack_keys(k[s:e], c[s:e]), None)
                                    for s, e in zip(cuts, np.r_[cuts[1:], len(part)])])
 
         for batch in batches:
@@ -274,7 +330,7 @@ def _index_pass(parts: int, width: int, percent: int, frequent: np.ndarray):
                     seen.add(digest)
                     cls = int.from_bytes(digest[:8], "little", signed=True)
                     rows.append((CLASS, turn % parts, None, digest, len(sets), cls, None, parity_sketch(sets)))
-                    k = keys(sets, percent, frequent)
+                    k = marked_keys(sets, percent, frequent)
                     held_key.append(k)
                     held_class.append(np.full(len(k), cls, np.int64))
                     held += len(k)
@@ -289,32 +345,36 @@ def _index_pass(parts: int, width: int, percent: int, frequent: np.ndarray):
 
 
 def _bucket_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Unpack one partition's keys, and emit the members of each key that several classes share."""
+    """Unpack one partition's keys, and emit the members of each key that several classes share, one of them undeleted.
+
+    Of a member made by a deletion ``part`` is 1, of others 0.
+    """
     release()
     held_key, held_class, schema = [], [], None
     for batch in batches:
         schema = batch.schema
         kind = batch.column(0).to_numpy()
         for i in np.flatnonzero(kind == KEYS):
-            flat = np.frombuffer(batch.column(6)[int(i)].as_py(), np.int64)
-            half = len(flat) // 2
-            held_key.append(flat[:half])
-            held_class.append(flat[half:])
+            k, c = unpack_keys(batch.column(6)[int(i)].as_py())
+            held_key.append(k)
+            held_class.append(c)
         yield batch.filter(pa.array(kind != KEYS))
     if held_key:
         k, c = np.concatenate(held_key), np.concatenate(held_class)
-        order = np.lexsort((c, k))
+        held_key, held_class = [], []
+        order = np.lexsort((k & 1, c, k >> 1))  # of a class that has a key both ways, the undeleted one comes first
         k, c = k[order], c[order]
+        deleted, k = (k & 1).astype(np.int32), k >> 1
         fresh = np.r_[True, (k[1:] != k[:-1]) | (c[1:] != c[:-1])]
-        k, c = k[fresh], c[fresh]
+        k, c, deleted = k[fresh], c[fresh], deleted[fresh]
         first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
         size = np.diff(np.r_[first, len(k)])
-        many = np.repeat(size > 1, size)
-        k, c = k[many], c[many]
+        many = np.repeat((size > 1) & (np.minimum.reduceat(deleted, first) == 0), size)
+        k, c, deleted = k[many], c[many], deleted[many]
         for at in range(0, len(k), 1 << 16):
             m = len(k[at: at + (1 << 16)])
             null = [pa.nulls(m, f.type) for f in schema]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(m, SHARED, np.int32)), null[1], null[2], null[3],
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(m, SHARED, np.int32)), pa.array(deleted[at: at + m]), null[2], null[3],
                                               pa.array(k[at: at + m]), pa.array(c[at: at + m]), null[6], null[7]], schema=schema)
 
 
@@ -407,6 +467,13 @@ def _verify_pass(width: int, percent: int):
     return run
 
 
+def _sieved(pairs: DataFrame, long: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` without those whose long sketches tell that they do not link."""
+    side = {s: long.select(F.col("digest").alias(f"{s}_digest"), F.col("n").alias(f"{s}_n"), F.col("long").alias(f"{s}_long")) for s in "ab"}
+    both = pairs.join(side["a"], F.col("a") == F.col("a_digest"), "left").join(side["b"], F.col("b") == F.col("b_digest"), "left")
+    return both.where(F.col("a_long").isNull() | F.col("b_long").isNull() | _long_may_link(percent)).select("a", "b")
+
+
 def _candidates(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes ``(a, b)`` as digests, those that sizes and sketches allow to link."""
     side = {s: classes.select(F.col("x").alias(s), F.col("digest").alias(f"{s}_digest"), *_sketched(s)) for s in "ab"}
@@ -453,17 +520,20 @@ BLOCK = 1024  # members of a key that are compared in one place
 def _across(rest: DataFrame, percent: int) -> DataFrame:
     """Pairs of members of one key that lie in different components, none of them the key's hub, if they may link.
 
+    Two members that have the key by a deletion make no pair: if they link, another key tells.
+
     The members of a key are dealt into blocks, and pairs of blocks meet in different tasks.
     """
     many = rest.groupBy(F.col("key").alias("k")).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     dealt = rest.join(many, F.col("key") == F.col("k")).withColumn("block", F.pmod(F.xxhash64("cls", F.lit("block")), F.col("blocks")))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     one = dealt.select("key", F.col("block").alias("i"), every.alias("j"), F.col("cls").alias("a"), F.col("digest").alias("da"),
-                       F.col("comp").alias("ca"), F.col("hub").alias("ha"), *_sketched("a")).alias("l")
+                       F.col("comp").alias("ca"), F.col("hub").alias("ha"), F.col("deleted").alias("xa"), *_sketched("a")).alias("l")
     two = dealt.select("key", every.alias("i"), F.col("block").alias("j"), F.col("cls").alias("b"), F.col("digest").alias("db"),
-                       F.col("comp").alias("cb"), *_sketched("b")).alias("r")
+                       F.col("comp").alias("cb"), F.col("deleted").alias("xb"), *_sketched("b")).alias("r")
     meet = (F.col("l.key") == F.col("r.key")) & (F.col("l.i") == F.col("r.i")) & (F.col("l.j") == F.col("r.j"))
-    return (one.join(two, meet & (F.col("ca") < F.col("cb")) & (F.col("ha") != F.col("a")) & (F.col("ha") != F.col("b")) & _may_link(percent))
+    wanted = (F.col("ca") < F.col("cb")) & (F.col("ha") != F.col("a")) & (F.col("ha") != F.col("b")) & (F.col("xa") + F.col("xb") < 2)
+    return (one.join(two, meet & wanted & _may_link(percent))
             .select(F.least("da", "db").alias("a"), F.greatest("da", "db").alias("b")).distinct())
 
 
@@ -484,8 +554,10 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85,
     rows = settle(src.mapInArrow(_index_pass(parts, width, percent, frequent_shingles(src, width)), ddl)
                   .repartitionById(parts, "part").mapInArrow(_bucket_pass, ddl), "jaccard")
     member = rows.where(F.col("kind") == MEMBER).select("doc_id", "digest", "n")
-    classes = rows.where(F.col("kind") == CLASS).select("x", "digest", "n", "sketch")
-    shared = rows.where(F.col("kind") == SHARED).select(F.col("n").alias("key"), F.col("x").alias("cls"))
+    classes = rows.where(F.col("kind") == CLASS).select("x", "digest", "n", F.slice("sketch", 1, SKETCH).alias("sketch"))
+    long = (rows.where((F.col("kind") == CLASS) & (F.col("n") > LONG))
+            .select("digest", "n", F.slice("sketch", F.lit(SKETCH + 1), F.size("sketch")).alias("long")).dropDuplicates(["digest"]))
+    shared = rows.where(F.col("kind") == SHARED).select(F.col("n").alias("key"), F.col("x").alias("cls"), F.col("part").alias("deleted"))
     # of the members of a key, the one in the most shared keys is the hub
     weighed = shared.join(shared.groupBy("cls").agg(F.count("*").alias("w")), "cls")
     hubs = weighed.groupBy("key").agg(F.max(F.struct("w", "cls"))["cls"].alias("hub"))
@@ -494,7 +566,7 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85,
     classes = settle(classes.join(star.select(F.col("cls").alias("x")).distinct(), "x", "left_semi")
                      .dropDuplicates(["digest"]), "classes")
     spokes = star.where(F.col("hub") != F.col("cls")).select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
-    first = _links(_candidates(spokes, classes, percent), member, src, width, percent)
+    first = _links(_sieved(_candidates(spokes, classes, percent), long, percent), member, src, width, percent)
     label = settle(components(first), "labels")
 
     # members of a key that the stars left in different components are paired too
@@ -504,7 +576,7 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85,
     split = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
              .where(F.col("lo") != F.col("hi")).select("key"))
     rest = settle(star.join(split, "key", "left_semi").join(named, "cls"), "rest")
-    cross = settle(_across(rest, percent), "pairs")
+    cross = settle(_sieved(_across(rest, percent), long, percent), "pairs")
     drop(rest, star, classes)
     if not cross.isEmpty():
         second = _links(cross, member, src, width, percent)

@@ -137,3 +137,59 @@ def test_other_columns_names_and_thresholds(spark):
     df = spark.createDataFrame(rows, "key long, body string").withColumn("digest", F.lit("x"))
     got = {r["key"]: r.component_id for r in jaccard_components(df, percent=70, id_col="key", text_col="body").collect()}
     assert got == {1: 1, 2: 1, 3: 3}
+
+
+def test_unlike_long_texts_are_not_compared_word_by_word(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = [(i, " ".join(f"w{rng.randrange(100000)}" for _ in range(rng.randrange(2600, 4600)))) for i in range(90)]
+    words = rows[5][1].split()
+    rows.append((200, " ".join(words[:1500] + ["other"] + words[1500:])))
+    sent, links = [], jaccard._links
+
+    def counted(pairs, *rest):
+        sent.append(pairs.count())
+        return links(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "_links", counted)
+    got = run(spark, rows, width=5, percent=80)
+    assert [(i, c) for i, _, c in got if i != c] == [(200, 5)]
+    assert sum(sent) <= 3
+
+
+def test_long_sketches_of_two_sizes_never_part_a_linked_pair(spark):
+    rng = np.random.default_rng(5)
+    for size in (1100, 2040, 4090, 9000):
+        one = np.sort(rng.integers(1, 2**63, size, dtype=np.uint64))
+        two = np.sort(np.r_[one, rng.integers(1, 2**63, size // 5, dtype=np.uint64)])  # 100 * |one| >= 80 * |two|
+        sides = [(len(s), jaccard.parity_sketch(s)[jaccard.SKETCH:]) for s in (one, two)]
+        for (m, a), (n, b) in (sides, sides[::-1]):
+            row = spark.createDataFrame([(m, n, a, b)], "a_n long, b_n long, a_long array<bigint>, b_long array<bigint>")
+            assert row.select(jaccard._long_may_link(80)).first()[0]
+            other = jaccard.parity_sketch(np.sort(rng.integers(1, 2**63, n, dtype=np.uint64)))[jaccard.SKETCH:]
+            row = spark.createDataFrame([(m, n, a, other)], "a_n long, b_n long, a_long array<bigint>, b_long array<bigint>")
+            assert not row.select(jaccard._long_may_link(80)).first()[0]
+
+
+def test_linked_pairs_meet_in_a_key_that_one_of_them_has_undeleted():
+    rng = np.random.default_rng(9)
+    for _ in range(60):
+        one = rng.integers(1, 2**63, int(rng.integers(20, 300)), dtype=np.uint64)
+        gone = int(rng.integers(0, len(one) * 8 // 100 + 1))
+        two = np.r_[one[gone:], rng.integers(1, 2**63, gone, dtype=np.uint64)]
+        one, two = np.sort(one), np.sort(two)
+        known = np.sort(np.union1d(one, two))
+        a, b = (jaccard.marked_keys(s, 85, known) for s in (one, two))
+        ka, kb = jaccard.unpack_keys(jaccard.pack_keys(a, np.zeros(len(a), np.int64)))[0], jaccard.unpack_keys(jaccard.pack_keys(b, np.ones(len(b), np.int64)))[0]
+        both = set(ka >> 1) & set(kb >> 1)
+        whole = set(ka[ka & 1 == 0] >> 1) | set(kb[kb & 1 == 0] >> 1)
+        assert both & whole
+
+
+def test_packed_keys_keep_their_classes():
+    rng = np.random.default_rng(3)
+    for listed in (1, 40, 70000):
+        k = rng.integers(0, 2**63, 80000, dtype=np.uint64)
+        c = rng.integers(-2**62, 2**62, listed, dtype=np.int64)[rng.integers(0, listed, len(k))]
+        key, cls = jaccard.unpack_keys(jaccard.pack_keys(k, c))
+        assert (cls == c).all()
+        assert (key & 1 == (k & jaccard.DELETED).astype(np.int64)).all() and (key >> 1 == (k >> np.uint64(17)).astype(np.int64)).all()
