@@ -142,14 +142,15 @@ SALT, MATCH_IS_HOT = "match_salt", "match_is_hot"
 
 
 def salt_star(matches: DataFrame, details: DataFrame, medals_players: DataFrame, salts: int = 16,
-              hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
+              hot_rows: int = HOT_ROWS, hot: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The fact's three sources with a salt, for tables bucketed by (match, salt).
 
     A match with ``hot_rows`` detail rows or more has its players dealt over ``salts`` by a hash of the player, the
     same way in details and medals, and its match row copied to every salt; all other rows have salt 0.  So
-    rows that join lie in one bucket, and a hot match lies in several.
+    rows that join lie in one bucket, and a hot match lies in several.  ``hot`` are these matches (``hot_keys``), if
+    they are known already.
     """
-    hot = hot_keys(details, ["match_id"], hot_rows)
+    hot = hot_keys(details, ["match_id"], hot_rows) if hot is None else hot
 
     def salted(df: DataFrame) -> DataFrame:
         salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("player_gamertag"), F.lit(salts)).cast("int")).otherwise(F.lit(0))

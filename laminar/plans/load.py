@@ -8,9 +8,10 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from laminar.operators.dedup import dedup
-from laminar.operators.joins import HOT_ROWS
+from laminar.operators.joins import HOT_ROWS, hot_keys
 from laminar.operators.reports import MAP_NAME, SALT, SLICE, player_match_from_tables, salt_star, slice_partials, tops_of_slices
 from laminar.plans.layout import in_order
 from laminar.plans.tables import latest, overwrite_partitions, read_version, versions, write_version
@@ -55,6 +56,21 @@ def load_bucketed(spark: SparkSession, df: DataFrame, path: str, bucket_col: str
     return spark.table(name)
 
 
+BUCKET_BYTES = 128 << 20  # a bucket's rows in memory, about: one task sorts them
+MOST_BUCKETS = 1 << 16
+
+
+def bucket_count(*tables: DataFrame, least: int = 16) -> int:
+    """Buckets for tables that are joined by them: so many that a bucket of the largest holds about ``BUCKET_BYTES``.
+
+    Every table's rows are counted; a row is taken to need 8 bytes a column and 24 more for a string.
+    """
+    def in_memory(df: DataFrame) -> int:
+        return df.count() * sum(32 if isinstance(f.dataType, StringType) else 8 for f in df.schema.fields)
+
+    return min(MOST_BUCKETS, max(least, *(-(-in_memory(df) // BUCKET_BYTES) for df in tables)))
+
+
 def file_bytes(spark: SparkSession, path: str) -> DataFrame:
     """Path and bytes of every data file under ``path``, from a listing (no content is read)."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
@@ -103,10 +119,17 @@ def reload_dedup(spark: SparkSession, path: str, schema, keys: Sequence[str],
 
 
 def load_salted_star(spark: SparkSession, matches: DataFrame, details: DataFrame, medals_players: DataFrame, root: str,
-                     buckets: int = 16, salts: int = 16, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
+                     buckets: int | None = None, salts: int = 16, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The fact's sources as tables bucketed by (match, salt): ``match_fact_salted`` joins them without an exchange,
-    and a hot match is read by as many tasks as its salts have buckets."""
-    parts = salt_star(matches, details, medals_players, salts, hot_rows)
+    and a hot match is read by as many tasks as its salts have buckets.
+
+    The hot matches are found once and written, as each of the three loads reads them.  Without ``buckets`` their
+    number grows with the largest table.
+    """
+    path = f"{root.rstrip('/')}/hot_matches"
+    hot_keys(details, ["match_id"], hot_rows).write.mode("overwrite").parquet(path)
+    parts = salt_star(matches, details, medals_players, salts, hot_rows, spark.read.parquet(path))
+    buckets = buckets or bucket_count(matches, details, medals_players)
     return tuple(load_bucketed(spark, df, f"{root.rstrip('/')}/{name}", ["match_id", SALT], buckets)
                  for df, name in zip(parts, ("matches", "match_details", "medal_matches_players")))
 

@@ -23,7 +23,7 @@ from laminar.operators.reduced import daily_counts, explode_days, fix_last_varia
 from laminar.operators.scd2 import scd2_apply, scd2_backfill, scd2_correct
 from laminar.plans import incremental, keyed, ranges, registers
 from laminar.operators.upsert import upsert
-from laminar.plans.load import (layout_report, load_bucketed, load_report_slices, load_salted_star, load_star,
+from laminar.plans.load import (bucket_count, layout_report, load_bucketed, load_report_slices, load_salted_star, load_star,
                                 match_bucket_join, reload_dedup)
 from laminar.plans.tables import overwrite_partitions, write_version
 from laminar.session import scratch_path
@@ -279,8 +279,8 @@ def q_reduced_incremental(spark, sf_dir):
 # ---- loads ------------------------------------------------------------------
 def q_load_sliced(spark, sf_dir):
     """Matches loaded into a table bucketed by match; rows with no completion date are not loaded."""
-    return load_bucketed(spark, roles.matches(spark, sf_dir), scratch_path(spark, "matches"),
-                         "match_id", 16, drop_null="completion_date")
+    matches = roles.matches(spark, sf_dir)
+    return load_bucketed(spark, matches, scratch_path(spark, "matches"), "match_id", bucket_count(matches), drop_null="completion_date")
 
 
 def layout_full(spark, sf_dir):
@@ -320,9 +320,10 @@ def q_match_fact_bucketed(spark, sf_dir):
     The second join is on match and player; with the match as the only bucket key that takes the setting
     of the reference's report job, which holds while the fact is written.
     """
-    m = load_bucketed(spark, roles.matches(spark, sf_dir), scratch_path(spark, "matches"))
-    d = load_bucketed(spark, roles.match_details(spark, sf_dir), scratch_path(spark, "match_details"))
-    p = load_bucketed(spark, roles.medal_matches_players(spark, sf_dir), scratch_path(spark, "mmp"))
+    tables = {"matches": roles.matches(spark, sf_dir), "match_details": roles.match_details(spark, sf_dir),
+              "mmp": roles.medal_matches_players(spark, sf_dir)}
+    n = bucket_count(*tables.values())
+    m, d, p = (load_bucketed(spark, df, scratch_path(spark, name), buckets=n) for name, df in tables.items())
     out = scratch_path(spark, "match_fact")
     with match_bucket_join(spark):
         reports.match_fact(m, d, p, skew_safe=False).write.parquet(out)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from laminar.operators import reports
 from laminar.operators.joins import hot_keys
-from laminar.plans.load import load_report_slices, load_salted_star, match_bucket_join
+from laminar.plans import load
+from laminar.plans.load import load_report_slices, load_salted_star, load_star, match_bucket_join
 from laminar.session import scratch_path
 
 
@@ -68,3 +69,21 @@ def test_reports_after_any_reload_equal_the_whole(spark):
     none = m.where("year(completion_date) <> 2022")  # a slice without matches replaces what was there
     assert got(load_report_slices(spark, none, mixed, maps, path, year, ["2022"])) == whole(none, mixed)
     assert got(load_report_slices(spark, m, d, maps, path, year, ["2022", "2021"])) == whole(m, d)
+
+
+def buckets_of(spark, table):
+    return int(next(r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect() if r.col_name == "Num Buckets"))
+
+
+def test_buckets_grow_with_the_largest_table(spark, monkeypatch):
+    m, d, p, _ = star(spark, random.Random(5))
+    want = rows(reports.match_fact(m, d, p, skew_safe=False))
+    monkeypatch.setattr(load, "BUCKET_BYTES", d.count() * 72 // 40)
+    root, found = scratch_path(spark, "star"), []
+    monkeypatch.setattr(load, "hot_keys", lambda *a: found.append(hot_keys(*a)) or found[-1])
+    monkeypatch.setattr(reports, "hot_keys", load.hot_keys)
+    tables = load_salted_star(spark, m, d, p, root, salts=8, hot_rows=100)
+    with match_bucket_join(spark):
+        assert rows(reports.match_fact_salted(*tables)) == want
+    assert len(found) == 1
+    assert len({f.rsplit("_", 1)[1] for f in tables[1].inputFiles()}) > 16
