@@ -153,13 +153,16 @@ def load_report_slices(spark: SparkSession, matches: DataFrame, details: DataFra
     return tops_of_slices(spark.read.schema("report string, name string, total long, n long, slice string").parquet(path))
 
 
-def load_star(spark: SparkSession, sources: dict[str, str], prefix: str, root: str, buckets: int = 16,
+def load_star(spark: SparkSession, sources: dict[str, str], prefix: str, root: str, buckets: int | None = None,
               bucketed: Sequence[str] = ("matches", "match_details", "medal_matches_players")) -> dict[str, DataFrame]:
     """Load CSV files of the star tables into created tables, and return them by name.
 
     Every table is created from its declared schema, empty, then the file, read against that schema, is appended.
-    Fact tables are bucketed by ``match_id``; the others are plain.  A table of that name is replaced.
+    Fact tables are bucketed by ``match_id``, all into as many buckets; the others are plain.  Without ``buckets`` their
+    number grows with the largest fact table, so that what one task sorts does not.  A table of that name is replaced.
     """
+    facts = [read_csv(spark, path, name) for name, path in sources.items() if name in bucketed]
+    buckets = buckets or (bucket_count(*facts) if facts else 0)
     out = {}
     for name, path in sources.items():
         table = f"{prefix}_{name}"

@@ -87,3 +87,19 @@ def test_buckets_grow_with_the_largest_table(spark, monkeypatch):
         assert rows(reports.match_fact_salted(*tables)) == want
     assert len(found) == 1
     assert len({f.rsplit("_", 1)[1] for f in tables[1].inputFiles()}) > 16
+
+
+def test_a_star_of_csv_files_has_buckets_by_its_size(spark, monkeypatch):
+    files = {}
+    for name, n in (("matches", 30), ("match_details", 400)):
+        schema = load.TABLES[name]
+        df = spark.range(n).select(*[(F.concat(F.lit("m"), "id") if f.name == "match_id" else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+        files[name] = scratch_path(spark, f"{name}_csv")
+        df.write.option("header", "true").csv(files[name])
+    monkeypatch.setattr(load, "BUCKET_BYTES", 4000)
+    root = scratch_path(spark, "star")
+    prefix = f"laminar_{root[-12:]}"
+    loaded = load_star(spark, files, prefix, root)
+    assert {name: df.count() for name, df in loaded.items()} == {"matches": 30, "match_details": 400}
+    found = {buckets_of(spark, f"{prefix}_{name}") for name in files}
+    assert len(found) == 1 and found.pop() > 16
